@@ -9,10 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from depotlens.operators import reports
+from depotlens.functions.text import norm_text
+from depotlens.operators import facts as fx
+from depotlens.operators import landing, reports, station_dim
+from depotlens.operators.ids import lit_ts
 from depotlens.plans import oracle as o
 from depotlens.plans.scenario import scenario
+from depotlens.schemas import STATION_DIM_COLUMNS
 from depotlens.session import prepare
 from depotlens.sources import testdata as td
 
@@ -45,3 +50,230 @@ SELECT d.ref_identifier AS pickup_identifier, d.name, d.zip_code, count(*) AS cl
 def _r1(sc):
     """Complaints per current station in the last 14 days."""
     return reports.station_claims(sc.fact_complaint, sc.links, sc.dim2, td.AS_OF)
+
+
+@register("rpt_recipients_over5_2m", o.sql(f"""
+SELECT min(f.recipient_name) AS recipient_name, min(f.recipient_address) AS recipient_address,
+       count(*) AS complaints_2m,
+       string_agg(DISTINCT f.pickup_station_external_id, ' | ' ORDER BY f.pickup_station_external_id)
+         FILTER (WHERE f.pickup_station_external_id IS NOT NULL) AS pickup_locations_given,
+       string_agg(DISTINCT d.ref_identifier || ' - ' || coalesce(d.name, '') || ' (' || coalesce(d.zip_code, '') || ')', ' | '
+                  ORDER BY d.ref_identifier || ' - ' || coalesce(d.name, '') || ' (' || coalesce(d.zip_code, '') || ')')
+         FILTER (WHERE d.pickup_station_id IS NOT NULL) AS pickup_locations_enriched
+  FROM cview f LEFT JOIN dim2 d ON d.pickup_station_id = f.pickup_station_id AND d.is_current
+ WHERE f.complained_at >= {o.AS_OF} - INTERVAL 2 MONTH
+ GROUP BY f.recipient_name_norm, f.recipient_address_norm
+HAVING count(*) > 5""", "cview", "dim2"))
+def _r2(sc):
+    """R2: recipients with more than five complaints in two months."""
+    return reports.frequent_recipients(sc.fact_complaint, sc.links, sc.dim2, td.AS_OF)
+
+
+@register("monitoring_complaints", o.sql(f"""
+SELECT {o.DAY1} AS monitoring_date,
+       count(*) FILTER (WHERE CAST(f.created_at AS DATE) = {o.DAY1}) AS complaints_loaded,
+       count(*) FILTER (WHERE CAST(f.created_at AS DATE) = {o.DAY1} AND l.pickup_station_id IS NULL) AS complaints_unresolved,
+       {o.RUN1} AS updated_at
+  FROM fact_c f LEFT JOIN links1 l USING (record_hash_sha256)
+UNION ALL
+SELECT {o.DAY2}, count(*) FILTER (WHERE CAST(created_at AS DATE) = {o.DAY2}),
+       count(*) FILTER (WHERE CAST(created_at AS DATE) = {o.DAY2} AND pickup_station_id IS NULL), {o.RUN2}
+  FROM cview""", "fact_c", "links1", "cview"))
+def _m1(sc):
+    """M1: complaints loaded per day and those without a station (2 days)."""
+    return sc.monitoring
+
+
+# ------------------------------------------------------------------ ledger
+@register("landing_register", o.sql(f"SELECT {o.LEDGER_COLS} FROM ledger", "ledger"))
+def _l1(sc):
+    """L1: ledger after two registrations (re-sent files are new entries)."""
+    return sc.ledger
+
+
+@register("landing_next_batch", o.sql("""
+SELECT file_id, source_system, landing_file_path FROM ledger WHERE status = 'RECEIVED'
+ ORDER BY received_at, file_id LIMIT 100""", "ledger"))
+def _l2(sc):
+    """L2: the next parse batch (100 oldest RECEIVED files)."""
+    return landing.next_batch(sc.ledger, landing.DEFAULT_BATCH)
+
+
+@register("landing_claim", o.sql("""
+SELECT file_id, source_system, source_file_path, source_modified_at, file_size_bytes, landing_file_path,
+       received_at, parsed_at,
+       CASE WHEN file_id IN (SELECT file_id FROM ledger WHERE status = 'RECEIVED'
+                              ORDER BY received_at, file_id LIMIT 100) THEN 'PARSING' ELSE status END AS status,
+       error_message
+  FROM ledger""", "ledger"))
+def _l2b(sc):
+    """L2: ledger after the batch is claimed (status PARSING)."""
+    return landing.claim(sc.ledger, landing.next_batch(sc.ledger, landing.DEFAULT_BATCH))
+
+
+# ----------------------------------------------------------------- staging
+@register("stage_dedup", o.sql("SELECT * FROM stg_c", "stg_c"))
+def _l10(sc):
+    """Staged complaints, one row per hash, smallest (file_id, record_index)."""
+    return sc.stg_complaint
+
+
+@register("record_hash", o.sql("SELECT file_id, record_index, record_hash_sha256 FROM craw", "craw"))
+def _l9(sc):
+    """Record hash of every staged complaint (re-sent copies share it)."""
+    return sc.staged_raw_complaints.select("file_id", "record_index", "record_hash_sha256")
+
+
+@register("norm_recipient", o.sql(f"""
+SELECT DISTINCT recipient_name, recipient_address, {o._NORM.format(c='recipient_name')} AS recipient_name_norm,
+       {o._NORM.format(c='recipient_address')} AS recipient_address_norm
+  FROM (SELECT recipient_name, recipient_address FROM crec UNION ALL SELECT recipient_name, recipient_address FROM drec)""",
+          "crec", "drec"))
+def _l8(sc):
+    """Normalised recipient names and addresses (complaints and deliveries)."""
+    both = (sc.complaint_records.select("recipient_name", "recipient_address")
+            .unionByName(sc.delivery_records.select("recipient_name", "recipient_address")))
+    return both.select("recipient_name", "recipient_address",
+                       norm_text("recipient_name").alias("recipient_name_norm"),
+                       norm_text("recipient_address").alias("recipient_address_norm")).distinct()
+
+
+# ---------------------------------------------------------------- stations
+@register("station_fingerprint", o.sql("SELECT ref_identifier, fingerprint FROM snap2", "snap2"))
+def _d2(sc):
+    """Fingerprint of each station of the day-2 list."""
+    return sc.snap2.select("ref_identifier", "fingerprint")
+
+
+@register("station_attr_hash", o.sql("SELECT ref_identifier, attr_hash_sha256 FROM snap2", "snap2"))
+def _d3(sc):
+    """D3: attribute hash of each station of the day-2 list."""
+    return sc.snap2.select("ref_identifier", "attr_hash_sha256")
+
+
+_SNAP_COLS = "snapshot_date, ref_identifier, name, city, zip_code, street, fingerprint, attr_hash_sha256"
+
+
+@register("station_snapshot", o.sql(f"""
+SELECT {_SNAP_COLS} FROM snap1
+UNION ALL
+SELECT {_SNAP_COLS} FROM snap2 WHERE ref_identifier NOT IN (SELECT identifier FROM st1)
+UNION ALL
+SELECT {o.DAY2} AS snapshot_date, ref_identifier, name, city, zip_code, street, fingerprint, attr_hash_sha256
+  FROM snap1""", "snap1", "snap2", "st1"))
+def _d1(sc):
+    """Snapshot table after day 1, day 2 and a re-run of day 2."""
+    return sc.snapshots
+
+
+_DIM = o.DIM_COLS
+
+
+@register("scd2_first_load", o.sql(f"SELECT {_DIM} FROM dim1", "dim1"))
+def _d4(sc):
+    """The history after the first load."""
+    return sc.dim1
+
+
+@register("scd2_resolve", o.sql("SELECT * FROM res2", "res2"))
+def _d6(sc):
+    """Day-2 snapshot rows with their resolved station id (K2)."""
+    return sc.dim2_parts["resolved"]
+
+
+@register("scd2_add", o.sql(f"""SELECT {_DIM} FROM dim2 WHERE valid_from = {o.RUN2}
+  AND pickup_station_id NOT IN (SELECT pickup_station_id FROM dim1)""", "dim1", "dim2"))
+def _d5(sc):
+    """Stations added on day 2."""
+    return (sc.dim2.where(F.col("valid_from") == lit_ts(td.RUN2))
+            .join(sc.dim1.select("pickup_station_id"), "pickup_station_id", "left_anti")
+            .select(*STATION_DIM_COLUMNS))
+
+
+@register("scd2_close", o.sql(f"SELECT {_DIM} FROM dim2 WHERE valid_to = {o.RUN2} AND is_active", "dim2"))
+def _d7(sc):
+    """Rows closed on day 2 because the station changed."""
+    return sc.dim2.where((F.col("valid_to") == lit_ts(td.RUN2)) & F.col("is_active"))
+
+
+@register("scd2_new_version", o.sql(f"""SELECT {_DIM} FROM dim2 WHERE valid_from = {o.RUN2}
+  AND pickup_station_id IN (SELECT pickup_station_id FROM dim1)""", "dim1", "dim2"))
+def _d8(sc):
+    """New versions of changed stations (same id, K1)."""
+    return (sc.dim2.where(F.col("valid_from") == lit_ts(td.RUN2))
+            .join(sc.dim1.select("pickup_station_id").distinct(), "pickup_station_id", "left_semi")
+            .select(*STATION_DIM_COLUMNS))
+
+
+@register("scd2_remove", o.sql(f"SELECT {_DIM} FROM dim2 WHERE valid_to = {o.RUN2} AND NOT is_active", "dim2"))
+def _d9(sc):
+    """Stations removed on day 2 (closed and inactive)."""
+    return sc.dim2.where((F.col("valid_to") == lit_ts(td.RUN2)) & ~F.col("is_active"))
+
+
+@register("scd2_apply", o.sql(f"SELECT {_DIM} FROM dim2", "dim2"))
+def _d10(sc):
+    """The whole history after the day-2 run."""
+    return sc.dim2
+
+
+@register("check_one_current", o.sql("""
+SELECT count(*) AS stations, CAST(coalesce(sum(c), 0) AS BIGINT) AS current_rows,
+       count(*) FILTER (WHERE c > 1) AS violations
+  FROM (SELECT pickup_station_id, count(*) FILTER (WHERE is_current) AS c FROM dim2 GROUP BY pickup_station_id)""",
+          "dim2"))
+def _c1(sc):
+    """At most one current row per station."""
+    return station_dim.check_one_current(sc.dim2)
+
+
+# ------------------------------------------------------------------- facts
+@register("fact_complaint_load", o.sql("SELECT * FROM fact_c", "fact_c"))
+def _f1(sc):
+    """complaint fact (insert if hash new, surrogate keys in file order)."""
+    return sc.fact_complaint
+
+
+@register("fact_delivery_load", o.sql("SELECT * FROM fact_d", "fact_d"))
+def _f3(sc):
+    """delivery-event fact."""
+    return sc.fact_delivery
+
+
+@register("fact_complaint_enrich", o.sql("SELECT * FROM links", "links"))
+def _f2(sc):
+    """complaint-station links of day 1 and day 2 (sticky)."""
+    return sc.links
+
+
+@register("check_unique_hash", o.sql("""
+SELECT t AS table_name, CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_hashes,
+       count(*) FILTER (WHERE n > 1) AS duplicated_hashes
+  FROM (SELECT t, record_hash_sha256, count(*) AS n FROM (
+          SELECT 'staged_raw_complaints' AS t, record_hash_sha256 FROM craw
+          UNION ALL SELECT 'stg_complaint', record_hash_sha256 FROM stg_c
+          UNION ALL SELECT 'fact_complaint', record_hash_sha256 FROM fact_c
+          UNION ALL SELECT 'fact_delivery_event', record_hash_sha256 FROM fact_d)
+        GROUP BY t, record_hash_sha256)
+ GROUP BY t""", "craw", "stg_c", "fact_c", "fact_d"))
+def _c2(sc):
+    """Unique record hash per table (the raw staging keeps re-sent copies)."""
+    parts = [("staged_raw_complaints", sc.staged_raw_complaints), ("stg_complaint", sc.stg_complaint),
+             ("fact_complaint", sc.fact_complaint), ("fact_delivery_event", sc.fact_delivery)]
+    out = None
+    for name, df in parts:
+        one = fx.check_unique_hash(df).select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("check_file_fk", o.sql("""
+SELECT 'fact_complaint' AS table_name, count(*) AS orphan_rows FROM fact_c WHERE file_id NOT IN (SELECT file_id FROM ledger)
+UNION ALL
+SELECT 'fact_delivery_event', count(*) FROM fact_d WHERE file_id NOT IN (SELECT file_id FROM ledger)""",
+          "fact_c", "fact_d", "ledger"))
+def _c3(sc):
+    """Fact rows whose file is missing from the ledger (0)."""
+    a = fx.check_file_fk(sc.fact_complaint, sc.ledger).select(F.lit("fact_complaint").alias("table_name"), "*")
+    b = fx.check_file_fk(sc.fact_delivery, sc.ledger).select(F.lit("fact_delivery_event").alias("table_name"), "*")
+    return a.unionByName(b)
