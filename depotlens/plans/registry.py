@@ -16,7 +16,7 @@ from depotlens.operators import facts as fx
 from depotlens.operators import landing, reports, station_dim
 from depotlens.operators.ids import lit_ts
 from depotlens.plans import oracle as o
-from depotlens.plans.scenario import scenario
+from depotlens.plans.scenario import file_scenario, scenario
 from depotlens.schemas import STATION_DIM_COLUMNS
 from depotlens.session import prepare
 from depotlens.sources import testdata as td
@@ -277,3 +277,71 @@ def _c3(sc):
     a = fx.check_file_fk(sc.fact_complaint, sc.ledger).select(F.lit("fact_complaint").alias("table_name"), "*")
     b = fx.check_file_fk(sc.fact_delivery, sc.ledger).select(F.lit("fact_delivery_event").alias("table_name"), "*")
     return a.unionByName(b)
+
+
+# --------------------------------------------------------- landing files
+def register_files_query(name: str, oracle_sql: str | None = None):
+    def deco(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            prepare(spark)
+            return fn(file_scenario(spark, sf_dir))
+        run.__name__ = name
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
+        if oracle_sql is not None:
+            ORACLE[name] = oracle_sql
+        return fn
+    return deco
+
+
+def _file_rows(src: str, system: str, fields: list[str], text: list[str], order: str, keep: str) -> str:
+    cols = ", ".join(fields)
+    return f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY record_hash_sha256 ORDER BY ingest_dt, source_format, record_index) AS rn
+    FROM (SELECT ingest_dt, source_format,
+                 CAST(row_number() OVER (PARTITION BY ingest_dt, source_format ORDER BY {order}) - 1 AS INTEGER) AS record_index,
+                 {o._hash(system, fields[0], text)} AS record_hash_sha256, {cols},
+                 {o._NORM.format(c='recipient_name')} AS recipient_name_norm,
+                 {o._NORM.format(c='recipient_address')} AS recipient_address_norm,
+                 {o.RUN1} AS ingested_at
+            FROM {src})
+   WHERE {keep})
+ WHERE rn = 1"""
+
+
+@register_files_query("stage_complaints", o.sql(
+    _file_rows("crec", "complaints", o.C_FIELDS, o.C_TEXT, "event_id",
+               "ingest_dt <> (SELECT min(ingest_dt) FROM crec)"), "crec"))
+def _l5(fs):
+    """Complaints read from CSV, JSON Lines and XML landing files
+    (damaged files of the first day fail as a whole)."""
+    return fs.staged_with_file("complaints")
+
+
+@register_files_query("stage_delivery_events", o.sql(
+    _file_rows("drec", "delivery_events", o.D_FIELDS, o.D_TEXT,
+               "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
+               "l_returnflag, l_linestatus, delivered_at", "TRUE"), "drec"))
+def _l6(fs):
+    """Delivery events read from landing files, deduplicated."""
+    return fs.staged_with_file("delivery_events")
+
+
+@register_files_query("landing_apply_outcome", o.sql(f"""
+SELECT source_system, ingest_dt, source_format,
+       CASE WHEN bad THEN 'FAILED' ELSE 'PARSED' END AS status,
+       CASE WHEN bad THEN 'CORRUPT_RECORDS: 1' END AS error_message,
+       {o.RUN1} AS received_at,
+       CASE WHEN bad THEN CAST(NULL AS TIMESTAMP) ELSE {o.RUN1} END AS parsed_at
+  FROM (SELECT DISTINCT 'complaints' AS source_system, ingest_dt, source_format,
+               ingest_dt = (SELECT min(ingest_dt) FROM crec) AS bad FROM crec
+        UNION ALL
+        SELECT DISTINCT 'delivery_events', ingest_dt, source_format, FALSE FROM drec)""", "crec", "drec"))
+def _l3(fs):
+    """L3/L4: ledger after parsing: PARSED with time, or FAILED with reason."""
+    return fs.ledger.select(
+        "source_system",
+        F.to_date(F.regexp_extract("landing_file_path", r"ingest_dt=([0-9-]+)", 1)).alias("ingest_dt"),
+        F.regexp_extract("landing_file_path", r"\.([a-z]+)$", 1).alias("source_format"),
+        "status", "error_message", "received_at", "parsed_at")

@@ -187,3 +187,60 @@ class Scenario:
     def monitoring(self) -> DataFrame:
         row = complaint_monitoring(fx.complaint_view(self.fact_complaint, self.links), td.DAY2, td.RUN2)
         return self.store.put("monitoring_complaints", upsert_by_date(self.monitoring_day1, row))
+
+
+_FILE_CACHE: dict = {}
+
+
+def file_scenario(spark: SparkSession, sf_dir: str) -> "FileScenario":
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LOCK:
+        if key not in _FILE_CACHE:
+            _FILE_CACHE[key] = FileScenario(spark, sf_dir)
+        return _FILE_CACHE[key]
+
+
+class FileScenario:
+    """Day-1 intake from real landing files written from the derived records.
+
+    Complaint files of the first arrival day are damaged on purpose (one bad
+    record per format), so those three files must fail as a whole.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        from depotlens.plans.pipeline import Pipeline
+        from depotlens.session import new_scratch_path
+
+        self.spark, self.sf_dir = spark, sf_dir
+        self.root = new_scratch_path(spark, "landing")
+        self.pipeline = Pipeline(spark)
+
+    @_lazy
+    def damage_day(self):
+        return td.complaint_records(self.spark, self.sf_dir).select(F.min("ingest_dt")).first()[0]
+
+    @_lazy
+    def staged(self) -> dict:
+        from depotlens.schemas import COMPLAINT_FIELDS, DELIVERY_FIELDS
+        from depotlens.sources.files import write_landing
+
+        write_landing(td.complaint_records(self.spark, self.sf_dir), self.root, "complaints",
+                      COMPLAINT_FIELDS, "complained_at", td.COMPLAINT_FILE_ORDER, damage_day=self.damage_day)
+        write_landing(td.delivery_records(self.spark, self.sf_dir), self.root, "delivery_events",
+                      DELIVERY_FIELDS, "delivered_at", td.DELIVERY_FILE_ORDER)
+        return self.pipeline.ingest(self.root, td.RUN1)
+
+    @property
+    def ledger(self) -> DataFrame:
+        _ = self.staged
+        return self.pipeline.ledger()
+
+    def staged_with_file(self, system: str) -> DataFrame:
+        """Staged rows with the arrival day and format read off the path."""
+        led = self.ledger.select("file_id", "landing_file_path")
+        rows = self.pipeline.store.get(
+            {"complaints": "stg_complaint", "delivery_events": "stg_delivery_event"}[system])
+        return rows.join(led, "file_id").select(
+            F.to_date(F.regexp_extract("landing_file_path", r"ingest_dt=([0-9-]+)", 1)).alias("ingest_dt"),
+            F.regexp_extract("landing_file_path", r"\.([a-z]+)$", 1).alias("source_format"),
+            *[c for c in rows.columns if c != "file_id"])

@@ -21,6 +21,9 @@ from depotlens.session import new_scratch_path
 
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 ROW_TAG, ROOT_TAG = "record", "records"
+# RFC 4180 quoting (a quote inside a field is doubled); spaces are data.
+CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
 
 
 def list_landing(spark: SparkSession, root: str, system: str) -> DataFrame:
@@ -43,7 +46,7 @@ def _record_text(fields: list[str], time_col: str) -> dict[str, F.Column]:
     vals = [F.date_format(time_col, TIME_TEXT).alias(time_col) if c == time_col else F.col(c) for c in fields]
     rec = F.struct(*vals)
     return {
-        "csv": F.to_csv(rec),
+        "csv": F.to_csv(rec, CSV_OPTIONS),
         "json": F.to_json(rec),
         "xml": F.to_xml(rec, {"rowTag": ROW_TAG}),
     }
@@ -79,11 +82,13 @@ def write_landing(records: DataFrame, root: str, system: str, fields: list[str],
             .select("ingest_dt", "source_format", F.lit(1 << 62).cast("long").alias("_n"),
                     F.lit(f"</{ROOT_TAG}>").alias("value")))
     lines = body.unionByName(head).unionByName(tail)
+    # One row holds one file's text (lines in order), so the sink's own sort
+    # cannot reorder lines; a file is written by one task in any case.
+    files = (lines.groupBy("ingest_dt", "source_format")
+             .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_n", "value"))),
+                                           lambda x: x["value"]), "\n").alias("value")))
     tmp = new_scratch_path(spark, "landing-tmp")
-    (lines.repartition("ingest_dt", "source_format")
-     .sortWithinPartitions("ingest_dt", "source_format", "_n")
-     .select("ingest_dt", "source_format", "value")
-     .write.partitionBy("ingest_dt", "source_format").text(tmp))
+    files.write.partitionBy("ingest_dt", "source_format").text(tmp)
     _name_files(spark, tmp, f"{root.rstrip('/')}/{system}", system)
     return f"{root.rstrip('/')}/{system}"
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from depotlens.operators.staging import KINDS, finish_staging
-from depotlens.sources.files import ROW_TAG
+from depotlens.sources.files import CSV_OPTIONS, ROW_TAG
 
 CORRUPT = "_corrupt_record"
 
@@ -36,7 +36,10 @@ def _reader(spark: SparkSession, fmt: str, fields: list[str]):
          .option("columnNameOfCorruptRecord", CORRUPT))
     if fmt == "csv":
         # header read as a data row, so it can be checked per file
-        return r.option("header", False).option("multiLine", True).option("escape", '"').format("csv")
+        r = r.option("header", False).option("multiLine", True)
+        for k, v in CSV_OPTIONS.items():
+            r = r.option(k, v)
+        return r.format("csv")
     if fmt == "json":
         return r.format("json")
     return r.option("rowTag", ROW_TAG).option("ignoreSurroundingSpaces", False).format("xml")
