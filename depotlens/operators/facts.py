@@ -1,9 +1,10 @@
 """Fact loads (F1, F3, F4), complaint-station links (F2) and checks C2, C3.
 
-Facts are append-only and partitioned by event date. Dedupe against the fact
-uses the record hash, which includes the event time (K12): equal hashes have
-equal event dates, so the anti join only reads the fact partitions of the
-dates present in the batch.
+Facts are append-only and partitioned by event month (a day column is kept;
+rows are written sorted by event time, so parquet statistics prune row
+groups of day windows). Dedupe against the fact uses the record hash, which
+includes the event time (K12): equal hashes have equal event months, so the
+anti join only reads the fact partitions of the months in the batch.
 """
 
 from __future__ import annotations
@@ -19,16 +20,18 @@ from depotlens.operators.station_dim import current_rows
 from depotlens.schemas import FACT_COMPLAINT_COLUMNS, FACT_DELIVERY_COLUMNS
 
 SPECS = {
-    "complaints": dict(sk="complaint_sk", time="complained_at", date="complained_date",
+    "complaints": dict(sk="complaint_sk", time="complained_at", date="complained_date", month="complained_month",
                        columns=FACT_COMPLAINT_COLUMNS),
     "delivery_events": dict(sk="delivery_event_sk", time="delivered_at", date="delivered_date",
+                            month="delivered_month",
                             columns=FACT_DELIVERY_COLUMNS),
 }
 
 
-def _same_dates(fact: DataFrame, batch: DataFrame, date_col: str) -> DataFrame:
-    """Fact rows of the event dates present in the batch (partition pruning).
-    The distinct dates of one batch are a short list (bounded by the calendar)."""
+def _same_months(fact: DataFrame, batch: DataFrame, date_col: str) -> DataFrame:
+    """Fact rows of the event months present in the batch (partition
+    pruning). The distinct months of a batch are a short list (bounded by
+    the calendar)."""
     dates = [r[0] for r in batch.select(date_col).distinct().collect()]
     known = [d for d in dates if d is not None]
     cond = F.col(date_col).isin(known) if known else F.lit(False)
@@ -43,10 +46,11 @@ def load_facts(fact: DataFrame | None, staged: DataFrame, system: str, run_ts: d
     keep the smallest (file_id, record_index) (K7). Surrogate keys continue
     after the largest one in (file_id, record_index) order (F4)."""
     s = SPECS[system]
-    new = dedupe_staged(staged).withColumn(s["date"], F.to_date(s["time"]))
+    new = (dedupe_staged(staged).withColumn(s["date"], F.to_date(s["time"]))
+           .withColumn(s["month"], F.trunc(s["time"], "month")))
     start = 0
     if fact is not None:
-        new = new.join(_same_dates(fact, new, s["date"]).select("record_hash_sha256"),
+        new = new.join(_same_months(fact, new, s["month"]).select("record_hash_sha256"),
                        "record_hash_sha256", "left_anti")
         start = max_value(fact, s["sk"])
     new = assign_ids(new, ["file_id", "record_index"], s["sk"], start=start)
@@ -68,12 +72,12 @@ def link_complaints(fact: DataFrame, links: DataFrame | None, dim: DataFrame,
     complaint is never linked again; an unlinked one is retried every run.
     Null external ids are dropped before the join (no null-key skew)."""
     cand = fact.where(F.col("pickup_station_external_id").isNotNull()) \
-               .select("record_hash_sha256", "complained_date", "pickup_station_external_id")
+               .select("record_hash_sha256", "complained_date", "complained_month", "pickup_station_external_id")
     if links is not None:
         cand = cand.join(links.select("record_hash_sha256"), "record_hash_sha256", "left_anti")
     st = station_by_ref(dim)
     return (cand.join(st, cand.pickup_station_external_id == st.ref_identifier)
-            .select("record_hash_sha256", "complained_date", "pickup_station_id",
+            .select("record_hash_sha256", "complained_date", "complained_month", "pickup_station_id",
                     lit_ts(run_ts).alias("linked_at")))
 
 

@@ -4,7 +4,7 @@ Reports join complaints to *current* station rows only, as the reference
 does (K10): complaints of removed stations drop out of R1 and show no
 enriched text in R2. Windows have a lower bound only, so future times count.
 The window filter is written on the event time (pushed to the parquet scan)
-and repeated on the date partition column (partition pruning).
+and repeated on the month partition column (partition pruning).
 """
 
 from __future__ import annotations
@@ -25,10 +25,11 @@ R1_DAYS = 14
 
 def _window(fact: DataFrame, links: DataFrame | None, lower: dt.date):
     ts = F.lit(lower.isoformat()).cast("timestamp_ntz")
-    f = fact.where((F.col("complained_at") >= ts) & (F.col("complained_date") >= F.lit(lower)))
+    month = F.lit(lower.replace(day=1))
+    f = fact.where((F.col("complained_at") >= ts) & (F.col("complained_month") >= month))
     lk = None
     if links is not None:
-        lk = links.where(F.col("complained_date") >= F.lit(lower)) \
+        lk = links.where((F.col("complained_date") >= F.lit(lower)) & (F.col("complained_month") >= month)) \
                   .select("record_hash_sha256", "pickup_station_id")
     return f, lk
 

@@ -190,11 +190,13 @@ CTES: dict[str, tuple[list[str], str]] = {
     "stg_d": (["draw"], _dedup("draw")),
     "fact_c": (["stg_c"], """SELECT row_number() OVER (ORDER BY file_id, record_index) AS complaint_sk,
         record_hash_sha256, file_id, complained_at, CAST(complained_at AS DATE) AS complained_date,
+        CAST(date_trunc('month', complained_at) AS DATE) AS complained_month,
         pickup_station_external_id, recipient_name, recipient_address, recipient_name_norm, recipient_address_norm,
         complaint_text, purchase_order_id, parcel_id,
         coalesce(complained_at, TIMESTAMP '2024-01-30 23:00:00') AS created_at FROM stg_c"""),
     "fact_d": (["stg_d"], f"""SELECT row_number() OVER (ORDER BY file_id, record_index) AS delivery_event_sk,
         record_hash_sha256, file_id, delivered_at, CAST(delivered_at AS DATE) AS delivered_date,
+        CAST(date_trunc('month', delivered_at) AS DATE) AS delivered_month,
         pickup_station_external_id, driver_id, parcel_id, purchase_order_id, recipient_name, recipient_address,
         recipient_name_norm, recipient_address_norm, {RUN1} AS created_at FROM stg_d"""),
     "snap1": (["st1"], _snap("st1", DAY1)),
@@ -208,15 +210,36 @@ CTES: dict[str, tuple[list[str], str]] = {
     "dim1": (["dim0", "res1"], _dim_new("dim0", "res1", RUN1)),
     "res2": (["dim1", "snap2"], _resolve("dim1", "snap2")),
     "dim2": (["dim1", "res2"], _dim_new("dim1", "res2", RUN2)),
-    "links1": (["fact_c", "dim1"], f"""SELECT f.record_hash_sha256, f.complained_date, d.pickup_station_id,
+    "links1": (["fact_c", "dim1"], f"""SELECT f.record_hash_sha256, f.complained_date, f.complained_month, d.pickup_station_id,
         {RUN1} AS linked_at FROM fact_c f
         JOIN (SELECT ref_identifier, min(pickup_station_id) AS pickup_station_id FROM dim1 WHERE is_current
               GROUP BY ref_identifier) d ON d.ref_identifier = f.pickup_station_external_id"""),
     "links": (["fact_c", "dim2", "links1"], f"""SELECT * FROM links1 UNION ALL
-      SELECT f.record_hash_sha256, f.complained_date, d.pickup_station_id, {RUN2} AS linked_at FROM fact_c f
+      SELECT f.record_hash_sha256, f.complained_date, f.complained_month, d.pickup_station_id, {RUN2} AS linked_at
+        FROM fact_c f
         JOIN (SELECT ref_identifier, min(pickup_station_id) AS pickup_station_id FROM dim2 WHERE is_current
               GROUP BY ref_identifier) d ON d.ref_identifier = f.pickup_station_external_id
        WHERE f.record_hash_sha256 NOT IN (SELECT record_hash_sha256 FROM links1)"""),
+    "s2": (["fact_c", "fact_d"], """
+    WITH c AS (SELECT record_hash_sha256, complained_at, parcel_id, purchase_order_id FROM fact_c),
+    d AS (SELECT record_hash_sha256 AS d_hash, delivered_at, driver_id, parcel_id, purchase_order_id
+            FROM fact_d WHERE delivered_at IS NOT NULL),
+    bp AS (SELECT * FROM (SELECT c.record_hash_sha256, d.d_hash, d.delivered_at, d.driver_id,
+                 row_number() OVER (PARTITION BY c.record_hash_sha256 ORDER BY
+                   coalesce(d.delivered_at <= c.complained_at, FALSE) DESC, d.delivered_at DESC, d.d_hash DESC) AS rn
+            FROM c JOIN d ON d.parcel_id = c.parcel_id) WHERE rn = 1),
+    bo AS (SELECT * FROM (SELECT c.record_hash_sha256, d.d_hash, d.delivered_at, d.driver_id,
+                 row_number() OVER (PARTITION BY c.record_hash_sha256 ORDER BY
+                   coalesce(d.delivered_at <= c.complained_at, FALSE) DESC, d.delivered_at DESC, d.d_hash DESC) AS rn
+            FROM c JOIN d ON d.purchase_order_id = c.purchase_order_id
+           WHERE c.record_hash_sha256 NOT IN (SELECT record_hash_sha256 FROM bp)) WHERE rn = 1)
+    SELECT c.record_hash_sha256, c.complained_at, c.parcel_id, c.purchase_order_id,
+           CASE WHEN p.d_hash IS NOT NULL THEN 'parcel' WHEN q.d_hash IS NOT NULL THEN 'purchase_order' END AS matched_by,
+           coalesce(p.d_hash, q.d_hash) AS delivery_record_hash,
+           coalesce(p.delivered_at, q.delivered_at) AS delivered_at,
+           coalesce(p.driver_id, q.driver_id) AS driver_id,
+           (epoch_us(c.complained_at) - epoch_us(coalesce(p.delivered_at, q.delivered_at))) / 1000000.0 AS delay_seconds
+      FROM c LEFT JOIN bp p USING (record_hash_sha256) LEFT JOIN bo q USING (record_hash_sha256)"""),
     "cview": (["fact_c", "links"], """SELECT f.*, l.pickup_station_id FROM fact_c f
         LEFT JOIN links l USING (record_hash_sha256)"""),
 }
@@ -237,4 +260,7 @@ def sql(final: str, *needs: str) -> str:
     if not order:
         return final
     body = ",\n".join(f"{n} AS (\n{CTES[n][1]}\n)" for n in order)
+    head = final.lstrip()
+    if head[:5].upper() == "WITH ":
+        return f"WITH {body},\n{head[5:]}"
     return f"WITH {body}\n{final}"

@@ -30,7 +30,8 @@ from depotlens.sources.store import Store
 SYSTEMS = ("complaints", "delivery_events")
 STAGING_TABLE = {"complaints": "stg_complaint", "delivery_events": "stg_delivery_event"}
 FACT_TABLE = {"complaints": "fact_complaint", "delivery_events": "fact_delivery_event"}
-FACT_DATE = {"complaints": "complained_date", "delivery_events": "delivered_date"}
+FACT_DATE = {"complaints": "complained_month", "delivery_events": "delivered_month"}
+FACT_TIME = {"complaints": "complained_at", "delivery_events": "delivered_at"}
 
 
 @dataclass
@@ -117,12 +118,13 @@ class Pipeline:
     def load_facts(self, system: str, staged: DataFrame, run_ts: dt.datetime,
                    created_at: Column | None = None) -> DataFrame:
         rows = fx.load_facts(self._get(FACT_TABLE[system]), staged, system, run_ts, created_at=created_at)
-        return self.store.append(FACT_TABLE[system], rows, partition_by=[FACT_DATE[system]])
+        return self.store.append(FACT_TABLE[system], rows, partition_by=[FACT_DATE[system]],
+                                 sort_by=[FACT_TIME[system]])
 
     def link(self, run_ts: dt.datetime) -> DataFrame:
         rows = fx.link_complaints(self._get("fact_complaint"), self._get("complaint_station_link"),
                                   self._get("dim_pickup_station"), run_ts)
-        return self.store.append("complaint_station_link", rows, partition_by=["complained_date"])
+        return self.store.append("complaint_station_link", rows, partition_by=["complained_month"], sort_by=["complained_date"])
 
     def monitor(self, day: dt.date, run_ts: dt.datetime) -> DataFrame:
         view = fx.complaint_view(self._get("fact_complaint"), self._get("complaint_station_link"))

@@ -345,3 +345,140 @@ def _l3(fs):
         F.to_date(F.regexp_extract("landing_file_path", r"ingest_dt=([0-9-]+)", 1)).alias("ingest_dt"),
         F.regexp_extract("landing_file_path", r"\.([a-z]+)$", 1).alias("source_format"),
         "status", "error_message", "received_at", "parsed_at")
+
+
+# ------------------------------------------------------------ further steps
+@register("complaint_alerts", o.sql(f"""
+SELECT d.ref_identifier AS pickup_identifier, d.name, d.zip_code, f.complained_date AS complaint_date,
+       count(*) AS complaints, CAST(1 AS BIGINT) AS threshold
+  FROM fact_c f JOIN links l USING (record_hash_sha256)
+  JOIN dim2 d ON d.pickup_station_id = l.pickup_station_id AND d.is_current
+ WHERE f.complained_at >= {o.AS_OF} - INTERVAL 14 DAY
+ GROUP BY d.ref_identifier, d.name, d.zip_code, f.complained_date
+HAVING count(*) > 1""", "fact_c", "links", "dim2"))
+def _s7(sc):
+    """Station-days in the 14-day window with more than one complaint."""
+    return reports.complaint_alerts(sc.fact_complaint, sc.links, sc.dim2, td.AS_OF, threshold=1)
+
+
+@register("complaint_delivery_link", o.sql("SELECT * FROM s2", "s2"))
+def _s2(sc):
+    """Each complaint with its delivery (parcel first, then order; as-of)."""
+    return sc.correlation
+
+
+@register("complaint_rate", o.sql("""
+SELECT coalesce(a.delivery_month, b.delivery_month) AS delivery_month, coalesce(a.deliveries, 0) AS deliveries,
+       coalesce(b.complaints, 0) AS complaints,
+       CASE WHEN coalesce(a.deliveries, 0) > 0 THEN coalesce(b.complaints, 0) / coalesce(a.deliveries, 0) END AS complaint_rate
+  FROM (SELECT CAST(date_trunc('month', delivered_at) AS DATE) AS delivery_month, count(*) AS deliveries
+          FROM fact_d WHERE delivered_at IS NOT NULL GROUP BY 1) a
+  FULL JOIN (SELECT CAST(date_trunc('month', delivered_at) AS DATE) AS delivery_month, count(*) AS complaints
+          FROM s2 WHERE delivery_record_hash IS NOT NULL GROUP BY 1) b ON a.delivery_month = b.delivery_month""",
+          "fact_d", "s2"))
+def _s3(sc):
+    """S3: complaints per delivery, by delivery month."""
+    from depotlens.operators.correlation import complaint_rate
+    return complaint_rate(sc.correlation, sc.fact_delivery)
+
+
+@register("driver_complaints", o.sql("""
+SELECT coalesce(a.driver_id, b.driver_id) AS driver_id, coalesce(a.deliveries, 0) AS deliveries,
+       coalesce(b.complaints, 0) AS complaints, coalesce(b.complained_deliveries, 0) AS complained_deliveries,
+       CASE WHEN coalesce(a.deliveries, 0) > 0 THEN coalesce(b.complaints, 0) / coalesce(a.deliveries, 0) END AS complaint_rate
+  FROM (SELECT driver_id, count(*) AS deliveries FROM fact_d GROUP BY driver_id) a
+  FULL JOIN (SELECT driver_id, count(*) AS complaints, count(DISTINCT delivery_record_hash) AS complained_deliveries
+               FROM s2 WHERE delivery_record_hash IS NOT NULL GROUP BY driver_id) b ON a.driver_id = b.driver_id""",
+          "fact_d", "s2"))
+def _s4(sc):
+    """Drivers with their deliveries and the complaints traced to them."""
+    from depotlens.operators.correlation import driver_complaints
+    return driver_complaints(sc.correlation, sc.fact_delivery)
+
+
+@register("recipient_behavior", o.sql("""
+SELECT coalesce(a.n, b.n) AS recipient_name_norm, coalesce(a.ad, b.ad) AS recipient_address_norm,
+       coalesce(a.deliveries, 0) AS deliveries, coalesce(b.complaints, 0) AS complaints,
+       CASE WHEN coalesce(a.deliveries, 0) > 0 THEN coalesce(b.complaints, 0) / coalesce(a.deliveries, 0) END AS complaint_rate
+  FROM (SELECT recipient_name_norm AS n, recipient_address_norm AS ad, count(*) AS deliveries FROM fact_d GROUP BY 1, 2) a
+  FULL JOIN (SELECT recipient_name_norm AS n, recipient_address_norm AS ad, count(*) AS complaints FROM fact_c GROUP BY 1, 2) b
+    ON a.n IS NOT DISTINCT FROM b.n AND a.ad IS NOT DISTINCT FROM b.ad""", "fact_d", "fact_c"))
+def _s5(sc):
+    """Per recipient, deliveries versus complaints."""
+    from depotlens.operators.correlation import recipient_behavior
+    return recipient_behavior(sc.fact_complaint, sc.fact_delivery)
+
+
+@register("station_match", o.sql("""
+WITH ids AS (SELECT DISTINCT pickup_station_external_id AS external_id FROM fact_d WHERE pickup_station_external_id IS NOT NULL),
+x AS (SELECT external_id, TRY_CAST(regexp_extract(upper(regexp_replace(external_id, '[^A-Za-z0-9]', '', 'g')), '([0-9]+)$', 1) AS BIGINT) AS num,
+             regexp_replace(upper(regexp_replace(external_id, '[^A-Za-z0-9]', '', 'g')), '[0-9]+$', '') AS letters FROM ids),
+s AS (SELECT pickup_station_id, ref_identifier,
+             TRY_CAST(regexp_extract(upper(regexp_replace(ref_identifier, '[^A-Za-z0-9]', '', 'g')), '([0-9]+)$', 1) AS BIGINT) AS num,
+             regexp_replace(upper(regexp_replace(ref_identifier, '[^A-Za-z0-9]', '', 'g')), '[0-9]+$', '') AS letters
+        FROM dim2 WHERE is_current),
+best AS (SELECT * FROM (SELECT x.external_id, s.pickup_station_id, s.ref_identifier,
+                               CAST(levenshtein(x.letters, s.letters) AS INTEGER) AS score,
+                               row_number() OVER (PARTITION BY x.external_id ORDER BY levenshtein(x.letters, s.letters), s.ref_identifier) AS rn
+                          FROM x JOIN s ON s.num = x.num) WHERE rn = 1)
+SELECT ids.external_id, b.pickup_station_id, b.ref_identifier, CASE WHEN b.external_id IS NOT NULL THEN 'fuzzy' END AS match_method,
+       b.score
+  FROM ids LEFT JOIN best b USING (external_id)""", "fact_d", "dim2"))
+def _s6(sc):
+    """Delivery-event station identifiers mapped to current stations."""
+    from depotlens.operators.matching import match_stations
+    return match_stations(sc.fact_delivery.select("pickup_station_external_id"), sc.dim2)
+
+
+_AT = "TIMESTAMP '2024-01-31 00:00:00'"
+
+
+@register("station_as_of", o.sql(f"""SELECT {o.DIM_COLS} FROM dim2
+ WHERE valid_from <= {_AT} AND (valid_to IS NULL OR valid_to > {_AT})""", "dim2"))
+def _s8(sc):
+    """The station rows valid at 2024-01-31 00:00 (the day-1 state)."""
+    import datetime as dt
+    return station_dim.state_as_of(sc.dim2, dt.datetime(2024, 1, 31))
+
+
+@register("complaint_station_at_link", o.sql("""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT l.record_hash_sha256, l.pickup_station_id, l.linked_at, d.pickup_station_sk AS v_pickup_station_sk,
+         d.ref_identifier AS v_ref_identifier, d.name AS v_name, d.zip_code AS v_zip_code,
+         row_number() OVER (PARTITION BY l.record_hash_sha256 ORDER BY d.valid_from DESC, d.pickup_station_sk DESC) AS rn
+    FROM links l LEFT JOIN dim2 d ON d.pickup_station_id = l.pickup_station_id AND d.valid_from <= l.linked_at)
+ WHERE rn = 1""", "links", "dim2"))
+def _s8b(sc):
+    """Each link with the station version valid when it was made (as-of join)."""
+    from depotlens.operators.asof import asof_join
+    links = sc.links.select("record_hash_sha256", "pickup_station_id", "linked_at")
+    return asof_join(links, sc.dim2, "pickup_station_id", "linked_at", "valid_from",
+                     ["pickup_station_sk", "ref_identifier", "name", "zip_code"], tie="pickup_station_sk",
+                     prefix="v_")
+
+
+@register("pipeline_volumes", o.sql("""
+SELECT 'landing' AS stage, source_system, 'files_' || lower(status) AS metric, count(*) AS value
+  FROM ledger GROUP BY source_system, status
+UNION ALL SELECT 'staging', 'complaints', 'rows_read', count(*) FROM craw
+UNION ALL SELECT 'staging', 'complaints', 'rows_kept', count(*) FROM stg_c
+UNION ALL SELECT 'staging', 'complaints', 'rows_without_time', count(*) FILTER (WHERE complained_at IS NULL) FROM stg_c
+UNION ALL SELECT 'staging', 'complaints', 'rows_rejected_duplicate', (SELECT count(*) FROM craw) - (SELECT count(*) FROM stg_c)
+UNION ALL SELECT 'staging', 'delivery_events', 'rows_read', count(*) FROM draw
+UNION ALL SELECT 'staging', 'delivery_events', 'rows_kept', count(*) FROM stg_d
+UNION ALL SELECT 'staging', 'delivery_events', 'rows_without_time', count(*) FILTER (WHERE delivered_at IS NULL) FROM stg_d
+UNION ALL SELECT 'staging', 'delivery_events', 'rows_rejected_duplicate', (SELECT count(*) FROM draw) - (SELECT count(*) FROM stg_d)
+UNION ALL SELECT 'dw', 'complaints', 'rows_loaded', count(*) FROM fact_c
+UNION ALL SELECT 'dw', 'delivery_events', 'rows_loaded', count(*) FROM fact_d
+UNION ALL SELECT 'dw', 'complaints', 'complaints_linked', count(*) FILTER (WHERE pickup_station_id IS NOT NULL) FROM cview
+UNION ALL SELECT 'dw', 'complaints', 'complaints_unlinked', count(*) FILTER (WHERE pickup_station_id IS NULL) FROM cview""",
+          "ledger", "craw", "stg_c", "draw", "stg_d", "fact_c", "fact_d", "cview"))
+def _s1(sc):
+    """Volumes and quality per pipeline stage."""
+    from depotlens.operators.monitoring import pipeline_volumes
+    return pipeline_volumes(
+        sc.ledger,
+        {"complaints": sc.staged_raw_complaints, "delivery_events": sc.staged_raw_deliveries},
+        {"complaints": sc.stg_complaint, "delivery_events": sc.stg_delivery},
+        {"complaints": sc.fact_complaint, "delivery_events": sc.fact_delivery},
+        fx.complaint_view(sc.fact_complaint, sc.links))

@@ -160,17 +160,17 @@ class Scenario:
         # Each complaint counts as loaded when it was made (M1 load date).
         created = F.coalesce(F.col("complained_at"), F.lit(td.RUN1.isoformat(sep=" ")).cast("timestamp_ntz"))
         rows = fx.load_facts(None, self.stg_complaint, "complaints", td.RUN1, created_at=created)
-        return self.store.append("fact_complaint", rows, partition_by=["complained_date"])
+        return self.store.append("fact_complaint", rows, partition_by=["complained_month"], sort_by=["complained_at"])
 
     @_lazy
     def fact_delivery(self) -> DataFrame:
         rows = fx.load_facts(None, self.stg_delivery, "delivery_events", td.RUN1)
-        return self.store.append("fact_delivery_event", rows, partition_by=["delivered_date"])
+        return self.store.append("fact_delivery_event", rows, partition_by=["delivered_month"], sort_by=["delivered_at"])
 
     @_lazy
     def links_day1(self) -> DataFrame:
         rows = fx.link_complaints(self.fact_complaint, None, self.dim1, td.RUN1)
-        return self.store.append("complaint_station_link", rows, partition_by=["complained_date"])
+        return self.store.append("complaint_station_link", rows, partition_by=["complained_month"], sort_by=["complained_date"])
 
     @_lazy
     def monitoring_day1(self) -> DataFrame:
@@ -181,7 +181,13 @@ class Scenario:
     def links(self) -> DataFrame:
         _ = self.monitoring_day1  # day 1 is counted before day 2 links
         rows = fx.link_complaints(self.fact_complaint, self.links_day1, self.dim2, td.RUN2)
-        return self.store.append("complaint_station_link", rows, partition_by=["complained_date"])
+        return self.store.append("complaint_station_link", rows, partition_by=["complained_month"], sort_by=["complained_date"])
+
+    @_lazy
+    def correlation(self) -> DataFrame:
+        from depotlens.operators.correlation import complaint_delivery_link
+        return self.store.put("complaint_delivery_link",
+                              complaint_delivery_link(self.fact_complaint, self.fact_delivery))
 
     @_lazy
     def monitoring(self) -> DataFrame:

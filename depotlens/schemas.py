@@ -57,20 +57,21 @@ STATION_DIM = _struct(
 STATION_DIM_COLUMNS = [f.name for f in STATION_DIM.fields]
 
 FACT_COMPLAINT_COLUMNS = [
-    "complaint_sk", "record_hash_sha256", "file_id", "complained_at", "complained_date",
+    "complaint_sk", "record_hash_sha256", "file_id", "complained_at", "complained_date", "complained_month",
     "pickup_station_external_id", "recipient_name", "recipient_address",
     "recipient_name_norm", "recipient_address_norm", "complaint_text",
     "purchase_order_id", "parcel_id", "created_at",
 ]
 
 FACT_DELIVERY_COLUMNS = [
-    "delivery_event_sk", "record_hash_sha256", "file_id", "delivered_at", "delivered_date",
+    "delivery_event_sk", "record_hash_sha256", "file_id", "delivered_at", "delivered_date", "delivered_month",
     "pickup_station_external_id", "driver_id", "parcel_id", "purchase_order_id",
     "recipient_name", "recipient_address", "recipient_name_norm", "recipient_address_norm",
     "created_at",
 ]
 
 COMPLAINT_LINK = _struct(("record_hash_sha256", S, False), ("complained_date", D, True),
+                         ("complained_month", D, True),
                          ("pickup_station_id", L, False), ("linked_at", TS, False))
 
 MONITORING = _struct(("monitoring_date", D, False), ("complaints_loaded", L, False),
