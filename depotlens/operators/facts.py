@@ -53,7 +53,8 @@ def load_facts(fact: DataFrame | None, staged: DataFrame, system: str, run_ts: d
         new = new.join(_same_months(fact, new, s["month"]).select("record_hash_sha256"),
                        "record_hash_sha256", "left_anti")
         start = max_value(fact, s["sk"])
-    new = assign_ids(new, ["file_id", "record_index"], s["sk"], start=start)
+    # staged row count: a cheap upper bound (parquet footers) on new rows
+    new = assign_ids(new, ["file_id", "record_index"], s["sk"], start=start, size_hint=staged.count())
     new = new.withColumn("created_at", created_at if created_at is not None else lit_ts(run_ts))
     return new.select(*s["columns"])
 

@@ -13,6 +13,7 @@ from depotlens.schemas import FILE_LISTING, LEDGER, LEDGER_NATURAL_KEY
 RECEIVED, PARSING, PARSED, FAILED = "RECEIVED", "PARSING", "PARSED", "FAILED"
 LISTING_COLUMNS = [f.name for f in FILE_LISTING.fields]
 LEDGER_COLUMNS = [f.name for f in LEDGER.fields]
+BATCH_SCHEMA = "file_id bigint, source_system string, landing_file_path string"
 DEFAULT_BATCH = 100  # files per parse batch
 
 

@@ -138,16 +138,18 @@ def apply_snapshot(dim: DataFrame, snapshot: DataFrame, run_ts: dt.datetime,
     was removed and comes back gets a new id (K4).
     """
     today = snapshot if snapshot_date is None else snapshot.where(F.col("snapshot_date") == F.lit(snapshot_date))
-    if not allow_empty and today.isEmpty():
+    n_today = today.count()
+    if not allow_empty and n_today == 0:
         raise EmptySnapshotError("snapshot has no rows; pass allow_empty=True to deactivate every station")
     p = classify(dim, today, run_ts)
     if parts is not None:
         parts.update(p)
     top = dim.agg(F.max("pickup_station_id").alias("i"), F.max("pickup_station_sk").alias("s")).first()
     max_id, max_sk = int(top["i"] or 0), int(top["s"] or 0)
-    added = assign_ids(p["added"], ["ref_identifier"], "pickup_station_id", start=max_id)
+    # added and changed stations are at most the snapshot's rows
+    added = assign_ids(p["added"], ["ref_identifier"], "pickup_station_id", start=max_id, size_hint=n_today)
     fresh = p["new_version"].unionByName(added.select("pickup_station_id", *ATTRS))
-    fresh = assign_ids(fresh, ["pickup_station_id"], "pickup_station_sk", start=max_sk)
+    fresh = assign_ids(fresh, ["pickup_station_id"], "pickup_station_sk", start=max_sk, size_hint=n_today)
     fresh = _finish_new(fresh, run_ts)
     return (p["history"].unionByName(p["unchanged"]).unionByName(p["closed"])
             .unionByName(p["removed"]).unionByName(fresh))

@@ -65,41 +65,38 @@ class Pipeline:
             listing = part if listing is None else listing.unionByName(part)
         led = landing.release_stale_claims(self.ledger())
         led = self.store.put("ledger", landing.register_files(led, listing, run_ts))
-        added: dict[str, list[DataFrame]] = {s: [] for s in systems}
-        outcome_parts = []
+        batches: dict[str, list[int]] = {s: [] for s in systems}
+        self.last_outcomes = []
         while True:
-            batch = landing.next_batch(led, self.batch_size)
-            batch = self.store.put("claim", batch)  # the claimed list, fixed
-            if batch.isEmpty():
+            # a claim is at most batch_size rows: held as a small local frame
+            claimed = landing.next_batch(led, self.batch_size).collect()
+            if not claimed:
                 break
+            self._batch_no = getattr(self, "_batch_no", 0) + 1
+            batch = self.spark.createDataFrame(claimed, landing.BATCH_SCHEMA)
             led = self.store.put("ledger", landing.claim(led, batch))
             outs = []
             for s in systems:
-                b = batch.where(F.col("source_system") == s)
-                if b.isEmpty():
+                if not any(r["source_system"] == s for r in claimed):
                     continue
+                b = batch.where(F.col("source_system") == s)
                 rows, out = stage_batch(self.spark, b, s, run_ts)
-                out = self.store.put("outcomes_" + s, out)
                 rows = dedupe_staged(rows, self._get(STAGING_TABLE[s]))
-                # written once: the facts load reads it instead of the files
-                rows = self.store.put("staged_batch_" + s, rows)
-                self.store.append(STAGING_TABLE[s], rows)
-                added[s].append(rows)
+                rows = rows.withColumn("load_batch", F.lit(self._batch_no))
+                self.store.append(STAGING_TABLE[s], rows, partition_by=["load_batch"])
+                batches[s].append(self._batch_no)
                 outs.append(out)
             out = outs[0]
             for o in outs[1:]:
                 out = out.unionByName(o)
             out = self.store.put("outcomes", out)
-            outcome_parts.append(out)
+            self.last_outcomes.append(out)
             led = self.store.put("ledger", landing.apply_outcomes(led, out, run_ts))
         result = {}
-        for s, parts in added.items():
-            if parts:
-                df = parts[0]
-                for p in parts[1:]:
-                    df = df.unionByName(p)
-                result[s] = df
-        self.last_outcomes = outcome_parts
+        for s, nos in batches.items():
+            if nos:
+                # this run's rows, read back by partition (pruned), not re-parsed
+                result[s] = self.store.get(STAGING_TABLE[s]).where(F.col("load_batch").isin(nos)).drop("load_batch")
         return result
 
     # ------------------------------------------------------------- stations

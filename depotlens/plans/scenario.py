@@ -55,13 +55,15 @@ class Scenario:
         self.store = store or Store(spark)
 
     # ---------------------------------------------------------------- inputs
+    # The derived inputs are written once: every later step reads them
+    # instead of joining the test tables again.
     @_lazy
     def complaint_records(self) -> DataFrame:
-        return td.complaint_records(self.spark, self.sf_dir)
+        return self.store.put("complaint_records", td.complaint_records(self.spark, self.sf_dir))
 
     @_lazy
     def delivery_records(self) -> DataFrame:
-        return td.delivery_records(self.spark, self.sf_dir)
+        return self.store.put("delivery_records", td.delivery_records(self.spark, self.sf_dir))
 
     @_lazy
     def listing_day1(self) -> DataFrame:
@@ -122,11 +124,13 @@ class Scenario:
     # ------------------------------------------------------------- stations
     @_lazy
     def snap1(self) -> DataFrame:
-        return station_dim.snapshot_rows(td.station_list_day1(self.spark, self.sf_dir), td.DAY1)
+        snap = station_dim.snapshot_rows(td.station_list_day1(self.spark, self.sf_dir), td.DAY1)
+        return self.store.put("snapshot_day1", snap)
 
     @_lazy
     def snap2(self) -> DataFrame:
-        return station_dim.snapshot_rows(td.station_list_day2(self.spark, self.sf_dir), td.DAY2)
+        snap = station_dim.snapshot_rows(td.station_list_day2(self.spark, self.sf_dir), td.DAY2)
+        return self.store.put("snapshot_day2", snap)
 
     @_lazy
     def snapshots(self) -> DataFrame:
@@ -226,7 +230,8 @@ class FileScenario:
         return td.complaint_records(self.spark, self.sf_dir).select(F.min("ingest_dt")).first()[0]
 
     @_lazy
-    def staged(self) -> dict:
+    def written(self) -> str:
+        """The landing files (test fixture: stands in for the file server)."""
         from depotlens.schemas import COMPLAINT_FIELDS, DELIVERY_FIELDS
         from depotlens.sources.files import write_landing
 
@@ -234,7 +239,11 @@ class FileScenario:
                       COMPLAINT_FIELDS, "complained_at", td.COMPLAINT_FILE_ORDER, damage_day=self.damage_day)
         write_landing(td.delivery_records(self.spark, self.sf_dir), self.root, "delivery_events",
                       DELIVERY_FIELDS, "delivered_at", td.DELIVERY_FILE_ORDER)
-        return self.pipeline.ingest(self.root, td.RUN1)
+        return self.root
+
+    @_lazy
+    def staged(self) -> dict:
+        return self.pipeline.ingest(self.written, td.RUN1)
 
     @property
     def ledger(self) -> DataFrame:
@@ -249,4 +258,4 @@ class FileScenario:
         return rows.join(led, "file_id").select(
             F.to_date(F.regexp_extract("landing_file_path", r"ingest_dt=([0-9-]+)", 1)).alias("ingest_dt"),
             F.regexp_extract("landing_file_path", r"\.([a-z]+)$", 1).alias("source_format"),
-            *[c for c in rows.columns if c != "file_id"])
+            *[c for c in rows.columns if c not in ("file_id", "load_batch")])
