@@ -41,7 +41,8 @@ def complaint_delivery_link(complaints: DataFrame, deliveries: DataFrame) -> Dat
     / null), the delivery's hash, time and driver, and the delay in seconds."""
     c = complaints.select("record_hash_sha256", "complained_at", "parcel_id", "purchase_order_id")
     d = _deliveries(deliveries)
-    by_parcel = _step(c, d, "parcel_id")
+    # read twice below (matched / left for the order step): written once
+    by_parcel = _step(c, d, "parcel_id").checkpoint(eager=True)
     hit = by_parcel.where("_has").withColumn("matched_by", F.lit("parcel"))
     rest = by_parcel.where(~F.col("_has")).select(*c.columns)
     by_order = _step(rest, d, "purchase_order_id")

@@ -68,7 +68,9 @@ def resolve(current: DataFrame, today: DataFrame) -> DataFrame:
     cur = current.select("pickup_station_id", "ref_identifier", "fingerprint", "zip_code", "street")
     # K6: two current rows with one identifier -> the smallest id wins.
     by_ref = cur.groupBy("ref_identifier").agg(F.min("pickup_station_id").alias("_ref_id"))
-    t = today.join(by_ref, "ref_identifier", "left")
+    # used four times below: written once (snapshot-sized) so the plan
+    # does not repeat the join
+    t = today.join(by_ref, "ref_identifier", "left").checkpoint(eager=True)
 
     ref_matched_ids = t.where(F.col("_ref_id").isNotNull()).select(F.col("_ref_id").alias("pickup_station_id"))
     cur_left = (cur.join(ref_matched_ids, "pickup_station_id", "left_anti")
@@ -86,7 +88,8 @@ def resolve(current: DataFrame, today: DataFrame) -> DataFrame:
     return (out.withColumn("pickup_station_id", F.coalesce("_ref_id", "_fp_id"))
             .withColumn("match", F.when(F.col("_ref_id").isNotNull(), F.lit("ref"))
                         .when(F.col("_fp_id").isNotNull(), F.lit("fingerprint")))
-            .drop("_ref_id", "_fp_id"))
+            .drop("_ref_id", "_fp_id")
+            .checkpoint(eager=True))
 
 
 def classify(dim: DataFrame, today: DataFrame, run_ts: dt.datetime) -> dict[str, DataFrame]:
@@ -101,7 +104,9 @@ def classify(dim: DataFrame, today: DataFrame, run_ts: dt.datetime) -> dict[str,
     resolved = resolve(cur, today)
     matched = resolved.where(F.col("pickup_station_id").isNotNull())
     snap_cols = [F.col(c).alias("_s_" + c) for c in ATTRS]
-    paired = cur.join(matched.select("pickup_station_id", *snap_cols), "pickup_station_id", "left")
+    # every class below is a filter of this one pairing: written once
+    paired = cur.join(matched.select("pickup_station_id", *snap_cols), "pickup_station_id", "left") \
+                .checkpoint(eager=True)
     is_removed = F.col("_s_ref_identifier").isNull()
     is_changed = (~is_removed) & ((F.col("attr_hash_sha256") != F.col("_s_attr_hash_sha256"))
                                   | (F.col("ref_identifier") != F.col("_s_ref_identifier")))

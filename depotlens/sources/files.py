@@ -13,33 +13,52 @@ file name.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from depotlens.schemas import FILE_LISTING
 from depotlens.session import new_scratch_path
 
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 ROW_TAG, ROOT_TAG = "record", "records"
+FORMATS = ("csv", "json", "xml")
 # RFC 4180 quoting (a quote inside a field is doubled); spaces are data.
 CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
 
 
-def list_landing(spark: SparkSession, root: str, system: str) -> DataFrame:
-    """File listing of one source system, from file metadata only (the
-    content column is never selected, so it is never read)."""
+def list_landing(spark: SparkSession, root: str, system: str, since=None) -> DataFrame:
+    """File listing of one source system (L1 input), from file-system
+    metadata: one ``ingest_dt=`` folder per arrival day, optionally only the
+    days from ``since`` on. Zero-byte files are listed too (a data source
+    listing would skip them, but they must be registered and PARSED with no
+    rows). Only metadata is read, never file content."""
     base = f"{root.rstrip('/')}/{system}"
-    files = (spark.read.format("binaryFile").option("basePath", base)
-             .option("pathGlobFilter", "*.{csv,json,xml}").load(base)
-             .select("path", "modificationTime", "length"))
-    return files.select(
-        F.lit(system).alias("source_system"),
-        F.regexp_extract("path", r"([^/]+/ingest_dt=[^/]+/[^/]+)$", 1).alias("source_file_path"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("source_modified_at"),
-        F.col("length").alias("file_size_bytes"),
-        F.col("path").alias("landing_file_path"),
-    )
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(conf)
+    rows = []
+    if fs.exists(path):
+        for day in fs.listStatus(path):
+            name = day.getPath().getName()
+            if not day.isDirectory() or not name.startswith("ingest_dt="):
+                continue
+            if since is not None and name.split("=", 1)[1] < str(since):
+                continue
+            for st in fs.listStatus(day.getPath()):
+                fname = st.getPath().getName()
+                ext = fname.rsplit(".", 1)[-1].lower() if "." in fname else ""
+                if not st.isFile() or fname.startswith((".", "_")) or ext not in FORMATS:
+                    continue
+                rows.append((system, f"{system}/{name}/{fname}",
+                             dt.datetime.fromtimestamp(st.getModificationTime() / 1000.0, dt.timezone.utc)
+                             .replace(tzinfo=None),
+                             int(st.getLen()), st.getPath().toString()))
+    return spark.createDataFrame(rows, FILE_LISTING)
 
 
 def _record_text(fields: list[str], time_col: str) -> dict[str, F.Column]:

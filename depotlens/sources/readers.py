@@ -100,7 +100,9 @@ def stage_batch(spark: SparkSession, batch: DataFrame, system: str, run_ts: dt.d
     by_fmt: dict[str, list[str]] = {}
     for p in paths:
         by_fmt.setdefault(p.rsplit(".", 1)[-1].lower(), []).append(p)
-    rows = read_records(spark, by_fmt, fields)
+    # parsed once and written (shared folder): outcomes and rows both read it,
+    # and a query on the corrupt marker alone is not allowed on raw files
+    rows = read_records(spark, by_fmt, fields).checkpoint(eager=True)
     outcomes = file_outcomes(rows, batch, fields)
     good = outcomes.where("ok").select("file_id")
     ids = F.broadcast(batch.select("file_id", F.col("landing_file_path").alias("file_path")))
