@@ -38,3 +38,17 @@ def test_two_daily_runs_and_rerun_changes_nothing(spark, tmp_root):
     assert r1.where(F.col("claims_last_14_days") <= 0).count() == 0
     mon = p.store.get("monitoring_complaints").orderBy("monitoring_date").collect()
     assert [m.monitoring_date for m in mon] == [td.DAY1, td.DAY2]
+
+
+def test_stream_trigger_runs_ledger_intake(spark, tmp_root):
+    from depotlens.session import new_scratch_path
+    from depotlens.streaming.intake import start_intake
+
+    write_landing(td.complaint_records(spark, SF), tmp_root, "complaints", COMPLAINT_FIELDS, "complained_at",
+                  td.COMPLAINT_FILE_ORDER)
+    p = Pipeline(spark)
+    q = start_intake(spark, p, tmp_root, new_scratch_path(spark, "stream-ckpt"), system="complaints",
+                     clock=lambda: td.RUN1)
+    q.awaitTermination(300)
+    assert p.store.get("stg_complaint").count() == td.complaint_records(spark, SF).count()
+    assert p.ledger().where("status = 'PARSED'").count() == p.ledger().count()
