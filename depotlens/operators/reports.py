@@ -70,7 +70,10 @@ def frequent_recipients(fact: DataFrame, links: DataFrame | None, dim: DataFrame
     else:
         f = f.withColumn("pickup_station_id", F.lit(None).cast("long"))
     cur = current_rows(dim).select("pickup_station_id", station_label().alias("_label"))
-    j = f.join(cur, "pickup_station_id", "left")
+    # unlinked complaints (null id) skip the join: no null-key hot spot
+    linked = f.where(F.col("pickup_station_id").isNotNull()).join(cur, "pickup_station_id", "left")
+    j = linked.unionByName(f.where(F.col("pickup_station_id").isNull())
+                           .withColumn("_label", F.lit(None).cast("string")))
     return (j.groupBy("recipient_name_norm", "recipient_address_norm")
             .agg(F.min("recipient_name").alias("recipient_name"),
                  F.min("recipient_address").alias("recipient_address"),
