@@ -41,6 +41,7 @@ def steps(spark, sf_dir):
         fn()
         out.append((name, time.perf_counter() - t))
 
+    step("derive_inputs", lambda: (sc.complaint_records, sc.delivery_records, sc.snap1, sc.snap2))
     step("ledger_register", lambda: sc.ledger)
     step("stage_complaints_dedup", lambda: sc.stg_complaint)
     step("stage_deliveries_dedup", lambda: sc.stg_delivery)

@@ -32,3 +32,33 @@ def test_assign_ids_both_paths_are_consecutive_in_order(spark):
     small = {r.k: r.n for r in assign_ids(df, ["k"], "n", start=10, size_hint=5000).collect()}
     big = {r.k: r.n for r in assign_ids(df, ["k"], "n", start=10, num_partitions=6).collect()}
     assert small == big == {k: k + 11 for k in range(5000)}
+
+
+def test_complaint_delivery_link_against_brute_force(spark):
+    from depotlens.operators.correlation import complaint_delivery_link
+
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    parcels = ["p1", "hot", "hot", "hot", "p2", "p3", None]
+    orders = ["o1", "o2", "o3"]
+    C = [(f"c{i:03d}", base + dt.timedelta(hours=rnd.randint(0, 50)), rnd.choice(parcels), rnd.choice(orders))
+         for i in range(120)]
+    D = [(f"d{j:03d}", base + dt.timedelta(hours=rnd.randint(0, 50)), f"drv{j % 4}", rnd.choice(parcels[:-2]),
+          rnd.choice(orders[:2])) for j in range(200)]
+    comp = spark.createDataFrame(C, "record_hash_sha256 string, complained_at timestamp_ntz, parcel_id string, "
+                                    "purchase_order_id string")
+    deliv = spark.createDataFrame(D, "record_hash_sha256 string, delivered_at timestamp_ntz, driver_id string, "
+                                     "parcel_id string, purchase_order_id string")
+    got = {r.record_hash_sha256: (r.matched_by, r.delivery_record_hash) for r in
+           complaint_delivery_link(comp, deliv).collect()}
+
+    def pick(cands, t):
+        before = [d for d in cands if d[1] <= t]
+        pool = before or cands
+        return max(pool, key=lambda d: (d[1], d[0]))[0]
+
+    for h, t, p, o in C:
+        by_p = [d for d in D if p is not None and d[3] == p]
+        by_o = [d for d in D if d[4] == o]
+        want = ("parcel", pick(by_p, t)) if by_p else (("purchase_order", pick(by_o, t)) if by_o else (None, None))
+        assert got[h] == want, h

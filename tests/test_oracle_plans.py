@@ -66,3 +66,15 @@ def test_report_filter_reaches_the_scan(spark):
     import re
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(complained_at", plan)
     assert re.search(r"PartitionFilters: \[[^\]]*complained_month", plan)
+
+
+def test_identity_resolution_uses_anti_and_equi_joins(spark):
+    df = ent.queries()["scd2_add"](spark, SF)
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert "LeftAnti" in plan
+
+
+def test_partitions_pruned_for_report_window(spark):
+    df = ent.queries()["rpt_recipients_over5_2m"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(complained_month" in plan
