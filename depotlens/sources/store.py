@@ -1,59 +1,102 @@
 """Versioned parquet store in the shared folder.
 
 Parquet has no UPDATE/MERGE, so every state table (ledger, station history,
-snapshot, monitoring) is written as a new immutable version folder and read
-back from there; facts and links are append-only. Reading a written version
+snapshot, monitoring) is written as a new immutable version folder
+``<root>/<name>/v000001`` and read back from there; facts, links and
+staging are append-only (``<root>/<name>/data``). Reading a written version
 also cuts the lineage of a multi-day run, so a lost executor only recomputes
 from the last written table.
+
+Nothing lives only in the driver: a version counts once its ``_SUCCESS``
+marker exists (the commit protocol writes it last), and each table's schema
+is kept next to it, so a new driver on the same root finds the latest state.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from depotlens.session import new_scratch_path
 
+_VERSION = re.compile(r"^v(\d{6})$")
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = (root or new_scratch_path(spark, "store")).rstrip("/")
-        self._versions: dict[str, int] = {}
-        self._appended: dict[str, object] = {}
-        self._schemas: dict[str, object] = {}
+        jvm = spark.sparkContext._jvm
+        self._Path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    # ------------------------------------------------------------ metadata
+    def _p(self, path: str):
+        return self._Path(path)
+
+    def _latest(self, name: str) -> int:
+        base = self._p(f"{self.root}/{name}")
+        if not self._fs.exists(base):
+            return 0
+        best = 0
+        for st in self._fs.listStatus(base):
+            m = _VERSION.match(st.getPath().getName())
+            if m and self._fs.exists(self._p(f"{st.getPath().toString()}/_SUCCESS")):
+                best = max(best, int(m.group(1)))
+        return best
+
+    def _save_schema(self, name: str, schema: T.StructType) -> None:
+        out = self._fs.create(self._p(f"{self.root}/{name}/_schema.json"), True)
+        out.write(bytearray(schema.json().encode("utf-8")))
+        out.close()
+
+    def _schema(self, name: str) -> T.StructType | None:
+        p = self._p(f"{self.root}/{name}/_schema.json")
+        if not self._fs.exists(p):
+            return None
+        stream = self._fs.open(p)
+        reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
+            self.spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        text = reader.readLine()
+        reader.close()
+        return T.StructType.fromJson(__import__("json").loads(text))
+
+    def _is_append(self, name: str) -> bool:
+        return self._fs.exists(self._p(f"{self.root}/{name}/data/_SUCCESS"))
 
+    # --------------------------------------------------------------- tables
     def path(self, name: str, version: int | None = None) -> str:
-        v = self._versions.get(name, 0) if version is None else version
+        v = self._latest(name) if version is None else version
         return f"{self.root}/{name}/v{v:06d}"
 
     def has(self, name: str) -> bool:
-        return name in self._versions
+        return self._is_append(name) or self._latest(name) > 0
 
     def put(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         """Write ``df`` as the next version of ``name`` and return it read back."""
-        v = self._versions.get(name, 0) + 1
+        v = self._latest(name) + 1
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
+        self._save_schema(name, df.schema)
         w.parquet(self.path(name, v))
-        self._versions[name] = v
-        self._schemas[name] = df.schema
         return self.get(name)
 
     def get(self, name: str) -> DataFrame:
-        if name in self._appended:
-            schema = self._appended[name]
-            df = self.spark.read.schema(schema).parquet(f"{self.root}/{name}/data")
+        schema = self._schema(name)
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        if self._is_append(name):
+            df = reader.parquet(f"{self.root}/{name}/data")
         else:
-            schema = self._schemas.get(name)
-            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
             df = reader.parquet(self.path(name))
         # partition columns come back last; restore the written order
         return df if schema is None else df.select(*schema.fieldNames())
 
     def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
                sort_by: list[str] | None = None) -> DataFrame:
-        """Append-only table (facts, links): new files under one folder.
+        """Append-only table (facts, links, staging): new files under one folder.
 
         Rows are sorted inside each task by (partition, ``sort_by``) before
         the write: no shuffle, and each file's statistics cover a narrow
@@ -65,7 +108,6 @@ class Store:
         w = df.write.mode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)
+        self._save_schema(name, df.schema)
         w.parquet(path)
-        self._versions.setdefault(name, 0)
-        self._appended[name] = df.schema
         return self.get(name)

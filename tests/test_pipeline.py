@@ -52,3 +52,18 @@ def test_stream_trigger_runs_ledger_intake(spark, tmp_root):
     q.awaitTermination(300)
     assert p.store.get("stg_complaint").count() == td.complaint_records(spark, SF).count()
     assert p.ledger().where("status = 'PARSED'").count() == p.ledger().count()
+
+
+def test_store_state_survives_a_new_driver_object(spark, tmp_root):
+    from depotlens.sources.store import Store
+
+    s1 = Store(spark, tmp_root + "/store")
+    df = spark.createDataFrame([(1, True), (2, False)], "k long, flag boolean")
+    s1.put("t", df, partition_by=["flag"])
+    s1.put("t", df.where("k = 1"), partition_by=["flag"])
+    s1.append("f", df)
+    s2 = Store(spark, tmp_root + "/store")  # e.g. after a driver restart
+    assert s2.has("t") and s2.has("f") and not s2.has("nothing")
+    got = s2.get("t")
+    assert got.columns == ["k", "flag"] and dict(got.schema.fields[1].jsonValue())["type"] == "boolean"
+    assert [r.k for r in got.collect()] == [1] and s2.get("f").count() == 2
