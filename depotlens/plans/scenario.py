@@ -44,8 +44,11 @@ class _lazy:
     def __get__(self, obj, owner=None):
         if obj is None:
             return self
-        if self.name not in obj.__dict__:
-            obj.__dict__[self.name] = self.fn(obj)
+        # one step at a time per scenario (queries may come from several
+        # threads); re-entrant because steps ask for earlier steps
+        with obj._step_lock:
+            if self.name not in obj.__dict__:
+                obj.__dict__[self.name] = self.fn(obj)
         return obj.__dict__[self.name]
 
 
@@ -53,6 +56,7 @@ class Scenario:
     def __init__(self, spark: SparkSession, sf_dir: str, store: Store | None = None):
         self.spark, self.sf_dir = spark, sf_dir
         self.store = store or Store(spark)
+        self._step_lock = threading.RLock()
 
     # ---------------------------------------------------------------- inputs
     # The derived inputs are written once: every later step reads them
@@ -224,6 +228,7 @@ class FileScenario:
         self.spark, self.sf_dir = spark, sf_dir
         self.root = new_scratch_path(spark, "landing")
         self.pipeline = Pipeline(spark)
+        self._step_lock = threading.RLock()
 
     @_lazy
     def damage_day(self):

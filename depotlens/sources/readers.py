@@ -8,7 +8,8 @@ rows.
 
 ``record_index`` is the position in the file: ``_metadata.file_block_start``
 orders the splits of a file and ``monotonically_increasing_id`` the rows of a
-split, so it is right also when a large file is read by several tasks.
+split, so it is right also when a large file is read by several tasks
+(:func:`with_positions`).
 """
 
 from __future__ import annotations
@@ -46,8 +47,8 @@ def _reader(spark: SparkSession, fmt: str, fields: list[str]):
 
 
 def read_records(spark: SparkSession, paths_by_format: dict[str, list[str]], fields: list[str]) -> DataFrame:
-    """All records of the given files with file path, format, position and
-    corrupt marker. CSV header rows are kept (position 0) for the check."""
+    """All records of the given files with file path, split start, row id,
+    format and corrupt marker. CSV header rows are kept for the check."""
     parts = []
     for fmt, paths in sorted(paths_by_format.items()):
         if not paths:
@@ -62,13 +63,30 @@ def read_records(spark: SparkSession, paths_by_format: dict[str, list[str]], fie
         return spark.createDataFrame([], T.StructType([
             T.StructField("file_path", T.StringType()), T.StructField("source_format", T.StringType()),
             *[T.StructField(c, T.StringType()) for c in fields],
-            T.StructField(CORRUPT, T.StringType()), T.StructField("_pos", T.LongType())]))
+            T.StructField(CORRUPT, T.StringType()), T.StructField("_block", T.LongType()),
+            T.StructField("_m", T.LongType())]))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    # one window per file: a file is one bounded source file
-    w = Window.partitionBy("file_path").orderBy("_block", "_m")
-    return rows.withColumn("_pos", F.row_number().over(w) - 1).drop("_block", "_m")
+    return rows
+
+
+def with_positions(rows: DataFrame) -> DataFrame:
+    """``_pos``: 0-based position of each record in its file.
+
+    Rows of one split are read in order by one task, so their
+    ``monotonically_increasing_id`` values are consecutive. Position = rows
+    of the earlier splits of the file + offset inside the split. Only a
+    per-split count table is built (one row per split of the claimed files,
+    so its broadcast is bounded by the claim); no window over a whole file,
+    so one very large file is not sorted in a single task. ``rows`` must be
+    materialised (the ids must not be recomputed differently)."""
+    splits = rows.groupBy("file_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
+    earlier = Window.partitionBy("file_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file_path", "_block", "_m0",
+                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    j = rows.join(F.broadcast(splits), ["file_path", "_block"])
+    return j.withColumn("_pos", F.col("_off") + F.col("_m") - F.col("_m0")).drop("_off", "_m0", "_block", "_m")
 
 
 def file_outcomes(rows: DataFrame, batch: DataFrame, fields: list[str]) -> DataFrame:
@@ -102,7 +120,7 @@ def stage_batch(spark: SparkSession, batch: DataFrame, system: str, run_ts: dt.d
         by_fmt.setdefault(p.rsplit(".", 1)[-1].lower(), []).append(p)
     # parsed once and written (shared folder): outcomes and rows both read it,
     # and a query on the corrupt marker alone is not allowed on raw files
-    rows = read_records(spark, by_fmt, fields).checkpoint(eager=True)
+    rows = with_positions(read_records(spark, by_fmt, fields).checkpoint(eager=True))
     outcomes = file_outcomes(rows, batch, fields)
     good = outcomes.where("ok").select("file_id")
     ids = F.broadcast(batch.select("file_id", F.col("landing_file_path").alias("file_path")))
