@@ -53,7 +53,10 @@ class Pipeline:
         return self.store.get(name) if self.store.has(name) else None
 
     def ledger(self) -> DataFrame:
-        return self._get("ledger") if self.store.has("ledger") else landing.empty_ledger(self.spark)
+        """Current ledger: a view of appended file rows and status events."""
+        if not self.store.has("ledger_files"):
+            return landing.empty_ledger(self.spark)
+        return landing.ledger_view(self._get("ledger_files"), self._get("ledger_events"))
 
     # -------------------------------------------------------------- landing
     def ingest(self, landing_root: str, run_ts: dt.datetime, systems=SYSTEMS) -> dict[str, DataFrame]:
@@ -63,8 +66,13 @@ class Pipeline:
         for s in systems:
             part = list_landing(self.spark, landing_root, s)
             listing = part if listing is None else listing.unionByName(part)
-        led = landing.release_stale_claims(self.ledger())
-        led = self.store.put("ledger", landing.register_files(led, listing, run_ts))
+        led = self.ledger()
+        stale = landing.release_events(led, run_ts)
+        if not stale.isEmpty():
+            self.store.append("ledger_events", stale)
+        new = landing.new_files(self.ledger(), listing, run_ts)
+        self.store.append("ledger_files", new.select(*landing.FILE_COLUMNS))
+        led = self.ledger()
         batches: dict[str, list[int]] = {s: [] for s in systems}
         self.last_outcomes = []
         while True:
@@ -74,7 +82,7 @@ class Pipeline:
                 break
             self._batch_no = getattr(self, "_batch_no", 0) + 1
             batch = self.spark.createDataFrame(claimed, landing.BATCH_SCHEMA)
-            led = self.store.put("ledger", landing.claim(led, batch))
+            self.store.append("ledger_events", landing.claim_events(batch, run_ts))
             outs = []
             for s in systems:
                 if not any(r["source_system"] == s for r in claimed):
@@ -92,7 +100,8 @@ class Pipeline:
             # one row per claimed file: bounded by the claim size
             out = self.spark.createDataFrame(out.collect(), out.schema)
             self.last_outcomes.append(out)
-            led = self.store.put("ledger", landing.apply_outcomes(led, out, run_ts))
+            self.store.append("ledger_events", landing.outcome_events(out, run_ts))
+            led = self.ledger()
         result = {}
         for s, nos in batches.items():
             if nos:

@@ -110,3 +110,22 @@ def test_record_index_across_splits(spark, tmp_root):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == {i: "P%05d" % i for i in range(n)}
+
+
+def test_event_ledger_view_equals_update_semantics(spark):
+    m = dt.datetime(2024, 3, 1, 5, 0)
+    rows = [("complaints", f"x/{i}.json", m, i, f"l/{i}.json") for i in range(4)]
+    led = landing.register_files(landing.empty_ledger(spark), listing(spark, rows), T1).cache()
+    batch = landing.next_batch(led, 3)
+    out = spark.createDataFrame([(1, True, None), (2, False, "bad"), (3, True, None)],
+                                "file_id long, ok boolean, error_message string")
+    want = landing.apply_outcomes(landing.claim(led, batch), out, T2)
+    files = led.select(*landing.FILE_COLUMNS)
+    events = landing.claim_events(batch, T2).unionByName(landing.outcome_events(out, T2))
+    got = landing.ledger_view(files, events)
+    cols = landing.LEDGER_COLUMNS
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+    # a dead run's claim is released at the next run
+    stale = landing.ledger_view(files, landing.claim_events(batch, T1))
+    rel = landing.ledger_view(files, landing.claim_events(batch, T1).unionByName(landing.release_events(stale, T2)))
+    assert rel.where("status = 'RECEIVED'").count() == 4

@@ -25,12 +25,12 @@ def test_two_daily_runs_and_rerun_changes_nothing(spark, tmp_root):
     assert p.store.get("fact_delivery_event").count() > 0
     p.run(td.DAY2, td.RUN2, tmp_root, td.station_list_day2(spark, SF).drop("s_suppkey"))
     dim = p.store.get("dim_pickup_station")
-    snapshot = (p.store.get("ledger").count(), p.store.get("fact_complaint").count(),
+    snapshot = (p.ledger().count(), p.store.get("fact_complaint").count(),
                 p.store.get("complaint_station_link").count(), dim.count())
     assert snapshot[1] == facts1
     # same day again: nothing new anywhere
     p.run(td.DAY2, dt.datetime(2024, 1, 31, 23, 30), tmp_root, td.station_list_day2(spark, SF).drop("s_suppkey"))
-    again = (p.store.get("ledger").count(), p.store.get("fact_complaint").count(),
+    again = (p.ledger().count(), p.store.get("fact_complaint").count(),
              p.store.get("complaint_station_link").count(), p.store.get("dim_pickup_station").count())
     assert again == snapshot
     r1 = reports.station_claims(p.store.get("fact_complaint"), p.store.get("complaint_station_link"),
