@@ -113,9 +113,11 @@ class Pipeline:
     def apply_stations(self, station_list: DataFrame, snapshot_date: dt.date, run_ts: dt.datetime,
                        allow_empty: bool = False) -> DataFrame:
         snap = station_dim.snapshot_rows(station_list, snapshot_date)
-        old = self._get("stg_pickup_station")
+        # the upsert key starts with the day: only that day's table changes
+        name = f"stg_pickup_station/snapshot_date={snapshot_date.isoformat()}"
+        old = self._get(name)
         old = station_dim.empty_snapshot(self.spark) if old is None else old
-        snaps = self.store.put("stg_pickup_station", station_dim.upsert_snapshot(old, snap))
+        snaps = self.store.put(name, station_dim.upsert_snapshot(old, snap))
         dim = self._get("dim_pickup_station")
         dim = station_dim.empty_dim(self.spark) if dim is None else dim
         new = station_dim.apply_snapshot(dim, snaps, run_ts, snapshot_date=snapshot_date, allow_empty=allow_empty)
