@@ -2,8 +2,8 @@
 time is not after the left row's time.
 
 Spark has no as-of join, and a window partitioned by the key alone puts a
-hot key (one parcel, one station) into a single task. This version
-never does:
+hot key (one parcel, one station) into a single task. Keys whose size is
+checked to be bounded use that window; otherwise this plan never does:
 
 1. Left and right rows are tagged and range-partitioned on (key, time,
    side, tie), then sorted inside each partition. A hot key is cut into
@@ -25,13 +25,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+# A key with at most this many rows (left + right) may be handled by one task.
+MAX_GROUP_ROWS = 1_000_000
+
+
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
               right_cols: list[str], tie: str, prefix: str = "m_",
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """Left rows plus ``prefix + c`` for each of ``right_cols`` from the
     matching right row (null when none). Among right rows with the same
     time, the one with the greatest ``tie`` wins. Left rows with a null key
-    or time get no match."""
+    or time get no match.
+
+    The largest key is measured first (one partial aggregate). When every
+    key has at most ``max_group_rows`` rows (default ``MAX_GROUP_ROWS``), one window per key does the
+    job (one shuffle); otherwise the segmented plan above is used."""
     spark = left.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lcols = left.columns
@@ -47,7 +55,18 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
         F.col(key).alias("_k"), F.col(right_time).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_side"),
         F.col(tie).alias("_tb"), F.lit(None).cast(l_type).alias("_l"), r_struct.alias("_r"))
     order = ["_k", "_t", "_side", "_tb"]
-    u = (lt.unionByName(rt).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    rest = left.where(~ok_left | ok_left.isNull()).select(
+        *lcols, *[F.lit(None).cast(right.schema[c].dataType).alias(prefix + c) for c in right_cols])
+    both = lt.unionByName(rt)
+    largest = both.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
+    if largest is None or largest <= limit:
+        upto_key = Window.partitionBy("_k").orderBy("_t", "_side", "_tb").rowsBetween(Window.unboundedPreceding, 0)
+        got = (both.withColumn("_hit", F.last("_r", ignorenulls=True).over(upto_key))
+               .where(F.col("_side") == 1).select("_l.*", "_hit"))
+        got = got.select(*lcols, *[F.col("_hit")[c].alias(prefix + c) for c in right_cols])
+        return got.unionByName(rest)
+    u = (both.repartitionByRange(n, *order).sortWithinPartitions(*order)
          .withColumn("_m", F.monotonically_increasing_id())
          .withColumn("_seg", F.shiftright("_m", 33)))
     u = u.checkpoint(eager=True)
@@ -62,6 +81,4 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
     got = (local.join(carry, ["_seg", "_k"], "left")
            .select("_l.*", F.coalesce("_loc", "_carry").alias("_hit")))
     got = got.select(*lcols, *[F.col("_hit")[c].alias(prefix + c) for c in right_cols])
-    rest = left.where(~ok_left | ok_left.isNull()).select(
-        *lcols, *[F.lit(None).cast(right.schema[c].dataType).alias(prefix + c) for c in right_cols])
     return got.unionByName(rest)

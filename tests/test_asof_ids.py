@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from depotlens.operators.asof import asof_join
 from depotlens.operators.ids import assign_ids
 
@@ -17,9 +19,9 @@ def test_asof_matches_brute_force_with_hot_key(spark):
          for j in range(700)]
     left = spark.createDataFrame(L, "lid int, k string, t timestamp_ntz")
     right = spark.createDataFrame(R, "rid int, k string, rt timestamp_ntz, h string")
-    for parts in (1, 3, 9):
+    for parts, limit in ((1, 0), (3, 0), (9, 0), (4, 10**6)):  # limit 0 forces the segmented plan
         got = {r.lid: r.m_rid for r in asof_join(left, right, "k", "t", "rt", ["rid", "h"], "h",
-                                                  num_partitions=parts).collect()}
+                                                  num_partitions=parts, max_group_rows=limit).collect()}
         want = {}
         for lid, k, t in L:
             cands = [(rt, h, rid) for rid, rk, rt, h in R if k is not None and t is not None and rk == k and rt <= t]
@@ -34,9 +36,13 @@ def test_assign_ids_both_paths_are_consecutive_in_order(spark):
     assert small == big == {k: k + 11 for k in range(5000)}
 
 
-def test_complaint_delivery_link_against_brute_force(spark):
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_complaint_delivery_link_against_brute_force(spark, monkeypatch, limit):
+    from depotlens.operators import asof
     from depotlens.operators.correlation import complaint_delivery_link
 
+    monkeypatch.setattr(asof, "MAX_GROUP_ROWS", limit)
+
     rnd = random.Random(11)
     base = dt.datetime(2024, 1, 1)
     parcels = ["p1", "hot", "hot", "hot", "p2", "p3", None]
