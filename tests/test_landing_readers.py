@@ -67,6 +67,7 @@ def test_readers_fail_whole_files_and_keep_empty_ones(spark, tmp_root):
                                   '{"complained_at":"2024-03-01 12:00:00","recipient_name":"Dora"}\n')
     _write(tmp_root, "broken.json", '{"complained_at":"2024-03-01 11:00:00"}\n{"recipient_name": \n')
     _write(tmp_root, "empty.json", "")
+    _write(tmp_root, "brackets.json", "[]\n")
     _write(tmp_root, "good.xml", "<records>\n<record><recipient_name> Eve</recipient_name>"
                                  "<complained_at>2024-03-01 13:00:00</complained_at></record>\n</records>\n")
     _write(tmp_root, "half.xml", "<records>\n<record><recipient_name>F</recipient_name></record>\n"
@@ -79,6 +80,7 @@ def test_readers_fail_whole_files_and_keep_empty_ones(spark, tmp_root):
     assert led["swapped.csv"] == ("FAILED", "HEADER_MISMATCH")
     assert led["header_only.csv"] == ("PARSED", None)
     assert led["empty.json"] == ("PARSED", None)
+    assert led["brackets.json"] == ("PARSED", None)
     assert led["broken.json"][0] == "FAILED" and led["half.xml"][0] == "FAILED"
     assert led["good.json"] == ("PARSED", None) and led["good.xml"] == ("PARSED", None)
     rows = added["complaints"].join(p.ledger().select("file_id", "landing_file_path"), "file_id").collect()
@@ -92,7 +94,7 @@ def test_readers_fail_whole_files_and_keep_empty_ones(spark, tmp_root):
     assert by[("good.xml", 0)].recipient_name == " Eve"
     # a second run finds nothing new
     again = p.ingest(tmp_root, T2, systems=("complaints",))
-    assert again == {} and p.ledger().count() == 9
+    assert again == {} and p.ledger().count() == 10
 
 
 def test_record_index_across_splits(spark, tmp_root):
