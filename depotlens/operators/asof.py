@@ -31,12 +31,18 @@ MAX_GROUP_ROWS = 1_000_000
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
               right_cols: list[str], tie: str, prefix: str = "m_",
-              num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, max_group_rows: int | None = None,
+              fallback_latest: bool = False) -> DataFrame:
     """Left rows plus ``prefix + c`` for each of ``right_cols`` from the
     matching right row (null when none). Among right rows with the same
     time, the one with the greatest ``tie`` wins. Left rows with a null key
     or time get no match.
 
+    ``fallback_latest``: when no right row is at or before the left time,
+    take the latest right row of the key instead; ``prefix + "found"`` tells
+    whether the key has any right row. Both come from a second frame over
+    the same window, so no extra shuffle or join.
+
     The largest key is measured first (one partial aggregate). When every
     key has at most ``max_group_rows`` rows (default ``MAX_GROUP_ROWS``), one window per key does the
     job (one shuffle); otherwise the segmented plan above is used."""
@@ -57,15 +63,29 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
     order = ["_k", "_t", "_side", "_tb"]
     rest = left.where(~ok_left | ok_left.isNull()).select(
         *lcols, *[F.lit(None).cast(right.schema[c].dataType).alias(prefix + c) for c in right_cols])
+    if fallback_latest:
+        rest = rest.withColumn(prefix + "found", F.lit(False))
+
+    def finish(got: DataFrame, hit, latest) -> DataFrame:
+        if fallback_latest:
+            got = got.withColumn("_hit", F.coalesce(hit, latest)).withColumn(prefix + "found", latest.isNotNull())
+        else:
+            got = got.withColumn("_hit", hit)
+        extra = [prefix + "found"] if fallback_latest else []
+        got = got.select(*lcols, *[F.col("_hit")[c].alias(prefix + c) for c in right_cols], *extra)
+        return got.unionByName(rest)
+
     both = lt.unionByName(rt)
     largest = both.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
     limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
     if largest is None or largest <= limit:
-        upto_key = Window.partitionBy("_k").orderBy("_t", "_side", "_tb").rowsBetween(Window.unboundedPreceding, 0)
-        got = (both.withColumn("_hit", F.last("_r", ignorenulls=True).over(upto_key))
-               .where(F.col("_side") == 1).select("_l.*", "_hit"))
-        got = got.select(*lcols, *[F.col("_hit")[c].alias(prefix + c) for c in right_cols])
-        return got.unionByName(rest)
+        by_key = Window.partitionBy("_k").orderBy("_t", "_side", "_tb")
+        upto_key = by_key.rowsBetween(Window.unboundedPreceding, 0)
+        whole_key = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        got = (both.withColumn("_h", F.last("_r", ignorenulls=True).over(upto_key))
+               .withColumn("_lat", F.last("_r", ignorenulls=True).over(whole_key))
+               .where(F.col("_side") == 1).select("_l.*", "_h", "_lat"))
+        return finish(got, F.col("_h"), F.col("_lat"))
     u = (both.repartitionByRange(n, *order).sortWithinPartitions(*order)
          .withColumn("_m", F.monotonically_increasing_id())
          .withColumn("_seg", F.shiftright("_m", 33)))
@@ -76,9 +96,12 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
              .where(F.col("_side") == 1).select("_seg", "_k", "_l", "_loc"))
     seg_last = (u.groupBy("_seg", "_k")
                 .agg(F.max_by("_r", F.when(F.col("_side") == 0, F.col("_m"))).alias("_last")))
-    earlier = Window.partitionBy("_k").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    carry = seg_last.select("_seg", "_k", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    by_seg = Window.partitionBy("_k").orderBy("_seg")
+    carry = seg_last.select(
+        "_seg", "_k",
+        F.last("_last", ignorenulls=True).over(by_seg.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
+        F.last("_last", ignorenulls=True).over(
+            by_seg.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_lat"))
     got = (local.join(carry, ["_seg", "_k"], "left")
-           .select("_l.*", F.coalesce("_loc", "_carry").alias("_hit")))
-    got = got.select(*lcols, *[F.col("_hit")[c].alias(prefix + c) for c in right_cols])
-    return got.unionByName(rest)
+           .select("_l.*", F.coalesce("_loc", "_carry").alias("_h"), "_lat"))
+    return finish(got, F.col("_h"), F.col("_lat"))

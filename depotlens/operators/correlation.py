@@ -25,17 +25,11 @@ def _deliveries(deliveries: DataFrame) -> DataFrame:
 
 
 def _step(c: DataFrame, d: DataFrame, key: str) -> DataFrame:
-    """Complaints with the matched delivery by ``key`` (``m_*``), or none."""
+    """Complaints with the matched delivery by ``key`` (``m_*``, ``_has``)."""
     d = d.join(c.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
-    m = asof_join(c, d.select(key, *_D_COLS), key, "complained_at", "delivered_at", _D_COLS, tie="d_hash")
-    # fallback: the latest delivery of the key (partial aggregate per key)
-    latest = d.groupBy(key).agg(F.max_by(F.struct(*_D_COLS), F.struct("delivered_at", "d_hash")).alias("_lat"))
-    # rows without a key skip the join (no null-key hot spot)
-    m = (m.where(F.col(key).isNotNull()).join(latest, key, "left")
-         .unionByName(m.where(F.col(key).isNull()).withColumn("_lat", F.lit(None).cast(latest.schema["_lat"].dataType))))
-    return m.select(*c.columns, F.col("_lat").isNotNull().alias("_has"),
-                    *[F.when(F.col("m_d_hash").isNotNull(), F.col("m_" + x)).otherwise(F.col("_lat")[x]).alias("m_" + x)
-                      for x in _D_COLS])
+    m = asof_join(c, d.select(key, *_D_COLS), key, "complained_at", "delivered_at", _D_COLS, tie="d_hash",
+                  fallback_latest=True)
+    return m.withColumnRenamed("m_found", "_has")
 
 
 def complaint_delivery_link(complaints: DataFrame, deliveries: DataFrame) -> DataFrame:
