@@ -13,7 +13,6 @@ Reports are functions evaluated on the written tables (R1, R2, S1-S8).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,19 +33,17 @@ FACT_DATE = {"complaints": "complained_month", "delivery_events": "delivered_mon
 FACT_TIME = {"complaints": "complained_at", "delivery_events": "delivered_at"}
 
 
-@dataclass
-class RunReport:
-    """What one run did (inputs of the S1 volume view)."""
-    batches: int = 0
-    files_claimed: int = 0
-    outcomes: list = field(default_factory=list)
-
-
 class Pipeline:
-    def __init__(self, spark: SparkSession, store: Store | None = None, batch_size: int = landing.INTAKE_BATCH):
+    def __init__(self, spark: SparkSession, store: Store | None = None, batch_size: int = landing.INTAKE_BATCH,
+                 lookback_days: int | None = None):
+        """``lookback_days``: list only arrival-day folders of the last N days
+        (files land in the folder of their arrival day, so new files are
+        recent); None lists every folder (exact, but the listing grows with
+        the landing history)."""
         self.spark = spark
         self.store = store or Store(spark)
         self.batch_size = batch_size
+        self.lookback_days = lookback_days
 
     # ---------------------------------------------------------------- state
     def _get(self, name: str) -> DataFrame | None:
@@ -63,8 +60,9 @@ class Pipeline:
         """Register and parse every new landing file. Returns, per system, the
         staging rows added by this run."""
         listing = None
+        since = None if self.lookback_days is None else (run_ts.date() - dt.timedelta(days=self.lookback_days))
         for s in systems:
-            part = list_landing(self.spark, landing_root, s)
+            part = list_landing(self.spark, landing_root, s, since=since)
             listing = part if listing is None else listing.unionByName(part)
         led = self.ledger()
         stale = landing.release_events(led, run_ts)

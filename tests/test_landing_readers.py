@@ -131,3 +131,16 @@ def test_event_ledger_view_equals_update_semantics(spark):
     stale = landing.ledger_view(files, landing.claim_events(batch, T1))
     rel = landing.ledger_view(files, landing.claim_events(batch, T1).unionByName(landing.release_events(stale, T2)))
     assert rel.where("status = 'RECEIVED'").count() == 4
+
+
+def test_listing_lookback_skips_old_arrival_days(spark, tmp_root):
+    from depotlens.sources.files import list_landing
+
+    for day in ("2024-02-01", "2024-02-27", "2024-03-01"):
+        d = os.path.join(tmp_root, "complaints", f"ingest_dt={day}")
+        os.makedirs(d, exist_ok=True)
+        with open(os.path.join(d, "a.json"), "w") as f:
+            f.write("")
+    assert list_landing(spark, tmp_root, "complaints").count() == 3
+    assert list_landing(spark, tmp_root, "complaints", since=dt.date(2024, 2, 20)).count() == 2
+    assert list_landing(spark, tmp_root, "delivery_events").count() == 0
