@@ -38,6 +38,14 @@ def test_two_daily_runs_and_rerun_changes_nothing(spark, tmp_root):
     assert r1.where(F.col("claims_last_14_days") <= 0).count() == 0
     mon = p.store.get("monitoring_complaints").orderBy("monitoring_date").collect()
     assert [m.monitoring_date for m in mon] == [td.DAY1, td.DAY2]
+    # the same report through SQL on the registered views
+    from depotlens.plans.views import register_views
+    register_views(p, td.AS_OF)
+    via_sql = spark.sql("SELECT pickup_identifier, claims_last_14_days FROM rpt_pickup_station_claims_14d")
+    assert sorted(map(tuple, via_sql.collect())) == \
+        sorted(map(tuple, r1.select("pickup_identifier", "claims_last_14_days").collect()))
+    n_unlinked = spark.sql("SELECT count(*) AS n FROM fact_complaint WHERE pickup_station_id IS NULL").first().n
+    assert n_unlinked == p.store.get("fact_complaint").count() - p.store.get("complaint_station_link").count()
 
 
 def test_stream_trigger_runs_ledger_intake(spark, tmp_root):
