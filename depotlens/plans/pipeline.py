@@ -55,6 +55,26 @@ class Pipeline:
             return landing.empty_ledger(self.spark)
         return landing.ledger_view(self._get("ledger_files"), self._get("ledger_events"))
 
+    def _last_batch_no(self) -> int:
+        """Largest load batch number in the store (kept across drivers)."""
+        best = 0
+        for t in STAGING_TABLE.values():
+            if self.store.has(t):
+                v = self.store.get(t).agg(F.max("load_batch")).first()[0]
+                best = max(best, int(v or 0))
+        return best
+
+    def pending_batches(self, system: str) -> list[int]:
+        """Staged load batches whose rows are not yet in the facts (e.g. a
+        driver stopped between staging and loading). Partition values only."""
+        t = STAGING_TABLE[system]
+        if not self.store.has(t):
+            return []
+        staged = {r[0] for r in self.store.get(t).select("load_batch").distinct().collect()}
+        done_t = "loaded_batches_" + system
+        done = ({r[0] for r in self.store.get(done_t).collect()} if self.store.has(done_t) else set())
+        return sorted(staged - done)
+
     # -------------------------------------------------------------- landing
     def ingest(self, landing_root: str, run_ts: dt.datetime, systems=SYSTEMS) -> dict[str, DataFrame]:
         """Register and parse every new landing file. Returns, per system, the
@@ -78,7 +98,7 @@ class Pipeline:
             claimed = landing.next_batch(led, self.batch_size).collect()
             if not claimed:
                 break
-            self._batch_no = getattr(self, "_batch_no", 0) + 1
+            self._batch_no = self._last_batch_no() + 1
             batch = self.spark.createDataFrame(claimed, landing.BATCH_SCHEMA)
             self.store.append("ledger_events", landing.claim_events(batch, run_ts))
             outs = []
@@ -145,10 +165,18 @@ class Pipeline:
             allow_empty_snapshot: bool = False) -> None:
         """One daily run (idempotent: a second run with the same inputs
         registers no file, stages no row, changes no station, loads no fact)."""
-        added = self.ingest(landing_root, run_ts)
+        self.ingest(landing_root, run_ts)
         self.apply_stations(station_list, day, run_ts, allow_empty=allow_empty_snapshot)
-        for s, rows in added.items():
+        for s in SYSTEMS:
+            pending = self.pending_batches(s)
+            if not pending:
+                continue
+            rows = (self.store.get(STAGING_TABLE[s]).where(F.col("load_batch").isin(pending))
+                    .drop("load_batch"))
+            # insert-if-new by hash: loading a batch again adds nothing
             self.load_facts(s, rows, run_ts)
+            done = self.spark.createDataFrame([(b,) for b in pending], "load_batch int")
+            self.store.append("loaded_batches_" + s, done)
         if self.store.has("fact_complaint"):
             self.link(run_ts)
             self.monitor(day, run_ts)

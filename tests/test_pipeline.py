@@ -75,3 +75,20 @@ def test_store_state_survives_a_new_driver_object(spark, tmp_root):
     got = s2.get("t")
     assert got.columns == ["k", "flag"] and dict(got.schema.fields[1].jsonValue())["type"] == "boolean"
     assert [r.k for r in got.collect()] == [1] and s2.get("f").count() == 2
+
+
+def test_staged_batches_left_by_a_stopped_driver_are_loaded_next_run(spark, tmp_root):
+    from depotlens.sources.store import Store
+
+    write_landing(td.complaint_records(spark, SF), tmp_root + "/landing", "complaints", COMPLAINT_FIELDS,
+                  "complained_at", td.COMPLAINT_FILE_ORDER)
+    store_root = tmp_root + "/store"
+    p1 = Pipeline(spark, Store(spark, store_root), batch_size=30)
+    p1.ingest(tmp_root + "/landing", td.RUN1, systems=("complaints",))  # stops before loading facts
+    assert not p1.store.has("fact_complaint")
+    p2 = Pipeline(spark, Store(spark, store_root), batch_size=30)  # a new driver
+    p2.run(td.DAY2, td.RUN2, tmp_root + "/landing", td.station_list_day1(spark, SF).drop("s_suppkey"))
+    assert p2.store.get("fact_complaint").count() == td.complaint_records(spark, SF).count()
+    assert p2.pending_batches("complaints") == []
+    batches = [r[0] for r in p2.store.get("stg_complaint").select("load_batch").distinct().collect()]
+    assert sorted(batches) == list(range(1, len(batches) + 1))
