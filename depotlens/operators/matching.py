@@ -7,9 +7,9 @@ identifiers ('S-000042' versus 'PS42'). Mapping, per distinct external id:
    (digits at the end, leading zeros dropped; the blocking key), scored by
    the edit distance of the letter parts; the lowest score wins, ties by
    the smaller reference identifier.
-Candidates are generated per block, with all candidates of a block kept.
-Work is on distinct identifiers, so a very frequent identifier costs one
-row, and the best candidate is chosen by a partial aggregate (min_by).
+Candidates are compared as distinct (number, letters) patterns, all of them
+(no cap): identifiers and stations sharing a pattern cost one row, and the
+best candidate is chosen by a partial aggregate (min_by).
 """
 
 from __future__ import annotations
@@ -38,12 +38,20 @@ def match_stations(external_ids: DataFrame, dim: DataFrame, crosswalk: DataFrame
     cur = current_rows(dim).select("pickup_station_id", "ref_identifier")
     x = _parts(ids, "external_id", "x_")
     s = _parts(cur, "ref_identifier", "s_")
-    cand = (x.where(F.col("x_num").isNotNull())
-            .join(s, F.col("x_num") == F.col("s_num"))
+    # The score depends only on the letter parts, so distinct patterns are
+    # compared, not identifiers: per (number, letters) the station pattern
+    # keeps its smallest reference. A number shared by many stations or ids
+    # costs one row per distinct pattern.
+    x_pat = x.where(F.col("x_num").isNotNull()).select("x_num", "x_letters").distinct()
+    s_pat = (s.where(F.col("s_num").isNotNull()).groupBy("s_num", "s_letters")
+             .agg(F.min_by(F.struct("pickup_station_id", "ref_identifier"), F.col("ref_identifier")).alias("_st")))
+    cand = (x_pat.join(s_pat, F.col("x_num") == F.col("s_num"))
             .withColumn("score", F.levenshtein("x_letters", "s_letters")))
-    best = (cand.groupBy("external_id")
-            .agg(F.min_by(F.struct("pickup_station_id", "ref_identifier", "score"),
-                          F.struct("score", "ref_identifier")).alias("_b"))
+    best_pat = (cand.groupBy("x_num", "x_letters")
+                .agg(F.min_by(F.struct(F.col("_st.pickup_station_id").alias("pickup_station_id"),
+                                       F.col("_st.ref_identifier").alias("ref_identifier"), "score"),
+                              F.struct("score", F.col("_st.ref_identifier"))).alias("_b")))
+    best = (x.join(best_pat, ["x_num", "x_letters"])
             .select("external_id", "_b.pickup_station_id", "_b.ref_identifier", "_b.score",
                     F.lit("fuzzy").alias("match_method")))
     if crosswalk is not None:
