@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle (sf0.001), plus plan checks."""
 
-import math
 import os
 
 import duckdb
