@@ -25,7 +25,8 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER)
 
 
-def new_files(ledger: DataFrame, listing: DataFrame, run_ts: dt.datetime) -> DataFrame:
+def new_files(ledger: DataFrame, listing: DataFrame, run_ts: dt.datetime,
+              listing_rows: int | None = None) -> DataFrame:
     """L1, the new rows only: listing rows whose natural key (system, path,
     modified time, size) is not in the ledger. A path whose time or size
     changed is a new file. file_id continues after the largest one, in
@@ -33,7 +34,8 @@ def new_files(ledger: DataFrame, listing: DataFrame, run_ts: dt.datetime) -> Dat
     key = LEDGER_NATURAL_KEY
     new = (listing.select(*LISTING_COLUMNS).dropDuplicates(key)
            .join(ledger.select(*key), key, "left_anti"))
-    new = assign_ids(new, key, "file_id", start=max_value(ledger, "file_id"))
+    # new files are at most the listing's rows (a known bound when given)
+    new = assign_ids(new, key, "file_id", start=max_value(ledger, "file_id"), size_hint=listing_rows)
     return (new.withColumn("received_at", lit_ts(run_ts))
             .withColumn("parsed_at", F.lit(None).cast("timestamp_ntz"))
             .withColumn("status", F.lit(RECEIVED))

@@ -88,7 +88,7 @@ class Pipeline:
         stale = landing.release_events(led, run_ts)
         if not stale.isEmpty():
             self.store.append("ledger_events", stale)
-        new = landing.new_files(self.ledger(), listing, run_ts)
+        new = landing.new_files(self.ledger(), listing, run_ts, listing_rows=listing.count())
         self.store.append("ledger_files", new.select(*landing.FILE_COLUMNS))
         led = self.ledger()
         batches: dict[str, list[int]] = {s: [] for s in systems}
