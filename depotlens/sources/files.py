@@ -17,14 +17,15 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from depotlens.operators.ids import assign_ids
 from depotlens.schemas import FILE_LISTING
 from depotlens.session import new_scratch_path
 
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 ROW_TAG, ROOT_TAG = "record", "records"
 FORMATS = ("csv", "json", "xml")
+MAX_RECORDS_PER_FILE = 100_000
 # RFC 4180 quoting (a quote inside a field is doubled); spaces are data.
 CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
@@ -72,9 +73,17 @@ def _record_text(fields: list[str], time_col: str) -> dict[str, F.Column]:
 
 
 def write_landing(records: DataFrame, root: str, system: str, fields: list[str], time_col: str,
-                  order_cols: list[str], damage_day=None) -> str:
+                  order_cols: list[str], damage_day=None, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> str:
     """Write ``records`` (with ingest_dt, source_format) as landing files.
 
+    Records are numbered in (ingest_dt, source_format, order) order by the
+    distributed id allocator; a record's position in its group is its id
+    minus the group's first id (no window over a whole group). A group is
+    cut into files of at most ``max_records_per_file`` records
+    (``<system>_<yyyymmdd>.<fmt>``, then ``_<k>`` for part k > 0), and one
+    file's text is assembled from its lines in one row, so a row holds at
+    most one bounded file.
+
     ``damage_day``: on that ingest day the first record of each file is
     broken (CSV: one field too many; JSON: missing closing brace; XML:
     unclosed element), which must make the whole file FAILED.
@@ -83,31 +92,36 @@ def write_landing(records: DataFrame, root: str, system: str, fields: list[str],
     texts = _record_text(fields, time_col)
     line = (F.when(F.col("source_format") == "csv", texts["csv"])
             .when(F.col("source_format") == "json", texts["json"]).otherwise(texts["xml"]))
-    w = Window.partitionBy("ingest_dt", "source_format").orderBy(*order_cols)
-    body = records.select("ingest_dt", "source_format", (F.row_number().over(w) - 1).alias("_n"),
-                          line.alias("value"))
+    numbered = assign_ids(records.select("ingest_dt", "source_format", *order_cols, line.alias("value")),
+                          ["ingest_dt", "source_format", *order_cols], "_id")
+    first = numbered.groupBy("ingest_dt", "source_format").agg(F.min("_id").alias("_first"))
+    pos = F.col("_id") - F.col("_first")
+    body = (numbered.join(first, ["ingest_dt", "source_format"])
+            .select("ingest_dt", "source_format",
+                    (pos / max_records_per_file).cast("long").alias("part"),
+                    (pos % max_records_per_file).alias("_n"), "value"))
     if damage_day is not None:
         hit = (F.col("ingest_dt") == F.lit(damage_day)) & (F.col("_n") == 0)
         broken = (F.when(F.col("source_format") == "csv", F.concat("value", F.lit(",EXTRA")))
                   .when(F.col("source_format") == "json", F.expr("substring(value, 1, length(value) - 1)"))
                   .otherwise(F.regexp_replace("value", "</" + ROW_TAG + ">", "")))
         body = body.withColumn("value", F.when(hit, broken).otherwise(F.col("value")))
-    groups = body.select("ingest_dt", "source_format").distinct()
+    groups = body.select("ingest_dt", "source_format", "part").distinct()
     head = (groups.where(F.col("source_format").isin("csv", "xml"))
-            .select("ingest_dt", "source_format", F.lit(-1).cast("long").alias("_n"),
+            .select("ingest_dt", "source_format", "part", F.lit(-1).cast("long").alias("_n"),
                     F.when(F.col("source_format") == "csv", F.lit(",".join(fields)))
                     .otherwise(F.lit(f"<{ROOT_TAG}>")).alias("value")))
     tail = (groups.where(F.col("source_format") == "xml")
-            .select("ingest_dt", "source_format", F.lit(1 << 62).cast("long").alias("_n"),
+            .select("ingest_dt", "source_format", "part", F.lit(1 << 62).cast("long").alias("_n"),
                     F.lit(f"</{ROOT_TAG}>").alias("value")))
     lines = body.unionByName(head).unionByName(tail)
     # One row holds one file's text (lines in order), so the sink's own sort
-    # cannot reorder lines; a file is written by one task in any case.
-    files = (lines.groupBy("ingest_dt", "source_format")
+    # cannot reorder lines; a file has at most max_records_per_file lines.
+    files = (lines.groupBy("ingest_dt", "source_format", "part")
              .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_n", "value"))),
                                            lambda x: x["value"]), "\n").alias("value")))
     tmp = new_scratch_path(spark, "landing-tmp")
-    files.write.partitionBy("ingest_dt", "source_format").text(tmp)
+    files.write.partitionBy("ingest_dt", "source_format", "part").text(tmp)
     _name_files(spark, tmp, f"{root.rstrip('/')}/{system}", system)
     return f"{root.rstrip('/')}/{system}"
 
@@ -119,10 +133,12 @@ def _name_files(spark: SparkSession, tmp: str, dest: str, system: str) -> None:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
     fs = Path(tmp).getFileSystem(conf)
-    for st in fs.globStatus(Path(tmp + "/ingest_dt=*/source_format=*/part-*")) or []:
+    for st in fs.globStatus(Path(tmp + "/ingest_dt=*/source_format=*/part=*/part-*")) or []:
         p = st.getPath()
-        fmt = p.getParent().getName().split("=", 1)[1]
-        day = p.getParent().getParent().getName().split("=", 1)[1]
-        target = Path(f"{dest}/ingest_dt={day}/{system}_{day.replace('-', '')}.{fmt}")
+        part = int(p.getParent().getName().split("=", 1)[1])
+        fmt = p.getParent().getParent().getName().split("=", 1)[1]
+        day = p.getParent().getParent().getParent().getName().split("=", 1)[1]
+        suffix = "" if part == 0 else f"_{part}"
+        target = Path(f"{dest}/ingest_dt={day}/{system}_{day.replace('-', '')}{suffix}.{fmt}")
         fs.mkdirs(target.getParent())
         fs.rename(p, target)
