@@ -6,10 +6,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from depotlens.functions.text import norm_text, record_hash
-from depotlens.operators.ids import lit_ts
+from depotlens.operators.ids import assign_ids, lit_ts
 from depotlens.schemas import COMPLAINT_FIELDS, DELIVERY_FIELDS
 
 KINDS = {
@@ -41,11 +40,16 @@ def stage_from_files(records: DataFrame, files: DataFrame, system: str, order_co
     """Staging rows for records whose file is known by (ingest_dt,
     source_format): ``files`` maps that pair to ledger file ids. A file sent
     twice gives every record twice, under both file ids. record_index is the
-    0-based position in the file (window per file, a file is bounded)."""
-    f = files.select("file_id", "ingest_dt", "source_format")
-    j = records.join(f, ["ingest_dt", "source_format"])
-    w = Window.partitionBy("file_id").orderBy(*order_cols)
-    j = j.withColumn("record_index", (F.row_number().over(w) - 1).cast("int"))
+    0-based position in the file: records are numbered in (ingest_dt,
+    source_format, order) order by the distributed id allocator and shifted
+    by the first id of their pair (no window over a whole file)."""
+    key = ["ingest_dt", "source_format"]
+    numbered = assign_ids(records, [*key, *order_cols], "_id")
+    first = numbered.groupBy(*key).agg(F.min("_id").alias("_first"))
+    f = files.select("file_id", *key)
+    j = (numbered.join(first, key)
+         .withColumn("record_index", (F.col("_id") - F.col("_first")).cast("int"))
+         .join(f, key))
     return finish_staging(j, system, run_ts)
 
 
