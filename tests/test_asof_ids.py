@@ -68,3 +68,22 @@ def test_complaint_delivery_link_against_brute_force(spark, monkeypatch, limit):
         by_o = [d for d in D if d[4] == o]
         want = ("parcel", pick(by_p, t)) if by_p else (("purchase_order", pick(by_o, t)) if by_o else (None, None))
         assert got[h] == want, h
+
+
+def test_fact_keys_same_on_both_numbering_paths(spark, monkeypatch):
+    from depotlens.operators import facts as fx
+    from depotlens.operators import ids
+    from depotlens.operators.staging import finish_staging
+
+    base = dt.datetime(2024, 2, 1)
+    rows = [(f, i, base + dt.timedelta(minutes=7 * f + i), "PS1", f"n{i % 5}", "a", None, None, f"t{f}-{i}")
+            for f in (3, 1, 2) for i in range(40)]
+    staged = finish_staging(spark.createDataFrame(rows, "file_id long, record_index int, complained_at timestamp_ntz, "
+                                                        "pickup_station_external_id string, recipient_name string, "
+                                                        "recipient_address string, parcel_id string, "
+                                                        "purchase_order_id string, complaint_text string"),
+                            "complaints", base)
+    small = {r.record_hash_sha256: r.complaint_sk for r in fx.load_facts(None, staged, "complaints", base).collect()}
+    monkeypatch.setattr(ids, "SINGLE_TASK_MAX_ROWS", 0)
+    big = {r.record_hash_sha256: r.complaint_sk for r in fx.load_facts(None, staged, "complaints", base).collect()}
+    assert small == big and sorted(small.values()) == list(range(1, 121))
