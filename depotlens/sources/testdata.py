@@ -27,6 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance a derived input whose scan gives fewer partitions than the
+    cluster has cores (a single-row-group file is read by one task). Large
+    inputs already give many splits and are left as they are, so this never
+    shuffles big data."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _s(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -75,7 +84,7 @@ def complaint_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                .otherwise(F.concat(F.lit("PS"), _s((F.col("user_id") * 7 + e % 3) % n_sup))))
     name = F.when(e % 2 == 0, F.col("c_name")).otherwise(F.concat(F.lit(" "), F.lower("c_name")))
     parcel = F.concat(po, F.lit("-"), _s(e % 7 + 1))
-    return (ev.where(F.col("event_type") == "error")
+    return (spread(ev.where(F.col("event_type") == "error"))
             .join(cust, cust.c_custkey == ev.user_id)
             .select(
                 "event_id",
@@ -98,7 +107,7 @@ def delivery_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: order_key fields used for file order, ingest_dt (month of the
     ship date), source_format, then the delivery record fields.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
