@@ -14,6 +14,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # big scans joined to a selective side (deliveries to complained parcels,
+    # facts to a report window) are pre-filtered by a runtime bloom filter
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
 
