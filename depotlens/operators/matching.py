@@ -33,8 +33,10 @@ def _parts(df: DataFrame, c: str, p: str) -> DataFrame:
 def match_stations(external_ids: DataFrame, dim: DataFrame, crosswalk: DataFrame | None = None) -> DataFrame:
     """(external_id, pickup_station_id, ref_identifier, match_method, score)
     for every distinct non-null external id; unmatched ids have nulls."""
-    ids = external_ids.select(F.col(external_ids.columns[0]).alias("external_id")) \
-                      .where(F.col("external_id").isNotNull()).distinct()
+    # distinct identifiers (few: one per identifier, not per event) are read
+    # three times below: computed once and written
+    ids = (external_ids.select(F.col(external_ids.columns[0]).alias("external_id"))
+           .where(F.col("external_id").isNotNull()).distinct().checkpoint(eager=True))
     cur = current_rows(dim).select("pickup_station_id", "ref_identifier")
     x = _parts(ids, "external_id", "x_")
     s = _parts(cur, "ref_identifier", "s_")
