@@ -85,9 +85,10 @@ class Pipeline:
             part = list_landing(self.spark, landing_root, s, since=since)
             listing = part if listing is None else listing.unionByName(part)
         led = self.ledger()
-        stale = landing.release_events(led, run_ts)
-        if not stale.isEmpty():
-            self.store.append("ledger_events", stale)
+        if self.store.has("ledger_events"):  # no events yet: nothing to release
+            stale = landing.release_events(led, run_ts)
+            if not stale.isEmpty():
+                self.store.append("ledger_events", stale)
         new = landing.new_files(self.ledger(), listing, run_ts, listing_rows=listing.count())
         self.store.append("ledger_files", new.select(*landing.FILE_COLUMNS))
         led = self.ledger()
