@@ -77,3 +77,8 @@ def test_partitions_pruned_for_report_window(spark):
     df = ent.queries()["rpt_recipients_over5_2m"](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(complained_month" in plan
+
+
+def test_every_query_has_oracle_sql():
+    assert set(ent.queries()) == set(ent.oracle_sql())
+    assert len(ent.queries()) >= 37
