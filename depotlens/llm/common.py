@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import depotlens
 from depotlens.session import new_scratch_path
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -36,3 +41,18 @@ def text_or_empty(c: str = "text") -> Column:
 def slots(spark: SparkSession) -> int:
     """Partitions for a shuffle of whole texts."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def with_package(df: DataFrame) -> DataFrame:
+    """df; the library's code is sent to the executors once per application,
+    so that Python tasks can import it wherever they run."""
+    sc = df.sparkSession.sparkContext
+    if not getattr(sc, "_depotlens_sent", False):
+        root = Path(depotlens.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="depotlens-code-")) / "depotlens.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(archive))
+        sc._depotlens_sent = True
+    return df

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from depotlens.llm import quality, secret_scan, sharding, url_filter
+from depotlens.llm import bpe, ctph, minhash, packing, pfor, quality, secret_scan, sharding, toxicity, url_filter
 from depotlens.llm.common import table
+from depotlens.session import new_scratch_path
 
 
 def op1_url_filter(spark, sf_dir):
@@ -17,6 +19,17 @@ def op2_sharding(spark, sf_dir):
     return sharding.place_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark, sf_dir, path=public_tokenizers.path("byte_bpe_multi_50k.tiktoken")):
+    ids = bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.decode_ids(ids, path).select(
+        "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_fingerprints(spark, sf_dir):
+    return ctph.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark, sf_dir):
     spans = secret_scan.scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < len(secret_scan.BASE))
@@ -27,15 +40,40 @@ def op5_secret_scan(spark, sf_dir):
         secret_scan.span_text(F.col("spans")).alias("spans"))
 
 
+def op6_minhash(spark, sf_dir):
+    return minhash.link(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+def op7_token_files(spark, sf_dir, path=public_tokenizers.path("byte_bpe_50k.json")):
+    files = new_scratch_path(spark, "llm-token-files")
+    pfor.write_files(table(spark, sf_dir, "documents"), files, path)
+    return pfor.read_files(spark, files, end="digest")
+
+
 def op8_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_packing(spark, sf_dir, path=public_tokenizers.path("word_bpe_49k.json")):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path)
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_sharding": op2_sharding,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_fingerprints": op4_fingerprints,
     "op5_secret_scan": op5_secret_scan,
+    "op6_minhash": op6_minhash,
+    "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
+    "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {}
