@@ -50,12 +50,14 @@ def epoch_micros(ts) -> Column:
         else F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), ts)
 
 
-def record_hash(source_system: str, time_col: str, text_cols: list[str]) -> Column:
+def record_hash(source_system: str, time_col: str, text_cols: list[str], time_text: str | None = None) -> Column:
     """sha256 over source system, event time (epoch micros) and the
     content fields; file id and position are left out so a record sent
-    twice gets the same hash."""
+    twice gets the same hash. ``time_text``: column with the time as sent; it
+    stands for a time that could not be read, so unlike records stay unlike."""
+    raw = [F.concat(F.lit("text:"), F.col(time_text))] if time_text else []
     parts = [F.lit(source_system),
-             F.coalesce(epoch_micros(time_col).cast("string"), F.lit(NULL_MARK))]
+             F.coalesce(epoch_micros(time_col).cast("string"), *raw, F.lit(NULL_MARK))]
     parts += [F.coalesce(F.col(c), F.lit(NULL_MARK)) for c in text_cols]
     return F.sha2(F.concat_ws(FIELD_SEP, *parts), 256)
 

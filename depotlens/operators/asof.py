@@ -25,14 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-# A key with at most this many rows (left + right) may be handled by one task.
-MAX_GROUP_ROWS = 1_000_000
-
-
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
               right_cols: list[str], tie: str, prefix: str = "m_",
-              num_partitions: int | None = None, max_group_rows: int | None = None,
-              fallback_latest: bool = False) -> DataFrame:
+              num_partitions: int | None = None, fallback_latest: bool = False) -> DataFrame:
     """Left rows plus ``prefix + c`` for each of ``right_cols`` from the
     matching right row (null when none). Among right rows with the same
     time, the one with the greatest ``tie`` wins. Left rows with a null key
@@ -41,13 +36,7 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
     ``fallback_latest``: when no right row is at or before the left time,
     take the latest right row of the key instead; ``prefix + "found"`` tells
     whether the key has any right row. Both come from a second frame over
-    the same window, so no extra shuffle or join.
-
-    The largest key is measured first (one partial aggregate). When every
-    key has at most ``max_group_rows`` rows (default ``MAX_GROUP_ROWS``), one window per key does the
-    job (one shuffle); otherwise the segmented plan above is used."""
-    spark = left.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    the same window, so no extra shuffle or join."""
     lcols = left.columns
     r_struct = F.struct(*[F.col(c).alias(c) for c in right_cols])
     r_type = right.select(r_struct.alias("r")).schema["r"].dataType
@@ -76,17 +65,9 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
         return got.unionByName(rest)
 
     both = lt.unionByName(rt)
-    largest = both.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    if largest is None or largest <= limit:
-        by_key = Window.partitionBy("_k").orderBy("_t", "_side", "_tb")
-        upto_key = by_key.rowsBetween(Window.unboundedPreceding, 0)
-        whole_key = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        got = (both.withColumn("_h", F.last("_r", ignorenulls=True).over(upto_key))
-               .withColumn("_lat", F.last("_r", ignorenulls=True).over(whole_key))
-               .where(F.col("_side") == 1).select("_l.*", "_h", "_lat"))
-        return finish(got, F.col("_h"), F.col("_lat"))
-    u = (both.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without a number, adaptive execution sizes the segments: few rows become one
+    dealt = both.repartitionByRange(num_partitions, *order) if num_partitions else both.repartitionByRange(*order)
+    u = (dealt.sortWithinPartitions(*order)
          .withColumn("_m", F.monotonically_increasing_id())
          .withColumn("_seg", F.shiftright("_m", 33)))
     u = u.checkpoint(eager=True)

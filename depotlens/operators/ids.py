@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _LOW_BITS = (1 << 33) - 1
-# Up to this many rows one ordered task numbers them faster than the
-# distributed path (which needs a sample, a checkpoint and an offsets pass).
-SINGLE_TASK_MAX_ROWS = 50_000
 
 
 def max_value(df: DataFrame, col: str, default: int = 0) -> int:
@@ -26,26 +23,19 @@ def max_value(df: DataFrame, col: str, default: int = 0) -> int:
 
 
 def assign_ids(df: DataFrame, order_cols: list, id_col: str, start: int = 0,
-               num_partitions: int | None = None, size_hint: int | None = None) -> DataFrame:
+               num_partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = start + 1, start + 2, ... following ``order_cols``.
 
-    Sets of at most ``SINGLE_TASK_MAX_ROWS`` rows are numbered by one ordered
-    window; the size is ``size_hint`` (a known upper bound, e.g. the row count
-    of the input table) or else counted first. ``order_cols`` should order the rows totally, else ties get ids in an
+    ``order_cols`` should order the rows totally, else ties get ids in an
     arbitrary (but consistent) order. The range-partitioned rows are
     checkpointed (reliable checkpoint in the shared folder) so that the count
     branch and the numbering branch see the same partition bounds, also when
-    an executor is lost.
+    an executor is lost. Without ``num_partitions`` adaptive execution sizes
+    the partitions: few rows become one.
     """
-    spark = df.sparkSession
     orders = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    small = size_hint if size_hint is not None else (None if num_partitions else df.count())
-    if num_partitions is None and small is not None and small <= SINGLE_TASK_MAX_ROWS:
-        # size checked above: a bounded set may go through one task
-        w = Window.orderBy(*orders)
-        return df.withColumn(id_col, (F.lit(start) + F.row_number().over(w)).cast("long"))
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *orders).sortWithinPartitions(*orders)
+    dealt = df.repartitionByRange(num_partitions, *orders) if num_partitions else df.repartitionByRange(*orders)
+    ranged = (dealt.sortWithinPartitions(*orders)
               .withColumn("_m", F.monotonically_increasing_id()))
     ranged = ranged.checkpoint(eager=True)
     ranged = (ranged.withColumn("_pid", F.shiftright("_m", 33))

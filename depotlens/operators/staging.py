@@ -25,10 +25,12 @@ def staging_columns(system: str) -> list[str]:
 
 def finish_staging(rows: DataFrame, system: str, run_ts: dt.datetime) -> DataFrame:
     """Add record hash (K12), normalised recipient (K11) and ingested_at to
-    rows that already carry file_id and record_index."""
+    rows that already carry file_id and record_index (and, as ``_time_text``,
+    the time as sent)."""
     k = KINDS[system]
     text_fields = [c for c in k["fields"] if c != k["time"]]
-    return (rows.withColumn("record_hash_sha256", record_hash(system, k["time"], text_fields))
+    raw = "_time_text" if "_time_text" in rows.columns else None
+    return (rows.withColumn("record_hash_sha256", record_hash(system, k["time"], text_fields, raw))
             .withColumn("recipient_name_norm", norm_text("recipient_name"))
             .withColumn("recipient_address_norm", norm_text("recipient_address"))
             .withColumn("ingested_at", lit_ts(run_ts))

@@ -43,10 +43,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings the jobs rely on and make sure a shared
     checkpoint folder exists (the cluster's own setting wins)."""
     for k, v in SESSION_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static or locked conf on some deployments
-            pass
+        spark.conf.set(k, v)
     shared_dir(spark)
     return spark
 
@@ -55,8 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set (local tests) a fresh folder is
-    made and registered.
+    checkpoint dir). Only when neither is set and the master is local (tests)
+    a fresh folder is made and registered: on a cluster a folder of the
+    driver's machine would be another one on every executor.
     """
     sc = spark.sparkContext
     current = None
@@ -70,6 +68,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(current)
             current = sc.getCheckpointDir() or current
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = os.environ.get("DEPOTLENS_SCRATCH") or tempfile.mkdtemp(prefix="depotlens-ckpt-")
         sc.setCheckpointDir(base)
         current = sc.getCheckpointDir() or base

@@ -31,10 +31,10 @@ CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
 
 
-def list_landing(spark: SparkSession, root: str, system: str, since=None) -> DataFrame:
+def list_landing(spark: SparkSession, root: str, system: str) -> DataFrame:
     """File listing of one source system (L1 input), from file-system
-    metadata: one ``ingest_dt=`` folder per arrival day, optionally only the
-    days from ``since`` on. Zero-byte files are listed too (a data source
+    metadata: one ``ingest_dt=`` folder per arrival day, all days, so a file
+    that arrives late in an old folder is found. Zero-byte files are listed too (a data source
     listing would skip them, but they must be registered and PARSED with no
     rows). Only metadata is read, never file content."""
     base = f"{root.rstrip('/')}/{system}"
@@ -48,8 +48,6 @@ def list_landing(spark: SparkSession, root: str, system: str, since=None) -> Dat
             name = day.getPath().getName()
             if not day.isDirectory() or not name.startswith("ingest_dt="):
                 continue
-            if since is not None and name.split("=", 1)[1] < str(since):
-                continue
             for st in fs.listStatus(day.getPath()):
                 fname = st.getPath().getName()
                 ext = fname.rsplit(".", 1)[-1].lower() if "." in fname else ""

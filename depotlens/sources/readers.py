@@ -4,7 +4,12 @@ Every field is read as text (K14); the event time is converted with
 ``try_cast`` so unreadable text becomes null instead of failing the job.
 A file with any corrupt record, or a CSV file whose header differs from the
 expected one, fails as a whole; a file without records is PARSED with zero
-rows.
+rows. A file that is missing or cannot be read fails alone: the others of its
+claim go on. A JSON file may be JSON Lines or one array over several lines.
+
+Rows find their file by the decoded URI (``uri_key``), so names may hold
+spaces, percent signs, brackets and other characters; a row of no claimed
+file is an error, never dropped.
 
 ``record_index`` is the position in the file: ``_metadata.file_block_start``
 orders the splits of a file and ``monotonically_increasing_id`` the rows of a
@@ -15,6 +20,7 @@ split, so it is right also when a large file is read by several tasks
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,16 +52,34 @@ def _reader(spark: SparkSession, fmt: str, fields: list[str]):
     return r.option("rowTag", ROW_TAG).option("ignoreSurroundingSpaces", False).format("xml")
 
 
-def read_records(spark: SparkSession, paths_by_format: dict[str, list[str]], fields: list[str]) -> DataFrame:
+def uri_key(path) -> F.Column:
+    """One form for a file's plain path and its URI in the metadata column:
+    percent codes decoded (the plain path is encoded first), one slash after
+    the scheme where there is no host."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+(?=[^/])", "$1:/")
+
+
+def metadata_key() -> F.Column:
+    # a plus sign stands for itself in a URI path
+    return uri_key(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+
+
+def literal_path(path: str) -> str:
+    """The path as a pattern that matches only itself."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def read_records(spark: SparkSession, paths_by_format: dict[str, list[str]], fields: list[str],
+                 options: dict | None = None) -> DataFrame:
     """All records of the given files with file path, split start, row id,
     format and corrupt marker. CSV header rows are kept for the check."""
     parts = []
     for fmt, paths in sorted(paths_by_format.items()):
         if not paths:
             continue
-        df = _reader(spark, fmt, fields).load(paths)
+        df = _reader(spark, fmt, fields).options(**(options or {})).load([literal_path(p) for p in paths])
         parts.append(df.select(
-            F.col("_metadata.file_path").alias("file_path"),
+            metadata_key().alias("file_path"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_m"),
             F.lit(fmt).alias("source_format"), *fields, CORRUPT))
@@ -99,13 +123,61 @@ def file_outcomes(rows: DataFrame, batch: DataFrame, fields: list[str]) -> DataF
         F.count_if(F.col(CORRUPT).isNotNull()).alias("_bad"),
         F.max(F.when(is_header, F.when(header_ok, 0).otherwise(1))).alias("_hdr_bad"),
         F.count_if(~is_header).alias("records"))
-    o = batch.select("file_id", F.col("landing_file_path").alias("file_path")).join(per, "file_path", "left")
+    o = batch.select("file_id", uri_key(F.col("landing_file_path")).alias("file_path")).join(per, "file_path", "left")
     err = (F.when(F.col("_bad") > 0, F.concat(F.lit("CORRUPT_RECORDS: "), F.col("_bad").cast("string")))
            .when(F.col("_hdr_bad") == 1, F.lit("HEADER_MISMATCH")))
     return o.select("file_id", err.isNull().alias("ok"), err.alias("error_message"),
                     F.coalesce("records", F.lit(0)).cast("long").alias("records"))
 
 
+def _collected(spark: SparkSession, by_fmt: dict[str, list[str]], fields: list[str],
+               failed: dict[str, str]) -> list[DataFrame]:
+    """The records of the files, read once and written (shared folder). Where
+    a read fails, its files are read in halves until the unreadable ones stand
+    alone; these go to ``failed`` with the reason."""
+    paths = [(f, p) for f, ps in sorted(by_fmt.items()) for p in ps]
+    if not paths:
+        return []
+    try:
+        # outcomes and rows both read it, and a query on the corrupt marker
+        # alone is not allowed on raw files
+        return [read_records(spark, by_fmt, fields).checkpoint(eager=True)]
+    except Exception as e:  # noqa: BLE001  the reason is kept in the ledger
+        if len(paths) == 1:
+            failed[paths[0][1]] = "UNREADABLE: " + str(e).strip().split("\n")[0][:300]
+            return []
+    out = []
+    for half in (paths[:len(paths) // 2], paths[len(paths) // 2:]):
+        part: dict[str, list[str]] = {}
+        for f, p in half:
+            part.setdefault(f, []).append(p)
+        out += _collected(spark, part, fields, failed)
+    return out
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _with_arrays(spark: SparkSession, rows: DataFrame, keys: dict[str, str], fields: list[str]) -> DataFrame:
+    """Rows of JSON files that turn out to be one array over several lines
+    (first line unreadable and starting with a bracket) are read anew."""
+    arrays = [r[0] for r in rows.where((F.col("source_format") == "json") & (F.col("_pos") == 0)
+                                       & F.ltrim(F.col(CORRUPT)).startswith("[")).select("file_path").collect()]
+    if not arrays:  # one path per claimed file at most
+        return rows
+    again = read_records(spark, {"json": [keys[k] for k in arrays]}, fields, {"multiLine": "true"}).checkpoint(eager=True)
+    return rows.where(~F.col("file_path").isin(arrays)).unionByName(with_positions(again))
+
+
+def event_time(text) -> F.Column:
+    """UTC wall time of a time text: a zone in the text counts, unreadable
+    text gives null (a time without a date too: it would take today's)."""
+    dated = F.when(F.col(text).rlike(r"^\s*[+-]?\d{4,}"), F.col(text))
+    return dated.try_cast("timestamp").cast("timestamp_ntz")
+
+
 def stage_batch(spark: SparkSession, batch: DataFrame, system: str, run_ts: dt.datetime):
     """Read one claimed batch (file_id, source_system, landing_file_path).
 
@@ -114,19 +186,36 @@ def stage_batch(spark: SparkSession, batch: DataFrame, system: str, run_ts: dt.d
     """
     fields = KINDS[system]["fields"]
     time_col = KINDS[system]["time"]
-    paths = [r[0] for r in batch.select("landing_file_path").collect()]
+    claimed = batch.select("landing_file_path", uri_key(F.col("landing_file_path"))).collect()
+    keys = {k: p for p, k in claimed}
+    failed: dict[str, str] = {}
     by_fmt: dict[str, list[str]] = {}
-    for p in paths:
-        by_fmt.setdefault(p.rsplit(".", 1)[-1].lower(), []).append(p)
-    # parsed once and written (shared folder): outcomes and rows both read it,
-    # and a query on the corrupt marker alone is not allowed on raw files
-    rows = with_positions(read_records(spark, by_fmt, fields).checkpoint(eager=True))
+    for p in keys.values():
+        if _exists(spark, p):
+            by_fmt.setdefault(p.rsplit(".", 1)[-1].lower(), []).append(p)
+        else:
+            failed[p] = "MISSING: the file is no longer there"
+    parts = _collected(spark, by_fmt, fields, failed) or [read_records(spark, {}, fields)]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    rows = _with_arrays(spark, with_positions(rows), keys, fields)
+    strange = [r[0] for r in rows.select("file_path").distinct().collect() if r[0] not in keys]
+    if strange:
+        raise RuntimeError(f"rows of files that were not claimed: {strange[:3]}")
     outcomes = file_outcomes(rows, batch, fields)
+    if failed:
+        bad = spark.createDataFrame(list(failed.items()), "landing_file_path string, _why string")
+        why = batch.join(F.broadcast(bad), "landing_file_path").select("file_id", "_why")
+        outcomes = outcomes.join(F.broadcast(why), "file_id", "left").select(
+            "file_id", (F.col("ok") & F.col("_why").isNull()).alias("ok"),
+            F.coalesce("_why", "error_message").alias("error_message"), "records")
     good = outcomes.where("ok").select("file_id")
-    ids = F.broadcast(batch.select("file_id", F.col("landing_file_path").alias("file_path")))
+    ids = F.broadcast(batch.select("file_id", uri_key(F.col("landing_file_path")).alias("file_path")))
     data = (rows.where(~((F.col("source_format") == "csv") & (F.col("_pos") == 0)))
             .join(ids, "file_path").join(F.broadcast(good), "file_id", "left_semi")
             .withColumn("record_index",
                         F.when(F.col("source_format") == "csv", F.col("_pos") - 1).otherwise(F.col("_pos")).cast("int"))
-            .withColumn(time_col, F.col(time_col).try_cast("timestamp_ntz")))
+            .withColumn("_time_text", F.col(time_col))
+            .withColumn(time_col, event_time("_time_text")))
     return finish_staging(data, system, run_ts), outcomes

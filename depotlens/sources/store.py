@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from depotlens.session import new_scratch_path
 
-_VERSION = re.compile(r"^v(\d{6})$")
+_VERSION = re.compile(r"^v(\d{6,})$")
 
 
 class Store:

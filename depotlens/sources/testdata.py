@@ -28,12 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rebalance a derived input whose scan gives fewer partitions than the
-    cluster has cores (a single-row-group file is read by one task). Large
-    inputs already give many splits and are left as they are, so this never
-    shuffles big data."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The derived input dealt out evenly (a test table may be one row group,
+    which one task would read and derive alone)."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _s(c) -> Column:

@@ -3,8 +3,6 @@
 import datetime as dt
 import random
 
-import pytest
-
 from depotlens.operators.asof import asof_join
 from depotlens.operators.ids import assign_ids
 
@@ -19,9 +17,9 @@ def test_asof_matches_brute_force_with_hot_key(spark):
          for j in range(700)]
     left = spark.createDataFrame(L, "lid int, k string, t timestamp_ntz")
     right = spark.createDataFrame(R, "rid int, k string, rt timestamp_ntz, h string")
-    for parts, limit in ((1, 0), (3, 0), (9, 0), (4, 10**6)):  # limit 0 forces the segmented plan
+    for parts in (1, 3, 9, None):
         got = {r.lid: r.m_rid for r in asof_join(left, right, "k", "t", "rt", ["rid", "h"], "h",
-                                                  num_partitions=parts, max_group_rows=limit).collect()}
+                                                  num_partitions=parts).collect()}
         want = {}
         for lid, k, t in L:
             cands = [(rt, h, rid) for rid, rk, rt, h in R if k is not None and t is not None and rk == k and rt <= t]
@@ -29,20 +27,16 @@ def test_asof_matches_brute_force_with_hot_key(spark):
         assert got == want
 
 
-def test_assign_ids_both_paths_are_consecutive_in_order(spark):
+def test_assign_ids_are_consecutive_in_order(spark):
     df = spark.range(0, 5000).selectExpr("(id * 7919) % 5000 AS k", "id AS v")
-    small = {r.k: r.n for r in assign_ids(df, ["k"], "n", start=10, size_hint=5000).collect()}
+    small = {r.k: r.n for r in assign_ids(df, ["k"], "n", start=10).collect()}
     big = {r.k: r.n for r in assign_ids(df, ["k"], "n", start=10, num_partitions=6).collect()}
     assert small == big == {k: k + 11 for k in range(5000)}
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_complaint_delivery_link_against_brute_force(spark, monkeypatch, limit):
-    from depotlens.operators import asof
+def test_complaint_delivery_link_against_brute_force(spark):
     from depotlens.operators.correlation import complaint_delivery_link
 
-    monkeypatch.setattr(asof, "MAX_GROUP_ROWS", limit)
-
     rnd = random.Random(11)
     base = dt.datetime(2024, 1, 1)
     parcels = ["p1", "hot", "hot", "hot", "p2", "p3", None]
@@ -70,9 +64,8 @@ def test_complaint_delivery_link_against_brute_force(spark, monkeypatch, limit):
         assert got[h] == want, h
 
 
-def test_fact_keys_same_on_both_numbering_paths(spark, monkeypatch):
+def test_fact_keys_follow_file_and_position(spark):
     from depotlens.operators import facts as fx
-    from depotlens.operators import ids
     from depotlens.operators.staging import finish_staging
 
     base = dt.datetime(2024, 2, 1)
@@ -83,7 +76,6 @@ def test_fact_keys_same_on_both_numbering_paths(spark, monkeypatch):
                                                         "recipient_address string, parcel_id string, "
                                                         "purchase_order_id string, complaint_text string"),
                             "complaints", base)
-    small = {r.record_hash_sha256: r.complaint_sk for r in fx.load_facts(None, staged, "complaints", base).collect()}
-    monkeypatch.setattr(ids, "SINGLE_TASK_MAX_ROWS", 0)
-    big = {r.record_hash_sha256: r.complaint_sk for r in fx.load_facts(None, staged, "complaints", base).collect()}
-    assert small == big and sorted(small.values()) == list(range(1, 121))
+    got = fx.load_facts(None, staged, "complaints", base).select("file_id", "record_hash_sha256", "complaint_sk").collect()
+    place = {r.record_hash_sha256: (r.file_id, r.record_index) for r in staged.collect()}
+    assert [r.complaint_sk for r in sorted(got, key=lambda r: place[r.record_hash_sha256])] == list(range(1, 121))

@@ -133,7 +133,7 @@ def test_event_ledger_view_equals_update_semantics(spark):
     assert rel.where("status = 'RECEIVED'").count() == 4
 
 
-def test_listing_lookback_skips_old_arrival_days(spark, tmp_root):
+def test_files_in_old_arrival_folders_are_listed(spark, tmp_root):
     from depotlens.sources.files import list_landing
 
     for day in ("2024-02-01", "2024-02-27", "2024-03-01"):
@@ -142,5 +142,66 @@ def test_listing_lookback_skips_old_arrival_days(spark, tmp_root):
         with open(os.path.join(d, "a.json"), "w") as f:
             f.write("")
     assert list_landing(spark, tmp_root, "complaints").count() == 3
-    assert list_landing(spark, tmp_root, "complaints", since=dt.date(2024, 2, 20)).count() == 2
     assert list_landing(spark, tmp_root, "delivery_events").count() == 0
+
+
+def test_odd_names_missing_and_unreadable_files(spark, tmp_root):
+    row = '{"complained_at":"2024-03-01 11:00:00","recipient_name":"%s"}\n'
+    names = ["with space.json", "pct%20x.json", "brack[1].json", "a+b.json", "star{1,2}.json", "plain.json"]
+    for n in names:
+        _write(tmp_root, n, row % n)
+    _write(tmp_root, "sp ace.csv", HEADER + "\n2024-03-01 10:00:00,PS1,csv,S,P,O,t\n")
+    _write(tmp_root, "x[2] %41.xml", "<records><record><recipient_name>xml</recipient_name></record></records>")
+    _write(tmp_root, "gone.json", row % "gone")
+    day = os.path.join(tmp_root, "complaints", "ingest_dt=2024-03-01")
+    p = Pipeline(spark)
+    from depotlens.sources import readers
+    exists = readers._exists
+    try:  # the file goes away between the listing and the read
+        readers._exists = lambda s, path: "gone" not in path and exists(s, path)
+        added = p.ingest(tmp_root, T1, systems=("complaints",))["complaints"]
+    finally:
+        readers._exists = exists
+    led = {os.path.basename(r.landing_file_path): (r.status, r.error_message) for r in p.ledger().collect()}
+    assert led.pop("gone.json")[0] == "FAILED"
+    assert set(led.values()) == {("PARSED", None)} and len(led) == 8
+    assert sorted(r.recipient_name for r in added.collect()) == sorted([*names, "csv", "xml"])
+    assert p.ingest(tmp_root, T2, systems=("complaints",)) == {}
+    assert os.path.isdir(day)
+
+
+def test_one_unreadable_file_fails_alone(spark, tmp_root, monkeypatch):
+    from depotlens.sources import readers
+
+    for i in range(5):
+        _write(tmp_root, f"f{i}.json", '{"complained_at":"2024-03-01 11:00:00","recipient_name":"r%d"}\n' % i)
+    real = readers.read_records
+
+    def read(spark, by_fmt, fields, options=None):
+        if any("f3" in p for ps in by_fmt.values() for p in ps):
+            raise OSError("cannot open f3")
+        return real(spark, by_fmt, fields, options)
+
+    monkeypatch.setattr(readers, "read_records", read)
+    p = Pipeline(spark)
+    added = p.ingest(tmp_root, T1, systems=("complaints",))["complaints"]
+    led = {os.path.basename(r.landing_file_path): (r.status, r.error_message) for r in p.ledger().collect()}
+    assert led["f3.json"] == ("FAILED", "UNREADABLE: cannot open f3")
+    assert sorted(r.recipient_name for r in added.collect()) == ["r0", "r1", "r2", "r4"]
+
+
+def test_arrays_over_lines_zones_and_unreadable_times(spark, tmp_root):
+    _write(tmp_root, "array.json", '[\n  {\n    "complained_at": "2024-01-01T10:00:00+02:00",\n    "recipient_name": "A"\n  },\n'
+                                   '  {"complained_at": "2024-01-01T10:00:00Z", "recipient_name": "B"}\n]\n')
+    _write(tmp_root, "bad_array.json", '[\n  {"recipient_name": "C"},\n  {"recipient_name": \n]\n')
+    _write(tmp_root, "times.json", '{"complained_at":"some day","recipient_name":"D"}\n{"complained_at":"other day","recipient_name":"D"}\n'
+                                   '{"complained_at":"10:15","recipient_name":"D"}\n{"complained_at":"some day","recipient_name":"D"}\n')
+    p = Pipeline(spark)
+    rows = p.ingest(tmp_root, T1, systems=("complaints",))["complaints"].collect()
+    led = {os.path.basename(r.landing_file_path): r.status for r in p.ledger().collect()}
+    assert led == {"array.json": "PARSED", "bad_array.json": "FAILED", "times.json": "PARSED"}
+    by = {r.recipient_name: r for r in rows}
+    assert by["A"].complained_at == dt.datetime(2024, 1, 1, 8) and by["B"].complained_at == dt.datetime(2024, 1, 1, 10)
+    assert (by["A"].record_index, by["B"].record_index) == (0, 1)
+    unread = [r for r in rows if r.recipient_name == "D"]
+    assert len(unread) == 3 and all(r.complained_at is None for r in unread)  # the repeated one is dropped
