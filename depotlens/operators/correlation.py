@@ -73,11 +73,12 @@ def driver_complaints(links: DataFrame, deliveries: DataFrame) -> DataFrame:
     """Per driver: deliveries, complaints traced to the driver's
     deliveries (S2), distinct complained parcels, and the ratio."""
     dd = deliveries.groupBy("driver_id").agg(F.count(F.lit(1)).alias("deliveries"))
-    cd = (links.where(F.col("delivery_record_hash").isNotNull()).groupBy("driver_id")
+    cd = (links.where(F.col("delivery_record_hash").isNotNull()).groupBy(F.col("driver_id").alias("_driver"))
           .agg(F.count(F.lit(1)).alias("complaints"),
                F.count_distinct("delivery_record_hash").alias("complained_deliveries")))
-    j = dd.join(cd, "driver_id", "full").select(
-        "driver_id", F.coalesce("deliveries", F.lit(0)).alias("deliveries"),
+    # the unknown driver is one driver
+    j = dd.join(cd, F.col("driver_id").eqNullSafe(F.col("_driver")), "full").select(
+        F.coalesce("driver_id", "_driver").alias("driver_id"), F.coalesce("deliveries", F.lit(0)).alias("deliveries"),
         F.coalesce("complaints", F.lit(0)).alias("complaints"),
         F.coalesce("complained_deliveries", F.lit(0)).alias("complained_deliveries"))
     return j.select("*", _rate("complaints", "deliveries"))

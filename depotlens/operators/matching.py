@@ -6,7 +6,8 @@ identifiers ('S-000042' versus 'PS42'). Mapping, per distinct external id:
 2. otherwise candidates are the current stations with the same number
    (digits at the end, leading zeros dropped; the blocking key), scored by
    the edit distance of the letter parts; the lowest score wins, ties by
-   the smaller reference identifier.
+   the smaller reference identifier. A score above ``MAX_DISTANCE`` times the
+   longer letter part is no match.
 Candidates are compared as distinct (number, letters) patterns, all of them
 (no cap): identifiers and stations sharing a pattern cost one row, and the
 best candidate is chosen by a partial aggregate (min_by).
@@ -20,6 +21,10 @@ from pyspark.sql import functions as F
 from depotlens.operators.station_dim import current_rows
 
 
+#: largest edit distance of the letter parts, relative to the longer one
+MAX_DISTANCE = 0.6
+
+
 def _norm(c: str) -> F.Column:
     return F.upper(F.regexp_replace(F.col(c), "[^A-Za-z0-9]", ""))
 
@@ -48,7 +53,8 @@ def match_stations(external_ids: DataFrame, dim: DataFrame, crosswalk: DataFrame
     s_pat = (s.where(F.col("s_num").isNotNull()).groupBy("s_num", "s_letters")
              .agg(F.min_by(F.struct("pickup_station_id", "ref_identifier"), F.col("ref_identifier")).alias("_st")))
     cand = (x_pat.join(s_pat, F.col("x_num") == F.col("s_num"))
-            .withColumn("score", F.levenshtein("x_letters", "s_letters")))
+            .withColumn("score", F.levenshtein("x_letters", "s_letters"))
+            .where(F.col("score") <= MAX_DISTANCE * F.greatest(F.length("x_letters"), F.length("s_letters"))))
     best_pat = (cand.groupBy("x_num", "x_letters")
                 .agg(F.min_by(F.struct(F.col("_st.pickup_station_id").alias("pickup_station_id"),
                                        F.col("_st.ref_identifier").alias("ref_identifier"), "score"),

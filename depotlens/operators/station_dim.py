@@ -53,8 +53,13 @@ def snapshot_rows(station_list: DataFrame, snapshot_date: dt.date) -> DataFrame:
 
 def upsert_snapshot(old: DataFrame, new: DataFrame) -> DataFrame:
     """Upsert by (snapshot_date, ref_identifier). Rows of a re-run replace
-    the ones with the same key; rows missing from the re-run stay."""
+    the ones with the same key; rows missing from the re-run stay. A key that
+    one list holds several times keeps its smallest row (by name, city, zip
+    code, street; nulls first)."""
     key = ["snapshot_date", "ref_identifier"]
+    rest = [c for c in old.columns if c not in key]
+    order = F.struct("name", "city", "zip_code", "street")
+    new = new.groupBy(*key).agg(F.min_by(F.struct(*rest), order).alias("_r")).select(*key, "_r.*")
     return old.join(new.select(*key), key, "left_anti").unionByName(new.select(*old.columns))
 
 
@@ -172,6 +177,14 @@ def state_as_of(dim: DataFrame, at: dt.datetime) -> DataFrame:
     return dim.where((F.col("valid_from") <= t) & (F.col("valid_to").isNull() | (F.col("valid_to") > t)))
 
 
+def check_keys(dim: DataFrame) -> DataFrame:
+    """Stations with several current rows and surrogate keys given twice."""
+    current = dim.where(F.col("is_current")).groupBy("pickup_station_id").count().where("count > 1")
+    keys = dim.groupBy("pickup_station_sk").count().where("count > 1")
+    return (current.agg(F.count(F.lit(1)).alias("violations")).select(F.lit("one_current").alias("check_name"), "violations")
+            .unionByName(keys.agg(F.count(F.lit(1)).alias("violations")).select(F.lit("unique_sk").alias("check_name"), "violations")))
+
+
 def check_one_current(dim: DataFrame) -> DataFrame:
     """Stations, current rows and stations with more than one current row."""
     per = dim.groupBy("pickup_station_id").agg(F.count_if(F.col("is_current")).alias("_c"))

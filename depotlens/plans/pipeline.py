@@ -133,6 +133,9 @@ class Pipeline:
         dim = self._get("dim_pickup_station")
         dim = station_dim.empty_dim(self.spark) if dim is None else dim
         new = station_dim.apply_snapshot(dim, snaps, run_ts, snapshot_date=snapshot_date, allow_empty=allow_empty)
+        broken = {r[0]: r[1] for r in station_dim.check_keys(new).where("violations > 0").collect()}
+        if broken:  # nothing is published
+            raise ValueError(f"station history would break its keys: {broken}")
         return self.store.put("dim_pickup_station", new, partition_by=["is_current"])
 
     # ---------------------------------------------------------------- facts

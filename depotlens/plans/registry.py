@@ -217,6 +217,16 @@ def _d10(sc):
     return sc.dim2
 
 
+@register("check_station_keys", o.sql("""
+SELECT 'one_current' AS check_name, (SELECT count(*) FROM (SELECT 1 FROM dim2 WHERE is_current GROUP BY pickup_station_id HAVING count(*) > 1)) AS violations
+UNION ALL
+SELECT 'unique_sk', (SELECT count(*) FROM (SELECT 1 FROM dim2 GROUP BY pickup_station_sk HAVING count(*) > 1))""", "dim2"))
+def _c1b(sc):
+    """C1 and the dimension's primary key: stations with several current
+    rows, surrogate keys given twice (0 each)."""
+    return station_dim.check_keys(sc.dim2)
+
+
 @register("check_one_current", o.sql("""
 SELECT count(*) AS stations, CAST(coalesce(sum(c), 0) AS BIGINT) AS current_rows,
        count(*) FILTER (WHERE c > 1) AS violations
@@ -294,35 +304,33 @@ def register_files_query(name: str, oracle_sql: str | None = None):
     return deco
 
 
-def _file_rows(src: str, system: str, fields: list[str], text: list[str], order: str, keep: str) -> str:
+def _file_rows(src: str, system: str, fields: list[str], text: list[str], order: str, part: str) -> str:
     cols = ", ".join(fields)
     return f"""
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY record_hash_sha256 ORDER BY ingest_dt, source_format, record_index) AS rn
-    FROM (SELECT ingest_dt, source_format,
-                 CAST(row_number() OVER (PARTITION BY ingest_dt, source_format ORDER BY {order}) - 1 AS INTEGER) AS record_index,
+SELECT * EXCLUDE (rn, part) FROM (
+  SELECT *, row_number() OVER (PARTITION BY record_hash_sha256 ORDER BY ingest_dt, part, source_format, record_index) AS rn
+    FROM (SELECT ingest_dt, source_format, {part} AS part,
+                 CAST(row_number() OVER (PARTITION BY ingest_dt, source_format, {part} ORDER BY {order}) - 1 AS INTEGER) AS record_index,
                  {o._hash(system, fields[0], text)} AS record_hash_sha256, {cols},
                  {o._NORM.format(c='recipient_name')} AS recipient_name_norm,
                  {o._NORM.format(c='recipient_address')} AS recipient_address_norm,
                  {o.RUN1} AS ingested_at
-            FROM {src})
-   WHERE {keep})
+            FROM {src}))
  WHERE rn = 1"""
 
 
 @register_files_query("stage_complaints", o.sql(
-    _file_rows("crec", "complaints", o.C_FIELDS, o.C_TEXT, "event_id",
-               "ingest_dt <> (SELECT min(ingest_dt) FROM crec)"), "crec"))
+    _file_rows("crec", "complaints", o.C_FIELDS, o.C_TEXT, "event_id", "event_id % 2"), "crec"))
 def _l5(fs):
-    """Complaints read from CSV, JSON Lines and XML landing files
-    (damaged files of the first day fail as a whole)."""
+    """Complaints read from CSV, JSON Lines and XML landing files, two
+    per day and format (the damaged extra files of the first day fail)."""
     return fs.staged_with_file("complaints")
 
 
 @register_files_query("stage_delivery_events", o.sql(
     _file_rows("drec", "delivery_events", o.D_FIELDS, o.D_TEXT,
                "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
-               "l_returnflag, l_linestatus, delivered_at", "TRUE"), "drec"))
+               "l_returnflag, l_linestatus, delivered_at", "l_linenumber % 2"), "drec"))
 def _l6(fs):
     """Delivery events read from landing files, deduplicated."""
     return fs.staged_with_file("delivery_events")
@@ -334,10 +342,11 @@ SELECT source_system, ingest_dt, source_format,
        CASE WHEN bad THEN 'CORRUPT_RECORDS: 1' END AS error_message,
        {o.RUN1} AS received_at,
        CASE WHEN bad THEN CAST(NULL AS TIMESTAMP) ELSE {o.RUN1} END AS parsed_at
-  FROM (SELECT DISTINCT 'complaints' AS source_system, ingest_dt, source_format,
-               ingest_dt = (SELECT min(ingest_dt) FROM crec) AS bad FROM crec
+  FROM (SELECT DISTINCT 'complaints' AS source_system, ingest_dt, source_format, event_id % 2 AS part, FALSE AS bad FROM crec
+        UNION ALL
+        SELECT DISTINCT 'complaints', ingest_dt, source_format, 2, TRUE FROM crec WHERE ingest_dt = (SELECT min(ingest_dt) FROM crec)
         UNION ALL
-        SELECT DISTINCT 'delivery_events', ingest_dt, source_format, FALSE FROM drec)""", "crec", "drec"))
+        SELECT DISTINCT 'delivery_events', ingest_dt, source_format, l_linenumber % 2, FALSE FROM drec)""", "crec", "drec"))
 def _l3(fs):
     """L3/L4: ledger after parsing: PARSED with time, or FAILED with reason."""
     return fs.ledger.select(
@@ -388,7 +397,7 @@ SELECT coalesce(a.driver_id, b.driver_id) AS driver_id, coalesce(a.deliveries, 0
        CASE WHEN coalesce(a.deliveries, 0) > 0 THEN coalesce(b.complaints, 0) / coalesce(a.deliveries, 0) END AS complaint_rate
   FROM (SELECT driver_id, count(*) AS deliveries FROM fact_d GROUP BY driver_id) a
   FULL JOIN (SELECT driver_id, count(*) AS complaints, count(DISTINCT delivery_record_hash) AS complained_deliveries
-               FROM s2 WHERE delivery_record_hash IS NOT NULL GROUP BY driver_id) b ON a.driver_id = b.driver_id""",
+               FROM s2 WHERE delivery_record_hash IS NOT NULL GROUP BY driver_id) b ON a.driver_id IS NOT DISTINCT FROM b.driver_id""",
           "fact_d", "s2"))
 def _s4(sc):
     """Drivers with their deliveries and the complaints traced to them."""
@@ -409,7 +418,7 @@ def _s5(sc):
     return recipient_behavior(sc.fact_complaint, sc.fact_delivery)
 
 
-@register("station_match", o.sql("""
+_STATION_MATCH = """
 WITH ids AS (SELECT DISTINCT pickup_station_external_id AS external_id FROM fact_d WHERE pickup_station_external_id IS NOT NULL),
 x AS (SELECT external_id, TRY_CAST(regexp_extract(upper(regexp_replace(external_id, '[^A-Za-z0-9]', '', 'g')), '([0-9]+)$', 1) AS BIGINT) AS num,
              regexp_replace(upper(regexp_replace(external_id, '[^A-Za-z0-9]', '', 'g')), '[0-9]+$', '') AS letters FROM ids),
@@ -420,7 +429,14 @@ s AS (SELECT pickup_station_id, ref_identifier,
 best AS (SELECT * FROM (SELECT x.external_id, s.pickup_station_id, s.ref_identifier,
                                CAST(levenshtein(x.letters, s.letters) AS INTEGER) AS score,
                                row_number() OVER (PARTITION BY x.external_id ORDER BY levenshtein(x.letters, s.letters), s.ref_identifier) AS rn
-                          FROM x JOIN s ON s.num = x.num) WHERE rn = 1)
+                          FROM x JOIN s ON s.num = x.num
+                           AND levenshtein(x.letters, s.letters) <= 0.6 * greatest(length(x.letters), length(s.letters))) WHERE rn = 1),
+cross_ids AS (SELECT 'S-' || lpad(substr(ref_identifier, 4), 6, '0') AS external_id, pickup_station_id, ref_identifier
+                FROM dim2 WHERE is_current AND ref_identifier LIKE 'PSX%')
+"""
+
+
+@register("station_match", o.sql(_STATION_MATCH + """
 SELECT ids.external_id, b.pickup_station_id, b.ref_identifier, CASE WHEN b.external_id IS NOT NULL THEN 'fuzzy' END AS match_method,
        b.score
   FROM ids LEFT JOIN best b USING (external_id)""", "fact_d", "dim2"))
@@ -430,6 +446,20 @@ def _s6(sc):
     return match_stations(sc.fact_delivery.select("pickup_station_external_id"), sc.dim2)
 
 
+@register("station_match_crosswalk", o.sql(_STATION_MATCH + """
+SELECT ids.external_id, coalesce(c.pickup_station_id, b.pickup_station_id) AS pickup_station_id,
+       coalesce(c.ref_identifier, b.ref_identifier) AS ref_identifier,
+       CASE WHEN c.external_id IS NOT NULL THEN 'crosswalk' WHEN b.external_id IS NOT NULL THEN 'fuzzy' END AS match_method,
+       CASE WHEN c.external_id IS NULL THEN b.score END AS score
+  FROM ids LEFT JOIN best b USING (external_id) LEFT JOIN cross_ids c USING (external_id)""", "fact_d", "dim2"))
+def _s6b(sc):
+    """The same with a crosswalk for the stations that changed identifiers."""
+    from depotlens.operators.matching import match_stations
+    cross = station_dim.current_rows(sc.dim2).where(F.col("ref_identifier").startswith("PSX")).select(
+        F.concat(F.lit("S-"), F.lpad(F.expr("substr(ref_identifier, 4)"), 6, "0")).alias("external_id"), "ref_identifier")
+    return match_stations(sc.fact_delivery.select("pickup_station_external_id"), sc.dim2, crosswalk=cross)
+
+
 _AT = "TIMESTAMP '2024-01-31 00:00:00'"
 
 

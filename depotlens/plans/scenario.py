@@ -217,8 +217,8 @@ def file_scenario(spark: SparkSession, sf_dir: str) -> "FileScenario":
 class FileScenario:
     """Day-1 intake from real landing files written from the derived records.
 
-    Complaint files of the first arrival day are damaged on purpose (one bad
-    record per format), so those three files must fail as a whole.
+    Two files per day and format; on the first arrival day of the complaints
+    one damaged extra file per format, which must fail as a whole.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -241,9 +241,10 @@ class FileScenario:
         from depotlens.sources.files import write_landing
 
         write_landing(td.complaint_records(self.spark, self.sf_dir), self.root, "complaints",
-                      COMPLAINT_FIELDS, "complained_at", td.COMPLAINT_FILE_ORDER, damage_day=self.damage_day)
+                      COMPLAINT_FIELDS, "complained_at", td.COMPLAINT_FILE_ORDER,
+                      part=F.col("event_id") % 2, damage_day=self.damage_day)
         write_landing(td.delivery_records(self.spark, self.sf_dir), self.root, "delivery_events",
-                      DELIVERY_FIELDS, "delivered_at", td.DELIVERY_FILE_ORDER)
+                      DELIVERY_FIELDS, "delivered_at", td.DELIVERY_FILE_ORDER, part=F.col("l_linenumber") % 2)
         return self.root
 
     @_lazy

@@ -7,15 +7,15 @@ partition discovery, so it can prune.
 The writer is the test fixture's stand-in for the file server: it turns
 records into CSV (header line + ``to_csv``), JSON Lines (``to_json``) and
 XML (``to_xml`` rows inside one root element) text, written by the text
-sink, one file per (ingest_dt, format), and then gives each part file its
-file name.
+sink, one file per (ingest_dt, format, part), and then gives each part file
+its file name.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.operators.ids import assign_ids
@@ -25,7 +25,7 @@ from depotlens.session import new_scratch_path
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 ROW_TAG, ROOT_TAG = "record", "records"
 FORMATS = ("csv", "json", "xml")
-MAX_RECORDS_PER_FILE = 100_000
+FILES_PER_DAY = 2  # per format, in the fixture
 # RFC 4180 quoting (a quote inside a field is doubled); spaces are data.
 CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
@@ -71,62 +71,61 @@ def _record_text(fields: list[str], time_col: str) -> dict[str, F.Column]:
 
 
 def write_landing(records: DataFrame, root: str, system: str, fields: list[str], time_col: str,
-                  order_cols: list[str], damage_day=None, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> str:
-    """Write ``records`` (with ingest_dt, source_format) as landing files.
-
-    Records are numbered in (ingest_dt, source_format, order) order by the
-    distributed id allocator; a record's position in its group is its id
-    minus the group's first id (no window over a whole group). A group is
-    cut into files of at most ``max_records_per_file`` records
-    (``<system>_<yyyymmdd>.<fmt>``, then ``_<k>`` for part k > 0), and one
-    file's text is assembled from its lines in one row, so a row holds at
-    most one bounded file.
-
-    ``damage_day``: on that ingest day the first record of each file is
-    broken (CSV: one field too many; JSON: missing closing brace; XML:
-    unclosed element), which must make the whole file FAILED.
+                  order_cols: list[str], part: Column, damage_day=None) -> str:
+    """Write ``records`` (with ingest_dt, source_format) as landing files, one
+    per (ingest_dt, source_format, part), where ``part`` is 0 to
+    ``FILES_PER_DAY`` - 1 by a rule over the record.
+
+    Records are numbered in (ingest_dt, source_format, part, order) order by
+    the distributed id allocator; a record's position in its file is its id
+    minus the file's first id (no window over a whole file). One file's text
+    is assembled from its lines in one row.
+
+    ``damage_day``: for that ingest day one more file per format is written,
+    part ``FILES_PER_DAY``, which holds a broken copy of one record (CSV: one
+    field too many; JSON: missing closing brace; XML: unclosed element), so
+    the whole file must become FAILED.
     """
     spark = records.sparkSession
     texts = _record_text(fields, time_col)
     line = (F.when(F.col("source_format") == "csv", texts["csv"])
             .when(F.col("source_format") == "json", texts["json"]).otherwise(texts["xml"]))
-    numbered = assign_ids(records.select("ingest_dt", "source_format", *order_cols, line.alias("value")),
-                          ["ingest_dt", "source_format", *order_cols], "_id")
-    first = numbered.groupBy("ingest_dt", "source_format").agg(F.min("_id").alias("_first"))
-    pos = F.col("_id") - F.col("_first")
-    body = (numbered.join(first, ["ingest_dt", "source_format"])
-            .select("ingest_dt", "source_format",
-                    (pos / max_records_per_file).cast("long").alias("part"),
-                    (pos % max_records_per_file).alias("_n"), "value"))
+    file = ["ingest_dt", "source_format", "part"]
+    numbered = assign_ids(records.select("ingest_dt", "source_format", part.cast("int").alias("part"), *order_cols, line.alias("value")),
+                          [*file, *order_cols], "_id")
+    first = numbered.groupBy(*file).agg(F.min("_id").alias("_first"))
+    body = numbered.join(first, file).select(*file, (F.col("_id") - F.col("_first")).alias("_n"), "value")
     if damage_day is not None:
-        hit = (F.col("ingest_dt") == F.lit(damage_day)) & (F.col("_n") == 0)
         broken = (F.when(F.col("source_format") == "csv", F.concat("value", F.lit(",EXTRA")))
                   .when(F.col("source_format") == "json", F.expr("substring(value, 1, length(value) - 1)"))
                   .otherwise(F.regexp_replace("value", "</" + ROW_TAG + ">", "")))
-        body = body.withColumn("value", F.when(hit, broken).otherwise(F.col("value")))
-    groups = body.select("ingest_dt", "source_format", "part").distinct()
+        copies = (body.where((F.col("ingest_dt") == F.lit(damage_day)) & (F.col("_n") == 0))
+                  .groupBy("ingest_dt", "source_format").agg(F.min("value").alias("value")))
+        body = body.unionByName(copies.select(
+            "ingest_dt", "source_format", F.lit(FILES_PER_DAY).alias("part"), F.lit(0).cast("long").alias("_n"), broken.alias("value")))
+    groups = body.select(*file).distinct()
     head = (groups.where(F.col("source_format").isin("csv", "xml"))
-            .select("ingest_dt", "source_format", "part", F.lit(-1).cast("long").alias("_n"),
+            .select(*file, F.lit(-1).cast("long").alias("_n"),
                     F.when(F.col("source_format") == "csv", F.lit(",".join(fields)))
                     .otherwise(F.lit(f"<{ROOT_TAG}>")).alias("value")))
     tail = (groups.where(F.col("source_format") == "xml")
-            .select("ingest_dt", "source_format", "part", F.lit(1 << 62).cast("long").alias("_n"),
-                    F.lit(f"</{ROOT_TAG}>").alias("value")))
+            .select(*file, F.lit(1 << 62).cast("long").alias("_n"), F.lit(f"</{ROOT_TAG}>").alias("value")))
     lines = body.unionByName(head).unionByName(tail)
     # One row holds one file's text (lines in order), so the sink's own sort
-    # cannot reorder lines; a file has at most max_records_per_file lines.
-    files = (lines.groupBy("ingest_dt", "source_format", "part")
+    # cannot reorder lines.
+    files = (lines.groupBy(*file)
              .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_n", "value"))),
                                            lambda x: x["value"]), "\n").alias("value")))
     tmp = new_scratch_path(spark, "landing-tmp")
-    files.write.partitionBy("ingest_dt", "source_format", "part").text(tmp)
+    files.write.partitionBy(*file).text(tmp)
     _name_files(spark, tmp, f"{root.rstrip('/')}/{system}", system)
     return f"{root.rstrip('/')}/{system}"
 
 
 def _name_files(spark: SparkSession, tmp: str, dest: str, system: str) -> None:
-    """Move each written part file to ``ingest_dt=<d>/<system>_<yyyymmdd>.<fmt>``
-    (file-system metadata calls, one per file)."""
+    """Move each written part file to ``ingest_dt=<d>/<system>_<yyyymmdd>_<part>.<fmt>``
+    (file-system metadata calls, one per file); names of odd parts also hold
+    characters that paths and URIs write differently."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
@@ -136,7 +135,7 @@ def _name_files(spark: SparkSession, tmp: str, dest: str, system: str) -> None:
         part = int(p.getParent().getName().split("=", 1)[1])
         fmt = p.getParent().getParent().getName().split("=", 1)[1]
         day = p.getParent().getParent().getParent().getName().split("=", 1)[1]
-        suffix = "" if part == 0 else f"_{part}"
+        suffix = f"_{part} [%20]" if part % 2 else f"_{part}"
         target = Path(f"{dest}/ingest_dt={day}/{system}_{day.replace('-', '')}{suffix}.{fmt}")
         fs.mkdirs(target.getParent())
         fs.rename(p, target)

@@ -37,13 +37,15 @@ def test_station_match_crosswalk_and_ties(spark):
     dim = station_dim.apply_snapshot(
         station_dim.empty_dim(spark),
         station_dim.snapshot_rows(stations(spark, [("PS42", "a", "c", "1", "s1"), ("PSN42", "b", "c", "2", "s2"),
-                                                   ("QS7", "q", "c", "3", "s3"), ("PT7", "t", "c", "4", "s4")]), D1),
+                                                   ("QS7", "q", "c", "3", "s3"), ("PT7", "t", "c", "4", "s4"),
+                                                   ("PA7", "u", "c", "5", "s5")]), D1),
         T1)
-    ids = spark.createDataFrame([("S-000042",), ("X-7",), ("S-000042",), ("zz",), (None,), ("K-9",)], "e string")
+    ids = spark.createDataFrame([("S-000042",), ("P-7",), ("WAREHOUSE-7",), ("S-000042",), ("zz",), (None,), ("K-9",)], "e string")
     cw = spark.createDataFrame([("K-9", "QS7")], "external_id string, ref_identifier string")
     got = {r.external_id: (r.ref_identifier, r.match_method, r.score)
            for r in match_stations(ids, dim, crosswalk=cw).collect()}
     assert got["S-000042"] == ("PS42", "fuzzy", 1)
-    assert got["X-7"] == ("PT7", "fuzzy", 2)  # tie on score 2: smaller reference wins
+    assert got["P-7"] == ("PA7", "fuzzy", 1)  # tie on score 1: smaller reference wins
+    assert got["WAREHOUSE-7"] == (None, None, None)  # too far from every station
     assert got["K-9"] == ("QS7", "crosswalk", None)
     assert got["zz"] == (None, None, None) and None not in got

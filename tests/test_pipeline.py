@@ -15,9 +15,9 @@ SF = "/root/testdata/sf0.001"
 
 def test_two_daily_runs_and_rerun_changes_nothing(spark, tmp_root):
     write_landing(td.complaint_records(spark, SF), tmp_root, "complaints", COMPLAINT_FIELDS, "complained_at",
-                  td.COMPLAINT_FILE_ORDER)
+                  td.COMPLAINT_FILE_ORDER, part=F.col("event_id") % 2)
     write_landing(td.delivery_records(spark, SF), tmp_root, "delivery_events", DELIVERY_FIELDS, "delivered_at",
-                  td.DELIVERY_FILE_ORDER)
+                  td.DELIVERY_FILE_ORDER, part=F.col("l_linenumber") % 2)
     p = Pipeline(spark, batch_size=40)
     p.run(td.DAY1, td.RUN1, tmp_root, td.station_list_day1(spark, SF).drop("s_suppkey"))
     facts1 = p.store.get("fact_complaint").count()
@@ -53,7 +53,7 @@ def test_stream_trigger_runs_ledger_intake(spark, tmp_root):
     from depotlens.streaming.intake import start_intake
 
     write_landing(td.complaint_records(spark, SF), tmp_root, "complaints", COMPLAINT_FIELDS, "complained_at",
-                  td.COMPLAINT_FILE_ORDER)
+                  td.COMPLAINT_FILE_ORDER, part=F.col("event_id") % 2)
     p = Pipeline(spark)
     q = start_intake(spark, p, tmp_root, new_scratch_path(spark, "stream-ckpt"), system="complaints",
                      clock=lambda: td.RUN1)
@@ -81,7 +81,7 @@ def test_staged_batches_left_by_a_stopped_driver_are_loaded_next_run(spark, tmp_
     from depotlens.sources.store import Store
 
     write_landing(td.complaint_records(spark, SF), tmp_root + "/landing", "complaints", COMPLAINT_FIELDS,
-                  "complained_at", td.COMPLAINT_FILE_ORDER)
+                  "complained_at", td.COMPLAINT_FILE_ORDER, part=F.col("event_id") % 2)
     store_root = tmp_root + "/store"
     p1 = Pipeline(spark, Store(spark, store_root), batch_size=30)
     p1.ingest(tmp_root + "/landing", td.RUN1, systems=("complaints",))  # stops before loading facts

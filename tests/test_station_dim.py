@@ -130,3 +130,29 @@ def test_fingerprint_and_hash_values(spark):
     import hashlib
     assert got["Z"] == ("AB1|STREET X", hashlib.sha256(b"n|c|ab1|street x").hexdigest())
     assert got["Y"] == ("|", hashlib.sha256(b"|||").hexdigest())
+
+
+def test_repeated_identifier_keeps_one_row_and_broken_keys_stop(spark):
+    import pytest
+
+    from depotlens.plans.pipeline import Pipeline
+
+    rows = stations(spark, [("A", "a2", "c", "1", "s"), ("A", "a", "c", "1", "s"), ("B", "b", "c", "2", "s")])
+    p = Pipeline(spark)
+    dim = p.apply_stations(rows, D1, T1)
+    assert sorted((r.ref_identifier, r.name) for r in dim.collect()) == [("A", "a"), ("B", "b")]
+    assert sd.check_keys(dim).where("violations > 0").count() == 0
+    doubled = dim.unionByName(dim.where("ref_identifier = 'A'"))
+    assert {r[0]: r[1] for r in sd.check_keys(doubled).collect()} == {"one_current": 1, "unique_sk": 1}
+    p.store.put("dim_pickup_station", doubled, partition_by=["is_current"])
+    with pytest.raises(ValueError):
+        p.apply_stations(rows, D2, T2)
+
+
+def test_unknown_driver_is_one_row(spark):
+    from depotlens.operators.correlation import driver_complaints
+
+    links = spark.createDataFrame([("c1", "d1", None), ("c2", "d2", "x")], "record_hash_sha256 string, delivery_record_hash string, driver_id string")
+    deliveries = spark.createDataFrame([(None,), (None,), ("x",)], "driver_id string")
+    got = {r.driver_id: (r.deliveries, r.complaints) for r in driver_complaints(links, deliveries).collect()}
+    assert got == {None: (2, 1), "x": (1, 1)}
