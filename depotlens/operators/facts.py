@@ -89,6 +89,11 @@ def complaint_view(fact: DataFrame, links: DataFrame | None) -> DataFrame:
     return fact.join(links.select("record_hash_sha256", "pickup_station_id"), "record_hash_sha256", "left")
 
 
+def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
+    """How many values of ``key`` several rows share."""
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).agg(F.count_if(F.col("_n") > 1).alias("violations"))
+
+
 def check_unique_hash(df: DataFrame) -> DataFrame:
     """Rows, distinct hashes, hashes seen more than once."""
     per = df.groupBy("record_hash_sha256").agg(F.count(F.lit(1)).alias("_n"))

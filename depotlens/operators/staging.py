@@ -57,13 +57,15 @@ def stage_from_files(records: DataFrame, files: DataFrame, system: str, order_co
 
 def dedupe_staged(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """L10 with K7: one row per record hash, the one with the smallest
-    (file_id, record_index); hashes already staged are dropped. ``min_by``
-    aggregates partially on the map side, so a hash repeated very often does
-    not pile up in one task."""
+    (file_id, record_index); hashes already staged are dropped. Only hash and
+    place are aggregated (a place is one number, so this is a hash aggregate
+    with a map-side half, which a hash repeated very often does not pile up
+    in one task); the rows themselves are joined with the kept places once.
+    (file_id, record_index) is the key of a batch."""
     cols = batch.columns
-    kept = (batch.groupBy("record_hash_sha256")
-            .agg(F.min_by(F.struct(*cols), F.struct("file_id", "record_index")).alias("_r"))
-            .select("_r.*"))
+    place = F.col("file_id") * (1 << 31) + F.col("record_index")
+    first = batch.groupBy("record_hash_sha256").agg(F.min(place).alias("_place"))
+    kept = batch.withColumn("_place", place).join(first, ["record_hash_sha256", "_place"], "left_semi")
     if existing is not None:
         kept = kept.join(existing.select("record_hash_sha256"), "record_hash_sha256", "left_anti")
     return kept.select(*cols)

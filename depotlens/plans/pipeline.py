@@ -21,7 +21,7 @@ from depotlens.operators import facts as fx
 from depotlens.operators import landing, station_dim
 from depotlens.operators.monitoring import complaint_monitoring, upsert_by_date
 from depotlens.operators.staging import dedupe_staged
-from depotlens.schemas import MONITORING
+from depotlens.schemas import MONITORING, STATION_SNAPSHOT
 from depotlens.sources.files import list_landing
 from depotlens.sources.readers import stage_batch
 from depotlens.sources.store import Store
@@ -138,6 +138,10 @@ class Pipeline:
             raise ValueError(f"station history would break its keys: {broken}")
         return self.store.put("dim_pickup_station", new, partition_by=["is_current"])
 
+    def snapshots(self) -> DataFrame | None:
+        """The station lists of all days (each day is a table of its own)."""
+        return self.store.union("stg_pickup_station", STATION_SNAPSHOT)
+
     # ---------------------------------------------------------------- facts
     def load_facts(self, system: str, staged: DataFrame, run_ts: dt.datetime,
                    created_at: Column | None = None) -> DataFrame:

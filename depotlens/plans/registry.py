@@ -139,16 +139,18 @@ def _l8(sc):
 
 
 # ---------------------------------------------------------------- stations
-@register("station_fingerprint", o.sql("SELECT ref_identifier, fingerprint FROM snap2", "snap2"))
+@register("station_fingerprint", o.sql("""SELECT snapshot_date, ref_identifier, fingerprint FROM snap1
+UNION ALL SELECT snapshot_date, ref_identifier, fingerprint FROM snap2""", "snap1", "snap2"))
 def _d2(sc):
-    """Fingerprint of each station of the day-2 list."""
-    return sc.snap2.select("ref_identifier", "fingerprint")
+    """Fingerprint of each station of both days' lists."""
+    return sc.snap1.unionByName(sc.snap2).select("snapshot_date", "ref_identifier", "fingerprint")
 
 
-@register("station_attr_hash", o.sql("SELECT ref_identifier, attr_hash_sha256 FROM snap2", "snap2"))
+@register("station_attr_hash", o.sql("""SELECT snapshot_date, ref_identifier, attr_hash_sha256 FROM snap1
+UNION ALL SELECT snapshot_date, ref_identifier, attr_hash_sha256 FROM snap2""", "snap1", "snap2"))
 def _d3(sc):
-    """D3: attribute hash of each station of the day-2 list."""
-    return sc.snap2.select("ref_identifier", "attr_hash_sha256")
+    """D3: attribute hash of each station of both days' lists."""
+    return sc.snap1.unionByName(sc.snap2).select("snapshot_date", "ref_identifier", "attr_hash_sha256")
 
 
 _SNAP_COLS = "snapshot_date, ref_identifier, name, city, zip_code, street, fingerprint, attr_hash_sha256"
@@ -289,6 +291,25 @@ def _c3(sc):
     return a.unionByName(b)
 
 
+_KEYS = [("stg_complaint", "stg_c", ["file_id", "record_index"]), ("stg_delivery_event", "stg_d", ["file_id", "record_index"]),
+         ("landing_file", "ledger", ["source_system", "source_file_path", "source_modified_at", "file_size_bytes"]),
+         ("stg_pickup_station", "snap2", ["snapshot_date", "ref_identifier"])]
+
+
+@register("check_primary_keys", o.sql(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS violations FROM (SELECT 1 FROM {v} GROUP BY {', '.join(k)} HAVING count(*) > 1)"
+    for t, v, k in _KEYS), "stg_c", "stg_d", "ledger", "snap2"))
+def _pk(sc):
+    """Natural and primary keys that several rows of a table share (0 each)."""
+    tables = {"stg_complaint": sc.stg_complaint, "stg_delivery_event": sc.stg_delivery, "landing_file": sc.ledger,
+              "stg_pickup_station": sc.snap2}
+    parts = [fx.repeated_keys(tables[t], k).select(F.lit(t).alias("table_name"), "violations") for t, _, k in _KEYS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # --------------------------------------------------------- landing files
 def register_files_query(name: str, oracle_sql: str | None = None):
     def deco(fn):

@@ -27,6 +27,9 @@ def register_views(pipeline: Pipeline, as_of: dt.date) -> dict[str, DataFrame]:
                  "monitoring_complaints"):
         if st.has(name):
             views[name] = st.get(name)
+    snapshots = pipeline.snapshots()
+    if snapshots is not None:
+        views["stg_pickup_station"] = snapshots
     links = st.get("complaint_station_link") if st.has("complaint_station_link") else None
     if st.has("fact_complaint"):
         fact = st.get("fact_complaint")

@@ -74,6 +74,15 @@ class Store:
     def has(self, name: str) -> bool:
         return self._is_append(name) or self._latest(name) > 0
 
+    def union(self, name: str, schema: T.StructType) -> DataFrame | None:
+        """The latest versions of all tables below ``name`` as one scan."""
+        base = self._p(f"{self.root}/{name}")
+        if not self._fs.exists(base):
+            return None
+        parts = [f"{name}/{s.getPath().getName()}" for s in self._fs.listStatus(base) if s.isDirectory()]
+        paths = [self.path(p) for p in parts if self._latest(p)]
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*paths) if paths else None
+
     def put(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         """Write ``df`` as the next version of ``name`` and return it read back."""
         v = self._latest(name) + 1

@@ -44,6 +44,9 @@ def test_two_daily_runs_and_rerun_changes_nothing(spark, tmp_root):
     via_sql = spark.sql("SELECT pickup_identifier, claims_last_14_days FROM rpt_pickup_station_claims_14d")
     assert sorted(map(tuple, via_sql.collect())) == \
         sorted(map(tuple, r1.select("pickup_identifier", "claims_last_14_days").collect()))
+    days = spark.sql("SELECT snapshot_date, count(*) AS n FROM stg_pickup_station GROUP BY 1 ORDER BY 1").collect()
+    assert [(r.snapshot_date, r.n) for r in days] == [
+        (td.DAY1, td.station_list_day1(spark, SF).count()), (td.DAY2, td.station_list_day2(spark, SF).count())]
     n_unlinked = spark.sql("SELECT count(*) AS n FROM fact_complaint WHERE pickup_station_id IS NULL").first().n
     assert n_unlinked == p.store.get("fact_complaint").count() - p.store.get("complaint_station_link").count()
 
