@@ -1,7 +1,7 @@
 """Operator 8: quality rules.
 
-Pairs of neighbouring tokens (runs of letters, digits and marks, and single
-symbols) are hashed into ``BUCKETS`` buckets. Two multinomials over the buckets,
+Tokens (runs of letters, digits and marks, and single symbols) and pairs of
+neighbours are hashed into ``BUCKETS`` buckets. Two multinomials over the buckets,
 of trusted target documents and of the whole raw corpus, give every bucket a
 log-likelihood ratio; a document's score is the mean ratio of its n-grams, and
 every document at or above a fixed threshold is kept.
@@ -97,15 +97,16 @@ def base_values(df: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def with_ngrams(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """df (with ``_text``) and ``_grams``: the bucket of every pair of
-    neighbouring tokens, the first one paired with the start of the text."""
-    tokens = F.concat(F.array(F.lit("")), F.regexp_extract_all("_text", F.lit(_TOKEN), F.lit(0)))
-    rows = df.withColumn("_tokens", tokens)
-    grams = F.zip_with("_tokens", F.slice("_tokens", 2, F.size("_tokens")),
-                       lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"))
-    rows = rows.withColumn("_grams", grams).drop("_tokens")
-    # the last token has no neighbour
-    return rows.withColumn("_grams", F.slice("_grams", 1, F.size("_grams") - 1))
+    """df (with ``_text``) and ``_grams``: the buckets of all tokens and of
+    all pairs of neighbouring tokens."""
+    def bucket(*words: Column) -> Column:
+        return F.pmod(F.xxhash64(*words), F.lit(buckets)).cast("int")
+
+    rows = df.withColumn("_tokens", F.regexp_extract_all("_text", F.lit(_TOKEN), F.lit(0)))
+    ones = F.transform("_tokens", lambda t: bucket(t))
+    pairs = F.slice(F.zip_with("_tokens", F.slice("_tokens", 2, F.size("_tokens")), lambda a, b: bucket(a, b)),
+                    1, F.greatest(F.size("_tokens") - 1, F.lit(0)))  # the last token has no neighbour
+    return rows.withColumn("_grams", F.concat(ones, pairs)).drop("_tokens")
 
 
 def target_ids(labels: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
