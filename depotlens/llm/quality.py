@@ -116,8 +116,9 @@ def target_ids(labels: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
 
 
 def ratios(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, ratio) for every bucket: log of the smoothed target share over
-    the smoothed raw share, counted over the whole corpus."""
+    """(bucket, ratio) for every bucket: log of the target's count over the one
+    that the raw corpus lets expect at the target's size, both plus one (so a
+    rare n-gram says little). Counts cover the whole corpus."""
     marked = docs.select("doc_id", text_or_empty().alias("_text")).join(
         F.broadcast(target.withColumn("_good", F.lit(1))), "doc_id", "left")  # bounded by target_rows
     counts = (
@@ -131,7 +132,7 @@ def ratios(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataFr
         "bucket", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target"))
     sums = full.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
     n_raw, n_target = (sums.select(c).scalar() for c in ("raws", "targets"))
-    share = F.log((F.col("target") + 1.0) / (n_target + buckets)) - F.log((F.col("raw") + 1.0) / (n_raw + buckets))
+    share = F.log((F.col("target") + 1.0) / (F.col("raw") * n_target / n_raw + 1.0))
     return full.select("bucket", F.when(n_target > 0, share).otherwise(F.lit(0.0)).alias("ratio"))
 
 
@@ -154,5 +155,6 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, buc
 
 def keep_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that pass, with all their columns."""
-    held = docs.select(*docs.columns, F.struct(*docs.columns).alias("_row"))
+    # the row travels as one column, so its names cannot clash with the values'
+    held = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
     return judge(held, labels, ["_row"], **options).where("kept").select("_row.*")

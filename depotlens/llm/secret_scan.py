@@ -185,7 +185,7 @@ def scan(df: DataFrame, rules=RULES, keep: list[str] | None = None) -> DataFrame
     of (start, kind number, end), sorted."""
     keep = keep or ["doc_id"]
     none = F.array().cast(f"array<{_SPAN}>")
-    rows = df.select(*{*keep, "doc_id", "text"}).withColumn("_doc", _row_key())
+    rows = df.select(*dict.fromkeys([*keep, "doc_id", "text"])).withColumn("_doc", _row_key())
     rows = rows.join(candidates(df, rules).withColumnRenamed("doc", "_doc"), "_doc", "left")
     text = text_or_empty()
     found = []
@@ -204,8 +204,8 @@ def span_text(spans: Column, rules=RULES) -> Column:
 def redact(df: DataFrame, rules=RULES) -> DataFrame:
     """df with every span of ``text`` replaced by [SECRET]; overlapping spans
     are replaced together. All columns stay; a null text stays null."""
-    columns = df.columns
-    found = scan(df, rules, columns)
+    # the row travels as one column, so its names cannot clash with the scan's
+    found = scan(df.select("doc_id", "text", F.struct(*df.columns).alias("_row")), rules, ["text", "_row"])
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = F.col("text")
 
@@ -219,4 +219,4 @@ def redact(df: DataFrame, rules=RULES) -> DataFrame:
     cut = F.aggregate("spans", start, step, lambda acc: F.concat(
         acc["out"], F.substring(text, acc["at"] + 1, F.length(text) - acc["at"])))
     clean = F.when(F.size("spans") > 0, cut).otherwise(text)
-    return found.select(*[clean.alias(c) if c == "text" else F.col(c) for c in columns])
+    return found.select(*[clean.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in df.columns])

@@ -47,8 +47,13 @@ def test_trigram_queries_are_necessary():
 
 def test_added_kinds_and_redaction(documents):
     text = "x ghp_" + "a1B2" * 9 + " y -----BEGIN RSA PRIVATE KEY----- token=xoxb-1234567890ab z"
-    df = documents([text, None, "clean"]).withColumn("spans", F.lit("kept column"))
-    rows = {r["doc_id"]: r for r in secret_scan.redact(df.drop("spans").withColumn("other", F.lit(1))).collect()}
+    df = documents([text, None, "clean"])
+    for c in ("spans", "kinds", "_doc", "_row"):  # names that the scan uses itself
+        df = df.withColumn(c, F.lit("own"))
+    out = secret_scan.redact(df.withColumn("other", F.lit(1)))
+    assert out.columns == [*df.columns, "other"]
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert all(r["spans"] == r["kinds"] == r["_row"] == "own" for r in rows.values())
     assert rows[0]["text"] == "x [SECRET] y [SECRET] [SECRET] z"
     assert rows[1]["text"] is None and rows[2]["text"] == "clean" and rows[2]["other"] == 1
 
@@ -105,7 +110,9 @@ def test_likelihood_ratio_tells_good_from_bad(corpus):
     docs, labels = corpus
     rows = quality.judge(docs, labels).collect()
     assert all(r["kept"] == (r["doc_id"] < 80) for r in rows if not r["base_failed"])
-    assert quality.keep_documents(docs.withColumn("_text", F.lit(1)), labels).columns == [*docs.columns, "_text"]
+    more = docs.withColumn("_text", F.lit(1)).withColumn("_row", F.lit(2)).withColumn("score", F.lit(3))
+    kept = quality.keep_documents(more, labels)
+    assert kept.columns == more.columns and kept.where("score = 3 AND _row = 2").count() == kept.count() == 80
 
 
 def test_scores_equal_brute_force(corpus):
