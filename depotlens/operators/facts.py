@@ -28,7 +28,7 @@ SPECS = {
 }
 
 
-def _same_months(fact: DataFrame, batch: DataFrame, date_col: str) -> DataFrame:
+def same_months(fact: DataFrame, batch: DataFrame, date_col: str) -> DataFrame:
     """Fact rows of the event months present in the batch (partition
     pruning). The distinct months of a batch are a short list (bounded by
     the calendar)."""
@@ -50,10 +50,9 @@ def load_facts(fact: DataFrame | None, staged: DataFrame, system: str, run_ts: d
            .withColumn(s["month"], F.trunc(s["time"], "month")))
     start = 0
     if fact is not None:
-        new = new.join(_same_months(fact, new, s["month"]).select("record_hash_sha256"),
+        new = new.join(same_months(fact, new, s["month"]).select("record_hash_sha256"),
                        "record_hash_sha256", "left_anti")
         start = max_value(fact, s["sk"])
-    # staged row count: a cheap upper bound (parquet footers) on new rows
     new = assign_ids(new, ["file_id", "record_index"], s["sk"], start=start)
     new = new.withColumn("created_at", created_at if created_at is not None else lit_ts(run_ts))
     return new.select(*s["columns"])
@@ -65,6 +64,19 @@ def station_by_ref(dim: DataFrame) -> DataFrame:
             .agg(F.min("pickup_station_id").alias("pickup_station_id")))
 
 
+LINK_COLUMNS = ["record_hash_sha256", "complained_date", "complained_month", "pickup_station_external_id"]
+
+
+def link_candidates(fact: DataFrame, waiting: DataFrame | None) -> DataFrame:
+    """Complaints to link: those of ``fact`` and the ones that earlier runs
+    could not link (``waiting``), each once. Null external ids never link."""
+    new = fact.where(F.col("pickup_station_external_id").isNotNull()).select(*LINK_COLUMNS)
+    if waiting is None:
+        return new
+    return (new.join(waiting.select("record_hash_sha256"), "record_hash_sha256", "left_anti")
+            .select(*LINK_COLUMNS).unionByName(waiting.select(*LINK_COLUMNS)))
+
+
 def link_complaints(fact: DataFrame, links: DataFrame | None, dim: DataFrame,
                     run_ts: dt.datetime) -> DataFrame:
     """new link rows (record_hash, complained_date, pickup_station_id,
@@ -72,8 +84,7 @@ def link_complaints(fact: DataFrame, links: DataFrame | None, dim: DataFrame,
     reference identifier of a current station. Links are sticky: a linked
     complaint is never linked again; an unlinked one is retried every run.
     Null external ids are dropped before the join (no null-key skew)."""
-    cand = fact.where(F.col("pickup_station_external_id").isNotNull()) \
-               .select("record_hash_sha256", "complained_date", "complained_month", "pickup_station_external_id")
+    cand = link_candidates(fact, None)
     if links is not None:
         cand = cand.join(links.select("record_hash_sha256"), "record_hash_sha256", "left_anti")
     st = station_by_ref(dim)

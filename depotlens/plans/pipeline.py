@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from depotlens.operators import facts as fx
 from depotlens.operators import landing, station_dim
+from depotlens.operators.ids import lit_ts
 from depotlens.operators.monitoring import complaint_monitoring, upsert_by_date
 from depotlens.operators.staging import dedupe_staged
 from depotlens.schemas import MONITORING, STATION_SNAPSHOT
@@ -150,12 +151,30 @@ class Pipeline:
                                  sort_by=[FACT_TIME[system]])
 
     def link(self, run_ts: dt.datetime) -> DataFrame:
-        rows = fx.link_complaints(self._get("fact_complaint"), self._get("complaint_station_link"),
+        """F2 for the complaints loaded since the last linking and for those
+        still without a station; facts and links of other months are not read
+        (load times prune row groups, months prune partitions)."""
+        fact, month = self._get("fact_complaint"), "complained_month"
+        if self.store.has("link_runs"):  # one row per run
+            last = self.store.get("link_runs").agg(F.max("linked_until")).first()[0]
+            fact = fact.where(F.col("created_at") >= lit_ts(last))
+        cand = fx.link_candidates(fact, self._get("complaint_unlinked")).checkpoint(eager=True)
+        links = self._get("complaint_station_link")
+        rows = fx.link_complaints(cand, None if links is None else fx.same_months(links, cand, month),
                                   self._get("dim_pickup_station"), run_ts)
-        return self.store.append("complaint_station_link", rows, partition_by=["complained_month"], sort_by=["complained_date"])
+        links = self.store.append("complaint_station_link", rows, partition_by=[month], sort_by=["complained_date"])
+        linked = fx.same_months(links, cand, month).select("record_hash_sha256")
+        self.store.put("complaint_unlinked", cand.join(linked, "record_hash_sha256", "left_anti").select(*fx.LINK_COLUMNS))
+        self.store.append("link_runs", self.spark.createDataFrame([(run_ts,)], "linked_until timestamp_ntz"))
+        return links
 
     def monitor(self, day: dt.date, run_ts: dt.datetime) -> DataFrame:
-        view = fx.complaint_view(self._get("fact_complaint"), self._get("complaint_station_link"))
+        # the day's load only, and links of its months only
+        loaded = self._get("fact_complaint").where(
+            (F.col("created_at") >= lit_ts(dt.datetime.combine(day, dt.time())))
+            & (F.col("created_at") < lit_ts(dt.datetime.combine(day + dt.timedelta(days=1), dt.time()))))
+        links = self._get("complaint_station_link")
+        view = fx.complaint_view(loaded, None if links is None else fx.same_months(links, loaded, "complained_month"))
         row = complaint_monitoring(view, day, run_ts)
         old = self._get("monitoring_complaints")
         old = self.spark.createDataFrame([], MONITORING) if old is None else old

@@ -28,6 +28,13 @@ def test_two_daily_runs_and_rerun_changes_nothing(spark, tmp_root):
     snapshot = (p.ledger().count(), p.store.get("fact_complaint").count(),
                 p.store.get("complaint_station_link").count(), dim.count())
     assert snapshot[1] == facts1
+    # linking from new and still unlinked complaints finds what a run over all of them finds
+    from depotlens.operators import facts as fx
+    whole = fx.link_complaints(p.store.get("fact_complaint"), None, dim, td.RUN2)
+    linked = p.store.get("complaint_station_link").select("record_hash_sha256")
+    assert whole.join(linked, "record_hash_sha256", "left_anti").count() == 0
+    waiting = p.store.get("complaint_unlinked")
+    assert waiting.count() + linked.count() == p.store.get("fact_complaint").where("pickup_station_external_id IS NOT NULL").count()
     # same day again: nothing new anywhere
     p.run(td.DAY2, dt.datetime(2024, 1, 31, 23, 30), tmp_root, td.station_list_day2(spark, SF).drop("s_suppkey"))
     again = (p.ledger().count(), p.store.get("fact_complaint").count(),
