@@ -157,4 +157,7 @@ def keep_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that pass, with all their columns."""
     # the row travels as one column, so its names cannot clash with the values'
     held = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
-    return judge(held, labels, ["_row"], **options).where("kept").select("_row.*")
+    judged = judge(held, labels, ["_row"], **options)
+    # the row number keeps the optimizer from moving the filter below the
+    # scores, where it would compute each of their steps again wherever it is used
+    return judged.withColumn("_n", F.monotonically_increasing_id()).where("kept AND _n >= 0").select("_row.*")
