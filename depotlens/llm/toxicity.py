@@ -47,8 +47,9 @@ FLOOR = 0.5  # weaker matches count as none
 CANDIDATES = 400
 TRAIN_ROWS = 20_000
 LONG, STRIDE = 20, 10
-CACHED_WORDS = 300_000
-SLICE_BYTES = 8 << 20
+CACHED_WORDS = 200_000
+WORDS_AT_ONCE = 40_000
+SLICE_BYTES = 4 << 20
 
 _SHAPES = [(a, b, DECAY ** (b + 1)) for a in range(1, SPAN - 1) for b in range(a + 1, SPAN)]
 
@@ -186,9 +187,11 @@ class Pooled:
         if not len(missing):
             return known, self.values
         fresh = [words[i] for i in missing]
-        row, values = self._evaluate(fresh)
-        known[missing] = np.where(row > 0, row + len(self.values) - 1, 0)
-        table = np.concatenate([self.values, values])
+        table = self.values
+        for at in range(0, len(fresh), WORDS_AT_ONCE):  # bounds the arrays of subsequences
+            row, values = self._evaluate(fresh[at:at + WORDS_AT_ONCE])
+            known[missing[at:at + WORDS_AT_ONCE]] = np.where(row > 0, row + len(table) - 1, 0)
+            table = np.concatenate([table, values])
         if len(rows) < CACHED_WORDS:
             rows.update(zip(fresh, known[missing].tolist()))
             self.values = table
