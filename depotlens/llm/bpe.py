@@ -33,6 +33,8 @@ from depotlens.llm.common import with_package
 from depotlens.llm.tokens import Encoded, PieceEncoder, binary_ids, slices
 
 NONE = np.int32(2**31 - 1)
+CACHED_PIECES = 200_000
+SLICE_BYTES = 4 << 20
 
 
 class MergeReplay:
@@ -156,7 +158,7 @@ def encoder(path: str, pattern: str) -> PieceEncoder:
         owner = np.repeat(np.arange(len(lists)), counts)
         return ids[at], np.bincount(owner, weights=size, minlength=len(lists)).astype(np.int64)
 
-    return PieceEncoder(encode)
+    return PieceEncoder(encode, cached=CACHED_PIECES)
 
 
 def encode_documents(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,7 +168,7 @@ def encode_documents(df: DataFrame, path: str, pattern: str, id_col: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = encoder(path, pattern)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays([part.column(0), binary_ids(*pieces.texts(part.column(1)))], schema=schema)
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -180,7 +182,7 @@ def decode_ids(df: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = replay(path)
         for batch in batches:
-            for part in slices(batch, "ids"):
+            for part in slices(batch, "ids", SLICE_BYTES):
                 texts = [merges.decode(np.frombuffer(b.as_py(), "<u4")) for b in part.column(1)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], schema=schema)
 
