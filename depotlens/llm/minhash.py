@@ -3,12 +3,14 @@
 A text's set holds its distinct word shingles as 64-bit hashes. Texts with
 equal sets form a class, represented by its smallest doc_id. Each class has
 the minima of many universal hash functions; equal bands of minima make
-candidates. In every band bucket the smallest representative is the hub that
-all others are compared with (linear in the bucket); where members are still
-in different components afterwards, those outside the bucket's largest
-component are compared with all members of other components. So every pair
-that shares a bucket is compared or already connected, and no bucket emits
-all its pairs.
+candidates. In every band bucket the member that shares most with others is
+the hub that all others are compared with (linear in the bucket). Where a
+hub's group is still in several components, the members outside the largest
+one may be linked with others past the hub. The hub bounds that: two sets
+share no more than each shares with the hub, but for shingles that the hub
+lacks. Pairs that the bound allows and pairs with such a shingle in common (an
+inverted index on these) are verified too. So every pair that shares a bucket
+is verified, connected or ruled out, and no bucket emits all its pairs.
 
 A candidate pair is first verified on the signatures (the share of equal
 minima, five standard deviations below the threshold) and then on the full
@@ -196,29 +198,86 @@ def verified_signatures(pairs: DataFrame, signatures: DataFrame, percent: int) -
     return with_package(both).mapInArrow(run, "u long, v long")
 
 
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    one = texts.select(F.col("node").alias("u"), F.col("text").alias("one"))
+    two = texts.select(F.col("node").alias("v"), F.col("text").alias("two"))
+    return pairs.join(two, "v").join(one, "u").select("u", "v", "one", "two")
+
+
+def _set_pairs(part: pa.RecordBatch, words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sets of both texts (columns 2 and 3) of every row."""
+    ones = part.column(2).dictionary_encode()  # a hub's text stands in many rows
+    sets, sizes = shingle_sets(pa.concat_arrays([ones.dictionary, part.column(3)]), words)
+    ends = np.cumsum(sizes)
+    held = [sets[e - n:e] for e, n in zip(ends.tolist(), sizes.tolist())]
+    for i, c in enumerate(ones.indices.to_pylist()):
+        yield held[c], held[len(ones.dictionary) + i]
+
+
 def verified_sets(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough."""
+    def similar(a: np.ndarray, b: np.ndarray) -> bool:
+        if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+            return False
+        shared = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * shared >= percent * (len(a) + len(b) - shared) and shared > 0
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "one", SLICE_BYTES):
-                good = np.zeros(len(part), bool)
-                ones = part.column(2).dictionary_encode()  # a hub's text stands in many rows
-                all_texts = pa.concat_arrays([ones.dictionary, part.column(3)])
-                sets, sizes = shingle_sets(all_texts, words)
-                ends = np.cumsum(sizes)
-                held = [sets[e - n:e] for e, n in zip(ends.tolist(), sizes.tolist())]
-                for i, c in enumerate(ones.indices.to_pylist()):
-                    a, b = held[c], held[len(ones.dictionary) + i]
-                    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                        continue
-                    shared = len(np.intersect1d(a, b, assume_unique=True))
-                    good[i] = 100 * shared >= percent * (len(a) + len(b) - shared) and shared > 0
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(good)) for c in part.columns[:2]], names=["u", "v"])
+                good = pa.array([similar(a, b) for a, b in _set_pairs(part, words)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([c.filter(good) for c in part.columns[:2]], names=["u", "v"])
 
-    one = texts.select(F.col("node").alias("u"), F.col("text").alias("one"))
-    two = texts.select(F.col("node").alias("v"), F.col("text").alias("two"))
-    both = pairs.join(two, "v").join(one, "u").select("u", "v", "one", "two")
-    return with_package(both).mapInArrow(run, "u long, v long")
+    return with_package(_with_texts(pairs, texts)).mapInArrow(run, "u long, v long")
+
+
+def overlaps(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(hub, node, size, shared, rest): size of the node's set, how much of it
+    the hub's set holds, and the shingles that it does not hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "one", SLICE_BYTES):
+                shared, rest = [], []
+                sizes = []
+                for a, b in _set_pairs(part, words):
+                    other = np.setdiff1d(b, a, assume_unique=True)
+                    sizes.append(len(b))
+                    shared.append(len(b) - len(other))
+                    rest.append(other.view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:2], pa.array(sizes, pa.int64()), pa.array(shared, pa.int64()), pa.array(rest, pa.list_(pa.int64()))],
+                    names=["hub", "node", "size", "shared", "rest"])
+
+    both = _with_texts(pairs.select(F.col("hub").alias("u"), F.col("node").alias("v")), texts)
+    return with_package(both).mapInArrow(run, "hub long, node long, size long, shared long, rest array<long>")
+
+
+def possible_links(held: DataFrame, percent: int) -> DataFrame:
+    """(u, v): pairs of a hub's group in different components that can be
+    similar enough. Two sets share at most what the hub shares with either of
+    them, unless both hold a shingle that the hub does not hold; so a pair
+    needs large enough shares or such a shingle (found by an equi join)."""
+    minor = held.where(F.col("component") != F.col("largest"))
+    one, two = (d.select("hub", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "component", "size", "shared", "rest")])
+                for d, k in ((minor, 1), (held, 2)))
+    apart = F.col("component_1") != F.col("component_2")
+    most = F.least("shared_1", "shared_2")
+    by_hub = one.drop("rest_1").join(two.drop("rest_2"), "hub").where(
+        apart & (100 * most >= percent * (F.col("size_1") + F.col("size_2") - most)))
+    # with all of the smaller rest in common, is a pair similar enough?
+    all_rest = most + F.least(F.col("size_1") - F.col("shared_1"), F.col("size_2") - F.col("shared_2"))
+    # shingles that the same members hold (of one passage) name the same pairs: one stands for all
+    h = F.pmod(F.xxhash64("node"), F.lit(1 << 40)), F.pmod(F.xxhash64("node", F.lit("b")), F.lit(1 << 40))
+    held_by = (held.select("hub", "node", "component", F.explode("rest").alias("shingle")).groupBy("hub", "shingle").agg(
+        F.count("*").alias("n"), F.sum(h[0]).alias("a"), F.sum(h[1]).alias("b"), F.min("component").alias("low"),
+        F.max("component").alias("high")).where("low < high"))
+    asked = held_by.groupBy("hub", "n", "a", "b").agg(F.min("shingle").alias("shingle")).select("hub", "shingle")
+    rest1 = one.withColumn("shingle", F.explode("rest_1")).drop("rest_1").join(asked, ["hub", "shingle"])
+    rest2 = two.withColumn("shingle", F.explode("rest_2")).drop("rest_2").join(asked, ["hub", "shingle"])
+    by_rest = rest1.join(rest2, ["hub", "shingle"]).where(
+        apart & (100 * all_rest >= percent * (F.col("size_1") + F.col("size_2") - all_rest)))
+    pairs = [d.select(F.col("node_1").alias("u"), F.col("node_2").alias("v")) for d in (by_hub, by_rest)]
+    return pairs[0].unionByName(pairs[1])
 
 
 def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hashes: int = HASHES) -> DataFrame:
@@ -231,38 +290,33 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hashes: in
         .select("node", "signature", "bands"), "representatives")
     signatures = firsts.select("node", "signature")
     keys = firsts.select("node", F.explode("bands").alias("key"))
-    hubs = (keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("far"))
-            .where(F.col("hub") < F.col("far")).select("key", "hub"))
-    members = written(keys.join(hubs, "key").select("key", "hub", "node"), "bucket-members")
-    asked = members.select("node").distinct()
+    sizes = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = written(keys.join(sizes, "key"), "bucket-members")
+    # a text that shares many large buckets stands in the middle of its group
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    members = written(members.join(weights, "node").select("key", "node", "weight"), "weighted-members")
     texts = written(
         docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-        .join(asked, "node", "left_semi"), "candidate-texts")
+        .join(weights.select("node"), "node", "left_semi"), "candidate-texts")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        near = written(verified_signatures(pairs, signatures, percent), f"{name}-near")
+        ordered = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        near = written(verified_signatures(ordered, signatures, percent), f"{name}-near")
         return written(verified_sets(near, texts, words, percent), name)
 
-    first_pairs = members.where(F.col("hub") != F.col("node")).select(
-        F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    links = verified(first_pairs, "hub-links")
+    middle = F.struct("weight", -F.col("node"))
+    hubs = members.groupBy("key").agg(F.max_by("node", middle).alias("hub"))
+    groups = written(members.join(hubs, "key").select("hub", "node").distinct(), "hub-groups")
+    links = verified(groups.where("hub != node").select(F.col("hub").alias("u"), F.col("node").alias("v")), "hub-links")
     known = components(links)
-    # buckets whose members are in several components: all others against the largest
-    placed = written(members.join(known, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")), "bucket-components")
-    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = (sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest"))
-             .where("parts > 1").select("key", "largest"))
-    several = placed.join(mixed, "key")
-    minor = several.where(F.col("component") != F.col("largest")).select(
-        "key", F.col("node").alias("a"), F.col("component").alias("ca"))
-    rest = several.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-    second_pairs = (
-        minor.join(rest, "key").where(F.col("ca") != F.col("cb"))
-        .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
-        .join(first_pairs, ["u", "v"], "left_anti"))
-    links = links.unionByName(verified(second_pairs, "cross-links"))
-    final = components(links)
+    groups = groups.join(known, "node", "left").select("hub", "node", F.coalesce("component", "node").alias("component"))
+    sizes = groups.groupBy("hub", "component").agg(F.count("*").alias("n"))
+    mixed = (sizes.groupBy("hub").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest"))
+             .where("parts > 1").select("hub", "largest"))
+    several = written(groups.join(mixed, "hub"), "mixed-groups")
+    held = several.join(written(overlaps(several.select("hub", "node"), texts, words), "overlaps"), ["hub", "node"])
+    found = verified(possible_links(held, percent), "cross-links")
+    final = components(links.unionByName(found))
     named = classes.join(final, "node", "left").select(
         "set_a", "set_b", F.coalesce("component", "node").alias("component_id"))
     columns = ["doc_id", "n_shingles", "component_id"]
