@@ -5,9 +5,13 @@ within a span of five, each weighted by DECAY to the power of its span, and is
 normalised: gaps and inserted characters weaken a match but do not break it.
 Landmarks are the words of the training texts that tell toxic from other texts
 best, as far as they differ from each other. A text's feature for a landmark
-is its best word's kernel value; the Nyström map (inverse square root of the
-landmarks' kernel matrix) turns the features into those of the kernel, and a
-linear support vector machine with Platt's scaling is fitted on them.
+is the sum of the kernel values of all its words, so that repetition and
+density count: once as it is (its logarithm, which keeps the order and tames
+long texts) and once divided by the square root of the text's number of words,
+which is how the kernel norm of a text of unlike words grows. The Nyström map
+(inverse square root of the landmarks' kernel matrix) turns both into features
+of the kernel, and a linear support vector machine with Platt's scaling is
+fitted on them.
 
 Words are the letters of what stands between white space, lower-cased, without
 accents; three or more single letters in a row are also read as one word. Long
@@ -148,7 +152,8 @@ class Kernel:
 
 
 class Pooled:
-    """Features of whole texts: the best kernel value per landmark."""
+    """Features of whole texts: per landmark the sum of the words' kernel
+    values, raw (as log1p) and normalised by the number of words."""
 
     def __init__(self, landmarks: list[str]):
         self.kernel = Kernel(landmarks)
@@ -199,7 +204,7 @@ class Pooled:
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
         texts = pc.fill_null(texts, "")
-        out = np.zeros((len(texts), self.kernel.n), np.float32)
+        out = np.zeros((len(texts), self.kernel.n), np.float64)
         lists = pc.utf8_split_whitespace(texts)
         offsets = lists.offsets.to_numpy().astype(np.int64)
         offsets = offsets - offsets[0]
@@ -210,9 +215,10 @@ class Pooled:
         row = rows[code]
         doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
         hits = np.flatnonzero(row)
-        if len(hits):
-            first = np.flatnonzero(np.concatenate([[True], np.diff(doc[hits]) != 0]))
-            out[doc[hits[first]]] = np.maximum.reduceat(table[row[hits]], first, axis=0)
+        for at in range(0, len(hits), WORDS_AT_ONCE):
+            some = hits[at:at + WORDS_AT_ONCE]
+            first = np.flatnonzero(np.concatenate([[True], np.diff(doc[some]) != 0]))
+            out[doc[some[first]]] += np.add.reduceat(table[row[some]], first, axis=0, dtype=np.float64)
         # letters with spaces between them
         alone = np.fromiter((len(w) == 1 and w.isalpha() for w in words), bool, len(words))[code]
         if alone.any():
@@ -224,8 +230,8 @@ class Pooled:
                 row, values = self._evaluate(spelt)
                 for (a, _), r in zip(runs, row.tolist()):
                     if r:
-                        out[doc[a]] = np.maximum(out[doc[a]], values[r - 1])
-        return out
+                        out[doc[a]] += values[r - 1]
+        return np.hstack([np.log1p(out), out / np.sqrt(np.maximum(np.diff(offsets), 1))[:, None]]).astype(np.float32)
 
 
 @lru_cache(maxsize=2)
@@ -322,6 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, landma
     dense /= np.linalg.norm(dense, axis=1)[:, None]
     value, vector = np.linalg.eigh(dense @ dense.T)
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
+    root = np.kron(np.eye(2), root)  # raw and normalised sums
     w = _svm(x @ root, y, count)
     margin = x @ root @ w[:-1] + w[-1]
     slope, shift = 1.0, 0.0

@@ -91,6 +91,29 @@ def test_pooled_features_do_not_depend_on_the_slice(corpus):
     assert np.allclose(whole, np.concatenate(parts), atol=1e-6)
 
 
+def test_features_add_up_over_the_words():
+    one, three, long = toxicity.Pooled(["idiot", "moron"])(pa.array(
+        ["idiot tree bird house", "idiot idiot tree idiot", "idiot " + "bird " * 99]))
+    assert np.allclose(np.expm1([one[0], three[0], long[0]]), [1, 3, 1], atol=0.1)  # raw
+    assert np.allclose([one[2], three[2], long[2]], [1 / 2, 3 / 2, 1 / 10], atol=0.1)  # by the text's length
+
+
+def test_repetition_tells_toxic_texts(spark, documents):
+    rnd = random.Random(5)
+    plain = ["".join(rnd.choice("aeioubcdlmnprst") for _ in range(rnd.randrange(2, 9))) for _ in range(500)]
+    texts, toxic = [], []
+    for i in range(600):
+        w = [rnd.choice(plain) for _ in range(rnd.randrange(20, 60))]
+        for at in rnd.sample(range(len(w)), 5 if i % 6 == 0 else int(i % 3 == 1)):  # a chance hit is not a mark
+            w[at] = "scumbag"
+        texts.append(" ".join(w))
+        toxic.append(int(i % 6 == 0))
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    docs = documents(texts)
+    held = toxicity.score(docs, toxicity.fit(docs, labels)).where("held_out").collect()
+    assert np.mean([r["predicted"] == toxic[r["doc_id"]] for r in held]) > 0.97
+
+
 def check_packing(rows, want, capacity=4096):
     assert sorted((str(r["doc_id"]), r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == sorted(want)
     bins = {}
