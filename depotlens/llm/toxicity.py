@@ -5,7 +5,8 @@ within a span of five, each weighted by DECAY to the power of its span, and is
 normalised: gaps and inserted characters weaken a match but do not break it.
 Landmarks are the words of the training texts that tell toxic from other texts
 best, as far as they differ from each other. A text's feature for a landmark
-is the sum of the kernel values of all its words, so that repetition and
+is the sum of its words' kernel values, each smoothly raised or lowered
+around HALF (no value is cut to zero), so that repetition and
 density count: once as it is (its logarithm, which keeps the order and tames
 long texts) and once divided by the square root of the text's number of words,
 which is how the kernel norm of a text of unlike words grows. The Nyström map
@@ -14,8 +15,14 @@ of the kernel, and a linear support vector machine with Platt's scaling is
 fitted on them.
 
 Words are the letters of what stands between white space, lower-cased, without
-accents; three or more single letters in a row are also read as one word. Long
-words are read in overlapping windows.
+accents; those with other characters inside are read joined and in their parts,
+and the larger counts. Three or more single letters in a row are also read as
+one word. A word's value for a landmark is the best of the word as a whole and of
+its windows of the landmark's length and two and four letters more, at every
+letter; a window is normalised by its subsequences of the landmark's letters, so
+that neither the rest of a long word nor inserted letters enter the norm of the
+matched part. Long words are read in blocks, each with the windows that start in
+it, and add up (a match at the border of two blocks counts up to twice).
 
 The fit uses at most ``train_rows`` labelled rows (a documented bound: their
 ids are broadcast, their features of at most ``LANDMARKS`` numbers collected).
@@ -47,13 +54,18 @@ from depotlens.llm.tokens import slices
 DECAY = 0.8
 SPAN = 5
 LANDMARKS = 64
-FLOOR = 0.5  # weaker matches count as none
+HALF = 0.7  # the kernel value that counts about half
+GAPS = (0, 2, 4)  # letters that a window has more than its landmark
+COVER = 0.2  # windows that hold less of a landmark count by their word's value only
 CANDIDATES = 400
 TRAIN_ROWS = 20_000
-LONG, STRIDE = 20, 10
-CACHED_WORDS = 200_000
-WORDS_AT_ONCE = 40_000
-SLICE_BYTES = 4 << 20
+WIDEST, STRIDE = 24, 16  # letters of the widest landmark in windows, window starts in a block of a long word
+CACHED_WORDS = 60_000
+WORDS_AT_ONCE = 20_000
+BLOCKS_AT_ONCE = 2_000
+PAIRS_AT_ONCE = 20_000
+LETTERS_AT_ONCE = 100_000
+SLICE_BYTES = 2 << 20
 
 _SHAPES = [(a, b, DECAY ** (b + 1)) for a in range(1, SPAN - 1) for b in range(a + 1, SPAN)]
 
@@ -71,8 +83,8 @@ def _letter_codes() -> np.ndarray:
     return out
 
 
-def letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the letters of all words, and how many each word has."""
+def _characters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the characters of all words, and whose they are."""
     codes = _letter_codes()
     points = np.frombuffer("".join(words).lower().encode("utf-32-le"), np.uint32)
     sizes = np.fromiter((len(w) for w in words), np.int64, len(words))
@@ -81,7 +93,12 @@ def letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
     code = np.where(points < len(codes), codes[np.minimum(points, len(codes) - 1)], 27).astype(np.int64)
-    owner = np.repeat(np.arange(len(words)), sizes)
+    return code, np.repeat(np.arange(len(words)), sizes)
+
+
+def letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the letters of all words, and how many each word has."""
+    code, owner = _characters(words)
     return code[code > 0], np.bincount(owner[code > 0], minlength=len(words))
 
 
@@ -112,43 +129,92 @@ class Kernel:
 
     def __init__(self, landmarks: list[str]):
         n = len(landmarks)
-        word, sub, weight = subsequences(*letters(landmarks))
+        code, sizes = letters(landmarks)
+        word, sub, weight = subsequences(code, sizes)
         own = norms(word, sub, weight, n)
         table = np.zeros((1 << 15, n), np.float32)
         np.add.at(table, (sub, word), weight / np.maximum(own[word], 1e-9))
         self.used = table.any(axis=1)
-        self.n, self.table = n, table
-
-    def __call__(self, code: np.ndarray, sizes: np.ndarray, floor: float = FLOOR) -> tuple[np.ndarray, np.ndarray]:
-        """(words, values) of the words with a value of at least the floor."""
+        self.n, self.table, self.sizes = n, table, np.clip(sizes, 3, WIDEST)
+        self.reach = int(self.sizes.max(initial=3)) + max(GAPS)
+        self.own = own
+        self.letters = np.zeros((n, 32), bool)
+        self.letters[np.repeat(np.arange(n), sizes), code] = True
+
+    def products(self, code: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(words, products, norms) of the words that share a subsequence with a landmark."""
         word, sub, weight = subsequences(code, sizes)
         n = len(sizes)
-        least = np.sqrt(np.bincount(word, weights=weight * weight, minlength=n))  # never above the norm
-        own = np.bincount(word, weights=weight * self.used[sub], minlength=n)
-        # the part of a word that any landmark shares bounds its value
-        near = own > 0
-        hits = np.flatnonzero(near[word] & self.used[sub])
-        hits = hits[np.argsort(word[hits], kind="stable")]
+        hits = np.flatnonzero(self.used[sub])
         if not len(hits):
-            return np.empty(0, np.int64), np.empty((0, self.n), np.float32)
-        words, values = [], []
+            return np.empty(0, np.int64), np.empty((0, self.n), np.float32), np.empty(0)
+        hits = hits[np.argsort(word[hits], kind="stable")]
         border = np.flatnonzero(np.concatenate([[True], np.diff(word[hits]) != 0]))
-        for at in range(0, len(border), 20_000):
-            first = border[at:at + 20_000]
-            end = border[at + 20_000] if at + 20_000 < len(border) else len(hits)
+        words = word[hits[border]]
+        products = np.empty((len(words), self.n), np.float32)
+        for at in range(0, len(border), BLOCKS_AT_ONCE):
+            first = border[at:at + BLOCKS_AT_ONCE]
+            end = border[at + BLOCKS_AT_ONCE] if at + BLOCKS_AT_ONCE < len(border) else len(hits)
             some = hits[first[0]:end]
-            v = np.add.reduceat(self.table[sub[some]] * weight[some, None].astype(np.float32), first - first[0], axis=0)
-            w = word[some[first - first[0]]]
-            good = v.max(axis=1) >= floor * least[w]
-            words.append(w[good])
-            values.append(v[good])
-        words, values = np.concatenate(words), np.concatenate(values)
+            products[at:at + len(first)] = np.add.reduceat(
+                self.table[sub[some]] * weight[some, None].astype(np.float32), first - first[0], axis=0)
         place = np.full(n, -1)
         place[words] = np.arange(len(words))
         mine = place[word] >= 0
-        values /= np.maximum(norms(place[word[mine]], sub[mine], weight[mine], len(words)), 1e-9)[:, None]
+        return words, products, np.maximum(norms(place[word[mine]], sub[mine], weight[mine], len(words)), 1e-9)
+
+    def __call__(self, code: np.ndarray, sizes: np.ndarray, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """(words, values) of the words with a value of at least the floor."""
+        words, products, own = self.products(code, sizes)
+        values = np.minimum(products / own[:, None], 1).astype(np.float32)
         good = values.max(axis=1, initial=0) >= floor
-        return words[good], np.where(values[good] >= floor, np.minimum(values[good], 1), 0).astype(np.float32)
+        return words[good], np.where(values[good] >= floor, values[good], 0)
+
+    def best(self, code: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(words, values): the best of a whole word and of its windows that
+        begin at one of its first ``starts`` letters."""
+        words, products, own = self.products(code, sizes)
+        values = np.minimum(products / own[:, None], 1).astype(np.float32)
+        begin = (np.cumsum(sizes) - sizes)[words]
+        size, starts = sizes[words], starts[words]
+        # a window's product is at most its word's
+        row, mark = np.nonzero((products >= COVER * self.own) & (values < 0.999))
+        longest = np.minimum(size[row, None], self.sizes[mark, None] + np.array(GAPS))
+        for wide in range(3, self.reach + 1):
+            held = (longest == wide).any(axis=1)
+            r, m = row[held], mark[held]
+            count = np.minimum(size[r] - wide + 1, starts[r])
+            ends = np.cumsum(count)
+            at = 0
+            while at < len(r):
+                to = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS_AT_ONCE)), at + 1)
+                self._windows(code, begin, r[at:to], m[at:to], count[at:to], wide, values)
+                at = to
+        return words, values
+
+    def _windows(self, code, begin, r, m, count, wide, values) -> None:
+        """Raise values[r, m] to the best of ``count`` windows of ``wide`` letters."""
+        pair = np.repeat(np.arange(len(r)), count)
+        start = begin[r[pair]] + np.arange(len(pair)) - np.repeat(np.cumsum(count) - count, count)
+        mark = m[pair]
+        product = np.zeros(len(pair))
+        for a, b, weight in _SHAPES:
+            for i in range(wide - b):
+                product += weight * self.table[code[start + i] << 10 | code[start + i + a] << 5 | code[start + i + b], mark]
+        good = product >= COVER * self.own[mark]
+        if good.any():
+            start, pair, mark = start[good], pair[good], mark[good]
+            word, sub, weight = subsequences(code[start[:, None] + np.arange(wide)].ravel(), np.full(len(start), wide))
+            of = mark[word]  # other letters than the landmark's stand for gaps
+            kept = self.letters[of, sub >> 10] & self.letters[of, sub >> 5 & 31] & self.letters[of, sub & 31]
+            value = np.minimum(product[good] / norms(word[kept], sub[kept], weight[kept], len(start)), 1)
+            np.maximum.at(values, (r[pair], mark), value.astype(np.float32))
+
+
+def raised(values: np.ndarray) -> np.ndarray:
+    """0 to 1, increasing: strong matches count nearly whole, chance ones little."""
+    power = np.square(np.square(np.square(values)))
+    return (1 + HALF ** 8) * power / (power + HALF ** 8)
 
 
 class Pooled:
@@ -161,29 +227,50 @@ class Pooled:
         self.values = np.zeros((1, self.kernel.n), np.float32)
         self.single: dict[str, str] = {}
 
+    def _pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Letters, sizes, words and kinds (0: joined, 1: part between other
+        characters) of all readings of the words."""
+        code, owner = _characters(words)
+        letter = code > 0
+        code, owner = code[letter], owner[letter]
+        joined = np.bincount(owner, minlength=len(words))
+        gap = np.cumsum(~letter)[letter]
+        cut = np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(gap) != 0)])[:len(code)]
+        run = np.cumsum(cut) - 1
+        whose = owner[cut]
+        several = np.bincount(whose, minlength=len(words))[whose] > 1
+        parts = np.bincount(run, minlength=len(whose))[several]
+        return (np.concatenate([code, code[several[run]]]), np.concatenate([joined, parts]),
+                np.concatenate([np.arange(len(words)), whose[several]]),
+                np.repeat([0, 1], [len(words), len(parts)]))
+
     def _evaluate(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Row per word, and the values of the rows (row 0: nothing)."""
-        code, sizes = letters(words)
-        owner = np.arange(len(words))
-        if (sizes > LONG).any():  # windows of long words
-            ends = np.cumsum(sizes)
-            codes, counts, owners = [code[np.repeat(sizes <= LONG, sizes)]], [sizes[sizes <= LONG]], [owner[sizes <= LONG]]
-            for i in np.flatnonzero(sizes > LONG).tolist():
-                for a in range(0, int(sizes[i]) - STRIDE, STRIDE):
-                    part = code[ends[i] - sizes[i] + a:min(ends[i] - sizes[i] + a + LONG, ends[i])]
-                    codes.append(part)
-                    counts.append([len(part)])
-                    owners.append([i])
-            code, sizes, owner = np.concatenate(codes), np.concatenate(counts), np.concatenate(owners)
-        found, values = self.kernel(code, sizes)
-        out = np.zeros((len(words), 0), np.float32)
-        hit = owner[found]
-        unique, at = np.unique(hit, return_inverse=True)
-        out = np.zeros((len(unique), self.kernel.n), np.float32)
-        np.maximum.at(out, at, values)
+        code, sizes, owner, kind = self._pieces(words)
+        long, reach = STRIDE + self.kernel.reach - 1, self.kernel.reach
+        # blocks: one per piece, or one per STRIDE window starts of a long piece
+        blocks = np.where(sizes > long, -(-(sizes - reach + 1) // STRIDE), 1)
+        piece = np.repeat(np.arange(len(sizes)), blocks)
+        number = np.arange(len(piece)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        size = np.minimum(sizes[piece] - number * STRIDE, long)
+        starts = np.where(number + 1 < blocks[piece], STRIDE, size)
+        if len(piece) > len(sizes):
+            begin = (np.cumsum(sizes) - sizes)[piece] + number * STRIDE
+            code = code[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        out = np.zeros((2, len(words), self.kernel.n), np.float32)
+        ends, at = np.cumsum(size), 0
+        while at < len(size):  # bounds the arrays of subsequences
+            before = int(ends[at - 1]) if at else 0
+            to = max(int(np.searchsorted(ends, before + LETTERS_AT_ONCE)), at + 1)
+            found, values = self.kernel.best(code[before:int(ends[to - 1])], size[at:to], starts[at:to])
+            of = piece[at + found]
+            np.add.at(out, (kind[of], owner[of]), raised(values))
+            at = to
+        out = out.max(axis=0)
+        some = np.flatnonzero(out.any(axis=1))
         rows = np.zeros(len(words), np.int64)
-        rows[unique] = 1 + np.arange(len(unique))
-        return rows, out
+        rows[some] = 1 + np.arange(len(some))
+        return rows, out[some]
 
     def _rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows = self.rows
@@ -192,14 +279,18 @@ class Pooled:
         if not len(missing):
             return known, self.values
         fresh = [words[i] for i in missing]
-        table = self.values
-        for at in range(0, len(fresh), WORDS_AT_ONCE):  # bounds the arrays of subsequences
+        tables, held = [self.values], len(self.values)
+        for at in range(0, len(fresh), WORDS_AT_ONCE):
             row, values = self._evaluate(fresh[at:at + WORDS_AT_ONCE])
-            known[missing[at:at + WORDS_AT_ONCE]] = np.where(row > 0, row + len(table) - 1, 0)
-            table = np.concatenate([table, values])
-        if len(rows) < CACHED_WORDS:
-            rows.update(zip(fresh, known[missing].tolist()))
-            self.values = table
+            known[missing[at:at + WORDS_AT_ONCE]] = np.where(row > 0, row + held - 1, 0)
+            tables.append(values)
+            held += len(values)
+        table = np.concatenate(tables)
+        keep = max(min(len(fresh), CACHED_WORDS - len(rows)), 0)
+        if keep:
+            kept = known[missing[:keep]]
+            rows.update(zip(fresh, kept.tolist()))
+            self.values = table[:max(len(self.values), int(kept.max()) + 1)].copy()
         return known, table
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
@@ -292,22 +383,31 @@ def _landmarks(training: DataFrame, most: int) -> list[str]:
     return chosen
 
 
-def _svm(x: np.ndarray, y: np.ndarray, count: np.ndarray, cost: float = 20.0, rounds: int = 60) -> np.ndarray:
-    """Linear SVM (hinge loss, classes weighted equally, bias as last weight)
-    by dual coordinate ascent; row i stands for count[i] equal texts."""
+def _svm(x: np.ndarray, y: np.ndarray, count: np.ndarray, cost: float = 10.0, rounds: int = 50) -> np.ndarray:
+    """Linear SVM (squared hinge loss, classes weighted equally, bias as last
+    weight) by Newton's method; row i stands for count[i] equal texts."""
     x = np.hstack([x, np.ones((len(x), 1))])
     sign = np.where(y > 0, 1.0, -1.0)
     total, toxic = count.sum(), (count * y).sum()
     most = cost * count * np.where(y > 0, total / (2 * toxic), total / (2 * (total - toxic)))
-    square = (x * x).sum(axis=1)
-    alpha, w = np.zeros(len(x)), np.zeros(x.shape[1])
-    order = np.random.default_rng(7)
+    ridge = np.ones(x.shape[1])
+    ridge[-1] = 1e-6
+
+    def loss(w: np.ndarray) -> float:
+        return (ridge * w) @ w / 2 + most @ np.maximum(0, 1 - sign * (x @ w)) ** 2
+
+    w = np.zeros(x.shape[1])
     for _ in range(rounds):
-        for i in order.permutation(len(x)).tolist():
-            a = min(max(alpha[i] + (1 - sign[i] * (x[i] @ w)) / square[i], 0), most[i])
-            if a != alpha[i]:
-                w += (a - alpha[i]) * sign[i] * x[i]
-                alpha[i] = a
+        short = 1 - sign * (x @ w)
+        on = short > 0
+        slope = ridge * w - 2 * x[on].T @ (most * sign * short)[on]
+        step = np.linalg.solve(np.diag(ridge) + 2 * x[on].T @ (x[on] * most[on, None]), -slope)
+        now = loss(w)
+        while loss(w + step) > now and np.abs(step).max() > 1e-9:
+            step /= 2
+        w = w + step
+        if np.abs(step).max() < 1e-7:
+            break
     return w
 
 
@@ -333,7 +433,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, landma
     margin = x @ root @ w[:-1] + w[-1]
     slope, shift = 1.0, 0.0
     for _ in range(500):  # Platt's scaling, classes weighted as they are
-        p = 1 / (1 + np.exp(-(slope * margin + shift)))
+        p = 1 / (1 + np.exp(-np.clip(slope * margin + shift, -30, 30)))
         slope, shift = slope - 0.5 * np.average((p - y) * margin, weights=count), shift - 0.5 * np.average(p - y, weights=count)
     return Model(tuple(words), tuple((root @ w[:-1]).tolist()), float(max(slope, 1e-3)), float(slope * w[-1] + shift))
 

@@ -91,6 +91,24 @@ def test_pooled_features_do_not_depend_on_the_slice(corpus):
     assert np.allclose(whole, np.concatenate(parts), atol=1e-6)
 
 
+def test_embedded_and_twice_inserted_insults_are_found(spark, documents, corpus):
+    texts, toxic = corpus
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(documents(texts), labels)
+    hidden = ["such an idxioxt", "a scuxmbxag here", "youareamoron", "so theidiotsaid it", "the\u2014idiot\u2014said", "a/moron/b",
+              "stupidpatheticloser", "x" * 9 + "scumbag" + "y" * 9, "x" * 40 + "scumbag" + "y" * 40, "tree " * 20 + "id-xio-xt"]
+    clean = ["tree bird house", "x" * 200, "so thetreesaid it", "a/bird/b"]
+    found = toxicity.score(documents([*hidden, *clean]), model).orderBy("doc_id").collect()
+    assert [r["predicted"] for r in found] == [1] * len(hidden) + [0] * len(clean)
+
+
+def test_long_words_are_read_whole():
+    pool = toxicity.Pooled(["idiot", "worthless"])
+    for at in range(60):  # whatever block the match falls into
+        value = pool(pa.array(["q" * at + "idiot" + "q" * (59 - at)]))[0]
+        assert 0.95 < np.expm1(value[0]) < 2.01, at  # at a border both blocks see it
+
+
 def test_features_add_up_over_the_words():
     one, three, long = toxicity.Pooled(["idiot", "moron"])(pa.array(
         ["idiot tree bird house", "idiot idiot tree idiot", "idiot " + "bird " * 99]))
