@@ -151,13 +151,20 @@ class Pipeline:
                                  sort_by=[FACT_TIME[system]])
 
     def link(self, run_ts: dt.datetime) -> DataFrame:
-        """F2 for the complaints loaded since the last linking and for those
-        still without a station; facts and links of other months are not read
-        (load times prune row groups, months prune partitions)."""
+        """F2 for the complaints of the load batches not yet linked, whatever
+        their run time, and for those still without a station; facts and links
+        of other months are not read (batches and months prune partitions)."""
         fact, month = self._get("fact_complaint"), "complained_month"
-        if self.store.has("link_runs"):  # one row per run
-            last = self.store.get("link_runs").agg(F.max("linked_until")).first()[0]
-            fact = fact.where(F.col("created_at") >= lit_ts(last))
+        batches = None
+        if self.store.has("loaded_batches_complaints"):  # else facts without batches: all
+            loaded = {r[0] for r in self.store.get("loaded_batches_complaints").collect()}
+            done = ({r[0] for r in self.store.get("linked_batches_complaints").collect()}
+                    if self.store.has("linked_batches_complaints") else set())
+            batches = sorted(loaded - done)
+            staged = (self.store.get(STAGING_TABLE["complaints"]).where(F.col("load_batch").isin(batches))
+                      .select("record_hash_sha256", F.trunc("complained_at", "month").alias(month)))
+            fact = fx.same_months(fact, staged, month).join(
+                staged.select("record_hash_sha256"), "record_hash_sha256", "left_semi")
         cand = fx.link_candidates(fact, self._get("complaint_unlinked")).checkpoint(eager=True)
         links = self._get("complaint_station_link")
         rows = fx.link_complaints(cand, None if links is None else fx.same_months(links, cand, month),
@@ -165,7 +172,8 @@ class Pipeline:
         links = self.store.append("complaint_station_link", rows, partition_by=[month], sort_by=["complained_date"])
         linked = fx.same_months(links, cand, month).select("record_hash_sha256")
         self.store.put("complaint_unlinked", cand.join(linked, "record_hash_sha256", "left_anti").select(*fx.LINK_COLUMNS))
-        self.store.append("link_runs", self.spark.createDataFrame([(run_ts,)], "linked_until timestamp_ntz"))
+        if batches:
+            self.store.append("linked_batches_complaints", self.spark.createDataFrame([(b,) for b in batches], "load_batch int"))
         return links
 
     def monitor(self, day: dt.date, run_ts: dt.datetime) -> DataFrame:

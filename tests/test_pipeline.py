@@ -58,6 +58,28 @@ def test_two_daily_runs_and_rerun_changes_nothing(spark, tmp_root):
     assert n_unlinked == p.store.get("fact_complaint").count() - p.store.get("complaint_station_link").count()
 
 
+def test_a_run_with_an_earlier_run_time_links_its_complaints(spark, tmp_root):
+    from depotlens.operators import facts as fx
+    p = Pipeline(spark)
+    stations = td.station_list_day1(spark, SF).drop("s_suppkey")
+    counts = []
+    # the second run catches up on files of a missed run: its time lies before the first one's
+    for part, run_ts in ((0, td.RUN2), (1, td.RUN2 - dt.timedelta(hours=3))):
+        root = f"{tmp_root}/{part}"
+        write_landing(td.complaint_records(spark, SF).where(F.col("event_id") % 2 == part), root, "complaints",
+                      COMPLAINT_FIELDS, "complained_at", td.COMPLAINT_FILE_ORDER, part=F.lit(part))
+        write_landing(td.delivery_records(spark, SF).where(F.col("l_linenumber") % 2 == part), root, "delivery_events",
+                      DELIVERY_FIELDS, "delivered_at", td.DELIVERY_FILE_ORDER, part=F.lit(part))
+        p.run(td.DAY2, run_ts, root, stations)
+        counts.append(p.store.get("complaint_station_link").count())
+    fact, links = p.store.get("fact_complaint"), p.store.get("complaint_station_link")
+    whole = fx.link_complaints(fact, None, p.store.get("dim_pickup_station"), td.RUN2)
+    assert 0 < counts[0] < counts[1] == whole.count()
+    assert links.join(whole, "record_hash_sha256", "left_anti").count() == 0
+    known = fact.where("pickup_station_external_id IS NOT NULL").count()
+    assert p.store.get("complaint_unlinked").count() == known - counts[1]
+
+
 def test_stream_trigger_runs_ledger_intake(spark, tmp_root):
     from depotlens.session import new_scratch_path
     from depotlens.streaming.intake import start_intake
