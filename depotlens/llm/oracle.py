@@ -86,3 +86,55 @@ reached(doc_id, r) AS (
   SELECT doc_id, doc_id FROM sets UNION SELECT reached.doc_id, links.y FROM reached JOIN links ON reached.r = links.x)
 SELECT doc_id, len(held) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)"""
+
+
+def fill_in_middle_sql() -> str:
+    return """
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+hashed AS (
+  SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM docs),
+parted AS (
+  SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b
+  FROM hashed),
+texts AS (
+  SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS prefix, coalesce(array_to_string(units[a + 1:b], ''), '') AS middle,
+         coalesce(array_to_string(units[b + 1:], ''), '') AS suffix
+  FROM parted)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM texts"""
+
+
+def hard_negatives_sql() -> str:
+    return """
+WITH valid AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+vecs AS (SELECT *, row_number() OVER (ORDER BY vec_id, label, q) AS r FROM valid),
+scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CASE WHEN len(a.q) = 0 THEN 0 ELSE list_inner_product(a.q, b.q) END::BIGINT AS score
+  FROM vecs a JOIN vecs b ON len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT r, anchor_id, other_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY r ORDER BY score DESC, other_id) AS place
+  FROM scored WHERE same AND other_id <> anchor_id QUALIFY place <= 5)
+SELECT p.anchor_id, p.positive_id, p.positive_score, s.other_id AS negative_id, s.score AS negative_score,
+       (row_number() OVER (PARTITION BY p.r, p.place ORDER BY s.score DESC, s.other_id))::INTEGER AS rank
+FROM positives p JOIN scored s ON s.r = p.r
+WHERE NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3"""

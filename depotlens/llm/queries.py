@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from depotlens.llm import bpe, ctph, minhash, oracle, packing, pfor, quality, secret_scan, sharding, toxicity, url_filter
+from depotlens.llm import (bpe, ctph, fim, hard_negatives, minhash, oracle, packing, pfor, quality, secret_scan, sharding,
+                           toxicity, url_filter)
 from depotlens.llm.common import table
 from depotlens.session import new_scratch_path
 
@@ -66,6 +67,19 @@ def op10_packing(spark, sf_dir, path=public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), path)
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    return fim.transform(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
+    return hard_negatives.mine(vectors, F.expr("vec_id % 50 = 0"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_sharding": op2_sharding,
@@ -77,6 +91,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: the others are not SQL (or need functions that DuckDB lacks): the tests hold them against brute force
@@ -84,4 +100,6 @@ ORACLE: dict[str, str] = {
     "op1_url_filter": oracle.url_filter_sql(),
     "op5_secret_scan": oracle.secret_scan_sql(),
     "op6_minhash": oracle.minhash_sql(),
+    "op11_fill_in_middle": oracle.fill_in_middle_sql(),
+    "op13_hard_negatives": oracle.hard_negatives_sql(),
 }
