@@ -88,6 +88,11 @@ SELECT doc_id, len(held) AS n_shingles, component_id, doc_id = component_id AS k
 FROM sets JOIN (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)"""
 
 
+def ngram_join_sql(words: int = 3, percent: int = 90) -> str:
+    """The columns of the near-duplicate query but ``kept``, at another threshold."""
+    return minhash_sql(words, percent).replace(", doc_id = component_id AS kept", "")
+
+
 def fill_in_middle_sql() -> str:
     return """
 WITH docs AS (

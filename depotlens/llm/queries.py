@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from depotlens.llm import (bpe, ctph, fim, hard_negatives, minhash, oracle, packing, pfor, quality, secret_scan, sharding,
-                           toxicity, url_filter)
+from depotlens.llm import (bpe, ctph, fim, hard_negatives, minhash, ngram_join, oracle, packing, pfor, quality,
+                           secret_scan, sharding, toxicity, url_filter)
 from depotlens.llm.common import table
 from depotlens.session import new_scratch_path
 
@@ -74,6 +74,10 @@ def op11_fill_in_middle(spark, sf_dir):
         F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
 
 
+def op12_ngram_join(spark, sf_dir):
+    return ngram_join.join(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op13_hard_negatives(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").withColumn(
         "label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
@@ -92,6 +96,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_ngram_join": op12_ngram_join,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -101,5 +106,6 @@ ORACLE: dict[str, str] = {
     "op5_secret_scan": oracle.secret_scan_sql(),
     "op6_minhash": oracle.minhash_sql(),
     "op11_fill_in_middle": oracle.fill_in_middle_sql(),
+    "op12_ngram_join": oracle.ngram_join_sql(),
     "op13_hard_negatives": oracle.hard_negatives_sql(),
 }
