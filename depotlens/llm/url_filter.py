@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm.common import ascii_lower
+from depotlens.llm.common import ascii_lower, written
 
 # fixed values: the rules of the contract
 RULES = (
@@ -39,8 +39,6 @@ TRACKING = "^(utm_[a-z]+|ref|gclid|fbclid)="
 
 BITS_PER_KEY = 16
 BITS_SET = 5
-#: a filter of at most this many bytes is broadcast; a larger one is joined by shuffle
-BROADCAST_FILTER_BYTES = 32 << 20
 
 
 def rules_frame(spark: SparkSession, rules=RULES) -> DataFrame:
@@ -112,21 +110,19 @@ def judge_urls(df: DataFrame, rules: DataFrame, listed: DataFrame, id_col: str =
     rules: (host, path, verdict); listed: (canonical) URLs to block where no
     rule fits."""
     pages = parsed(df, id_col, url_col)
-    entries = (
+    entries = written(
         rules.select(F.concat("host", "path").alias("entry"), "verdict", F.length("host").alias("host_length"))
         .unionByName(listed.select(F.concat(F.lit("="), "canonical").alias("entry"),
                                    F.lit("listed").alias("verdict"), F.lit(0).alias("host_length")))
-        .groupBy("entry").agg(F.max("verdict").alias("verdict"), F.max("host_length").alias("host_length")))
+        .groupBy("entry").agg(F.max("verdict").alias("verdict"), F.max("host_length").alias("host_length")), "url-entries")
     # the shapes of the rules (labels of the host, length of the path): a
     # URL has one candidate per shape, whatever the number of rules
     shapes = sorted((r[0], r[1]) for r in rules.select(
         F.size(F.split("host", r"\.", -1)), F.length("path")).distinct().collect())
-    blocks = 64
-    while blocks * 64 < entries.count() * BITS_PER_KEY:
+    keys, blocks = entries.count(), 64
+    while blocks * 64 < keys * BITS_PER_KEY:
         blocks *= 2
     bloom = bloom_filter(entries, blocks)
-    if blocks * 16 <= BROADCAST_FILTER_BYTES:
-        bloom = F.broadcast(bloom)
 
     labels = F.split("host", r"\.", -1)
     candidates = [F.when((F.size(labels) >= k) & (F.length("path") >= n),
