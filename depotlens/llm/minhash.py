@@ -5,12 +5,11 @@ equal sets form a class, represented by its smallest doc_id. Each class has
 the minima of many universal hash functions; equal bands of minima make
 candidates. In every band bucket the member that shares most with others is
 the hub that all others are compared with (linear in the bucket). Where a
-hub's group is still in several components, the members outside the largest
-one may be linked with others past the hub. The hub bounds that: two sets
-share no more than each shares with the hub, but for shingles that the hub
-lacks. Pairs that the bound allows and pairs with such a shingle in common (an
-inverted index on these) are verified too. So every pair that shares a bucket
-is verified, connected or ruled out, and no bucket emits all its pairs.
+hub's group is still in several components, its members may be linked past the
+hub. That follows from how each differs from the hub's set
+(``differences.py``): only pairs in different components whose differences
+share one of their first tokens, in bands of like sizes, are made and verified
+too. So every pair that shares a bucket is verified, connected or ruled out.
 
 A candidate pair is first verified on the signatures (the share of equal
 minima, five standard deviations below the threshold) and then on the full
@@ -23,7 +22,9 @@ words than a shingle has its whole sequence as the one shingle.
 * null doc_id: component_id is null, kept is true; such rows link nothing.
 * repeated rows: equal results; rows of one doc_id with different texts are
   judged each by its own text. Extra columns are not carried by ``link``.
-* an empty table gives no rows.
+* ``keep_one`` drops a row only if its own text is a copy: rows of one doc_id
+  with unlike texts all stay, of rows with equal doc_id and text one stays.
+* very long texts are taken whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,10 +35,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlens.llm.common import with_package, written
+from depotlens.llm.differences import difference_pairs, sure_links
 from depotlens.llm.tokens import slices
 
 WORDS = 5
@@ -124,9 +126,14 @@ def minima(sets: np.ndarray, sizes: np.ndarray, hashes: int) -> np.ndarray:
     return out
 
 
+def _text_key() -> Column:
+    """Tells the texts of one doc_id apart (null: as empty)."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def sketch(docs: DataFrame, words: int, percent: int, hashes: int = HASHES) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, bands, signature) of every row: two
-    64-bit sums that name the set, band hashes, 16 bits of every minimum."""
+    """(doc_id, text_key, n_shingles, set_a, set_b, bands, signature) of every
+    row: two 64-bit sums that name the set, band hashes, 16 bits of every minimum."""
     bands, rows = band_shape(percent, hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,12 +157,12 @@ def sketch(docs: DataFrame, words: int, percent: int, hashes: int = HASHES) -> D
                     pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel().view(np.int64)))
                 short = low.astype("<u2")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes), *sums, lists, pa.array([r.tobytes() for r in short], pa.binary())],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "signature"])
+                    [part.column(0), part.column(2), pa.array(sizes), *sums, lists, pa.array([r.tobytes() for r in short], pa.binary())],
+                    names=["doc_id", "text_key", "n_shingles", "set_a", "set_b", "bands", "signature"])
 
-    rows_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key().alias("text_key"))
     return with_package(rows_).mapInArrow(
-        run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary")
+        run, "doc_id long, text_key long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -231,63 +238,36 @@ def verified_sets(pairs: DataFrame, texts: DataFrame, words: int, percent: int)
     return with_package(_with_texts(pairs, texts)).mapInArrow(run, "u long, v long")
 
 
-def overlaps(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(hub, node, size, shared, rest): size of the node's set, how much of it
-    the hub's set holds, and the shingles that it does not hold."""
+def differences(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(u, v, margin, tokens) of the pairs (hub u, member v): the shingles that
+    only one of both sets holds, and the margin that these leave v."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "one", SLICE_BYTES):
-                shared, rest = [], []
-                sizes = []
+                margins, tokens = [], []
                 for a, b in _set_pairs(part, words):
-                    other = np.setdiff1d(b, a, assume_unique=True)
-                    sizes.append(len(b))
-                    shared.append(len(b) - len(other))
-                    rest.append(other.view(np.int64))
+                    apart = np.setxor1d(a, b, assume_unique=True)
+                    margins.append((100 - percent) * len(b) - (100 + percent) * len(apart))
+                    tokens.append(apart.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:2], pa.array(sizes, pa.int64()), pa.array(shared, pa.int64()), pa.array(rest, pa.list_(pa.int64()))],
-                    names=["hub", "node", "size", "shared", "rest"])
-
-    both = _with_texts(pairs.select(F.col("hub").alias("u"), F.col("node").alias("v")), texts)
-    return with_package(both).mapInArrow(run, "hub long, node long, size long, shared long, rest array<long>")
-
-
-def possible_links(held: DataFrame, percent: int) -> DataFrame:
-    """(u, v): pairs of a hub's group in different components that can be
-    similar enough. Two sets share at most what the hub shares with either of
-    them, unless both hold a shingle that the hub does not hold; so a pair
-    needs large enough shares or such a shingle (found by an equi join)."""
-    minor = held.where(F.col("component") != F.col("largest"))
-    one, two = (d.select("hub", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "component", "size", "shared", "rest")])
-                for d, k in ((minor, 1), (held, 2)))
-    apart = F.col("component_1") != F.col("component_2")
-    most = F.least("shared_1", "shared_2")
-    by_hub = one.drop("rest_1").join(two.drop("rest_2"), "hub").where(
-        apart & (100 * most >= percent * (F.col("size_1") + F.col("size_2") - most)))
-    # with all of the smaller rest in common, is a pair similar enough?
-    all_rest = most + F.least(F.col("size_1") - F.col("shared_1"), F.col("size_2") - F.col("shared_2"))
-    # shingles that the same members hold (of one passage) name the same pairs: one stands for all
-    h = F.pmod(F.xxhash64("node"), F.lit(1 << 40)), F.pmod(F.xxhash64("node", F.lit("b")), F.lit(1 << 40))
-    held_by = (held.select("hub", "node", "component", F.explode("rest").alias("shingle")).groupBy("hub", "shingle").agg(
-        F.count("*").alias("n"), F.sum(h[0]).alias("a"), F.sum(h[1]).alias("b"), F.min("component").alias("low"),
-        F.max("component").alias("high")).where("low < high"))
-    asked = held_by.groupBy("hub", "n", "a", "b").agg(F.min("shingle").alias("shingle")).select("hub", "shingle")
-    rest1 = one.withColumn("shingle", F.explode("rest_1")).drop("rest_1").join(asked, ["hub", "shingle"])
-    rest2 = two.withColumn("shingle", F.explode("rest_2")).drop("rest_2").join(asked, ["hub", "shingle"])
-    by_rest = rest1.join(rest2, ["hub", "shingle"]).where(
-        apart & (100 * all_rest >= percent * (F.col("size_1") + F.col("size_2") - all_rest)))
-    pairs = [d.select(F.col("node_1").alias("u"), F.col("node_2").alias("v")) for d in (by_hub, by_rest)]
-    return pairs[0].unionByName(pairs[1])
+                    [*part.columns[:2], pa.array(margins, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))],
+                    names=["u", "v", "margin", "tokens"])
 
+    return with_package(_with_texts(pairs, texts)).mapInArrow(run, "u long, v long, margin long, tokens array<long>")
 
-def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hashes: int = HASHES) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+
+def _links(docs: DataFrame, words: int, percent: int, hashes: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component, component_id) of every row;
+    the component (null for an empty set or a null doc_id) tells apart those
+    that have one smallest doc_id in common."""
     sketches = written(sketch(docs, words, percent, hashes), "sketches")
     real = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = written(real.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node")), "classes")
+    classes = written(
+        real.groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+        .select("set_a", "set_b", F.xxhash64("set_a", "set_b").alias("node"), "first.*"), "classes")
     firsts = written(
-        real.join(classes, ["set_a", "set_b"]).where(F.col("doc_id") == F.col("node"))
-        .select("node", "signature", "bands"), "representatives")
+        real.join(classes.select("node", "doc_id", "text_key"), ["doc_id", "text_key"])
+        .select("node", "doc_id", "text_key", "signature", "bands").dropDuplicates(["node"]), "representatives")
     signatures = firsts.select("node", "signature")
     keys = firsts.select("node", F.explode("bands").alias("key"))
     sizes = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -295,40 +275,60 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hashes: in
     # a text that shares many large buckets stands in the middle of its group
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
     members = written(members.join(weights, "node").select("key", "node", "weight"), "weighted-members")
+    asked = firsts.join(weights.select("node"), "node", "left_semi").select("node", "doc_id", "text_key")
     texts = written(
-        docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-        .join(weights.select("node"), "node", "left_semi"), "candidate-texts")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key().alias("text_key"),
+                    F.coalesce("text", F.lit("")).alias("text"))
+        .join(asked, ["doc_id", "text_key"]).groupBy("node").agg(F.min("text").alias("text")), "candidate-texts")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         ordered = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         near = written(verified_signatures(ordered, signatures, percent), f"{name}-near")
         return written(verified_sets(near, texts, words, percent), name)
 
+    def mixed(links: DataFrame, groups: DataFrame) -> DataFrame:
+        named = groups.select("hub", "node").join(components(links), "node", "left").select(
+            "hub", "node", F.coalesce("component", "node").alias("component"))
+        several = named.groupBy("hub").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
+        return written(named.join(several.select("hub"), "hub", "left_semi"), "mixed-groups")
+
     middle = F.struct("weight", -F.col("node"))
     hubs = members.groupBy("key").agg(F.max_by("node", middle).alias("hub"))
     groups = written(members.join(hubs, "key").select("hub", "node").distinct(), "hub-groups")
-    links = verified(groups.where("hub != node").select(F.col("hub").alias("u"), F.col("node").alias("v")), "hub-links")
-    known = components(links)
-    groups = groups.join(known, "node", "left").select("hub", "node", F.coalesce("component", "node").alias("component"))
-    sizes = groups.groupBy("hub", "component").agg(F.count("*").alias("n"))
-    mixed = (sizes.groupBy("hub").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest"))
-             .where("parts > 1").select("hub", "largest"))
-    several = written(groups.join(mixed, "hub"), "mixed-groups")
-    held = several.join(written(overlaps(several.select("hub", "node"), texts, words), "overlaps"), ["hub", "node"])
-    found = verified(possible_links(held, percent), "cross-links")
+    pairs = groups.select(F.col("hub").alias("u"), F.col("node").alias("v"))
+    links = verified(pairs.where("u <> v"), "hub-links")
+    groups = mixed(links, groups)
+    apart = written(differences(
+        groups.select(F.col("hub").alias("u"), F.col("node").alias("v")), texts, words, percent), "differences")
+    links = written(links.unionByName(sure_links(apart)), "sure-links")
+    found = verified(difference_pairs(mixed(links, groups), apart, percent), "cross-links")
     final = components(links.unionByName(found))
-    named = classes.join(final, "node", "left").select(
-        "set_a", "set_b", F.coalesce("component", "node").alias("component_id"))
-    columns = ["doc_id", "n_shingles", "component_id"]
+    named = classes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = named.join(least, "component").select("set_a", "set_b", "component", "component_id")
+    columns = ["doc_id", "text_key", "n_shingles", "component", "component_id"]
     linked = real.join(named, ["set_a", "set_b"]).select(*columns)
     alone = sketches.where((F.col("n_shingles") == 0) | F.col("doc_id").isNull()).select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        "doc_id", "text_key", "n_shingles", F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id"))
+    return linked.unionByName(alone)
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group, with all its columns (of repeated rows one)."""
-    kept = link(docs, **options).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            .unionByName(docs.where(F.col("doc_id").isNull())))
+def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hashes: int = HASHES) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row."""
+    return _links(docs, words, percent, hashes).select(
+        "doc_id", "n_shingles", "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hashes: int = HASHES) -> DataFrame:
+    """One document of each group (the smallest doc_id), with all its columns.
+    Rows without words or with a null doc_id are nobody's copies and stay; of
+    rows with equal doc_id and text the one with the smallest columns stays."""
+    decided = _links(docs, words, percent, hashes).where("doc_id IS NOT NULL")
+    kept = decided.where("component IS NOT NULL").groupBy("component").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("first")).select("first.*")
+    kept = kept.unionByName(decided.where("component IS NULL").select("doc_id", "text_key")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), _text_key().alias("_key"), F.struct("*").alias("row"))
+    one = (rows.join(kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), ["_id", "_key"], "left_semi")
+           .groupBy("_id", "_key").agg(F.min("row").alias("row")))
+    return one.select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))

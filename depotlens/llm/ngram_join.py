@@ -44,10 +44,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotlens.llm.common import with_package, written
+from depotlens.llm.differences import difference_pairs, sure_links
 from depotlens.llm.minhash import components, shingle_sets
 from depotlens.llm.tokens import slices
 
@@ -57,7 +58,6 @@ SLICE_BYTES = 4 << 20
 HELD_KEYS = 8 << 20  # keys of a bucket held before frequent ones leave
 FREQUENT = 65535  # frequencies from here on count as equal
 SALTED = 500  # members of a hub that one task compares
-BANDS = 16
 
 #: kinds of rows that travel together: documents, sizes of nodes, tokens by bucket or node group, nodes
 DOC, SIZE, TOKENS, NODE = range(4)
@@ -323,44 +323,6 @@ def _linked(pairs: DataFrame, nodes: DataFrame, percent: int, name: str) -> Data
     return written(compared(candidates, nodes, percent), f"{name}-links")
 
 
-def difference_pairs(stars: DataFrame, apart: DataFrame, percent: int) -> DataFrame:
-    """(u, v): nodes of a hub (stars: hub, node, component) in different
-    components whose differences from the hub's set (apart: u hub, v node,
-    margin, tokens) share a first token.
-
-    Two nodes link exactly if their differences share at least
-    -(margin + margin) / (2 (100 + percent)) tokens. So against a band of
-    margins, a node needs only its first tokens, rare ones first, without as
-    many as it would have to share."""
-    held = stars.join(apart.select(F.col("u").alias("hub"), F.col("v").alias("node"), "margin", "tokens"), ["hub", "node"])
-    width = held.groupBy("hub").agg(F.min("margin").alias("low"), F.greatest(
-        F.lit(1), F.ceil((F.max("margin") - F.min("margin") + 1) / BANDS)).alias("width"))
-    banded = held.join(width, "hub").withColumn("band", F.floor((F.col("margin") - F.col("low")) / F.col("width")))
-    banded = written(banded, "difference-bands")
-    tokens = banded.select("hub", "node", "component", "margin", "band", "low", "width", F.explode("tokens").alias("token"))
-    freq = tokens.groupBy("hub", "token").agg(F.count("*").alias("freq")).where("freq > 1")
-    shared = tokens.join(freq, ["hub", "token"])
-    place = Window.partitionBy("hub", "node").orderBy("freq", F.xxhash64("token"), "token")
-    ranked = shared.withColumn("rank", F.row_number().over(place)).withColumn(
-        "size", F.count("*").over(Window.partitionBy("hub", "node")))
-    bands = banded.groupBy("hub").agg(F.collect_set("band").alias("bands"))  # at most BANDS
-    asked = ranked.join(bands, "hub").withColumn("other", F.explode("bands"))
-    top = F.col("margin") + F.col("low") + (F.col("other") + 1) * F.col("width") - 1
-    least = F.greatest(F.lit(1), F.ceil(-top / (2.0 * (100 + percent))))
-    keys = asked.where(F.col("rank") <= F.col("size") - least + 1).select(
-        "hub", F.least("band", "other").alias("x"), F.greatest("band", "other").alias("y"), "token", "node", "component", "band")
-    name = ["hub", "x", "y", "token"]
-    mixed = keys.groupBy(*name).agg(
-        F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select(*name)
-    keys = written(keys.join(mixed, name, "left_semi"), "difference-keys")
-    one, two = (keys.select(*name, *[F.col(c).alias(f"{c}_{k}") for c in ("node", "component", "band")]) for k in "uv")
-    # bands x < y: one of each; x = y: both of it, each pair once
-    apart_ = (F.col("component_u") != F.col("component_v")) & (F.col("band_u") == F.col("x")) & (F.col("band_v") == F.col("y"))
-    once = (F.col("x") < F.col("y")) | (F.col("node_u") < F.col("node_v"))
-    met = one.where("band_u = x").join(two.where("band_v = y"), name).where(apart_ & once)
-    return met.select(F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v")).distinct()
-
-
 def node_links(nodes: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that connect the same nodes as all links do."""
     tokens = nodes.select("node", F.explode("one").alias("token"))
@@ -382,10 +344,7 @@ def node_links(nodes: DataFrame, percent: int) -> DataFrame:
     stars = mixed(links, stars)
     pairs = stars.select(F.col("hub").alias("u"), F.col("node").alias("v"))
     apart = written(compared(pairs, nodes, percent, differences=True), "differences")
-    nearest = apart.groupBy("u").agg(F.max_by(F.struct("v", "margin"), F.struct("margin", "v")).alias("top"))
-    sure = apart.join(nearest, "u").where(
-        (F.col("margin") + F.col("top.margin") >= 0) & (F.col("v") != F.col("top.v"))).select(F.col("top.v").alias("u"), "v")
-    links = written(links.unionByName(sure.distinct()), "sure-links")
+    links = written(links.unionByName(sure_links(apart)), "sure-links")
     stars = mixed(links, stars)
     found = _linked(difference_pairs(stars, apart, percent), nodes, percent, "difference")
     return links.unionByName(found)

@@ -41,4 +41,4 @@ def test_stages_of_an_empty_table(spark):
 
 
 def test_first_queries_of_each_number():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))

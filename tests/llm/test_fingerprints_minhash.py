@@ -155,3 +155,42 @@ def test_odd_rows(odd, documents):
     kept = minhash.keep_one(odd.withColumn("node", F.lit("own")))
     assert kept.columns == [*odd.columns, "node"]
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted({str(r["doc_id"]) for r in rows if r["kept"]})
+
+
+def sentence(seed, n=40):
+    return words(random.Random(seed), n)
+
+
+def test_keep_one_loses_no_unlike_text_of_a_repeated_id(documents):
+    a, b = sentence(1), sentence(2)
+    cases = [
+        ([(3, a), (5, a), (5, b)], [(3, a), (5, b)]),  # the copy goes, the unlike text of its id stays
+        ([(5, a), (5, b)], [(5, a), (5, b)]),
+        ([(5, a), (5, b), (7, a), (9, b)], [(5, a), (5, b)]),  # two groups whose smallest id is the same
+        ([(5, a), (5, a), (5, a.upper())], None),  # one group: one row stays
+        ([(4, ""), (4, ""), (4, a), (None, a), (None, a)], [(4, ""), (4, a), (None, a), (None, a)]),
+    ]
+    for rows, expected in cases:
+        docs = documents([t for _, t in rows], [i for i, _ in rows])
+        got = sorted(((r["doc_id"], r["text"]) for r in minhash.keep_one(docs).collect()), key=str)
+        if expected is None:
+            assert len(got) == 1 and got[0][0] == 5
+        else:
+            assert got == sorted(expected, key=str)
+
+
+def test_kept_row_of_repeated_rows_is_the_smallest(spark):
+    docs = spark.createDataFrame([(1, "some text", "b"), (1, "some text", "a"), (2, "other words", "z")], "doc_id long, text string, row string")
+    assert sorted(map(tuple, minhash.keep_one(docs).collect())) == [(1, "some text", "a"), (2, "other words", "z")]
+
+
+def test_pairs_past_the_hub_grow_with_the_group_not_its_square(documents, monkeypatch):
+    """Texts that share a passage of half their words: no two are similar."""
+    made = []
+    verify = minhash.difference_pairs
+    monkeypatch.setattr(minhash, "difference_pairs", lambda *a: [made.append(verify(*a).cache()), made[-1]][1])
+    passage = sentence(3, 60)
+    for n in (100, 200):
+        docs = documents([f"{passage} {sentence(1000 + i, 40)}" for i in range(n)])
+        assert minhash.link(docs, 3, 85).where("not kept").count() == 0
+        assert made[-1].count() <= n
