@@ -100,3 +100,83 @@ def recipient_behavior(complaints: DataFrame, deliveries: DataFrame) -> DataFram
                     F.coalesce("deliveries", F.lit(0)).alias("deliveries"),
                     F.coalesce("complaints", F.lit(0)).alias("complaints")) \
             .select("*", _rate("complaints", "deliveries"))
+
+
+def complaint_rate_limits(links: DataFrame, deliveries: DataFrame, z: float = 3.0) -> DataFrame:
+    """S3: which stations' complaint ratios are abnormal, by delivery month.
+
+    Per (month, station): deliveries, complained deliveries (S2), their ratio
+    and its Wilson interval, against the month's ratio over all stations:
+    'high' where the whole interval lies above it, 'low' where below, else
+    'normal'. The fewer a station's deliveries, the wider its interval (funnel
+    limits)."""
+    complained = (links.where(F.col("delivery_record_hash").isNotNull())
+                  .select(F.col("delivery_record_hash").alias("record_hash_sha256")).distinct()
+                  .withColumn("_complained", F.lit(1)))
+    d = deliveries.where(F.col("delivered_at").isNotNull()).select(
+        "record_hash_sha256", F.col("pickup_station_external_id").alias("station"),
+        F.trunc("delivered_at", "month").alias("delivery_month"))
+    per = d.join(complained, "record_hash_sha256", "left").groupBy("delivery_month", "station").agg(
+        F.count(F.lit(1)).alias("deliveries"), F.count("_complained").alias("complained"))
+    month = per.groupBy("delivery_month").agg(
+        (F.sum("complained") / F.sum("deliveries")).alias("month_rate"))
+    n, c, zz = F.col("deliveries").cast("double"), F.col("complained").cast("double"), z * z
+    p = c / n
+    middle, width, scale = p + zz / (2.0 * n), z * F.sqrt(p * (1.0 - p) / n + zz / (4.0 * n * n)), 1.0 + zz / n
+    out = per.join(month, "delivery_month").select(
+        "delivery_month", "station", "deliveries", "complained", p.alias("complaint_rate"), "month_rate",
+        ((middle - width) / scale).alias("lower_limit"), ((middle + width) / scale).alias("upper_limit"))
+    return out.withColumn("flag", F.when(F.col("lower_limit") > F.col("month_rate"), "high")
+                          .when(F.col("upper_limit") < F.col("month_rate"), "low").otherwise("normal"))
+
+
+#: leading bits that a delay keeps in the sketch: a relative error below 2^-6
+SKETCH_BITS = 7
+
+
+def delay_sketch(links: DataFrame) -> DataFrame:
+    """Mergeable quantile sketch of delays as rows (complaint day, driver,
+    bucket, n). A bucket is the delay in whole seconds cut to its leading bits
+    (towards zero), so sketches of any days merge by adding n, and a quantile
+    is off by less than one part in 64. At most some 60 * 64 buckets per sign,
+    day and driver, whatever the number of complaints."""
+    delay = F.col("delay_seconds").cast("long")
+    size = F.abs(delay)
+    drop = F.greatest(F.length(F.bin(size)) - SKETCH_BITS, F.lit(0))
+    cut = F.call_function("shiftleft", F.call_function("shiftright", size, drop), drop)
+    return (links.where(F.col("delay_seconds").isNotNull())
+            .select(F.to_date("complained_at").alias("complaint_day"), "driver_id",
+                    F.when(delay < 0, -cut).otherwise(cut).alias("bucket"))
+            .groupBy("complaint_day", "driver_id", "bucket").agg(F.count(F.lit(1)).alias("n")))
+
+
+def delay_quantiles(sketch: DataFrame, quantiles=(0.5, 0.9, 0.99), since=None, until=None) -> DataFrame:
+    """Per driver the delays' quantiles over the days since..until (inclusive;
+    None: unbounded), from the sketch alone."""
+    from pyspark.sql import Window
+
+    days = sketch
+    if since is not None:
+        days = days.where(F.col("complaint_day") >= F.lit(since))
+    if until is not None:
+        days = days.where(F.col("complaint_day") <= F.lit(until))
+    merged = days.groupBy("driver_id", "bucket").agg(F.sum("n").alias("n"))
+    own = Window.partitionBy("driver_id")
+    held = merged.withColumn("total", F.sum("n").over(own)).withColumn(
+        "upto", F.sum("n").over(own.orderBy("bucket")))
+    # the first bucket that reaches the rank
+    return held.groupBy("driver_id").agg(
+        F.max("total").alias("delays"),
+        *[F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), F.col("bucket"))).alias(f"p{round(100 * q)}_seconds")
+          for q in quantiles])
+
+
+def missing_deliveries(links: DataFrame) -> DataFrame:
+    """Complained parcels without a delivery event of their own: how
+    often and when they were complained about, and whether another parcel of
+    the purchase order was delivered."""
+    m = links.where(F.col("parcel_id").isNotNull() & ~F.col("matched_by").eqNullSafe(F.lit("parcel")))
+    return m.groupBy("parcel_id").agg(
+        F.count(F.lit(1)).alias("complaints"), F.min("complained_at").alias("first_complained_at"),
+        F.max("complained_at").alias("last_complained_at"),
+        F.max(F.coalesce(F.col("matched_by") == "purchase_order", F.lit(False))).alias("order_delivered"))

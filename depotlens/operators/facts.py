@@ -41,19 +41,19 @@ def same_months(fact: DataFrame, batch: DataFrame, date_col: str) -> DataFrame:
 
 
 def load_facts(fact: DataFrame | None, staged: DataFrame, system: str, run_ts: dt.datetime,
-               created_at: Column | None = None) -> DataFrame:
+               created_at: Column | None = None, start: int | None = None) -> DataFrame:
     """the rows to append. Insert if the hash is new; within the batch
     keep the smallest (file_id, record_index) (K7). Surrogate keys continue
-    after the largest one in (file_id, record_index) order (F4)."""
+    after ``start`` (None: the largest one in the fact, found by a scan) in
+    (file_id, record_index) order (F4)."""
     s = SPECS[system]
     new = (dedupe_staged(staged).withColumn(s["date"], F.to_date(s["time"]))
            .withColumn(s["month"], F.trunc(s["time"], "month")))
-    start = 0
     if fact is not None:
         new = new.join(same_months(fact, new, s["month"]).select("record_hash_sha256"),
                        "record_hash_sha256", "left_anti")
-        start = max_value(fact, s["sk"])
-    new = assign_ids(new, ["file_id", "record_index"], s["sk"], start=start)
+        start = max_value(fact, s["sk"]) if start is None else start
+    new = assign_ids(new, ["file_id", "record_index"], s["sk"], start=start or 0)
     new = new.withColumn("created_at", created_at if created_at is not None else lit_ts(run_ts))
     return new.select(*s["columns"])
 

@@ -64,9 +64,10 @@ def match_stations(external_ids: DataFrame, dim: DataFrame, crosswalk: DataFrame
                     F.lit("fuzzy").alias("match_method")))
     if crosswalk is not None:
         cw = (crosswalk.select("external_id", "ref_identifier").join(cur, "ref_identifier")
-              .groupBy("external_id").agg(F.min("pickup_station_id").alias("pickup_station_id"),
-                                          F.min("ref_identifier").alias("ref_identifier"))
-              .select("external_id", "pickup_station_id", "ref_identifier",
+              # an id with several references: one station, by the smallest reference
+              .groupBy("external_id").agg(F.min_by(F.struct("pickup_station_id", "ref_identifier"), F.struct(
+                  "ref_identifier", "pickup_station_id")).alias("_cw"))
+              .select("external_id", "_cw.pickup_station_id", "_cw.ref_identifier",
                       F.lit(None).cast("int").alias("score"), F.lit("crosswalk").alias("match_method")))
         best = cw.unionByName(best.join(cw.select("external_id"), "external_id", "left_anti"))
     out = ids.join(best, "external_id", "left")

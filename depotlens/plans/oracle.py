@@ -201,6 +201,8 @@ CTES: dict[str, tuple[list[str], str]] = {
         recipient_name_norm, recipient_address_norm, {RUN1} AS created_at FROM stg_d"""),
     "snap1": (["st1"], _snap("st1", DAY1)),
     "snap2": (["st2"], _snap("st2", DAY2)),
+    "snaps": (["snap1", "snap2"], f"""SELECT {DAY1} AS snapshot_date, ref_identifier FROM snap1
+      UNION ALL SELECT DISTINCT {DAY2}, ref_identifier FROM (SELECT ref_identifier FROM snap1 UNION ALL SELECT ref_identifier FROM snap2)"""),
     "dim0": ([], f"""SELECT CAST(NULL AS BIGINT) AS pickup_station_sk, CAST(NULL AS BIGINT) AS pickup_station_id,
         CAST(NULL AS VARCHAR) AS ref_identifier, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS city,
         CAST(NULL AS VARCHAR) AS zip_code, CAST(NULL AS VARCHAR) AS street, CAST(NULL AS VARCHAR) AS fingerprint,

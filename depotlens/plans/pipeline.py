@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.operators import facts as fx
@@ -27,6 +27,7 @@ from depotlens.sources.files import list_landing
 from depotlens.sources.readers import stage_batch
 from depotlens.sources.store import Store
 
+VOLUMES = "volume_date date, stage string, source_system string, metric string, value long"
 SYSTEMS = ("complaints", "delivery_events")
 STAGING_TABLE = {"complaints": "stg_complaint", "delivery_events": "stg_delivery_event"}
 FACT_TABLE = {"complaints": "fact_complaint", "delivery_events": "fact_delivery_event"}
@@ -39,6 +40,8 @@ class Pipeline:
         self.spark = spark
         self.store = store or Store(spark)
         self.batch_size = batch_size
+        self._said: list[tuple] = []
+        self._seen: list[tuple] = []
 
     # ---------------------------------------------------------------- state
     def _get(self, name: str) -> DataFrame | None:
@@ -70,6 +73,36 @@ class Pipeline:
         done = ({r[0] for r in self.store.get(done_t).collect()} if self.store.has(done_t) else set())
         return sorted(staged - done)
 
+    # -------------------------------------------------------------- volumes
+    def _observed(self, df: DataFrame, stage: str, system: str | None = None, **metrics: Column) -> DataFrame:
+        """df, with metrics taken while it is written (no extra scan). Without
+        a system, metrics are named ``system:metric``."""
+        seen = Observation()
+        self._seen.append((stage, system, seen))
+        return df.observe(seen, *[m.alias(k) for k, m in metrics.items()])
+
+    def _say(self, stage: str, system: str, metric: str, value: int) -> None:
+        self._said.append((stage, system, metric, int(value)))
+
+    def write_volumes(self, day: dt.date) -> None:
+        """What was observed since the last call, one row per (day, stage,
+        system, metric), appended. A day's runs add up."""
+        rows = list(self._said)
+        for stage, system, seen in self._seen:
+            for key, value in seen.get.items():
+                own, _, metric = key.rpartition(":")
+                rows.append((stage, system or own, metric, int(value or 0)))
+        self._said, self._seen = [], []
+        if rows:
+            df = self.spark.createDataFrame([(day, *r) for r in rows], VOLUMES)
+            self.store.append("pipeline_volumes", df.coalesce(1))
+
+    def volumes(self) -> DataFrame | None:
+        """Volumes per (stage, date): the sums of each day's runs."""
+        rows = self._get("pipeline_volumes")
+        return None if rows is None else rows.groupBy("volume_date", "stage", "source_system", "metric").agg(
+            F.sum("value").alias("value"))
+
     # -------------------------------------------------------------- landing
     def ingest(self, landing_root: str, run_ts: dt.datetime, systems=SYSTEMS) -> dict[str, DataFrame]:
         """Register and parse every new landing file. Returns, per system, the
@@ -84,7 +117,8 @@ class Pipeline:
             if not stale.isEmpty():
                 self.store.append("ledger_events", stale)
         new = landing.new_files(self.ledger(), listing, run_ts)
-        self.store.append("ledger_files", new.select(*landing.FILE_COLUMNS))
+        self.store.append("ledger_files", self._observed(new.select(*landing.FILE_COLUMNS), "landing", **{
+            f"{s}:files_registered": F.count_if(F.col("source_system") == s) for s in systems}))
         led = self.ledger()
         batches: dict[str, list[int]] = {s: [] for s in systems}
         self.last_outcomes = []
@@ -103,7 +137,9 @@ class Pipeline:
                 b = batch.where(F.col("source_system") == s)
                 rows, out = stage_batch(self.spark, b, s, run_ts)
                 rows = dedupe_staged(rows, self._get(STAGING_TABLE[s]))
-                rows = rows.withColumn("load_batch", F.lit(self._batch_no))
+                rows = self._observed(
+                    rows.withColumn("load_batch", F.lit(self._batch_no)), "staging", s, rows_kept=F.count(F.lit(1)),
+                    rows_without_time=F.count_if(F.col(FACT_TIME[s]).isNull()))
                 self.store.append(STAGING_TABLE[s], rows, partition_by=["load_batch"])
                 batches[s].append(self._batch_no)
                 outs.append(out)
@@ -111,10 +147,18 @@ class Pipeline:
             for o in outs[1:]:
                 out = out.unionByName(o)
             # one row per claimed file: bounded by the claim size
-            out = self.spark.createDataFrame(out.collect(), out.schema)
+            said = out.collect()
+            out = self.spark.createDataFrame(said, out.schema)
             self.last_outcomes.append(out)
+            system_of = {r["file_id"]: r["source_system"] for r in claimed}
+            for s in sorted(set(system_of.values())):
+                own = [r for r in said if system_of[r["file_id"]] == s]
+                self._say("landing", s, "files_parsed", sum(r["ok"] for r in own))
+                self._say("landing", s, "files_failed", sum(not r["ok"] for r in own))
+                self._say("staging", s, "rows_read", sum(r["records"] for r in own if r["ok"]))
             self.store.append("ledger_events", landing.outcome_events(out, run_ts))
             led = self.ledger()
+        self.write_volumes(run_ts.date())
         result = {}
         for s, nos in batches.items():
             if nos:
@@ -146,9 +190,32 @@ class Pipeline:
     # ---------------------------------------------------------------- facts
     def load_facts(self, system: str, staged: DataFrame, run_ts: dt.datetime,
                    created_at: Column | None = None) -> DataFrame:
-        rows = fx.load_facts(self._get(FACT_TABLE[system]), staged, system, run_ts, created_at=created_at)
-        return self.store.append(FACT_TABLE[system], rows, partition_by=[FACT_DATE[system]],
-                                 sort_by=[FACT_TIME[system]])
+        # the largest key given so far is a row of its own; an older store
+        # without it is scanned once
+        fact, keys, sk = self._get(FACT_TABLE[system]), "last_key_" + system, fx.SPECS[system]["sk"]
+        start = self.store.get(keys).first()[0] if self.store.has(keys) else None
+        rows = fx.load_facts(fact, staged, system, run_ts, created_at=created_at, start=start)
+        rows = self._observed(rows, "dw", system, rows_loaded=F.count(F.lit(1)))
+        top = Observation()
+        out = self.store.append(FACT_TABLE[system], rows.observe(top, F.max(sk).alias("top")),
+                                partition_by=[FACT_DATE[system]], sort_by=[FACT_TIME[system]])
+        last = top.get.get("top")
+        if last is not None:
+            self.store.put(keys, self.spark.createDataFrame([(last,)], "last_key long"))
+        return out
+
+    def load_pending(self, run_ts: dt.datetime) -> None:
+        """the staged batches that are not yet in the facts."""
+        for s in SYSTEMS:
+            pending = self.pending_batches(s)
+            if not pending:
+                continue
+            rows = (self.store.get(STAGING_TABLE[s]).where(F.col("load_batch").isin(pending))
+                    .drop("load_batch"))
+            # insert-if-new by hash: loading a batch again adds nothing
+            self.load_facts(s, rows, run_ts)
+            done = self.spark.createDataFrame([(b,) for b in pending], "load_batch int")
+            self.store.append("loaded_batches_" + s, done)
 
     def link(self, run_ts: dt.datetime) -> DataFrame:
         """F2 for the complaints of the load batches not yet linked, whatever
@@ -169,9 +236,11 @@ class Pipeline:
         links = self._get("complaint_station_link")
         rows = fx.link_complaints(cand, None if links is None else fx.same_months(links, cand, month),
                                   self._get("dim_pickup_station"), run_ts)
+        rows = self._observed(rows, "dw", "complaints", complaints_linked=F.count(F.lit(1)))
         links = self.store.append("complaint_station_link", rows, partition_by=[month], sort_by=["complained_date"])
         linked = fx.same_months(links, cand, month).select("record_hash_sha256")
-        self.store.put("complaint_unlinked", cand.join(linked, "record_hash_sha256", "left_anti").select(*fx.LINK_COLUMNS))
+        waiting = cand.join(linked, "record_hash_sha256", "left_anti").select(*fx.LINK_COLUMNS)
+        self.store.put("complaint_unlinked", self._observed(waiting, "dw", "complaints", complaints_waiting=F.count(F.lit(1))))
         if batches:
             self.store.append("linked_batches_complaints", self.spark.createDataFrame([(b,) for b in batches], "load_batch int"))
         return links
@@ -195,16 +264,8 @@ class Pipeline:
         registers no file, stages no row, changes no station, loads no fact)."""
         self.ingest(landing_root, run_ts)
         self.apply_stations(station_list, day, run_ts, allow_empty=allow_empty_snapshot)
-        for s in SYSTEMS:
-            pending = self.pending_batches(s)
-            if not pending:
-                continue
-            rows = (self.store.get(STAGING_TABLE[s]).where(F.col("load_batch").isin(pending))
-                    .drop("load_batch"))
-            # insert-if-new by hash: loading a batch again adds nothing
-            self.load_facts(s, rows, run_ts)
-            done = self.spark.createDataFrame([(b,) for b in pending], "load_batch int")
-            self.store.append("loaded_batches_" + s, done)
+        self.load_pending(run_ts)
         if self.store.has("fact_complaint"):
             self.link(run_ts)
             self.monitor(day, run_ts)
+        self.write_volumes(run_ts.date())

@@ -252,6 +252,45 @@ def _f3(sc):
     return sc.fact_delivery
 
 
+def _insert_new(fact: str, staged: str, sk: str) -> str:
+    """The fact after a second load: the first holds the rows of the first half
+    of the files, the second brings all rows of all files again."""
+    half = f"file_id <= (SELECT quantile_disc(file_id, 0.5) FROM (SELECT DISTINCT file_id FROM {staged}))"
+    return f"""
+WITH places AS (SELECT record_hash_sha256, min(file_id * 2147483648 + record_index) AS place FROM {staged} GROUP BY ALL),
+old_rows AS (SELECT record_hash_sha256, min(file_id * 2147483648 + record_index) AS place FROM {staged} WHERE {half} GROUP BY ALL),
+old AS (SELECT f.* REPLACE (row_number() OVER (ORDER BY place) AS {sk}, CAST(place // 2147483648 AS BIGINT) AS file_id, {o.RUN1} AS created_at)
+          FROM {fact} f JOIN old_rows USING (record_hash_sha256)),
+new AS (SELECT f.* REPLACE ((SELECT max({sk}) FROM old) + row_number() OVER (ORDER BY place) AS {sk}, CAST(place // 2147483648 AS BIGINT) AS file_id,
+                            {o.RUN2} AS created_at)
+          FROM {fact} f JOIN places USING (record_hash_sha256) WHERE record_hash_sha256 NOT IN (SELECT record_hash_sha256 FROM old_rows))
+SELECT * FROM old UNION ALL SELECT * FROM new"""
+
+
+@register("fact_complaint_insert_new", o.sql(_insert_new("fact_c", "craw", "complaint_sk"), "fact_c", "craw"))
+def _f1b(sc):
+    """complaints loaded onto an existing fact: only new hashes, keys go on."""
+    return sc.second_load("complaints")
+
+
+@register("fact_delivery_insert_new", o.sql(_insert_new("fact_d", "draw", "delivery_event_sk"), "fact_d", "draw"))
+def _f3b(sc):
+    """delivery events loaded onto an existing fact."""
+    return sc.second_load("delivery_events")
+
+
+@register("stage_dedup_existing", o.sql("""
+WITH old AS (SELECT record_hash_sha256 FROM craw WHERE file_id <= (SELECT quantile_disc(file_id, 0.5) FROM (SELECT DISTINCT file_id FROM craw)))
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY record_hash_sha256 ORDER BY file_id, record_index) AS rn FROM craw)
+ WHERE rn = 1 AND record_hash_sha256 NOT IN (SELECT record_hash_sha256 FROM old)""", "craw"))
+def _l10b(sc):
+    """All complaints staged again after the first half of the files: the
+    rows whose hash is not staged yet."""
+    from depotlens.operators.staging import dedupe_staged
+    raw = sc.staged_raw_complaints
+    return dedupe_staged(raw, sc.first_half(raw))
+
+
 @register("fact_complaint_enrich", o.sql("SELECT * FROM links", "links"))
 def _f2(sc):
     """complaint-station links of day 1 and day 2 (sticky)."""
@@ -293,16 +332,16 @@ def _c3(sc):
 
 _KEYS = [("stg_complaint", "stg_c", ["file_id", "record_index"]), ("stg_delivery_event", "stg_d", ["file_id", "record_index"]),
          ("landing_file", "ledger", ["source_system", "source_file_path", "source_modified_at", "file_size_bytes"]),
-         ("stg_pickup_station", "snap2", ["snapshot_date", "ref_identifier"])]
+         ("stg_pickup_station", "snaps", ["snapshot_date", "ref_identifier"])]
 
 
 @register("check_primary_keys", o.sql(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS violations FROM (SELECT 1 FROM {v} GROUP BY {', '.join(k)} HAVING count(*) > 1)"
-    for t, v, k in _KEYS), "stg_c", "stg_d", "ledger", "snap2"))
+    for t, v, k in _KEYS), "stg_c", "stg_d", "ledger", "snaps"))
 def _pk(sc):
     """Natural and primary keys that several rows of a table share (0 each)."""
     tables = {"stg_complaint": sc.stg_complaint, "stg_delivery_event": sc.stg_delivery, "landing_file": sc.ledger,
-              "stg_pickup_station": sc.snap2}
+              "stg_pickup_station": sc.snapshots}
     parts = [fx.repeated_keys(tables[t], k).select(F.lit(t).alias("table_name"), "violations") for t, _, k in _KEYS]
     out = parts[0]
     for p in parts[1:]:
@@ -377,6 +416,35 @@ def _l3(fs):
         "status", "error_message", "received_at", "parsed_at")
 
 
+_FILES = """SELECT DISTINCT 'complaints' AS system, ingest_dt, source_format, event_id % 2 AS part FROM crec
+  UNION ALL SELECT DISTINCT 'delivery_events', ingest_dt, source_format, l_linenumber % 2 FROM drec"""
+
+
+@register_files_query("pipeline_volumes_daily", o.sql(f"""
+WITH landed AS ({_FILES}),
+broken AS (SELECT DISTINCT source_format FROM crec WHERE ingest_dt = (SELECT min(ingest_dt) FROM crec)),
+counts AS (
+  SELECT 'landing' AS stage, system AS source_system, 'files_parsed' AS metric, count(*) AS value FROM landed GROUP BY system
+  UNION ALL SELECT 'landing', 'complaints', 'files_failed', count(*) FROM broken
+  UNION ALL SELECT 'landing', 'delivery_events', 'files_failed', 0
+  UNION ALL SELECT 'landing', system, 'files_registered', count(*) + CASE system WHEN 'complaints' THEN (SELECT count(*) FROM broken) ELSE 0 END
+              FROM landed GROUP BY system
+  UNION ALL SELECT 'staging', 'complaints', 'rows_read', count(*) FROM crec
+  UNION ALL SELECT 'staging', 'delivery_events', 'rows_read', count(*) FROM drec
+  UNION ALL SELECT 'staging', 'complaints', 'rows_kept', count(*) FROM fact_c
+  UNION ALL SELECT 'staging', 'delivery_events', 'rows_kept', count(*) FROM fact_d
+  UNION ALL SELECT 'staging', 'complaints', 'rows_without_time', count(*) FILTER (complained_at IS NULL) FROM fact_c
+  UNION ALL SELECT 'staging', 'delivery_events', 'rows_without_time', count(*) FILTER (delivered_at IS NULL) FROM fact_d
+  UNION ALL SELECT 'dw', 'complaints', 'rows_loaded', count(*) FROM fact_c
+  UNION ALL SELECT 'dw', 'delivery_events', 'rows_loaded', count(*) FROM fact_d
+  UNION ALL SELECT 'dw', 'complaints', 'complaints_linked', count(*) FROM links1
+  UNION ALL SELECT 'dw', 'complaints', 'complaints_waiting', count(*) FILTER (pickup_station_external_id IS NOT NULL) - (SELECT count(*) FROM links1) FROM fact_c)
+SELECT {o.DAY1} AS volume_date, stage, source_system, metric, value FROM counts""", "crec", "drec", "fact_c", "fact_d", "links1"))
+def _s1b(fs):
+    """Volumes per (stage, date), observed while a whole daily run writes."""
+    return fs.volumes
+
+
 # ------------------------------------------------------------ further steps
 @register("complaint_alerts", o.sql(f"""
 SELECT d.ref_identifier AS pickup_identifier, d.name, d.zip_code, f.complained_date AS complaint_date,
@@ -481,6 +549,85 @@ def _s6b(sc):
     return match_stations(sc.fact_delivery.select("pickup_station_external_id"), sc.dim2, crosswalk=cross)
 
 
+@register("station_crosswalk_conflict", o.sql(_STATION_MATCH + """,
+double AS (SELECT external_id, ref_identifier FROM cross_ids
+  UNION ALL SELECT 'S-' || lpad(substr(ref_identifier, 4), 6, '0'), ref_identifier FROM dim2 WHERE is_current AND ref_identifier LIKE 'PSN%'
+  UNION ALL SELECT external_id, (SELECT max(ref_identifier) FROM dim2 WHERE is_current) FROM ids
+  UNION ALL SELECT external_id, 'PS' || CAST(1 + CAST(substr(external_id, 3) AS BIGINT) AS VARCHAR) FROM ids),
+chosen AS (SELECT c.external_id, arg_min(d.pickup_station_id, (d.ref_identifier, d.pickup_station_id)) AS pickup_station_id,
+                  min(d.ref_identifier) AS ref_identifier
+             FROM double c JOIN dim2 d ON d.is_current AND d.ref_identifier = c.ref_identifier GROUP BY c.external_id)
+SELECT ids.external_id, c.pickup_station_id, c.ref_identifier, 'crosswalk' AS match_method, CAST(NULL AS INTEGER) AS score
+  FROM ids JOIN chosen c USING (external_id)""", "fact_d", "dim2"))
+def _s6c(sc):
+    """A crosswalk that gives ids several references: id and reference
+    come from one station."""
+    from depotlens.operators.matching import match_stations
+    cur = station_dim.current_rows(sc.dim2).select("ref_identifier")
+    ids = sc.fact_delivery.select(F.col("pickup_station_external_id").alias("external_id")).distinct()
+    last = cur.agg(F.max("ref_identifier").alias("ref_identifier"))
+    renamed = cur.where(F.col("ref_identifier").rlike("^PS[XN]")).select(
+        F.concat(F.lit("S-"), F.lpad(F.expr("substr(ref_identifier, 4)"), 6, "0")).alias("external_id"), "ref_identifier")
+    following = ids.select("external_id", F.concat(F.lit("PS"), (F.expr("substr(external_id, 3)").cast("long") + 1)
+                                                   .cast("string")).alias("ref_identifier"))
+    greatest = ids.withColumn("ref_identifier", F.lit(last.first()[0]))  # one value
+    return match_stations(sc.fact_delivery.select("pickup_station_external_id"), sc.dim2,
+                          crosswalk=renamed.unionByName(following).unionByName(greatest))
+
+
+#: S6 with given weights (whole numbers, so that sums are exact)
+FIXED_WEIGHTS = {"name": {0: -3, 1: 4, 2: 6}, "zip": {0: -3, 2: 3}, "street": {0: -4, 1: 2, 2: 6}, "number": {0: -4, 2: 6}}
+_COMPARED = """SELECT {ident} AS identifier, nullif(regexp_replace(upper(name), '[^A-Z0-9]', '', 'g'), '') AS name,
+    nullif(trim(zip_code), '') AS zip, nullif(regexp_replace(upper(street), '[^A-Z0-9]', '', 'g'), '') AS street,
+    nullif(regexp_extract(street, '([0-9]+)', 1), '') AS street_rough,
+    CAST(TRY_CAST(regexp_extract({ident}, '([0-9]+)$', 1) AS BIGINT) AS VARCHAR) AS number FROM {src}"""
+_ROUGH = """SELECT *, CASE WHEN name IS NOT NULL THEN array_to_string(list_transform(list_filter(
+    list_zip(string_split(plain, ''), [''] || string_split(plain, '')), lambda x: x[1] IS NOT NULL AND (x[1] <> x[2] OR x[1] BETWEEN '0' AND '9')), lambda x: x[1]), '') END AS name_rough
+  FROM (SELECT *, left(name, 1) || regexp_replace(substr(name, 2), '[AEIOU]', '', 'g') AS plain FROM ({0}))"""
+_PARTNER = """SELECT 'S-' || lpad(CAST(CASE WHEN s_suppkey % 7 = 6 THEN s_suppkey + 500000 ELSE s_suppkey END AS VARCHAR), 6, '0') AS identifier,
+    CASE s_suppkey % 4 WHEN 1 THEN lower(name) WHEN 2 THEN replace(name, 'i', '') WHEN 3 THEN 'Depot ' || (s_suppkey * 3) ELSE name END AS name,
+    CASE s_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN lpad(CAST((CAST(zip_code AS INTEGER) + 1) % 25 AS VARCHAR), 5, '0') ELSE zip_code END AS zip_code,
+    CASE s_suppkey % 3 WHEN 1 THEN 'STREET  ' || s_suppkey WHEN 2 THEN 'Str. ' || s_suppkey ELSE street END AS street,
+    identifier AS true_ref FROM st1
+  UNION ALL SELECT 'S-9' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0'), 'Partner Depot ' || s_suppkey, zip_code, 'Harbour ' || s_suppkey, NULL
+    FROM st1 WHERE s_suppkey % 6 = 0"""
+
+
+def _levels(field: str, rough: bool) -> str:
+    w = FIXED_WEIGHTS[field]
+    middle = f"WHEN l.{field}_rough = r.{field}_rough THEN {w[1]} " if rough else ""
+    return f"CASE WHEN l.{field} IS NULL OR r.{field} IS NULL THEN 0 WHEN l.{field} = r.{field} THEN {w[2]} {middle}ELSE {w[0]} END"
+
+
+@register("station_link_fixed", o.sql(f"""
+WITH l AS ({_ROUGH.replace("{0}", _COMPARED.format(ident="identifier", src=f"({_PARTNER})"))}),
+r AS ({_ROUGH.replace("{0}", _COMPARED.format(ident="ref_identifier", src="(SELECT * FROM dim2 WHERE is_current)"))}),
+pairs AS (SELECT l.identifier, r.identifier AS ref_identifier,
+    {_levels("name", True)} + {_levels("zip", False)} + {_levels("street", True)} + {_levels("number", False)} AS score
+  FROM l JOIN r ON l.number = r.number OR l.name_rough = r.name_rough OR (l.zip = r.zip AND l.street_rough = r.street_rough)),
+best AS (SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY score DESC, ref_identifier) AS rn FROM pairs WHERE score >= 5)
+SELECT l.identifier, b.ref_identifier, b.score FROM l LEFT JOIN (SELECT * FROM best WHERE rn = 1) b USING (identifier)""", "st1", "dim2"))
+def _s6d(sc):
+    """Another system's station list linked to the current stations by
+    agreement of name, zip, street and number, with given weights."""
+    from depotlens.operators import linkage
+    left = linkage.comparable(sc.partner_list, "identifier")
+    right = linkage.comparable(station_dim.current_rows(sc.dim2), "ref_identifier")
+    return linkage.link_stations(left, right, FIXED_WEIGHTS, 5)
+
+
+@register("station_link_learned")
+def _s6e(sc):
+    """The same with weights learned by expectation maximisation, held
+    against the planted truth: one row per partner station."""
+    from depotlens.operators import linkage
+    left = linkage.comparable(sc.partner_list, "identifier")
+    right = linkage.comparable(station_dim.current_rows(sc.dim2), "ref_identifier")
+    weights, prior = linkage.learn_weights(left, right)
+    # more likely than not: the weights outweigh the odds of a random pair
+    return linkage.link_stations(left, right, weights, -prior)
+
+
 _AT = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
@@ -533,3 +680,86 @@ def _s1(sc):
         {"complaints": sc.stg_complaint, "delivery_events": sc.stg_delivery},
         {"complaints": sc.fact_complaint, "delivery_events": sc.fact_delivery},
         fx.complaint_view(sc.fact_complaint, sc.links))
+
+
+# ------------------------------------------------- ratios, delays, episodes
+_WILSON = "sqrt(p * (1.0 - p) / n + 9.0 / (4.0 * n * n))"
+
+
+@register("complaint_rate_limits", o.sql(f"""
+WITH hit AS (SELECT DISTINCT delivery_record_hash AS h FROM s2 WHERE delivery_record_hash IS NOT NULL),
+per AS (SELECT CAST(date_trunc('month', delivered_at) AS DATE) AS delivery_month, pickup_station_external_id AS station,
+               count(*) AS deliveries, count(h) AS complained
+          FROM fact_d LEFT JOIN hit ON h = record_hash_sha256 WHERE delivered_at IS NOT NULL GROUP BY 1, 2),
+month AS (SELECT delivery_month, sum(complained)::DOUBLE / sum(deliveries)::DOUBLE AS month_rate FROM per GROUP BY 1),
+x AS (SELECT *, deliveries::DOUBLE AS n, complained::DOUBLE / deliveries::DOUBLE AS p FROM per JOIN month USING (delivery_month)),
+y AS (SELECT delivery_month, station, deliveries, complained, p AS complaint_rate, month_rate,
+             ((p + 9.0::DOUBLE / (2.0::DOUBLE * n)) - 3.0::DOUBLE * {_WILSON.replace("9.0", "9.0::DOUBLE").replace("4.0", "4.0::DOUBLE").replace("1.0", "1.0::DOUBLE")}) / (1.0::DOUBLE + 9.0::DOUBLE / n) AS lower_limit,
+             ((p + 9.0::DOUBLE / (2.0::DOUBLE * n)) + 3.0::DOUBLE * {_WILSON.replace("9.0", "9.0::DOUBLE").replace("4.0", "4.0::DOUBLE").replace("1.0", "1.0::DOUBLE")}) / (1.0::DOUBLE + 9.0::DOUBLE / n) AS upper_limit FROM x)
+SELECT *, CASE WHEN lower_limit > month_rate THEN 'high' WHEN upper_limit < month_rate THEN 'low' ELSE 'normal' END AS flag FROM y""",
+          "fact_d", "s2"))
+def _s3b(sc):
+    """S3: abnormal complaint ratios per delivery month and station (funnel limits)."""
+    from depotlens.operators.correlation import complaint_rate_limits
+    return complaint_rate_limits(sc.correlation, sc.fact_delivery)
+
+
+_SKETCH = """
+sizes AS (SELECT driver_id, CAST(complained_at AS DATE) AS complaint_day, CAST(trunc(delay_seconds) AS BIGINT) AS delay FROM s2 WHERE delay_seconds IS NOT NULL),
+cut AS (SELECT *, greatest(length(bin(abs(delay))) - 7, 0) AS bits FROM sizes),
+sketch AS (SELECT complaint_day, driver_id, CASE WHEN delay < 0 THEN -((abs(delay) >> bits) << bits) ELSE (delay >> bits) << bits END AS bucket,
+                  count(*) AS n FROM cut GROUP BY ALL)"""
+
+
+@register("delay_sketch", o.sql(f"WITH {_SKETCH} SELECT * FROM sketch", "s2"))
+def _s2b(sc):
+    """Mergeable delay sketches per complaint day and driver."""
+    return sc.delay_sketch
+
+
+@register("delay_quantiles", o.sql(f"""
+WITH {_SKETCH},
+merged AS (SELECT driver_id, bucket, sum(n)::BIGINT AS n FROM sketch WHERE complaint_day >= {o.AS_OF} - INTERVAL 60 DAY GROUP BY 1, 2),
+held AS (SELECT *, (sum(n) OVER (PARTITION BY driver_id))::BIGINT AS total,
+                (sum(n) OVER (PARTITION BY driver_id ORDER BY bucket))::BIGINT AS upto FROM merged)
+SELECT driver_id, max(total) AS delays, min(bucket) FILTER (upto >= ceil(total * 0.5::DOUBLE)) AS p50_seconds,
+       min(bucket) FILTER (upto >= ceil(total * 0.9::DOUBLE)) AS p90_seconds, min(bucket) FILTER (upto >= ceil(total * 0.99::DOUBLE)) AS p99_seconds
+  FROM held GROUP BY driver_id""", "s2"))
+def _s2c(sc):
+    """Delays per driver over the last 60 days, merged from the daily sketches."""
+    import datetime as dt
+
+    from depotlens.operators.correlation import delay_quantiles
+    return delay_quantiles(sc.delay_sketch, since=td.AS_OF - dt.timedelta(days=60))
+
+
+@register("missing_deliveries", o.sql("""
+SELECT parcel_id, count(*) AS complaints, min(complained_at) AS first_complained_at, max(complained_at) AS last_complained_at,
+       coalesce(bool_or(matched_by = 'purchase_order'), FALSE) AS order_delivered
+  FROM s2 WHERE parcel_id IS NOT NULL AND matched_by IS DISTINCT FROM 'parcel' GROUP BY parcel_id""", "s2"))
+def _s2d(sc):
+    """Complained parcels without a delivery event."""
+    from depotlens.operators.correlation import missing_deliveries
+    return missing_deliveries(sc.correlation)
+
+
+ALERT_THRESHOLD, QUIET_DAYS = 1, 2
+
+
+@register("alert_episodes", o.sql(f"""
+WITH days AS (SELECT pickup_station_id, complained_date AS d, count(*) AS n FROM cview
+               WHERE pickup_station_id IS NOT NULL AND complained_date <= {o.DAY2} GROUP BY 1, 2 HAVING count(*) > {ALERT_THRESHOLD}),
+marked AS (SELECT *, CASE WHEN d - lag(d) OVER (PARTITION BY pickup_station_id ORDER BY d) <= {QUIET_DAYS} THEN 0 ELSE 1 END AS new FROM days),
+islands AS (SELECT *, sum(new) OVER (PARTITION BY pickup_station_id ORDER BY d) AS island FROM marked)
+SELECT pickup_station_id, min(d) AS episode_start, max(d) AS episode_last, count(*) AS breach_days, sum(n)::BIGINT AS complaints,
+       max(n) AS peak, {o.DAY2} - max(d) <= {QUIET_DAYS} AS is_open
+  FROM islands GROUP BY pickup_station_id, island""", "cview"))
+def _s7b(sc):
+    """Alert episodes after both days: the state of day 1 and the
+    breaches of day 2 merged."""
+    from depotlens.operators import episodes
+    new = episodes.breaches(sc.fact_complaint, sc.links, ALERT_THRESHOLD)
+    first = episodes.advance(None, new.where(F.col("episode_start") <= F.lit(td.DAY1)), QUIET_DAYS)
+    state = sc.store.put("alert_episodes", first)
+    day2 = new.where((F.col("episode_start") > F.lit(td.DAY1)) & (F.col("episode_start") <= F.lit(td.DAY2)))
+    return episodes.with_status(episodes.advance(state, day2, QUIET_DAYS), td.DAY2, QUIET_DAYS)

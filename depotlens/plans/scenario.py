@@ -162,6 +162,10 @@ class Scenario:
     def dim2(self) -> DataFrame:
         return self.dim2_parts["dim"]
 
+    @_lazy
+    def partner_list(self) -> DataFrame:
+        return self.store.put("partner_stations", td.partner_stations(self.spark, self.sf_dir))
+
     # ----------------------------------------------------------------- facts
     @_lazy
     def fact_complaint(self) -> DataFrame:
@@ -175,6 +179,21 @@ class Scenario:
         rows = fx.load_facts(None, self.stg_delivery, "delivery_events", td.RUN1)
         return self.store.append("fact_delivery_event", rows, partition_by=["delivered_month"], sort_by=["delivered_at"])
 
+    def first_half(self, raw: DataFrame) -> DataFrame:
+        """The rows of the first half of the files that hold any (by file id)."""
+        middle = raw.select("file_id").distinct().agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY file_id)")).first()[0]
+        return raw.where(F.col("file_id") <= F.lit(middle))
+
+    def second_load(self, system: str) -> DataFrame:
+        """The fact after two loads: the first half of the files, then all
+        rows of all files again."""
+        raw = {"complaints": self.staged_raw_complaints, "delivery_events": self.staged_raw_deliveries}[system]
+        name, month = f"second_load_{system}", fx.SPECS[system]["month"]
+        if not self.store.has(name):
+            first = self.store.append(name, fx.load_facts(None, self.first_half(raw), system, td.RUN1), partition_by=[month])
+            self.store.append(name, fx.load_facts(first, raw, system, td.RUN2), partition_by=[month])
+        return self.store.get(name)
+
     @_lazy
     def links_day1(self) -> DataFrame:
         rows = fx.link_complaints(self.fact_complaint, None, self.dim1, td.RUN1)
@@ -197,6 +216,11 @@ class Scenario:
         return self.store.put("complaint_delivery_link",
                               complaint_delivery_link(self.fact_complaint, self.fact_delivery))
 
+    @_lazy
+    def delay_sketch(self) -> DataFrame:
+        from depotlens.operators.correlation import delay_sketch
+        return self.store.append("delay_sketch", delay_sketch(self.correlation), partition_by=["complaint_day"])
+
     @_lazy
     def monitoring(self) -> DataFrame:
         row = complaint_monitoring(fx.complaint_view(self.fact_complaint, self.links), td.DAY2, td.RUN2)
@@ -251,6 +275,14 @@ class FileScenario:
     def staged(self) -> dict:
         return self.pipeline.ingest(self.written, td.RUN1)
 
+    @_lazy
+    def volumes(self) -> DataFrame:
+        """Volumes of the whole day-1 run (its intake is the one above)."""
+        _ = self.staged
+        stations = td.station_list_day1(self.spark, self.sf_dir).drop("s_suppkey")
+        self.pipeline.run(td.DAY1, td.RUN1, self.root, stations)
+        return self.pipeline.volumes()
+
     @property
     def ledger(self) -> DataFrame:
         _ = self.staged

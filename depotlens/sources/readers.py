@@ -130,6 +130,20 @@ def file_outcomes(rows: DataFrame, batch: DataFrame, fields: list[str]) -> DataF
                     F.coalesce("records", F.lit(0)).cast("long").alias("records"))
 
 
+#: what an error says when a file itself can't be read
+FILE_ERROR = re.compile("FAILED_READ_FILE|FileNotFound|AccessControlException|AccessDenied|Permission denied|MALFORMED|Malformed|"
+                        "not in gzip format|incorrect header check|unknown compression method|EOFException|ChecksumException", re.I)
+#: and when the cluster failed: the run ends, its claim is released by the next one
+CLUSTER_ERROR = re.compile("ExecutorLost|executor .* (lost|exited|decommission)|OutOfMemory|No space left|Disk quota|"
+                           "FetchFailed|cancelled|SparkContext was shut down|Connection (refused|reset)|Timeout", re.I)
+
+
+def is_file_error(error: Exception) -> bool:
+    """Whether a failed read is the fault of its files, not of the cluster."""
+    text = str(error)
+    return bool(FILE_ERROR.search(text)) and not CLUSTER_ERROR.search(text)
+
+
 def _collected(spark: SparkSession, by_fmt: dict[str, list[str]], fields: list[str],
                failed: dict[str, str]) -> list[DataFrame]:
     """The records of the files, read once and written (shared folder). Where
@@ -142,7 +156,9 @@ def _collected(spark: SparkSession, by_fmt: dict[str, list[str]], fields: list[s
         # outcomes and rows both read it, and a query on the corrupt marker
         # alone is not allowed on raw files
         return [read_records(spark, by_fmt, fields).checkpoint(eager=True)]
-    except Exception as e:  # noqa: BLE001  the reason is kept in the ledger
+    except Exception as e:
+        if not is_file_error(e):
+            raise  # files stay PARSING and return to RECEIVED with the next run (K13)
         if len(paths) == 1:
             failed[paths[0][1]] = "UNREADABLE: " + str(e).strip().split("\n")[0][:300]
             return []

@@ -64,6 +64,30 @@ def station_list_day2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(added)
 
 
+def partner_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another system's station list: every day-1 station with faults by
+    s_suppkey (name: % 4 lower case, a lost vowel, another name; zip: % 5
+    missing or wrong; street: % 3 other spelling; number: % 7 another one), and
+    for each sixth one a station that is not in the reference list, in the same
+    zip and with the same house number. Columns as the station list, identifier
+    as the delivery events give it, and the true reference (null: none)."""
+    st = station_list_day1(spark, sf_dir)
+    k, nation = F.col("s_suppkey"), F.col("zip_code").cast("int")
+    known = st.select(
+        F.concat(F.lit("S-"), F.lpad(_s(F.when(k % 7 == 6, k + 500000).otherwise(k)), 6, "0")).alias("identifier"),
+        F.when(k % 4 == 1, F.lower("name")).when(k % 4 == 2, F.replace(F.col("name"), F.lit("i"), F.lit("")))
+        .when(k % 4 == 3, F.concat(F.lit("Depot "), _s(k * 3))).otherwise(F.col("name")).alias("name"),
+        F.when(k % 5 == 0, F.lit(None)).when(k % 5 == 1, F.lpad(_s((nation + 1) % 25), 5, "0"))
+        .otherwise(F.col("zip_code")).alias("zip_code"),
+        F.when(k % 3 == 1, F.concat(F.lit("STREET  "), _s(k))).when(k % 3 == 2, F.concat(F.lit("Str. "), _s(k)))
+        .otherwise(F.col("street")).alias("street"),
+        F.col("identifier").alias("true_ref"))
+    strange = st.where(k % 6 == 0).select(
+        F.concat(F.lit("S-9"), F.lpad(_s(k), 6, "0")).alias("identifier"), F.concat(F.lit("Partner Depot "), _s(k)).alias("name"),
+        "zip_code", F.concat(F.lit("Harbour "), _s(k)).alias("street"), F.lit(None).cast("string").alias("true_ref"))
+    return known.unionByName(strange)
+
+
 def complaint_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One complaint per 'error' event, with the file it arrives in.
 

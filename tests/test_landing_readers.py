@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from depotlens.operators import landing
@@ -179,17 +181,48 @@ def test_one_unreadable_file_fails_alone(spark, tmp_root, monkeypatch):
 
     def read(spark, by_fmt, fields, options=None):
         if any("f3" in p for ps in by_fmt.values() for p in ps):
-            raise OSError("cannot open f3")
+            raise OSError("[FAILED_READ_FILE.NO_HINT] cannot open f3")
         return real(spark, by_fmt, fields, options)
 
     monkeypatch.setattr(readers, "read_records", read)
     p = Pipeline(spark)
     added = p.ingest(tmp_root, T1, systems=("complaints",))["complaints"]
     led = {os.path.basename(r.landing_file_path): (r.status, r.error_message) for r in p.ledger().collect()}
-    assert led["f3.json"] == ("FAILED", "UNREADABLE: cannot open f3")
+    assert led["f3.json"] == ("FAILED", "UNREADABLE: [FAILED_READ_FILE.NO_HINT] cannot open f3")
     assert sorted(r.recipient_name for r in added.collect()) == ["r0", "r1", "r2", "r4"]
 
 
+def test_a_lost_cluster_fails_no_file(spark, tmp_root, monkeypatch):
+    """An error of the cluster ends the run; its files are read by the next one."""
+    from depotlens.sources import readers
+
+    for i in range(3):
+        _write(tmp_root, f"f{i}.json", '{"complained_at":"2024-03-01 11:00:00","recipient_name":"r%d"}\n' % i)
+    real = readers.read_records
+
+    def lost(spark, by_fmt, fields, options=None):
+        raise RuntimeError("Job aborted due to stage failure: ExecutorLostFailure (executor 3 exited); [FAILED_READ_FILE.NO_HINT] f1")
+
+    monkeypatch.setattr(readers, "read_records", lost)
+    p = Pipeline(spark)
+    with pytest.raises(RuntimeError, match="ExecutorLost"):
+        p.ingest(tmp_root, T1, systems=("complaints",))
+    assert {r.status for r in p.ledger().collect()} == {"PARSING"}
+    monkeypatch.setattr(readers, "read_records", real)
+    added = p.ingest(tmp_root, T2, systems=("complaints",))["complaints"]
+    assert added.count() == 3 and {r.status for r in p.ledger().collect()} == {"PARSED"}
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("[FAILED_READ_FILE.FILE_NOT_EXIST] x", True), ("java.io.EOFException", True), ("not in gzip format", True),
+    ("Job aborted: OutOfMemoryError while [FAILED_READ_FILE.NO_HINT]", False), ("No space left on device", False),
+    ("some programming error", False)])
+def test_which_errors_are_a_files_own(text, expected):
+    from depotlens.sources.readers import is_file_error
+
+    assert is_file_error(RuntimeError(text)) == expected
+
+
 def test_arrays_over_lines_zones_and_unreadable_times(spark, tmp_root):
     _write(tmp_root, "array.json", '[\n  {\n    "complained_at": "2024-01-01T10:00:00+02:00",\n    "recipient_name": "A"\n  },\n'
                                    '  {"complained_at": "2024-01-01T10:00:00Z", "recipient_name": "B"}\n]\n')

@@ -81,5 +81,6 @@ def test_partitions_pruned_for_report_window(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(registry.QUERIES) == set(registry.ORACLE)
+    # weights learned by iteration are not SQL: held against planted truth instead
+    assert set(registry.QUERIES) - set(registry.ORACLE) == {"station_link_learned"}
     assert set(registry.QUERIES) <= set(ent.queries()) and len(registry.QUERIES) >= 39

@@ -124,3 +124,42 @@ def test_staged_batches_left_by_a_stopped_driver_are_loaded_next_run(spark, tmp_
     assert p2.pending_batches("complaints") == []
     batches = [r[0] for r in p2.store.get("stg_complaint").select("load_batch").distinct().collect()]
     assert sorted(batches) == list(range(1, len(batches) + 1))
+
+
+def test_volumes_are_observed_by_day_and_a_second_run_adds_nothing(spark, tmp_root):
+    write_landing(td.complaint_records(spark, SF), tmp_root, "complaints", COMPLAINT_FIELDS, "complained_at",
+                  td.COMPLAINT_FILE_ORDER, part=F.col("event_id") % 2)
+    p = Pipeline(spark)
+    stations = td.station_list_day1(spark, SF).drop("s_suppkey")
+    p.run(td.DAY1, td.RUN1, tmp_root, stations)
+
+    def volumes():
+        return {(r.volume_date, r.stage, r.metric): r.value for r in p.volumes().where("source_system = 'complaints'").collect()}
+
+    one, n = volumes(), td.complaint_records(spark, SF).count()
+    assert one[td.DAY1, "staging", "rows_read"] == one[td.DAY1, "staging", "rows_kept"] == one[td.DAY1, "dw", "rows_loaded"] == n
+    assert one[td.DAY1, "landing", "files_parsed"] == p.ledger().count() and one[td.DAY1, "landing", "files_failed"] == 0
+    assert one[td.DAY1, "dw", "complaints_linked"] == p.store.get("complaint_station_link").count()
+    assert one[td.DAY1, "dw", "complaints_waiting"] == p.store.get("complaint_unlinked").count()
+    p.run(td.DAY2, td.RUN2, tmp_root, stations)
+    two = volumes()
+    assert {k: v for k, v in two.items() if k[0] == td.DAY1} == one
+    assert two[td.DAY2, "landing", "files_registered"] == 0 and two[td.DAY2, "dw", "complaints_linked"] == 0
+
+
+def test_surrogate_keys_go_on_without_a_scan_of_the_fact(spark, tmp_root):
+    from depotlens.operators import facts as fx
+    p = Pipeline(spark)
+    stations = td.station_list_day1(spark, SF).drop("s_suppkey")
+    for part, run_ts in ((0, td.RUN1), (1, td.RUN2)):
+        root = f"{tmp_root}/{part}"
+        write_landing(td.complaint_records(spark, SF).where(F.col("event_id") % 2 == part), root, "complaints",
+                      COMPLAINT_FIELDS, "complained_at", td.COMPLAINT_FILE_ORDER, part=F.lit(part))
+        p.run(run_ts.date(), run_ts, root, stations)
+    fact = p.store.get("fact_complaint")
+    top = fact.agg(F.max("complaint_sk"), F.count("*"), F.count_distinct("complaint_sk")).first()
+    assert p.store.get("last_key_complaints").first()[0] == top[0] and top[1] == top[2]
+    staged = p.store.get("stg_complaint").drop("load_batch").limit(0)  # no month: nothing of the fact is read
+    rows = fx.load_facts(fact, staged, "complaints", td.RUN2, start=top[0])
+    plan = rows._jdf.queryExecution().toString()
+    assert "complaint_sk" not in plan.split("== Physical Plan ==")[1].split("ReadSchema")[0] or rows.count() == 0
