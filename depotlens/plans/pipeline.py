@@ -24,7 +24,7 @@ from depotlens.operators.monitoring import complaint_monitoring, upsert_by_date
 from depotlens.operators.staging import dedupe_staged
 from depotlens.schemas import MONITORING, STATION_SNAPSHOT
 from depotlens.sources.files import list_landing
-from depotlens.sources.readers import stage_batch
+from depotlens.sources.readers import Layout, stage_batch
 from depotlens.sources.store import Store
 
 VOLUMES = "volume_date date, stage string, source_system string, metric string, value long"
@@ -36,10 +36,12 @@ FACT_TIME = {"complaints": "complained_at", "delivery_events": "delivered_at"}
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, store: Store | None = None, batch_size: int = landing.INTAKE_BATCH):
+    def __init__(self, spark: SparkSession, store: Store | None = None, batch_size: int = landing.INTAKE_BATCH,
+                 layouts: dict[str, list[Layout]] | None = None):
         self.spark = spark
         self.store = store or Store(spark)
         self.batch_size = batch_size
+        self.layouts = layouts or {}  # by source system: files with other columns (L5, L6)
         self._said: list[tuple] = []
         self._seen: list[tuple] = []
 
@@ -135,7 +137,7 @@ class Pipeline:
                 if not any(r["source_system"] == s for r in claimed):
                     continue
                 b = batch.where(F.col("source_system") == s)
-                rows, out = stage_batch(self.spark, b, s, run_ts)
+                rows, out = stage_batch(self.spark, b, s, run_ts, self.layouts.get(s, ()))
                 rows = dedupe_staged(rows, self._get(STAGING_TABLE[s]))
                 rows = self._observed(
                     rows.withColumn("load_batch", F.lit(self._batch_no)), "staging", s, rows_kept=F.count(F.lit(1)),

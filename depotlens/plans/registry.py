@@ -16,7 +16,7 @@ from depotlens.operators import facts as fx
 from depotlens.operators import landing, reports, station_dim
 from depotlens.operators.ids import lit_ts
 from depotlens.plans import oracle as o
-from depotlens.plans.scenario import file_scenario, scenario
+from depotlens.plans.scenario import file_scenario, layout_scenario, scenario
 from depotlens.schemas import STATION_DIM_COLUMNS
 from depotlens.session import prepare
 from depotlens.sources import testdata as td
@@ -350,11 +350,11 @@ def _pk(sc):
 
 
 # --------------------------------------------------------- landing files
-def register_files_query(name: str, oracle_sql: str | None = None):
+def register_files_query(name: str, oracle_sql: str | None = None, source=file_scenario):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             prepare(spark)
-            return fn(file_scenario(spark, sf_dir))
+            return fn(source(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -387,6 +387,14 @@ def _l5(fs):
     return fs.staged_with_file("complaints")
 
 
+@register_files_query("stage_complaints_mapped", o.sql(
+    _file_rows("crec", "complaints", o.C_FIELDS, o.C_TEXT, "event_id", "event_id % 2"), "crec"), source=layout_scenario)
+def _l5b(fs):
+    """Complaints of two sources in one intake, one of them with other
+    column names, another order and another time format."""
+    return fs.staged_with_file("complaints")
+
+
 @register_files_query("stage_delivery_events", o.sql(
     _file_rows("drec", "delivery_events", o.D_FIELDS, o.D_TEXT,
                "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "

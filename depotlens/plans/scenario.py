@@ -297,3 +297,46 @@ class FileScenario:
             F.to_date(F.regexp_extract("landing_file_path", r"ingest_dt=([0-9-]+)", 1)).alias("ingest_dt"),
             F.regexp_extract("landing_file_path", r"\.([a-z]+)$", 1).alias("source_format"),
             *[c for c in rows.columns if c not in ("file_id", "load_batch")])
+
+
+#: the complaint files of a source with other names, order and time format
+PARTNER_COLUMNS = {
+    "complaint_text": "beschwerde", "purchase_order_id": "bestellung", "parcel_id": "sendung", "recipient_address": "anschrift",
+    "recipient_name": "empfaenger", "pickup_station_external_id": "station", "complained_at": "zeit"}
+PARTNER_TIME = "dd.MM.yyyy HH:mm:ss.SSSSSS"
+
+
+class LayoutScenario(FileScenario):
+    """Complaint files of two sources in one intake: even events in the
+    standard layout, odd ones (file part 1) in the partner's."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        from depotlens.sources.readers import Layout
+
+        super().__init__(spark, sf_dir)
+        self.pipeline.layouts = {"complaints": [Layout(r"_1 \[%20\]\.[a-z]+$", PARTNER_COLUMNS, PARTNER_TIME)]}
+
+    @_lazy
+    def written(self) -> str:
+        from depotlens.schemas import COMPLAINT_FIELDS
+        from depotlens.sources.files import write_landing
+
+        records, odd = td.complaint_records(self.spark, self.sf_dir), F.col("event_id") % 2
+        write_landing(records.where(odd == 0), self.root, "complaints", COMPLAINT_FIELDS, "complained_at",
+                      td.COMPLAINT_FILE_ORDER, part=F.lit(0))
+        partner = records.where(odd == 1).withColumn("complained_at", F.date_format("complained_at", PARTNER_TIME))
+        write_landing(partner.withColumnsRenamed(PARTNER_COLUMNS), self.root, "complaints", list(PARTNER_COLUMNS.values()),
+                      "", td.COMPLAINT_FILE_ORDER, part=F.lit(1))
+        return self.root
+
+    @_lazy
+    def staged(self) -> dict:
+        return self.pipeline.ingest(self.written, td.RUN1, systems=("complaints",))
+
+
+def layout_scenario(spark: SparkSession, sf_dir: str) -> LayoutScenario:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "layouts")
+    with _LOCK:
+        if key not in _FILE_CACHE:
+            _FILE_CACHE[key] = LayoutScenario(spark, sf_dir)
+        return _FILE_CACHE[key]

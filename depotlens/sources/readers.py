@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,20 +189,51 @@ def _with_arrays(spark: SparkSession, rows: DataFrame, keys: dict[str, str], fie
     return rows.where(~F.col("file_path").isin(arrays)).unionByName(with_positions(again))
 
 
-def event_time(text) -> F.Column:
+def event_time(text, pattern: str | None = None) -> F.Column:
     """UTC wall time of a time text: a zone in the text counts, unreadable
     text gives null (a time without a date too: it would take today's)."""
+    if pattern is not None:
+        return F.try_to_timestamp(F.col(text), F.lit(pattern)).cast("timestamp_ntz")
     dated = F.when(F.col(text).rlike(r"^\s*[+-]?\d{4,}"), F.col(text))
     return dated.try_cast("timestamp").cast("timestamp_ntz")
 
 
-def stage_batch(spark: SparkSession, batch: DataFrame, system: str, run_ts: dt.datetime):
+@dataclass(frozen=True)
+class Layout:
+    """How the files of one source differ from the standard record: which of
+    their columns holds which field, in the order of their CSV files, and how
+    they write the time. Fields without a column are null."""
+
+    pattern: str  # regular expression that the landing path contains
+    columns: dict[str, str]  # field -> name in the files, in file order
+    time_pattern: str | None = None  # Spark datetime pattern; None: as any readable time
+
+
+def stage_batch(spark: SparkSession, batch: DataFrame, system: str, run_ts: dt.datetime, layouts: Sequence[Layout] = ()):
     """Read one claimed batch (file_id, source_system, landing_file_path).
 
     Returns (staging rows of the files that parsed, outcomes). The batch is
-    at most one claim (100 files by default), so its path list is small.
+    at most one claim (100 files by default), so its path list is small. The
+    first layout whose pattern fits a path holds for the file, else the
+    standard one.
     """
-    fields = KINDS[system]["fields"]
+    standard = Layout("", {c: c for c in KINDS[system]["fields"]})
+    rest, rows, outcomes = F.lit(True), None, None
+    for layout in [*layouts, standard]:
+        fits = F.col("landing_file_path").rlike(layout.pattern) if layout.pattern else F.lit(True)
+        own = batch.where(rest & fits)
+        rest = rest & ~fits
+        if own.isEmpty():
+            continue
+        more, said = _stage_files(spark, own, system, run_ts, layout)
+        rows = more if rows is None else rows.unionByName(more)
+        outcomes = said if outcomes is None else outcomes.unionByName(said)
+    return rows, outcomes
+
+
+def _stage_files(spark: SparkSession, batch: DataFrame, system: str, run_ts: dt.datetime, layout: Layout):
+    """:func:`stage_batch` for files of one layout."""
+    fields = list(layout.columns.values())
     time_col = KINDS[system]["time"]
     claimed = batch.select("landing_file_path", uri_key(F.col("landing_file_path"))).collect()
     keys = {k: p for p, k in claimed}
@@ -232,6 +265,9 @@ def stage_batch(spark: SparkSession, batch: DataFrame, system: str, run_ts: dt.d
             .join(ids, "file_path").join(F.broadcast(good), "file_id", "left_semi")
             .withColumn("record_index",
                         F.when(F.col("source_format") == "csv", F.col("_pos") - 1).otherwise(F.col("_pos")).cast("int"))
+            .select("file_id", "record_index",
+                    *[F.col(layout.columns[c]).alias(c) if c in layout.columns else F.lit(None).cast("string").alias(c)
+                      for c in KINDS[system]["fields"]])
             .withColumn("_time_text", F.col(time_col))
-            .withColumn(time_col, event_time("_time_text")))
+            .withColumn(time_col, event_time("_time_text", layout.time_pattern)))
     return finish_staging(data, system, run_ts), outcomes

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from depotlens.operators import landing
 from depotlens.plans.pipeline import Pipeline
-from depotlens.schemas import FILE_LISTING
+from depotlens.schemas import COMPLAINT_FIELDS, FILE_LISTING
 from helpers import T1, T2
 
 HEADER = ("complained_at,pickup_station_external_id,recipient_name,recipient_address,"
@@ -238,3 +238,25 @@ def test_arrays_over_lines_zones_and_unreadable_times(spark, tmp_root):
     assert (by["A"].record_index, by["B"].record_index) == (0, 1)
     unread = [r for r in rows if r.recipient_name == "D"]
     assert len(unread) == 3 and all(r.complained_at is None for r in unread)  # the repeated one is dropped
+
+
+def test_two_layouts_in_one_claim(spark, tmp_root):
+    """Other names, order, time format and a missing field; a partner's files
+    with their columns in another order or with the standard ones fail alone."""
+    from depotlens.sources.readers import Layout
+
+    partner = Layout("/p_", {"recipient_name": "Name", "complained_at": "Zeit", "parcel_id": "Nr"}, "dd.MM.yyyy HH:mm")
+    head = ",".join(COMPLAINT_FIELDS)
+    _write(tmp_root, "s.csv", head + "\n" + ",".join("2024-03-01 11:00:00" if c == "complained_at" else c for c in COMPLAINT_FIELDS) + "\n")
+    _write(tmp_root, "p_1.csv", "Name,Zeit,Nr\nAnna,02.03.2024 09:30,77\nBen,later,78\n")
+    _write(tmp_root, "p_2.json", '{"Nr":"79","Name":"Cora","Zeit":"03.03.2024 10:00","parcel_id":"no field of theirs"}\n')
+    _write(tmp_root, "p_3.csv", "Name,Nr,Zeit\nDora,80,04.03.2024 11:00\n")
+    _write(tmp_root, "p_4.csv", head + "\n")
+    p = Pipeline(spark, layouts={"complaints": [partner]})
+    got = {r.recipient_name: r for r in p.ingest(tmp_root, T1, systems=("complaints",))["complaints"].collect()}
+    assert set(got) == {"recipient_name", "Anna", "Ben", "Cora"}
+    assert (got["Anna"].complained_at, got["Anna"].parcel_id, got["Anna"].complaint_text) == (dt.datetime(2024, 3, 2, 9, 30), "77", None)
+    assert got["Ben"].complained_at is None and got["Cora"].parcel_id == "79"
+    status = {os.path.basename(r.landing_file_path): (r.status, r.error_message) for r in p.ledger().collect()}
+    assert status["p_3.csv"] == ("FAILED", "HEADER_MISMATCH") and status["p_4.csv"] == ("FAILED", "CORRUPT_RECORDS: 1")
+    assert {status[n][0] for n in ("s.csv", "p_1.csv", "p_2.json")} == {"PARSED"}
