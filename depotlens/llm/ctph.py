@@ -22,12 +22,13 @@ Without a common block size it is 0.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlens.llm.common import slots, with_package
@@ -170,6 +171,21 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
     return with_package(rows).mapInArrow(run, "doc_id long, fingerprint string")
 
 
+def _longs(values: list) -> Column:
+    """An array as one literal, whatever its length (nulls stay null)."""
+    return F.split(F.lit(",".join("" if v is None else str(v) for v in values)), ",", -1).try_cast("array<bigint>")
+
+
+def _place(key: Column, cuts: list[int]) -> Column:
+    """How many of the ascending cuts lie above the key, in two short steps:
+    which run of cuts, and where in it."""
+    width = math.isqrt(max(1, len(cuts) - 1)) + 1
+    tops = _longs([cuts[min(i + width, len(cuts)) - 1] for i in range(0, len(cuts), width)])
+    run = F.least(F.size(F.filter(tops, lambda c: c <= key)) * width, F.lit(len(cuts)))  # the last run may be shorter
+    inside = F.filter(F.slice(_longs(cuts), run + 1, F.lit(width)), lambda c: c <= key)
+    return F.lit(len(cuts)) - run - F.size(inside) if cuts else F.lit(0)
+
+
 def _followed(df: DataFrame) -> DataFrame:
     """Rows dealt out by descending doc_id (bucket), with the first rows of the
     next bucket once more at the end of each (look)."""
@@ -178,14 +194,15 @@ def _followed(df: DataFrame) -> DataFrame:
     count = slots(df.sparkSession)
     keys = df.select(F.coalesce(F.col("doc_id"), least).alias("_key"))
     cuts = keys.agg(F.percentile_approx("_key", [i / count for i in range(1, count)] or [0.5], 10000)).first()[0] or []
-    cuts = F.array(*[F.lit(c).cast("long") for c in sorted(set(cuts))]).cast("array<long>")
-    bucket = F.size(F.filter(cuts, lambda c: F.col("_key") < c))
-    # one row per bucket
+    bucket = _place(F.col("_key"), sorted(set(cuts)))
+    # one row per bucket; the first row of each is looked at by the bucket before (of the first bucket: the last one)
     firsts = keys.select("_key", bucket.alias("b")).groupBy("b").agg(F.max("_key")).orderBy("b").collect()
-    before = {first: firsts[i - 1][0] for i, (_, first) in enumerate(firsts)}  # of the first bucket: the last one
-    looked = F.lit(None).cast("int")
-    if before:
-        looked = F.element_at(F.create_map(*[F.lit(v).cast(t) for kv in before.items() for v, t in zip(kv, ("long", "int"))]), F.col("_key"))
+    first, before = {}, {}
+    for i, (b, key) in enumerate(firsts):
+        first[b], before[b] = key, firsts[i - 1][0]
+    every = range(max(first, default=-1) + 1)
+    looked = F.when(F.get(_longs([first.get(b) for b in every]), bucket) == F.col("_key"),
+                    F.get(_longs([before.get(b) for b in every]), bucket).cast("int"))
     places = F.array_compact(F.array(
         F.struct(bucket.alias("bucket"), F.lit(False).alias("look")),
         F.when(looked.isNotNull(), F.struct(looked.alias("bucket"), F.lit(True).alias("look")))))
