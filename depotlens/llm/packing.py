@@ -5,18 +5,23 @@ than a sequence. Full pieces are sequences of their own. All other pieces are
 dealt to islands (hash of the piece, so many that an island stays small); each
 island evolves its own population of packings of its pieces:
 
-* an individual is a set of bins (sequences); its fitness is the mean of the
-  squared fills (few, well-filled bins);
-* crossover injects the best-filled bins of one parent whole into the other,
+* an individual is a set of bins (sequences); fewer bins are better, then the
+  larger mean of the squared fills (room gathers in few bins, which the next
+  islands can use);
+* crossover injects well-filled bins of one parent whole into the other,
   drops the bins that share a piece with them, and best-fits the displaced
-  pieces;
-* mutation dissolves the emptiest bins and best-fits their pieces.
-
-Then elites migrate: bins filled to ``ELITE`` are final and leave the
-evolution, the pieces of all other bins move on, dealt anew to as many islands
-as they fill, where they meet those of others, until one island is left or
-migration makes less than half of the pieces final. No task ever holds more
-than an island's pieces.
+  pieces, some of them by exchange for smaller ones of a bin;
+* mutation dissolves the emptiest bins and some others and best-fits their
+  pieces.
+
+Then elites migrate, as rows through a shuffle: of an island's best packing,
+one in ``MIGRANTS`` of the bins filled to ``ELITE`` and all bins below it go
+on whole (all their pieces to one island, dealt by the hash of the bin); the
+other elite bins are final. The bins that arrive are individuals of the new
+island's population, once with all of them and once with the elite ones kept
+and the rest best-fitted, so that crossover injects them into packings of
+pieces from other islands. Rounds end with one island, or when a round makes
+less than half of the pieces final. No task holds more than an island's pieces.
 
 * null and empty texts: the end id only. Repeated rows are pieces of their
   own; ties in the fit are broken by the order of the bins.
@@ -44,8 +49,11 @@ CAPACITY = 4096
 ISLAND_PIECES = 3000
 MOST_LEVELS = 12
 ELITE = 0.995
+MIGRANTS = 16
 POPULATION = 4
-GENERATIONS = 6
+GENERATIONS = 4
+#: bins of more pieces take none in exchange (best fit fills them well anyway)
+EXCHANGE_WIDTH = 8
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -107,9 +115,32 @@ def _fitness(bins: list[list[int]], lengths: list[int], capacity: int) -> float:
     return sum((f / capacity) ** 2 for f in _fill(bins, lengths)) / max(1, len(bins))
 
 
+def _exchange(bins: list[list[int]], loose: list[int], lengths: list[int], capacity: int) -> list[int]:
+    """Puts loose pieces into bins in place of one or two smaller ones where the
+    bin gets fuller by it; gives the pieces that are loose then."""
+    loose = sorted(loose, key=lambda p: -lengths[p])
+    for b in bins:
+        room = capacity - sum(lengths[p] for p in b)
+        if not room or not loose or len(b) > EXCHANGE_WIDTH:
+            continue
+        sizes = [-lengths[p] for p in loose]
+        best = (0, None, None)
+        for k, p in enumerate(b):
+            for out in [(p,)] + [(p, q) for q in b[k + 1:]]:
+                space = room + sum(lengths[x] for x in out)
+                at = bisect.bisect_left(sizes, -space)  # the longest loose piece that fits there
+                if at < len(loose) and room - (space - lengths[loose[at]]) > best[0]:
+                    best = (room - (space - lengths[loose[at]]), out, at)
+        if best[1]:
+            b[:] = [p for p in b if p not in best[1]] + [loose.pop(best[2])]
+            loose = sorted(loose + list(best[1]), key=lambda p: -lengths[p])
+    return loose
+
+
 def evolve(lengths: list[int], capacity: int = CAPACITY, seed: int = 0, population: int = POPULATION,
-           generations: int = GENERATIONS) -> list[list[int]]:
-    """The best packing that the island finds: bins of piece numbers."""
+           generations: int = GENERATIONS, arrived: list[list[int]] = ()) -> list[list[int]]:
+    """The best packing that the island finds: bins of piece numbers.
+    arrived: bins (of all pieces) that came from other islands."""
     chance = random.Random(seed)
 
     def packed(bins: list[list[int]], loose: list[int]) -> list[list[int]]:
@@ -118,33 +149,45 @@ def evolve(lengths: list[int], capacity: int = CAPACITY, seed: int = 0, populati
         return held.bins
 
     everything = range(len(lengths))
+
+    def completed(bins: list[list[int]]) -> list[list[int]]:
+        inside = {p for b in bins for p in b}
+        bins = [list(b) for b in bins]
+        return packed(bins, _exchange(bins, [p for p in everything if p not in inside], lengths, capacity))
+
     total = -(-sum(lengths) // capacity)
+    most = sum(lengths) - (total - 1) * capacity  # left for the last bin when all others are full
+    perfect = (-total, (total - 1 + (most / capacity) ** 2) / max(1, total))
     pool = [packed([], list(everything))]  # best fit of the pieces, longest first
+    if arrived:
+        pool.append([list(b) for b in arrived])
+        pool.append(completed([b for b, f in zip(arrived, _fill(arrived, lengths)) if f >= ELITE * capacity]))
     while len(pool) < population:  # and, for variety, some pieces placed before the others
         early = chance.sample(everything, len(lengths) // 5)
         rest = set(everything).difference(early)
         pool.append(packed(packed([], early), sorted(rest)))
     rank = lambda bins: (-len(bins), _fitness(bins, lengths, capacity))
+    pool = sorted(((rank(b), b) for b in pool), key=lambda r: r[0], reverse=True)
     for _ in range(generations):
-        pool.sort(key=rank, reverse=True)
-        if len(pool[0]) <= total:  # no packing has fewer bins
+        if pool[0][0] >= perfect:  # every bin but one is full: nothing can be better
             break
-        children = []
         for _ in range(population // 2):
-            one, two = chance.sample(pool, 2)
+            one, two = (b for _, b in chance.sample(pool, 2))
             fills = _fill(one, lengths)
-            best = sorted(range(len(one)), key=lambda i: -fills[i])[:max(1, len(one) // 3)]
-            given = [one[i] for i in best]
+            best = sorted(range(len(one)), key=lambda i: -fills[i])[:max(1, len(one) // 2)]
+            given = [one[i] for i in chance.sample(best, max(1, 2 * len(best) // 3))]
             inside = {p for b in given for p in b}
-            kept = [b for b in two if inside.isdisjoint(b)]
-            held = inside.union(*kept)
-            child = packed(given + kept, [p for p in everything if p not in held])
+            child = given + [b for b in two if inside.isdisjoint(b)]
             fills = _fill(child, lengths)
-            worst = set(sorted(range(len(child)), key=lambda i: fills[i])[:max(1, len(child) // 20)])
-            child = packed([b for i, b in enumerate(child) if i not in worst], [p for i in worst for p in child[i]])
-            children.append(child)
-        pool = sorted(pool + children, key=rank, reverse=True)[:population]
-    return max(pool, key=rank)
+            order = sorted(range(len(child)), key=lambda i: fills[i])
+            gone = set(order[:max(1, len(child) // 20)]).union(chance.sample(order, len(child) // 20))
+            child = completed([b for i, b in enumerate(child) if i not in gone])
+            pool.append((rank(child), child))
+        # equal ranks once: copies of one packing would crowd out the others
+        pool = sorted({r: (r, b) for r, b in pool}.values(), key=lambda r: r[0], reverse=True)[:population]
+        if len(pool) < 2:
+            pool.append((pool[0][0], packed([], chance.sample(everything, len(lengths)))))
+    return pool[0][1]
 
 
 def _island(capacity: int, last: bool):
@@ -152,15 +195,22 @@ def _island(capacity: int, last: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_key", ignore_index=True)
         lengths = pdf["length"].tolist()
-        bins = evolve(lengths, capacity, seed=int(pdf["island"].iat[0]))
+        arrived = {}
+        for p, b in enumerate(pdf["bin"].tolist()):
+            arrived.setdefault(b, []).append(p)
+        arrived = list(arrived.values())
+        bins = evolve(lengths, capacity, seed=int(pdf["island"].iat[0]), arrived=arrived if len(arrived) < len(pdf) else ())
         number, offset, final = [0] * len(pdf), [0] * len(pdf), [False] * len(pdf)
+        elite = 0
         for i, b in enumerate(bins):
             at = 0
             for p in b:
                 number[p], offset[p] = i, at
                 at += lengths[p]
+            elite += at >= ELITE * capacity
+            stays = last or (at >= ELITE * capacity and elite % MIGRANTS != 0)
             for p in b:
-                final[p] = last or at >= ELITE * capacity
+                final[p] = stays
         return pdf.assign(number=number, offset=offset, final=final)[
             ["_key", "length", "island", "number", "offset", "final"]]
 
@@ -173,7 +223,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, island_pieces: int = ISLAN
     columns = [c for c in pieces.columns if c != "_key"]
     full = F.col("length") >= capacity
     loose = pieces.agg(F.count_if(~full)).first()[0]
-    left = pieces.where(~full).select("_key", "length")
+    left = pieces.where(~full).select("_key", "length", F.col("_key").alias("bin"))
     # numbers of the sequences: below 0 for full pieces, else level, island and bin
     done = [pieces.where(full).select("_key", (-F.col("_key") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     level, stalled = 0, False
@@ -182,12 +232,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, island_pieces: int = ISLAN
         last = islands == 1 or stalled
 
         result = written(
-            with_package(left).withColumn("island", F.pmod(F.xxhash64("_key", F.lit(level)), F.lit(islands)))
+            with_package(left).withColumn("island", F.pmod(F.xxhash64("bin", F.lit(level)), F.lit(islands)))
             .groupBy("island").applyInPandas(_island(capacity, last), "_key long, length long, island long, number long, offset long, final boolean"),
             f"islands-{level}")
-        done.append(result.where("final").select(
-            "_key", F.expr(f"shiftleft({level}L, 58) + shiftleft(island, 22) + number").alias("sequence_id"), "offset"))
-        left = result.where(~F.col("final")).select("_key", "length")
+        name = F.expr(f"shiftleft({level}L, 58) + shiftleft(island, 22) + number")
+        done.append(result.where("final").select("_key", name.alias("sequence_id"), "offset"))
+        left = result.where(~F.col("final")).select("_key", "length", name.alias("bin"))
         before, loose = loose, 0 if last else left.count()
         stalled = 2 * loose > before or level == MOST_LEVELS
         level += 1

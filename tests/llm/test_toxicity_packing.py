@@ -175,12 +175,56 @@ def test_islands_pack_close_to_the_bound(spark, kind):
     assert n <= {"mixed": 1.004 * bound, "halves": 1.03 * bound, "long": 700, "equal": 150}[kind] + 1
 
 
-def test_evolution_beats_or_equals_best_fit():
+def best_fit(lengths):
+    start = packing._Bins([], lengths, 4096)
+    start.fit(list(range(len(lengths))))
+    return start.bins
+
+
+def triplets(n, rnd):
+    """n sequences' worth of pieces, three to each, that fill them to the last token."""
+    out = []
+    for _ in range(n):
+        a = rnd.randrange(1560, 2040)
+        b = rnd.randrange((4096 - a) // 2 - 400, (4096 - a) // 2)
+        out += [a, b, 4096 - a - b]
+    return out
+
+
+def test_evolution_beats_best_fit():
     rnd = random.Random(11)
     for seed in range(5):
         lengths = [rnd.randrange(700, 2600) for _ in range(120)]
-        start = packing._Bins([], lengths, 4096)
-        start.fit(list(range(120)))
         best = packing.evolve(lengths, seed=seed, generations=12)
         assert sorted(p for b in best for p in b) == list(range(120))
-        assert len(best) <= len(start.bins)
+        assert len(best) <= len(best_fit(lengths))
+    lengths = triplets(200, random.Random(2))
+    best = packing.evolve(lengths, generations=20)
+    assert sorted(p for b in best for p in b) == list(range(600))
+    assert 200 <= len(best) <= len(best_fit(lengths)) - 3
+
+
+def test_crossover_runs_where_best_fit_meets_the_bound():
+    lengths = [random.Random(4).randrange(20, 900) for _ in range(800)]
+    start, best = best_fit(lengths), packing.evolve(lengths)
+    assert len(best) <= len(start)
+    assert packing._fitness(best, lengths, 4096) >= packing._fitness(start, lengths, 4096)
+    assert packing.evolve([]) == [] and packing.evolve([5]) == [[0]]
+    assert packing.evolve([4096, 4096]) == [[0], [1]]
+
+
+def test_arrived_elite_bins_enter_the_population():
+    lengths = triplets(60, random.Random(3))
+    planted = [[3 * i, 3 * i + 1, 3 * i + 2] for i in range(60)]
+    split = [b for i, b in enumerate(planted) if i < 50] + [[p] for b in planted[50:] for p in b]
+    best = packing.evolve(lengths, arrived=split)
+    assert len(best) < len(packing.evolve(lengths))  # the full bins of other islands stay together
+    assert sum(sorted(b) in planted for b in best) >= 40
+    assert sorted(p for b in best for p in b) == list(range(180))
+
+
+def test_islands_beat_best_fit_on_hard_pieces(spark):
+    lengths = triplets(300, random.Random(7))
+    rows = packing.pack(pieces(spark, lengths), island_pieces=300).collect()
+    n = check_packing(rows, [(str(i), 0, 0, x, i) for i, x in enumerate(lengths)])
+    assert n < len(best_fit(lengths))
