@@ -1,7 +1,8 @@
 """Operator 2: sharding along a Hilbert curve.
 
-Every metadata dimension is quantised to ``bits`` bits, the cells are ordered
-by their index on a Hilbert curve, and the ordered rows are cut into runs of
+Every metadata dimension is quantised to ``bits`` bits in the order of its
+values (categories by the rank of the value among the sorted distinct ones,
+sizes by logarithm), the cells are ordered by their index on a Hilbert curve, and the ordered rows are cut into runs of
 equal counts (law ``rows``): rows of one shard are close in all dimensions, so
 readers can skip shards by the minimum and maximum of any of them.
 
@@ -11,7 +12,7 @@ the counts of the earlier partitions (a table of one row per partition). Only
 ids and sizes are shuffled, never texts; a crowded cell is split by doc_id.
 
 * null text: size 8, checksum of no bytes; null dimension: cell 0; null
-  doc_id: sorts first.
+  doc_id: sorts first; a very long text only counts by its size.
 * ties and repeated rows: each row has its own place; equal rows may swap.
 * an empty table gives no rows; extra columns are not carried.
 """
@@ -80,9 +81,37 @@ def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(F.array(*corners), start, step)["index"]
 
 
-def category_cell(c: Column, bits: int = BITS) -> Column:
-    """Equal values share a cell."""
-    return F.when(c.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(c), F.lit(1 << bits)).cast("int"))
+def _numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """rows with _rank (from 0, by order) and _total, without a global window."""
+    # written once: the numbers below must not be computed a second time
+    numbered = written(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_at", F.monotonically_increasing_id()), name)
+    part = F.shiftrightunsigned(F.col("_at"), 33)
+    numbered = numbered.withColumn("_part", part)
+    counts = numbered.groupBy("_part").agg(F.count("*").alias("_n"))  # one row per partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    offsets = counts.select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(everything).alias("_total"))
+    rank = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.join(F.broadcast(offsets), "_part").withColumn("_rank", rank)
+
+
+def category_cell(df: DataFrame, column: str, bits: int = BITS) -> Column:
+    """Cell of a category by the rank of its value among the sorted distinct
+    values: equal values share a cell, cells follow the order of the values, and
+    up to 2^bits values have cells of their own. Only the first value of each
+    cell (at most 2^bits) comes to the driver."""
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_value")).distinct()
+    cell = F.expr(f"_rank * {1 << bits} div _total").cast("int")
+    cuts = (_numbered(values, ["_value"], "category-order").groupBy(cell.alias("cell"))
+            .agg(F.min("_value").alias("first")).orderBy("cell").collect())
+    found = F.lit(0)
+    for c in cuts:
+        found = F.when(F.col(column) >= F.lit(c["first"]), F.lit(c["cell"])).otherwise(found)
+    return found
 
 
 def size_cell(c: Column, bits: int = BITS) -> Column:
@@ -91,8 +120,8 @@ def size_cell(c: Column, bits: int = BITS) -> Column:
         F.least(F.floor(F.log2(F.greatest(c, F.lit(0)) + 1.0) * 2), F.lit((1 << bits) - 1)).cast("int"), F.lit(0))
 
 
-def document_cells() -> list[Column]:
-    return [category_cell(F.col("lang")), category_cell(F.col("source")), size_cell(F.col("n_chars"))]
+def document_cells(df: DataFrame) -> list[Column]:
+    return [category_cell(df, "lang"), category_cell(df, "source"), size_cell(F.col("n_chars"))]
 
 
 def place_documents(df: DataFrame, cells: list[Column] | None = None, shards: int = SHARDS) -> DataFrame:
@@ -101,23 +130,8 @@ def place_documents(df: DataFrame, cells: list[Column] | None = None, shards: in
     rows = df.select(
         "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        hilbert_index(cells or document_cells()).alias("hilbert"))
-    order = ["hilbert", "doc_id", "text_crc32", "size"]
-    # written once: the numbers below must not be computed a second time
-    numbered = written(
-        rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id()), "shard-order")
-    part = F.shiftrightunsigned(F.col("_at"), 33)
-    numbered = numbered.withColumn("_part", part)
-    counts = numbered.groupBy("_part").agg(F.count("*").alias("_n"))  # one row per partition
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    offsets = counts.select(
-        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(everything).alias("_total"))
-    rank = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    total = F.col("_total")
-    placed = numbered.join(F.broadcast(offsets), "_part").withColumn("_rank", rank)
+        hilbert_index(cells or document_cells(df)).alias("hilbert"))
+    placed = _numbered(rows, ["hilbert", "doc_id", "text_crc32", "size"], "shard-order")
     placed = placed.withColumn("shard", F.expr(f"_rank * {shards} div _total").cast("int"))
     first = F.expr(f"(shard * _total + {shards - 1}) div {shards}")
     return placed.select(

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import zlib
@@ -118,3 +119,49 @@ def test_written_shards_hold_all_documents(spark, documents, tmp_path):
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.select("doc_id", "text").subtract(df.select("doc_id", "text")).count() == 0
     assert back.groupBy("shard").count().where("count != 20").count() == 0
+
+
+def spread(spark, df):
+    """Shards of every value of lang and source: held, and kept by the minimum and maximum."""
+    placed = sharding.place_documents(df).select("doc_id", "shard")
+    rows = df.select("doc_id", "lang", "source").join(placed, "doc_id").collect()
+    shards = {}
+    for r in rows:
+        shards.setdefault(r["shard"], []).append(r)
+    out = {}
+    for k in ("lang", "source"):
+        for v in {r[k] for r in rows}:
+            held = sum(any(r[k] == v for r in s) for s in shards.values())
+            kept = sum(min(r[k] for r in s) <= v <= max(r[k] for r in s) for s in shards.values())
+            out[k, v] = (held, kept)
+    return out
+
+
+def test_min_and_max_prune_shards(spark):
+    rnd = random.Random(5)
+    rows = [(i, "w" * rnd.randrange(40, 2000), rnd.choice(["en", "en", "de", "es", "fr"]), f"src{rnd.randrange(20):02d}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    found = spread(spark, df)
+    assert all(held <= kept <= held + 3 for held, kept in found.values()), found  # a run may pass by a value that it lacks
+    assert sum(kept for (k, _), (_, kept) in found.items() if k == "source") < 20 * 24 / 2
+    assert found["lang", "fr"][1] <= 10
+
+
+def test_categories_follow_the_order_of_their_values(spark):
+    values = ["b", "a", None, "", "é", "c", "a"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = dict(df.select("v", sharding.category_cell(df, "v").alias("c")).collect())
+    assert got == {None: 0, "": 0, "a": 6, "b": 12, "c": 19, "é": 25}
+    many = spark.range(1000).select(F.format_string("%04d", "id").alias("v"))
+    got = dict(many.select("v", sharding.category_cell(many, "v").alias("c")).collect())
+    assert got == {f"{i:04d}": i * 32 // 1000 for i in range(1000)}
+    none = df.where("v is null")
+    assert [r[0] for r in none.select(sharding.category_cell(none, "v").alias("c")).collect()] == [0]
+
+
+def test_sizes_take_two_cells_per_doubling(spark):
+    sizes = [None, -3, 0, 1, 3, 7, 100, 10 ** 9]
+    df = spark.createDataFrame([(v,) for v in sizes], "n long")
+    got = [r[0] for r in df.select(sharding.size_cell(F.col("n"))).collect()]
+    want = [0 if v is None else min(31, int(2 * math.log2(max(v, 0) + 1))) for v in sizes]
+    assert got == want
