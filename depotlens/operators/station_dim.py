@@ -147,21 +147,28 @@ def apply_snapshot(dim: DataFrame, snapshot: DataFrame, run_ts: dt.datetime,
     surrogate keys after the largest one, in station-id order. A station that
     was removed and comes back gets a new id (K4).
     """
+    top = dim.agg(F.max("pickup_station_id").alias("i"), F.max("pickup_station_sk").alias("s")).first()
+    p = apply_changes(dim, snapshot, run_ts, int(top["i"] or 0), int(top["s"] or 0), snapshot_date, allow_empty)
+    if parts is not None:
+        parts.update(p)
+    return p["history"].unionByName(p["current"]).unionByName(p["newly_closed"])
+
+
+def apply_changes(dim: DataFrame, snapshot: DataFrame, run_ts: dt.datetime, last_id: int, last_sk: int,
+                  snapshot_date: dt.date | None = None, allow_empty: bool = False) -> dict[str, DataFrame]:
+    """D10 as changes: the parts of ``classify``, with ``current`` (all current
+    rows after the run), ``newly_closed`` and ``fresh`` (the rows with new
+    surrogate keys). Only current rows of ``dim`` are needed; ``last_id`` and
+    ``last_sk`` are the largest keys ever given."""
     today = snapshot if snapshot_date is None else snapshot.where(F.col("snapshot_date") == F.lit(snapshot_date))
     n_today = today.count()
     if not allow_empty and n_today == 0:
         raise EmptySnapshotError("snapshot has no rows; pass allow_empty=True to deactivate every station")
     p = classify(dim, today, run_ts)
-    if parts is not None:
-        parts.update(p)
-    top = dim.agg(F.max("pickup_station_id").alias("i"), F.max("pickup_station_sk").alias("s")).first()
-    max_id, max_sk = int(top["i"] or 0), int(top["s"] or 0)
-    added = assign_ids(p["added"], ["ref_identifier"], "pickup_station_id", start=max_id)
+    added = assign_ids(p["added"], ["ref_identifier"], "pickup_station_id", start=last_id)
     fresh = p["new_version"].unionByName(added.select("pickup_station_id", *ATTRS))
-    fresh = assign_ids(fresh, ["pickup_station_id"], "pickup_station_sk", start=max_sk)
-    fresh = _finish_new(fresh, run_ts)
-    return (p["history"].unionByName(p["unchanged"]).unionByName(p["closed"])
-            .unionByName(p["removed"]).unionByName(fresh))
+    fresh = _finish_new(assign_ids(fresh, ["pickup_station_id"], "pickup_station_sk", start=last_sk), run_ts)
+    return dict(p, fresh=fresh, current=p["unchanged"].unionByName(fresh), newly_closed=p["closed"].unionByName(p["removed"]))
 
 
 def first_load(spark: SparkSession, snapshot: DataFrame, run_ts: dt.datetime,

@@ -27,9 +27,13 @@ from depotlens.sources.files import list_landing
 from depotlens.sources.readers import Layout, stage_batch
 from depotlens.sources.store import Store
 
+STATION_KEYS = "apply int, last_id long, last_sk long"
 VOLUMES = "volume_date date, stage string, source_system string, metric string, value long"
 SYSTEMS = ("complaints", "delivery_events")
 STAGING_TABLE = {"complaints": "stg_complaint", "delivery_events": "stg_delivery_event"}
+#: buckets of the staged hashes of a new store: a cluster takes about one per GB of hashes
+HASH_BUCKETS = 16
+HASH = "record_hash_sha256"
 FACT_TABLE = {"complaints": "fact_complaint", "delivery_events": "fact_delivery_event"}
 FACT_DATE = {"complaints": "complained_month", "delivery_events": "delivered_month"}
 FACT_TIME = {"complaints": "complained_at", "delivery_events": "delivered_at"}
@@ -37,10 +41,11 @@ FACT_TIME = {"complaints": "complained_at", "delivery_events": "delivered_at"}
 
 class Pipeline:
     def __init__(self, spark: SparkSession, store: Store | None = None, batch_size: int = landing.INTAKE_BATCH,
-                 layouts: dict[str, list[Layout]] | None = None):
+                 layouts: dict[str, list[Layout]] | None = None, hash_buckets: int = HASH_BUCKETS):
         self.spark = spark
         self.store = store or Store(spark)
         self.batch_size = batch_size
+        self.hash_buckets = hash_buckets
         self.layouts = layouts or {}  # by source system: files with other columns (L5, L6)
         self._said: list[tuple] = []
         self._seen: list[tuple] = []
@@ -57,20 +62,33 @@ class Pipeline:
 
     def _last_batch_no(self) -> int:
         """Largest load batch number in the store (kept across drivers)."""
-        best = 0
-        for t in STAGING_TABLE.values():
-            if self.store.has(t):
-                v = self.store.get(t).agg(F.max("load_batch")).first()[0]
-                best = max(best, int(v or 0))
-        return best
+        return max((b for s in SYSTEMS for b in self._staged_batches(s)), default=0)
+
+    def _staged_batches(self, system: str) -> set[int]:
+        """Load batches with staged rows, from the folders (no rows are read)."""
+        return {int(v) for v in self.store.partitions(STAGING_TABLE[system], "load_batch")}
+
+    def staged_hashes(self, system: str) -> DataFrame | None:
+        """The hashes of all staged rows, bucketed by hash, so that the
+        anti join of a new batch shuffles the batch alone. Batches that are
+        staged but not in the table yet (as after a stopped run) are added
+        first; a batch added twice does no harm."""
+        name, done_t = "staged_hashes_" + system, "hashed_batches_" + system
+        done = {r[0] for r in self.store.get(done_t).collect()} if self.store.has(done_t) else set()
+        new = sorted(self._staged_batches(system) - done)
+        if not new and not done:
+            return None
+        rows = self.store.get(STAGING_TABLE[system]).where(F.col("load_batch").isin(new)).select(HASH)
+        if not new:
+            return self.store.bucketed(name, HASH).hint("merge")
+        hashes = self.store.append_bucketed(name, rows, HASH, self.hash_buckets)
+        self.store.append(done_t, self.spark.createDataFrame([(b,) for b in new], "load_batch int"))
+        return hashes.hint("merge")
 
     def pending_batches(self, system: str) -> list[int]:
         """Staged load batches whose rows are not yet in the facts (e.g. a
         driver stopped between staging and loading). Partition values only."""
-        t = STAGING_TABLE[system]
-        if not self.store.has(t):
-            return []
-        staged = {r[0] for r in self.store.get(t).select("load_batch").distinct().collect()}
+        staged = self._staged_batches(system)
         done_t = "loaded_batches_" + system
         done = ({r[0] for r in self.store.get(done_t).collect()} if self.store.has(done_t) else set())
         return sorted(staged - done)
@@ -138,7 +156,7 @@ class Pipeline:
                     continue
                 b = batch.where(F.col("source_system") == s)
                 rows, out = stage_batch(self.spark, b, s, run_ts, self.layouts.get(s, ()))
-                rows = dedupe_staged(rows, self._get(STAGING_TABLE[s]))
+                rows = dedupe_staged(rows, self.staged_hashes(s))
                 rows = self._observed(
                     rows.withColumn("load_batch", F.lit(self._batch_no)), "staging", s, rows_kept=F.count(F.lit(1)),
                     rows_without_time=F.count_if(F.col(FACT_TIME[s]).isNull()))
@@ -177,13 +195,31 @@ class Pipeline:
         old = self._get(name)
         old = station_dim.empty_snapshot(self.spark) if old is None else old
         snaps = self.store.put(name, station_dim.upsert_snapshot(old, snap))
-        dim = self._get("dim_pickup_station")
-        dim = station_dim.empty_dim(self.spark) if dim is None else dim
-        new = station_dim.apply_snapshot(dim, snaps, run_ts, snapshot_date=snapshot_date, allow_empty=allow_empty)
-        broken = {r[0]: r[1] for r in station_dim.check_keys(new).where("violations > 0").collect()}
+        # the current rows alone; closed rows are neither read nor written again
+        name, applied = "dim_pickup_station", self.store.latest("dim_pickup_station")
+        dim = self.store.version(name) if applied else station_dim.empty_dim(self.spark)
+        last = self._last_station_keys(applied)
+        p = station_dim.apply_changes(dim, snaps, run_ts, *last, snapshot_date=snapshot_date, allow_empty=allow_empty)
+        # a version written whole still holds closed rows: they move over now
+        current, closed = p["current"], p["newly_closed"].unionByName(p["history"])
+        broken = {r[0]: r[1] for r in station_dim.check_keys(current.unionByName(closed)).where("violations > 0").collect()}
         if broken:  # nothing is published
             raise ValueError(f"station history would break its keys: {broken}")
-        return self.store.put("dim_pickup_station", new, partition_by=["is_current"])
+        top = p["fresh"].agg(F.max("pickup_station_id"), F.max("pickup_station_sk")).first()
+        row = (applied + 1, max(last[0], top[0] or 0), max(last[1], top[1] or 0))
+        self.store.append("last_station_keys", self.spark.createDataFrame([row], STATION_KEYS).coalesce(1))
+        return self.store.put_history(name, current, closed)
+
+    def _last_station_keys(self, applied: int) -> tuple[int, int]:
+        """The largest station id and surrogate key given up to a published
+        version: a row per run; a store without them is scanned once."""
+        if not applied:
+            return 0, 0
+        keys = self._get("last_station_keys")
+        found = None if keys is None else keys.where(F.col("apply") == applied).agg(F.max("last_id"), F.max("last_sk")).first()
+        if found is None or found[0] is None:
+            found = self.store.get("dim_pickup_station").agg(F.max("pickup_station_id"), F.max("pickup_station_sk")).first()
+        return int(found[0] or 0), int(found[1] or 0)
 
     def snapshots(self) -> DataFrame | None:
         """The station lists of all days (each day is a table of its own)."""

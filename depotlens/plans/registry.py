@@ -219,6 +219,13 @@ def _d10(sc):
     return sc.dim2
 
 
+@register("scd2_history_stored", o.sql(f"SELECT {_DIM} FROM dim2", "dim2"))
+def _d10b(sc):
+    """The stored history after both days, written as current rows and
+    once-added closed rows."""
+    return sc.history
+
+
 @register("check_station_keys", o.sql("""
 SELECT 'one_current' AS check_name, (SELECT count(*) FROM (SELECT 1 FROM dim2 WHERE is_current GROUP BY pickup_station_id HAVING count(*) > 1)) AS violations
 UNION ALL
@@ -287,8 +294,7 @@ def _l10b(sc):
     """All complaints staged again after the first half of the files: the
     rows whose hash is not staged yet."""
     from depotlens.operators.staging import dedupe_staged
-    raw = sc.staged_raw_complaints
-    return dedupe_staged(raw, sc.first_half(raw))
+    return dedupe_staged(sc.staged_raw_complaints, sc.first_hashes)
 
 
 @register("fact_complaint_enrich", o.sql("SELECT * FROM links", "links"))

@@ -184,6 +184,23 @@ class Scenario:
         middle = raw.select("file_id").distinct().agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY file_id)")).first()[0]
         return raw.where(F.col("file_id") <= F.lit(middle))
 
+    @_lazy
+    def first_hashes(self) -> DataFrame:
+        """The hashes of the first half of the files, bucketed by hash."""
+        old = self.first_half(self.staged_raw_complaints).select("record_hash_sha256").distinct()
+        return self.store.append_bucketed("staged_hashes", old, "record_hash_sha256", 16).hint("merge")
+
+    @_lazy
+    def history(self) -> DataFrame:
+        """The station history after both days as stored by changes: current
+        rows as a version, closed rows added once (D10)."""
+        none = station_dim.empty_dim(self.spark)
+        first = station_dim.apply_changes(none, self.snap1, td.RUN1, 0, 0)
+        self.store.put_history("station_history", first["current"], first["newly_closed"])
+        top = first["current"].agg(F.max("pickup_station_id"), F.max("pickup_station_sk")).first()
+        second = station_dim.apply_changes(self.store.version("station_history"), self.snap2, td.RUN2, *top)
+        return self.store.put_history("station_history", second["current"], second["newly_closed"])
+
     def second_load(self, system: str) -> DataFrame:
         """The fact after two loads: the first half of the files, then all
         rows of all files again."""

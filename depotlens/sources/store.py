@@ -7,6 +7,12 @@ staging are append-only (``<root>/<name>/data``). Reading a written version
 also cuts the lineage of a multi-day run, so a lost executor only recomputes
 from the last written table.
 
+The station history is of a third kind: a version holds the current rows only,
+rows that a run closes are added once below ``<name>/closed/apply=N``, where N
+is the version that they belong to (parts of unpublished versions are not
+read). A bucketed table (``<name>/b<n>``) is read by joins on its column
+without a shuffle.
+
 Nothing lives only in the driver: a version counts once its ``_SUCCESS``
 marker exists (the commit protocol writes it last), and each table's schema
 is kept next to it, so a new driver on the same root finds the latest state.
@@ -14,9 +20,11 @@ is kept next to it, so a new driver on the same root finds the latest state.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from depotlens.session import new_scratch_path
@@ -36,7 +44,7 @@ class Store:
     def _p(self, path: str):
         return self._Path(path)
 
-    def _latest(self, name: str) -> int:
+    def latest(self, name: str) -> int:
         base = self._p(f"{self.root}/{name}")
         if not self._fs.exists(base):
             return 0
@@ -68,11 +76,11 @@ class Store:
 
     # --------------------------------------------------------------- tables
     def path(self, name: str, version: int | None = None) -> str:
-        v = self._latest(name) if version is None else version
+        v = self.latest(name) if version is None else version
         return f"{self.root}/{name}/v{v:06d}"
 
     def has(self, name: str) -> bool:
-        return self._is_append(name) or self._latest(name) > 0
+        return self._is_append(name) or self.latest(name) > 0
 
     def union(self, name: str, schema: T.StructType) -> DataFrame | None:
         """The latest versions of all tables below ``name`` as one scan."""
@@ -80,20 +88,40 @@ class Store:
         if not self._fs.exists(base):
             return None
         parts = [f"{name}/{s.getPath().getName()}" for s in self._fs.listStatus(base) if s.isDirectory()]
-        paths = [self.path(p) for p in parts if self._latest(p)]
+        paths = [self.path(p) for p in parts if self.latest(p)]
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*paths) if paths else None
 
     def put(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         """Write ``df`` as the next version of ``name`` and return it read back."""
-        v = self._latest(name) + 1
-        w = df.write.mode("errorifexists")
+        v = self.latest(name) + 1
+        w = df.write.mode("overwrite")  # only what a stopped run left of an unpublished version
         if partition_by:
             w = w.partitionBy(*partition_by)
         self._save_schema(name, df.schema)
         w.parquet(self.path(name, v))
         return self.get(name)
 
+    def put_history(self, name: str, current: DataFrame, closed: DataFrame) -> DataFrame:
+        """The next version of a history: its current rows, and the rows closed
+        since the last version, which are written once and never again."""
+        part = f"{self.root}/{name}/closed/apply={self.latest(name) + 1:06d}"
+        closed.select(*current.columns).write.mode("overwrite").parquet(part)
+        return self.put(name, current)  # published with the version
+
+    def version(self, name: str) -> DataFrame:
+        """The latest version alone, without closed rows."""
+        return self._read(name)
+
     def get(self, name: str) -> DataFrame:
+        rows = self._read(name)
+        if not self._fs.exists(self._p(f"{self.root}/{name}/closed")):
+            return rows
+        closed = (self.spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("apply", T.IntegerType())]))
+                  .parquet(f"{self.root}/{name}/closed").where(F.col("apply") <= self.latest(name)).drop("apply"))
+        # a constant, so that a filter on current rows leaves these files out
+        return rows.unionByName(closed.withColumn("is_current", F.lit(False)))
+
+    def _read(self, name: str) -> DataFrame:
         schema = self._schema(name)
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         if self._is_append(name):
@@ -120,3 +148,37 @@ class Store:
         self._save_schema(name, df.schema)
         w.parquet(path)
         return self.get(name)
+
+    def partitions(self, name: str, column: str) -> list[str]:
+        """Values of an append-only table's first partition column, from its folders."""
+        base = self._p(f"{self.root}/{name}/data")
+        names = [st.getPath().getName() for st in self._fs.listStatus(base)] if self._is_append(name) else []
+        return [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")]
+
+    # ------------------------------------------------------ bucketed tables
+    def _bucketed(self, name: str, schema: T.StructType, column: str, buckets: int) -> str:
+        """Catalog name of the bucketed files of ``name``; files that exist
+        decide the number of buckets. The catalog entry is made anew by each
+        driver, the files are the state."""
+        base = self._p(f"{self.root}/{name}")
+        found = [st.getPath().getName() for st in self._fs.listStatus(base)] if self._fs.exists(base) else []
+        kept = [int(n[1:]) for n in found if re.match(r"^b\d+$", n)]
+        buckets = kept[0] if kept else buckets
+        path = f"{self.root}/{name}/b{buckets}"
+        table = "depotlens_" + hashlib.md5(path.encode()).hexdigest()
+        if not self.spark.catalog.tableExists(table):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            where = path.replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{column}`) INTO {buckets} BUCKETS LOCATION '{where}'")
+        return table
+
+    def bucketed(self, name: str, column: str) -> DataFrame:
+        return self.spark.table(self._bucketed(name, self._schema(name), column, 0))
+
+    def append_bucketed(self, name: str, df: DataFrame, column: str, buckets: int) -> DataFrame:
+        """Adds rows, one file per bucket and call."""
+        table = self._bucketed(name, df.schema, column, buckets)
+        self._save_schema(name, df.schema)
+        n = int(next(r[1] for r in self.spark.sql(f"DESCRIBE EXTENDED {table}").collect() if r[0] == "Num Buckets"))
+        df.repartition(n, column).write.insertInto(table)
+        return self.spark.table(table)
