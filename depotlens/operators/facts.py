@@ -32,25 +32,34 @@ def same_months(fact: DataFrame, batch: DataFrame, date_col: str) -> DataFrame:
     """Fact rows of the event months present in the batch (partition
     pruning). The distinct months of a batch are a short list (bounded by
     the calendar)."""
-    dates = [r[0] for r in batch.select(date_col).distinct().collect()]
-    known = [d for d in dates if d is not None]
+    return fact.where(in_months([r[0] for r in batch.select(date_col).distinct().collect()], date_col))
+
+
+def in_months(months: list, date_col: str) -> Column:
+    """The condition that a month column holds one of these (null counts)."""
+    known = [d for d in months if d is not None]
     cond = F.col(date_col).isin(known) if known else F.lit(False)
-    if len(known) != len(dates):
-        cond = cond | F.col(date_col).isNull()
-    return fact.where(cond)
+    return cond | F.col(date_col).isNull() if len(known) != len(months) else cond
+
+
+def event_months(staged: DataFrame, system: str) -> list:
+    """The event months of staged rows: reads their time column only."""
+    return [r[0] for r in staged.select(F.trunc(SPECS[system]["time"], "month")).distinct().collect()]
 
 
 def load_facts(fact: DataFrame | None, staged: DataFrame, system: str, run_ts: dt.datetime,
-               created_at: Column | None = None, start: int | None = None) -> DataFrame:
+               created_at: Column | None = None, start: int | None = None, months: list | None = None) -> DataFrame:
     """the rows to append. Insert if the hash is new; within the batch
     keep the smallest (file_id, record_index) (K7). Surrogate keys continue
     after ``start`` (None: the largest one in the fact, found by a scan) in
-    (file_id, record_index) order (F4)."""
+    (file_id, record_index) order (F4). Of the fact, only the event months of
+    the batch are read (``months``, where the caller knows them)."""
     s = SPECS[system]
     new = (dedupe_staged(staged).withColumn(s["date"], F.to_date(s["time"]))
            .withColumn(s["month"], F.trunc(s["time"], "month")))
     if fact is not None:
-        new = new.join(same_months(fact, new, s["month"]).select("record_hash_sha256"),
+        months = event_months(staged, system) if months is None else months
+        new = new.join(fact.where(in_months(months, s["month"])).select("record_hash_sha256"),
                        "record_hash_sha256", "left_anti")
         start = max_value(fact, s["sk"]) if start is None else start
     new = assign_ids(new, ["file_id", "record_index"], s["sk"], start=start or 0)

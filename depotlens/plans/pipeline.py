@@ -28,6 +28,7 @@ from depotlens.sources.readers import Layout, stage_batch
 from depotlens.sources.store import Store
 
 STATION_KEYS = "apply int, last_id long, last_sk long"
+LOADED_MONTHS = "created_at timestamp_ntz, months array<date>"
 VOLUMES = "volume_date date, stage string, source_system string, metric string, value long"
 SYSTEMS = ("complaints", "delivery_events")
 STAGING_TABLE = {"complaints": "stg_complaint", "delivery_events": "stg_delivery_event"}
@@ -61,8 +62,14 @@ class Pipeline:
         return landing.ledger_view(self._get("ledger_files"), self._get("ledger_events"))
 
     def _last_batch_no(self) -> int:
-        """Largest load batch number in the store (kept across drivers)."""
-        return max((b for s in SYSTEMS for b in self._staged_batches(s)), default=0)
+        """Largest load batch number in the store (kept across drivers). The
+        numbers of retired batches are still in the tables of done ones."""
+        return max((b for s in SYSTEMS for b in self._staged_batches(s) | self._done("hashed_batches_" + s)
+                    | self._done("loaded_batches_" + s)), default=0)
+
+    def _done(self, name: str) -> set[int]:
+        """Load batches that a step is done with: one number per claim."""
+        return {r[0] for r in self.store.get(name).collect()} if self.store.has(name) else set()
 
     def _staged_batches(self, system: str) -> set[int]:
         """Load batches with staged rows, from the folders (no rows are read)."""
@@ -74,7 +81,7 @@ class Pipeline:
         staged but not in the table yet (as after a stopped run) are added
         first; a batch added twice does no harm."""
         name, done_t = "staged_hashes_" + system, "hashed_batches_" + system
-        done = {r[0] for r in self.store.get(done_t).collect()} if self.store.has(done_t) else set()
+        done = self._done(done_t)
         new = sorted(self._staged_batches(system) - done)
         if not new and not done:
             return None
@@ -88,10 +95,7 @@ class Pipeline:
     def pending_batches(self, system: str) -> list[int]:
         """Staged load batches whose rows are not yet in the facts (e.g. a
         driver stopped between staging and loading). Partition values only."""
-        staged = self._staged_batches(system)
-        done_t = "loaded_batches_" + system
-        done = ({r[0] for r in self.store.get(done_t).collect()} if self.store.has(done_t) else set())
-        return sorted(staged - done)
+        return sorted(self._staged_batches(system) - self._done("loaded_batches_" + system))
 
     # -------------------------------------------------------------- volumes
     def _observed(self, df: DataFrame, stage: str, system: str | None = None, **metrics: Column) -> DataFrame:
@@ -228,20 +232,31 @@ class Pipeline:
     # ---------------------------------------------------------------- facts
     def load_facts(self, system: str, staged: DataFrame, run_ts: dt.datetime,
                    created_at: Column | None = None) -> DataFrame:
-        # the largest key given so far is a row of its own; an older store
-        # without it is scanned once
+        # the largest key given so far is a row of its own; a store without
+        # it, or one whose last load was stopped, is scanned once
         fact, keys, sk = self._get(FACT_TABLE[system]), "last_key_" + system, fx.SPECS[system]["sk"]
-        start = self.store.get(keys).first()[0] if self.store.has(keys) else None
-        rows = fx.load_facts(fact, staged, system, run_ts, created_at=created_at, start=start)
+        last = self.store.get(keys).first() if self.store.has(keys) else None
+        start = None if last is None or last["loading"] else last["last_key"]
+        if fact is not None:
+            self._put_key(keys, start, True)
+        months, loads = fx.event_months(staged, system), "loaded_months_" + system
+        # M1: where the rows created at a time lie, written before them; null: anywhere, any time
+        known = created_at is None and (fact is None or self.store.has(loads))
+        self.store.append(loads, self.spark.createDataFrame(
+            [(None if created_at is not None else run_ts, months if known else None)], LOADED_MONTHS).coalesce(1))
+        rows = fx.load_facts(fact, staged, system, run_ts, created_at=created_at, start=start, months=months)
         rows = self._observed(rows, "dw", system, rows_loaded=F.count(F.lit(1)))
         top = Observation()
         out = self.store.append(FACT_TABLE[system], rows.observe(top, F.max(sk).alias("top")),
                                 partition_by=[FACT_DATE[system]], sort_by=[FACT_TIME[system]])
-        last = top.get.get("top")
-        if last is not None:
-            self.store.put(keys, self.spark.createDataFrame([(last,)], "last_key long"))
+        given = top.get.get("top")
+        if given is not None or start is not None:
+            self._put_key(keys, start if given is None else given, False)
         return out
 
+    def _put_key(self, name: str, last_key: int | None, loading: bool) -> None:
+        self.store.put(name, self.spark.createDataFrame([(last_key, loading)], "last_key long, loading boolean").coalesce(1))
+
     def load_pending(self, run_ts: dt.datetime) -> None:
         """the staged batches that are not yet in the facts."""
         for s in SYSTEMS:
@@ -262,10 +277,7 @@ class Pipeline:
         fact, month = self._get("fact_complaint"), "complained_month"
         batches = None
         if self.store.has("loaded_batches_complaints"):  # else facts without batches: all
-            loaded = {r[0] for r in self.store.get("loaded_batches_complaints").collect()}
-            done = ({r[0] for r in self.store.get("linked_batches_complaints").collect()}
-                    if self.store.has("linked_batches_complaints") else set())
-            batches = sorted(loaded - done)
+            batches = sorted(self._done("loaded_batches_complaints") - self._done("linked_batches_complaints"))
             staged = (self.store.get(STAGING_TABLE["complaints"]).where(F.col("load_batch").isin(batches))
                       .select("record_hash_sha256", F.trunc("complained_at", "month").alias(month)))
             fact = fx.same_months(fact, staged, month).join(
@@ -285,16 +297,39 @@ class Pipeline:
 
     def monitor(self, day: dt.date, run_ts: dt.datetime) -> DataFrame:
         # the day's load only, and links of its months only
-        loaded = self._get("fact_complaint").where(
-            (F.col("created_at") >= lit_ts(dt.datetime.combine(day, dt.time())))
-            & (F.col("created_at") < lit_ts(dt.datetime.combine(day + dt.timedelta(days=1), dt.time()))))
+        today = ((F.col("created_at") >= lit_ts(dt.datetime.combine(day, dt.time())))
+                 & (F.col("created_at") < lit_ts(dt.datetime.combine(day + dt.timedelta(days=1), dt.time()))))
+        loaded, month, loads = self._get("fact_complaint").where(today), "complained_month", self._get("loaded_months_complaints")
+        months = None if loads is None else [r[0] for r in loads.where(today | F.col("created_at").isNull()).select("months").collect()]
+        if months is not None and None not in months:  # partitions of the fact's months
+            loaded = loaded.where(fx.in_months(sorted({m for ms in months for m in ms}, key=str), month))
         links = self._get("complaint_station_link")
-        view = fx.complaint_view(loaded, None if links is None else fx.same_months(links, loaded, "complained_month"))
+        view = fx.complaint_view(loaded, None if links is None else fx.same_months(links, loaded, month))
         row = complaint_monitoring(view, day, run_ts)
         old = self._get("monitoring_complaints")
         old = self.spark.createDataFrame([], MONITORING) if old is None else old
         return self.store.put("monitoring_complaints", upsert_by_date(old, row))
 
+    # ------------------------------------------------------------ retention
+    def retire(self, before: dt.datetime, keep: int = 2) -> dict[str, list]:
+        """Removes what no later run reads and was replaced or written
+        before ``before``: versions of state tables but the newest ``keep``,
+        and staged batches that are hashed, loaded and (complaints) linked.
+        Facts, links, hashes and the station history stay whole. Not part of
+        a run: readers of older versions and batches have until ``before``."""
+        gone = {}
+        for system in SYSTEMS:
+            if self.staged_hashes(system) is None:  # adds the batches not hashed yet
+                continue
+            done = self._done("hashed_batches_" + system) & self._done("loaded_batches_" + system)
+            if system == "complaints":
+                done &= self._done("linked_batches_complaints")
+            name = STAGING_TABLE[system]
+            gone[name] = self.store.retire_partitions(name, "load_batch", done, before)
+        for name in self.store.versioned():
+            gone[name] = self.store.retire_versions(name, before, keep)
+        return {name: what for name, what in gone.items() if what}
+
     # ------------------------------------------------------------------ day
     def run(self, day: dt.date, run_ts: dt.datetime, landing_root: str, station_list: DataFrame,
             allow_empty_snapshot: bool = False) -> None:

@@ -286,6 +286,12 @@ def _f3b(sc):
     return sc.second_load("delivery_events")
 
 
+@register("fact_complaint_after_retention", o.sql(_insert_new("fact_c", "craw", "complaint_sk"), "fact_c", "craw"))
+def _l12(sc):
+    """The fact after both loads, where staged batches and old versions are retired after each."""
+    return sc.retained_load
+
+
 @register("stage_dedup_existing", o.sql("""
 WITH old AS (SELECT record_hash_sha256 FROM craw WHERE file_id <= (SELECT quantile_disc(file_id, 0.5) FROM (SELECT DISTINCT file_id FROM craw)))
 SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY record_hash_sha256 ORDER BY file_id, record_index) AS rn FROM craw)

@@ -211,6 +211,24 @@ class Scenario:
             self.store.append(name, fx.load_facts(first, raw, system, td.RUN2), partition_by=[month])
         return self.store.get(name)
 
+    @_lazy
+    def retained_load(self) -> DataFrame:
+        """The complaint fact after the same two loads, each as a staged batch
+        of a pipeline that retires all it can after each of them (L12)."""
+        from depotlens.plans.pipeline import Pipeline
+
+        p, raw, end = Pipeline(self.spark), self.staged_raw_complaints, td.RUN2.replace(year=9999)
+        p.apply_stations(td.station_list_day1(self.spark, self.sf_dir).drop("s_suppkey"), td.DAY1, td.RUN1)
+        for rows, run_ts in ((self.first_half(raw), td.RUN1), (raw, td.RUN2)):
+            no = p._last_batch_no() + 1
+            rows = staging.dedupe_staged(rows, p.staged_hashes("complaints"))
+            p.store.append("stg_complaint", rows.withColumn("load_batch", F.lit(no)), partition_by=["load_batch"])
+            p.load_pending(run_ts)
+            p.link(run_ts)
+            p.monitor(run_ts.date(), run_ts)
+            p.retire(end, keep=1)
+        return p.store.get("fact_complaint")
+
     @_lazy
     def links_day1(self) -> DataFrame:
         rows = fx.link_complaints(self.fact_complaint, None, self.dim1, td.RUN1)

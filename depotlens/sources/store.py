@@ -13,6 +13,10 @@ is the version that they belong to (parts of unpublished versions are not
 read). A bucketed table (``<name>/b<n>``) is read by joins on its column
 without a shuffle.
 
+Old versions and folders of append-only tables go by ``retire_versions`` and
+``retire_partitions`` only. Both remove nothing that the latest state reads,
+and may be stopped at any point: the next call goes on.
+
 Nothing lives only in the driver: a version counts once its ``_SUCCESS``
 marker exists (the commit protocol writes it last), and each table's schema
 is kept next to it, so a new driver on the same root finds the latest state.
@@ -20,6 +24,7 @@ is kept next to it, so a new driver on the same root finds the latest state.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import re
 
@@ -32,6 +37,11 @@ from depotlens.session import new_scratch_path
 _VERSION = re.compile(r"^v(\d{6,})$")
 
 
+def _time(status) -> dt.datetime:
+    """The time (UTC) of a file or folder."""
+    return dt.datetime.fromtimestamp(status.getModificationTime() / 1000.0, dt.timezone.utc).replace(tzinfo=None)
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
@@ -48,12 +58,16 @@ class Store:
         base = self._p(f"{self.root}/{name}")
         if not self._fs.exists(base):
             return 0
-        best = 0
-        for st in self._fs.listStatus(base):
-            m = _VERSION.match(st.getPath().getName())
-            if m and self._fs.exists(self._p(f"{st.getPath().toString()}/_SUCCESS")):
-                best = max(best, int(m.group(1)))
-        return best
+        return max(self._published(name), default=0)
+
+    def _published(self, name: str) -> dict[int, dt.datetime]:
+        """The published versions of a table, with the time of their marker."""
+        found = {}
+        for st in self._fs.listStatus(self._p(f"{self.root}/{name}")):
+            m, marker = _VERSION.match(st.getPath().getName()), self._p(f"{st.getPath().toString()}/_SUCCESS")
+            if m and self._fs.exists(marker):
+                found[int(m.group(1))] = _time(self._fs.getFileStatus(marker))
+        return found
 
     def _save_schema(self, name: str, schema: T.StructType) -> None:
         out = self._fs.create(self._p(f"{self.root}/{name}/_schema.json"), True)
@@ -135,11 +149,16 @@ class Store:
                sort_by: list[str] | None = None) -> DataFrame:
         """Append-only table (facts, links, staging): new files under one folder.
 
-        Rows are sorted inside each task by (partition, ``sort_by``) before
-        the write: no shuffle, and each file's statistics cover a narrow
-        time range, so time filters skip row groups."""
+        The rows added are dealt by partition in tasks of about the advisory
+        size (a large partition is split, small ones share a task), so that
+        one call adds a file per partition or files of that size, not a file
+        per task and partition. They are sorted inside each task by
+        (partition, ``sort_by``): each file's statistics cover a narrow time
+        range, so time filters skip row groups."""
         path = f"{self.root}/{name}/data"
         order = list(partition_by or []) + list(sort_by or [])
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
         if order:
             df = df.sortWithinPartitions(*order)
         w = df.write.mode("append")
@@ -155,6 +174,60 @@ class Store:
         names = [st.getPath().getName() for st in self._fs.listStatus(base)] if self._is_append(name) else []
         return [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")]
 
+    # ------------------------------------------------------------ retention
+    def versioned(self) -> list[str]:
+        """Names of all tables with versions, one folder deep included (such
+        as a table per day)."""
+        found = []
+        for st in self._folders(self.root):
+            inner = self._folders(f"{self.root}/{st}")
+            if any(_VERSION.match(n) for n in inner):
+                found.append(st)
+            else:
+                found += [f"{st}/{n}" for n in inner if any(_VERSION.match(v) for v in self._folders(f"{self.root}/{st}/{n}"))]
+        return sorted(found)
+
+    def _folders(self, path: str) -> list[str]:
+        base = self._p(path)
+        return [s.getPath().getName() for s in self._fs.listStatus(base) if s.isDirectory()] if self._fs.exists(base) else []
+
+    def retire_versions(self, name: str, before: dt.datetime, keep: int = 2) -> list[int]:
+        """Removes the versions of ``name`` whose next version was published
+        before ``before``, except the newest ``keep`` (one at least), and
+        what stopped calls left of older ones. A reader of a version that is
+        not the latest has time until then."""
+        published = self._published(name) if self._fs.exists(self._p(f"{self.root}/{name}")) else {}
+        kept = sorted(published)[-max(keep, 1):]
+        there = sorted(int(m.group(1)) for n in self._folders(f"{self.root}/{name}") if (m := _VERSION.match(n)))
+        gone = []
+        for v in there:
+            later = [n for n in published if n > v]  # none: the latest, or one that is being written
+            if v not in kept and later and published[min(later)] < before:
+                self._remove(self.path(name, v))
+                gone.append(v)
+        return gone
+
+    def retire_partitions(self, name: str, column: str, values: set, before: dt.datetime) -> list[str]:
+        """Removes the folders of these values of an append-only table's first
+        partition column, where they were written before ``before``. A folder
+        first moves out of the table, so none is read by half."""
+        aside, gone = f"{self.root}/{name}/retired", []
+        for n in self._folders(aside):  # left by a stopped call
+            self._remove(f"{aside}/{n}")
+        for value in sorted({str(v) for v in values} & set(self.partitions(name, column))):
+            n = f"{column}={value}"
+            folder = self._p(f"{self.root}/{name}/data/{n}")
+            if _time(self._fs.getFileStatus(folder)) < before:
+                self._fs.mkdirs(self._p(aside))
+                if not self._fs.rename(folder, self._p(f"{aside}/{n}")):
+                    raise OSError(f"could not retire {folder.toString()}")
+                self._remove(f"{aside}/{n}")
+                gone.append(value)
+        return gone
+
+    def _remove(self, path: str) -> None:
+        self._fs.delete(self._p(path), True)
+
     # ------------------------------------------------------ bucketed tables
     def _bucketed(self, name: str, schema: T.StructType, column: str, buckets: int) -> str:
         """Catalog name of the bucketed files of ``name``; files that exist
