@@ -84,3 +84,14 @@ def test_line_items_move_once(spark, tables):
     # orders and customers that stand twice give a row each, unknown ones none
     rows = sorted((r.l_linenumber, r.recipient_name or "") for r in got.collect())
     assert rows == [(0, "Ann"), (1, "Ann"), (2, ""), (2, "Bo"), (2, "Cy"), (3, ""), (4, ""), (5, "")]
+
+
+def test_records_without_part_make_no_file(spark, tmp_path):
+    from depotlens.sources.files import list_landing, write_landing
+
+    day = dt.date(2024, 3, 1)
+    rows = spark.createDataFrame([(day, "csv", 1, 0), (day, "csv", 2, None), (None, "xml", 3, 0), (day, None, 4, 0)],
+                                 "ingest_dt date, source_format string, k int, p int")
+    write_landing(rows, str(tmp_path), "complaints", ["k"], "", ["k"], part=F.col("p"), damage_day=day)
+    names = sorted(r.source_file_path.rsplit("/", 1)[1] for r in list_landing(spark, str(tmp_path), "complaints").collect())
+    assert names == ["complaints_20240301_0.csv", "complaints_20240301_2.csv"]
