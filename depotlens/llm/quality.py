@@ -24,26 +24,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlens.llm.common import WORD_SPACE, text_or_empty, written
+from depotlens.llm.common import text_or_empty, written
 
 BUCKETS = 1 << 15
 TARGET_ROWS = 20_000
 #: mean log-likelihood ratio below which a document is rejected
 THRESHOLD = -0.35
-SYMBOLS = "#*$%&|<>"
+_NO_SYMBOLS = r"[^#*$%&|<>]+"
 WINDOW = 8
 _WORD_GAP = r"[\x20\x09-\x0D]+"
 _TOKEN = r"[\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}\s]"
 
 
-def _without(text: Column, characters: str) -> Column:
-    for c in characters:
-        text = F.replace(text, F.lit(c), F.lit(""))
-    return text
-
-
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, _WORD_GAP, -1), lambda w: w != "")
+    return F.array_remove(F.split(text, _WORD_GAP, -1), "")
 
 
 def _next_pairs(hashes: str, distance: int) -> Column:
@@ -84,13 +78,15 @@ def base_values(df: DataFrame, keep: list[str]) -> DataFrame:
     rows = rows.withColumn("_again", F.size(F.array_distinct("_windows")) < F.size("_windows"))
     by_hash, covered = _covered()
     rows = rows.withColumn("_sorted", F.when(F.col("_again"), by_hash))
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    rows = rows.withColumn("_lines", lines)
+    rows = rows.withColumn("_lines", F.split(text, "\n", -1))
+    # only where two lines are equal, blank ones among them, are these looked at one by one
+    rows = rows.withColumn("_same_lines", F.size(F.array_distinct("_lines")) < F.size("_lines"))
+    rows = rows.withColumn("_marked", F.when(F.col("_same_lines"), F.filter("_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))))
     rows = rows.select(
         *keep, "_text", F.size("_words").cast("long").alias("n_words"),
-        F.length(_without(text, WORD_SPACE)).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace(text, _NO_SYMBOLS, "")).cast("long").alias("n_symbols"),
+        F.when(F.col("_same_lines"), F.size("_marked") - F.size(F.array_distinct("_marked"))).otherwise(F.lit(0)).cast("long").alias("n_dup_lines"),
         F.when(F.col("_again"), covered).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"))
     return rows.withColumn("base_failed", (F.col("n_words") < 20) | (
         100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
@@ -145,7 +141,7 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, buc
     steps = [r[0] for r in table.orderBy("bucket").select(F.round(F.col("ratio") * 1000).cast("int")).collect()]
     ratio = F.split(F.lit(",".join(map(str, steps))), ",").cast("array<int>")
     rows = with_ngrams(base_values(docs, keep), buckets)
-    total = F.aggregate("_grams", F.lit(0).cast("long"), lambda acc, b: acc + ratio[b])
+    total = F.aggregate("_grams", F.lit(0).cast("long"), lambda acc, b: acc + F.get(ratio, b))
     score = F.when(F.size("_grams") > 0, total / F.size("_grams") / 1000).otherwise(F.lit(0.0))
     rows = rows.withColumn("score", score)
     return rows.select(
