@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ class PieceEncoder:
     def _table(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rows of the pieces, and the ids and sizes that the rows index."""
         rows = self.rows
-        known = np.fromiter((rows.get(p, -1) for p in pieces), np.int64, len(pieces))
+        known = np.fromiter(map(rows.get, pieces, repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(known < 0)
         if not len(missing):
             return known, self.ids, self.sizes
@@ -88,8 +89,11 @@ class PieceEncoder:
         size = sizes[row]
         begin = np.cumsum(sizes) - sizes
         ends = np.cumsum(size)
-        at = np.repeat(begin[row] - (ends - size), size) + np.arange(int(ends[-1]))
-        return ids[at], np.add.reduceat(size, first)
+        # a slice holds far fewer ids than 32 bits count: half the memory to move
+        kind = np.int32 if max(int(ends[-1]), len(ids)) < 1 << 31 else np.int64
+        at = np.arange(int(ends[-1]), dtype=kind)
+        at += np.repeat((begin[row] - (ends - size)).astype(kind), size)
+        return ids.take(at), np.add.reduceat(size, first)
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -118,7 +122,7 @@ def binary_ids(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
 def _lists(encodings) -> Encoded:
     lists = [e.ids for e in encodings]
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum())), sizes
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes
 
 
 JOINED = 400
