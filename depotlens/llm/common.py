@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable
+from functools import lru_cache, wraps
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,3 +58,33 @@ def with_package(df: DataFrame) -> DataFrame:
         sc.addPyFile(str(archive))
         sc._depotlens_sent = True
     return df
+
+
+_STATES: dict[str, list] = {}
+
+
+def worker_state(operator: str, most: int = 1) -> Callable:
+    """A function whose last results a Python worker keeps for the operator (model,
+    vocabulary and their caches). Spark's workers go on from stage to stage: what
+    other operators have left there is let go at the next call."""
+    def keep(make: Callable) -> Callable:
+        held = lru_cache(maxsize=most)(make)
+        _STATES.setdefault(operator, []).append(held)
+
+        @wraps(make)
+        def get(*args):
+            release(operator)
+            return held(*args)
+
+        get.cache_info, get.cache_clear = held.cache_info, held.cache_clear
+        return get
+
+    return keep
+
+
+def release(but: str | None = None) -> None:
+    """Lets go of the state of all operators but one."""
+    for operator, states in _STATES.items():
+        if operator != but:
+            for held in states:
+                held.cache_clear()

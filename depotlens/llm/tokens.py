@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from depotlens.llm.common import worker_state
+
 SLICE_BYTES = 8 << 20
 CACHED_PIECES = 400_000
 # fixed values: the white space of Unicode, as a class of the matcher
@@ -28,33 +29,110 @@ _IRREGULAR = f"{_WHITE} | {_WHITE}"
 Encoded = tuple[np.ndarray, np.ndarray]  # all ids, ids per entry
 
 
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def _cut(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The strings of the bytes at ``begin``."""
+    ends = np.cumsum(size)
+    at = np.repeat((begin - (ends - size)).astype(np.int32), size) + np.arange(int(size.sum()), dtype=np.int32)
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data[at])])
+
+
+# kinds of ASCII bytes
+_LETTER, _OTHER, _SHOWN = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SHOWN[33:127] = True
+_OTHER[[10, *range(33, 127)]] = True
+_OTHER &= ~_LETTER
+
+
+def parts_of(pieces: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(heads, middles, lasts) of pieces without spaces: a piece is its
+    head, middle and last in a row, middle and last are empty where it is not cut.
+
+    A piece is cut before its first ASCII character that is no letter, if an ASCII
+    letter stands before it, and then after its first line feed, if that stands
+    between a visible ASCII character and an ASCII letter. The tokenizers used
+    here always end a word at both places. No special token is cut that begins with
+    such a character and holds no line feed."""
+    pieces = pieces.cast(pa.string())
+    offsets = np.frombuffer(pieces.buffers()[1], np.int32, len(pieces) + 1, 4 * pieces.offset).astype(np.int64)
+    begin, end = offsets[:-1], offsets[1:]
+    data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8, int(offsets[-1]))
+
+    def first(places: np.ndarray) -> np.ndarray:
+        """The first of the places in each piece, or its end."""
+        at = np.searchsorted(places, begin)
+        return np.minimum(np.append(places, offsets[-1])[at], end)
+
+    one, line = first(np.flatnonzero(_OTHER[data])), first(np.flatnonzero(data == 10))
+    padded = np.append(data, 0)  # what a place past the end reads
+    held = (one > begin) & (one < end) & _LETTER[padded[one - 1]]
+    one = np.where(held, one, end)
+    held &= (line < end) & _SHOWN[padded[line - 1]] & (line + 1 < end) & _LETTER[padded[np.minimum(line + 1, len(data))]]
+    two = np.where(held, line + 1, end)
+    return _cut(data, begin, one - begin), _cut(data, one, two - one), _cut(data, two, end - two)
+
+
 class PieceEncoder:
-    """encode: list of strings to (ids, ids per string)."""
+    """encode: list of strings to (ids, ids per string). ``parts``: whether pieces
+    are encoded in their parts (``parts_of``), which are far fewer."""
 
     def __init__(self, encode: Callable[[list[str]], Encoded], whole: Callable[[list[str]], Encoded] | None = None,
-                 cached: int = CACHED_PIECES):
-        self.encode, self.whole, self.cached = encode, whole or encode, cached
-        self.rows: dict[str, int] = {}
+                 cached: int = CACHED_PIECES, parts: bool = False):
+        self.encode, self.whole, self.cached, self.parts = encode, whole or encode, cached, parts
+        self.spaced: dict[str, int] = {}  # rows of what follows a space
+        self.rows: dict[str, int] = {}  # and of all else
         self.ids, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64)
 
-    def _table(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows of the pieces, and the ids and sizes that the rows index."""
-        rows = self.rows
-        known = np.fromiter(map(rows.get, pieces, repeat(-1)), np.int64, len(pieces))
+    def _table(self, spaced: list[str], plain: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of the pieces after a space and of the others, and the ids and
+        sizes that the rows index."""
+        known = np.fromiter(chain(map(self.spaced.get, spaced, repeat(-1)), map(self.rows.get, plain, repeat(-1))),
+                            np.int64, len(spaced) + len(plain))
         missing = np.flatnonzero(known < 0)
         if not len(missing):
             return known, self.ids, self.sizes
-        fresh = [pieces[i] for i in missing]
-        ids, sizes = self.encode(fresh)
-        known[missing] = len(self.sizes) + np.arange(len(fresh))
+        after = int(np.searchsorted(missing, len(spaced)))
+        keys = [spaced[i] for i in missing[:after].tolist()], [plain[i - len(spaced)] for i in missing[after:].tolist()]
+        ids, sizes = self.encode([" " + p for p in keys[0]] + keys[1])
+        known[missing] = len(self.sizes) + np.arange(len(missing))
         all_ids, all_sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
-        keep = min(len(fresh), self.cached - len(self.sizes))
+        keep = min(len(missing), self.cached - len(self.sizes))
         if keep > 0:
-            rows.update(zip(fresh[:keep], range(len(self.sizes), len(self.sizes) + keep)))
+            rows = known[missing[:keep]].tolist()
+            self.spaced.update(zip(keys[0], rows))
+            self.rows.update(zip(keys[1], rows[after:]))
             self.sizes = np.concatenate([self.sizes, sizes[:keep]])
             self.ids = np.concatenate([self.ids, ids[:int(sizes[:keep].sum())]])
         return known, all_ids, all_sizes
 
+    def _pieces(self, dictionary: pa.Array, plain: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of the dictionary's pieces (after a space), rows of the plain
+        ones, and the ids and sizes that the rows index."""
+        if not self.parts:
+            rows, ids, sizes = self._table(_strings(dictionary), plain)
+            return rows[:len(dictionary)], rows[len(dictionary):], ids, sizes
+        heads, *others = (p.dictionary_encode() for p in parts_of(dictionary))
+        lists = [_strings(p.dictionary) for p in others]
+        distinct = list(dict.fromkeys(chain(*lists, plain)))
+        spaced = _strings(heads.dictionary)
+        rows, ids, sizes = self._table(spaced, distinct)
+        place = dict(zip(distinct, rows[len(spaced):].tolist()))
+        columns = [rows[heads.indices.to_numpy()]]
+        for coded, values in zip(others, lists):
+            columns.append(np.array([place[v] for v in values], np.int64)[coded.indices.to_numpy()])
+        part = np.stack(columns, axis=1)
+        own = np.array([place[p] for p in plain], np.int64)
+        # the ids of all parts piece by piece, then those of the plain ones
+        table = _gather(ids, sizes, np.concatenate([part.ravel(), own]))
+        sizes = np.concatenate([sizes[part].sum(axis=1), sizes[own]])
+        row = np.arange(len(sizes))
+        return row[:len(part)], row[len(part):], table, sizes
+
     def texts(self, texts: pa.Array) -> Encoded:
         """Ids of all texts (null: empty), and the number per text."""
         texts = pc.fill_null(texts, "")
@@ -80,20 +158,25 @@ class PieceEncoder:
         coded = values.dictionary_encode()
         first = offsets[:-1]
         heads = values.take(pa.array(first)).to_pylist()
-        pieces = [" " + p for p in coded.dictionary.to_pylist()]
         unique_heads = list(dict.fromkeys(heads))
-        rows, ids, sizes = self._table(pieces + unique_heads)
-        place = dict(zip(unique_heads, rows[len(pieces):].tolist()))
+        rows, plain, ids, sizes = self._pieces(coded.dictionary, unique_heads)
+        place = dict(zip(unique_heads, plain.tolist()))
         row = rows[coded.indices.to_numpy()]
         row[first] = [place[h] for h in heads]
-        size = sizes[row]
-        begin = np.cumsum(sizes) - sizes
-        ends = np.cumsum(size)
-        # a slice holds far fewer ids than 32 bits count: half the memory to move
-        kind = np.int32 if max(int(ends[-1]), len(ids)) < 1 << 31 else np.int64
-        at = np.arange(int(ends[-1]), dtype=kind)
-        at += np.repeat((begin[row] - (ends - size)).astype(kind), size)
-        return ids.take(at), np.add.reduceat(size, first)
+        return _gather(ids, sizes, row), np.add.reduceat(sizes[row], first)
+
+
+def _gather(ids: np.ndarray, sizes: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The ids of the rows, one after the other."""
+    size = sizes[row]
+    begin = np.cumsum(sizes) - sizes
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    # a slice holds far fewer ids than 32 bits count: half the memory to move
+    kind = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64
+    at = np.arange(total, dtype=kind)
+    at += np.repeat((begin[row] - (ends - size)).astype(kind), size)
+    return ids.take(at)
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -128,14 +211,15 @@ def _lists(encodings) -> Encoded:
 JOINED = 400
 
 
-@lru_cache(maxsize=4)
+@worker_state("tokens")
 def library_encoder(path: str) -> PieceEncoder:
     """Pieces encoded by the tokenizers library, from its file at ``path``.
 
     Many pieces go to the library as one text, where the ids show the borders:
-    in a vocabulary with a mark for the leading space, every piece has one
-    mark; in a vocabulary with a mark for the word end, this holds for pieces
-    of letters only. All others are encoded singly."""
+    in a vocabulary with a mark for the leading space, every piece that follows a
+    space has one mark, and the others stand between single line feeds; in a
+    vocabulary with a mark for the word end, every piece of letters only has
+    one. All others are encoded singly."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -145,33 +229,54 @@ def library_encoder(path: str) -> PieceEncoder:
     ends = sum(n.endswith("</w>") for n in names) > len(names) // 10
     mark = np.zeros(max(names.values()) + 1, bool)
     mark[[i for n, i in names.items() if (n.endswith("</w>") if ends else n.startswith("Ġ"))]] = True
-    # letters of Latin-1 stay single letters under normal forms and lower case
-    simple = "^ [A-Za-zÀ-ÖØ-öø-ÿ]+$" if ends else "(?s)^ [^ ]+$"
 
     def singly(texts: list[str]) -> Encoded:
         return _lists(t.encode_batch_fast(texts, add_special_tokens=False))
 
-    def encode(pieces: list[str]) -> Encoded:
-        array = pa.array(pieces, pa.string())
-        joinable = pc.match_substring_regex(array, simple)
-        for s in special:  # their strings in a piece would end it
-            joinable = pc.and_(joinable, pc.invert(pc.match_substring(array, s[:2])))
-        joinable = joinable.to_numpy(zero_copy_only=False)
-        many = array.filter(pa.array(joinable)).to_pylist()
-        texts = ["".join(many[i:i + JOINED]) for i in range(0, len(many), JOINED)]
+    feed, drops = singly(["\n"])[0], np.array_equal(singly(["a"])[0], singly([" a"])[0])
+    # letters of Latin-1 stay single letters under normal forms and lower case
+    simple = f"^ {'?' if drops else ''}[A-Za-zÀ-ÖØ-öø-ÿ]+$" if ends else "(?s)^ [^ ]+$"
+
+    def together(pieces: list[str]) -> Encoded:
+        """Pieces that show their borders."""
+        glue = " " if ends and drops else ""
+        texts = [glue + glue.join(pieces[i:i + JOINED]) for i in range(0, len(pieces), JOINED)]
         ids, _ = singly(texts) if texts else (np.empty(0, np.uint32), None)
         borders = np.flatnonzero(mark[ids])
-        if len(borders) != len(many):  # not as expected: each piece on its own
+        if len(borders) != len(pieces):  # not as expected: each piece on its own
             return singly(pieces)
-        sizes = np.diff(np.concatenate([[-1], borders]) if ends else np.concatenate([borders, [len(ids)]]))
-        if joinable.all():
-            return ids, sizes
-        other = singly(array.filter(pa.array(~joinable)).to_pylist())
-        every = np.empty(len(pieces), np.int64)
-        every[joinable], every[~joinable] = sizes, other[1]
-        out = np.empty(int(every.sum()), np.uint32)
-        taken = np.repeat(joinable, every)
-        out[taken], out[~taken] = ids, other[0]
-        return out, every
-
-    return PieceEncoder(encode, singly)
+        return ids, np.diff(np.concatenate([[-1], borders]) if ends else np.concatenate([borders, [len(ids)]]))
+
+    def between_feeds(pieces: list[str]) -> Encoded:
+        """Pieces without white space."""
+        texts = ["\n".join(pieces[i:i + JOINED]) + "\n" for i in range(0, len(pieces), JOINED)]
+        ids, _ = singly(texts) if texts else (np.empty(0, np.uint32), None)
+        border = ids == feed[0]
+        if np.count_nonzero(border) != len(pieces):
+            return singly(pieces)
+        return ids[~border], np.diff(np.concatenate([[-1], np.flatnonzero(border)])) - 1
+
+    def encode(pieces: list[str]) -> Encoded:
+        array = pa.array(pieces, pa.string())
+        ways = [(pc.match_substring_regex(array, simple), together)]
+        if not ends and len(feed) == 1:
+            ways.append((pc.match_substring_regex(array, r"^[!-~]+$"), between_feeds))
+        left, done = np.ones(len(pieces), bool), []
+        for fits, way in ways:
+            for s in special:  # their strings in a piece would end it
+                fits = pc.and_(fits, pc.invert(pc.match_substring(array, s[:2])))
+            fits = fits.to_numpy(zero_copy_only=False) & left
+            left &= ~fits
+            done.append((fits, way))
+        sizes, parts = np.empty(len(pieces), np.int64), []
+        for fits, way in [*done, (left, singly)]:
+            ids, sizes[fits] = way(_strings(array.filter(pa.array(fits)))) if fits.any() else (np.empty(0, np.uint32), 0)
+            parts.append((fits, ids))
+        out = np.empty(int(sizes.sum()), np.uint32)
+        for fits, ids in parts:
+            out[np.repeat(fits, sizes)] = ids
+        return out, sizes
+
+    # a special token that begins with a letter or holds a line feed could be cut
+    whole = all(s[:1].isascii() and not s[:1].isalpha() and "\n" not in s for s in special)
+    return PieceEncoder(encode, singly, parts=whole)

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from depotlens.llm import bpe, pfor
-from depotlens.llm.tokens import PieceEncoder, library_encoder
+from depotlens.llm.tokens import PieceEncoder, library_encoder, parts_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -63,6 +63,28 @@ def test_pieces_equal_whole_texts(name):
         assert split(*e.texts(pa.array(texts))) == want
 
 
+def test_parts_join_to_the_piece():
+    import pyarrow as pa
+
+    pieces = ["end.", "end.\nNext", "end\nNext,", "it's", "'s", ".\nNext", "a.\n\nB", "é.", "aé", "x<|endoftext|>y", "", "a.\nÉ", "\n", "a1.\nb2\nc"]
+    parts = [p.to_pylist() for p in parts_of(pa.array(["skipped", *pieces])[1:])]
+    assert ["".join(p) for p in zip(*parts)] == pieces
+    assert [p for p in zip(*parts)][:4] == [("end", ".", ""), ("end", ".\n", "Next"), ("end", "\n", "Next,"), ("it", "'s", "")]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_are_encoded_once_whatever_follows_them(name):
+    import pyarrow as pa
+
+    words, tails = ["alpha", "betas", "Gamma", "dañt", "it"], [".", ",", "!!", "'s", "***", ".\nAnd", "\nAnd", ".\n\nAnd", "9", "-x"]
+    texts = [" ".join(w + t for w in words for t in tails), "It's. It's It's.\nIt's"]
+    library_encoder.cache_clear()
+    encoder = library_encoder(public_tokenizers.path(name))
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    assert split(*encoder.texts(pa.array(texts))) == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert len(encoder.sizes) <= len(words) + len(tails) + 12  # 50 pieces and more otherwise
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=900), st.integers(1, 100))
 def test_packed_blocks_round_trip(ids, percentile):
