@@ -22,14 +22,13 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depotlens.llm.common import with_package
+from depotlens.llm.common import with_package, worker_state
 from depotlens.llm.tokens import Encoded, PieceEncoder, binary_ids, slices
 
 NONE = np.int32(2**31 - 1)
@@ -133,12 +132,12 @@ class MergeReplay:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-@lru_cache(maxsize=2)
+@worker_state("bpe", 2)
 def replay(path: str) -> MergeReplay:
     return MergeReplay(path)
 
 
-@lru_cache(maxsize=2)
+@worker_state("bpe", 2)
 def encoder(path: str, pattern: str) -> PieceEncoder:
     import regex
 

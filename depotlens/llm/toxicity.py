@@ -48,7 +48,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlens.llm.common import with_package, written
+from depotlens.llm.common import with_package, worker_state, written
 from depotlens.llm.tokens import slices
 
 DECAY = 0.8
@@ -325,7 +325,7 @@ class Pooled:
         return np.hstack([np.log1p(out), out / np.sqrt(np.maximum(np.diff(offsets), 1))[:, None]]).astype(np.float32)
 
 
-@lru_cache(maxsize=1)
+@worker_state("toxicity")
 def pooled(landmarks: tuple[str, ...]) -> Pooled:
     return Pooled(list(landmarks))
 

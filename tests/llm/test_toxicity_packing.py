@@ -228,3 +228,14 @@ def test_islands_beat_best_fit_on_hard_pieces(spark):
     rows = packing.pack(pieces(spark, lengths), island_pieces=300).collect()
     n = check_packing(rows, [(str(i), 0, 0, x, i) for i, x in enumerate(lengths)])
     assert n < len(best_fit(lengths))
+
+
+def test_a_worker_keeps_the_state_of_one_operator():
+    from depotlens.llm.tokens import library_encoder
+
+    held = library_encoder(TOKENIZER)
+    assert library_encoder(TOKENIZER) is held
+    toxicity.pooled(("poison", "venom"))
+    assert library_encoder.cache_info().currsize == 0 and toxicity.pooled.cache_info().currsize == 1
+    library_encoder(TOKENIZER)
+    assert toxicity.pooled.cache_info().currsize == 0
