@@ -95,3 +95,23 @@ def test_records_without_part_make_no_file(spark, tmp_path):
     write_landing(rows, str(tmp_path), "complaints", ["k"], "", ["k"], part=F.col("p"), damage_day=day)
     names = sorted(r.source_file_path.rsplit("/", 1)[1] for r in list_landing(spark, str(tmp_path), "complaints").collect())
     assert names == ["complaints_20240301_0.csv", "complaints_20240301_2.csv"]
+
+
+def test_lines_of_landing_files_are_made_after_the_move(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from depotlens.sources.files import write_landing
+
+    plans, text = [], DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, *a, **k: (plans.append(plan(self._df)), text(self, *a, **k))[1])
+    day = dt.date(2024, 3, 1)
+    rows = written(spark.createDataFrame([(day, f, k, p, None if k == 3 else "a, b") for f in ("csv", "json", "xml") for k in (3, 1, 2) for p in (0, 1)],
+                                         "ingest_dt date, source_format string, k int, p int, what string"))
+    write_landing(rows, str(tmp_path), "complaints", ["k", "what"], "", ["k"], part=F.col("p"))
+    # one move of the records; the lines are above it
+    assert plans[0].count("Exchange hashpartitioning") == 1 and plans[0].index("to_csv") < plans[0].index("Exchange hashpartitioning")
+    read = {p.suffix: p.read_text().rstrip("\n").split("\n") for p in tmp_path.glob("complaints/*/complaints_*_0.*")}
+    assert read[".csv"] == ["k,what", '1,"a, b"', '2,"a, b"', "3,"]
+    assert read[".json"] == ['{"k":1,"what":"a, b"}', '{"k":2,"what":"a, b"}', '{"k":3}']
+    assert read[".xml"][0] == "<records>" and read[".xml"][-1] == "</records>"
+    assert [line.strip() for line in read[".xml"] if "<k>" in line] == ["<k>1</k>", "<k>2</k>", "<k>3</k>"]
