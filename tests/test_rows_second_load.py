@@ -91,3 +91,19 @@ def test_second_load_writes_the_rows_where_they_lie(spark, tmp_path, monkeypatch
     got = sc.second_load("delivery_events")
     assert len(plans) == 2 and not any("Exchange" in p.replace("BroadcastExchange", "") for p in plans)
     assert [(r[0], r[1]) for r in found(got)] == [(1 + 50 * (f - 1) + i, f) for f in (1, 2, 3, 4) for i in range(50)]
+
+
+def test_a_pipeline_load_writes_the_rows_where_they_lie(spark, monkeypatch):
+    from depotlens.plans.pipeline import Pipeline
+
+    plans, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (
+        plans.append(plan(self._df)) if "/fact_delivery_event/" in path else None, parquet(self, path, *a, **k))[1])
+    p = Pipeline(spark)
+    for rows in (OLD, NEW):
+        got = p.load_facts("delivery_events", staged(spark, rows), T)
+    assert len(plans) == 2 and not any("Exchange" in x.replace("BroadcastExchange", "") for x in plans)
+    assert found(got)[6:] == WANT
+    # rows are observed once, while they are written
+    p.write_volumes(T.date())
+    assert [r["value"] for r in p.volumes().where("metric = 'rows_loaded'").collect()] == [len(OLD) + len(WANT)]
